@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from silverbrook.llm import jaccard_join, mixing, packing, substring_dedup
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -13,15 +15,32 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def tokenizer_path() -> str:
+    """Where this machine has the public tokenizer that op10 is asked to use."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from silverbrook.llm.jaccard_join import jaccard_classes
+    return jaccard_join.jaccard_classes(_documents(spark, sf_dir), n=4, percent=85)
+
+
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.remove_repeats(_documents(spark, sf_dir), window=20).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(_documents(spark, sf_dir))
+
 
-    return jaccard_classes(_documents(spark, sf_dir), n=4, percent=85)
+def op10_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_documents(spark, sf_dir), tokenizer_path())
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op4_ngram_jaccard_join,)}
+    return {f.__name__: f for f in (op4_ngram_jaccard_join, op8_substring_dedup, op9_mix_sources, op10_pack_sequences)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op9_mix_sources": mixing.ORACLE}
