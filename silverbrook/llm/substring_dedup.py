@@ -91,18 +91,21 @@ def _equal_ranges(data: np.ndarray, a: np.ndarray, b: np.ndarray, size: np.ndarr
     return ok
 
 
-def _pack(texts: list[bytes], words: np.ndarray, owner: np.ndarray, doc: np.ndarray, tag: np.ndarray, start: np.ndarray) -> bytes:
+_ZSTD = pa.Codec("zstd", compression_level=3)
+
+
+def _pack(texts: list[bytes], owner: np.ndarray, doc: np.ndarray, tag: np.ndarray, start: np.ndarray) -> bytes:
     head = np.array([len(texts), len(owner)], np.int64)
-    parts = [head, np.array([len(x) for x in texts], np.int32), words.astype(np.int32), owner.astype(np.int32), doc.astype(np.int64), tag.astype(np.uint32), start.astype(np.int32)]
+    parts = [head, np.array([len(x) for x in texts], np.int32), owner.astype(np.int32), doc.astype(np.int64), tag.astype(np.uint32), start.astype(np.int32)]
     raw = b"".join(p.tobytes() for p in parts) + b"".join(texts)
-    return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
+    return len(raw).to_bytes(8, "little") + _ZSTD.compress(raw, asbytes=True)
 
 
 def _unpack(blob: bytes) -> list:
-    raw = pa.decompress(blob[8:], int.from_bytes(blob[:8], "little"), codec="zstd", asbytes=True)
+    raw = _ZSTD.decompress(blob[8:], int.from_bytes(blob[:8], "little"), asbytes=True)
     texts, seen = (int(x) for x in np.frombuffer(raw, np.int64, 2))
     at, out = 16, []
-    for kind, n in ((np.int32, texts), (np.int32, texts), (np.int32, seen), (np.int64, seen), (np.uint32, seen), (np.int32, seen)):
+    for kind, n in ((np.int32, texts), (np.int32, seen), (np.int64, seen), (np.uint32, seen), (np.int32, seen)):
         out.append(np.frombuffer(raw, kind, n, at))
         at += out[-1].nbytes
     return [*out, np.frombuffer(raw, np.uint8, offset=at)]
@@ -143,9 +146,12 @@ def _travel(classes: np.ndarray, buckets: int, window: int):
             o, p = order[1:], order[:-1]
             near = np.flatnonzero((whole[o] == whole[p]) & (b[o] - a[o] == b[p] - a[p]))
             same[1 + near] = _equal_ranges(data, a[o[near]], a[p[near]], b[o[near]] - a[o[near]])
+            # the first of equal strings stands for them; strings keep the order of the text, which packs best
             head = order[~same]
             owner = np.empty(len(order), np.int64)
-            owner[order] = np.cumsum(~same) - 1
+            owner[order] = head[np.cumsum(~same) - 1]
+            head = np.sort(head)
+            owner = np.searchsorted(head, owner)
             doc = part.column("doc_id").to_numpy()
             tag = part.column("tag").to_numpy()
             to = (wa.mix(key[head] ^ np.uint64(0xB0C4E7)) % np.uint64(buckets)).astype(np.int64)
@@ -163,7 +169,7 @@ def _travel(classes: np.ndarray, buckets: int, window: int):
                 here = head[by[lo:hi]]
                 x, y = np.searchsorted(slot, [lo, hi])
                 seen = occ[x:y]
-                blobs.append(_pack([memory[i:j] for i, j in zip(a[here], b[here], strict=True)], end[here] - begin[here], slot[x:y] - lo, doc[text[seen]], tag[text[seen]], begin[seen] - first_word[seen]))
+                blobs.append(_pack([memory[i:j] for i, j in zip(a[here], b[here], strict=True)], slot[x:y] - lo, doc[text[seen]], tag[text[seen]], begin[seen] - first_word[seen]))
                 names.append(int(to[by[lo]]))
             yield pa.RecordBatch.from_arrays([pa.array(names, pa.int32()), pa.array(blobs, pa.binary())], ["bucket", "blob"])
 
@@ -173,13 +179,14 @@ def _travel(classes: np.ndarray, buckets: int, window: int):
 def repeated_spans(blobs: list[bytes], window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(doc, tag, first word, last word + 1) of what the windows of one bucket repeat."""
     parts = [_unpack(x) for x in blobs]
-    size, count = (np.concatenate([p[i] for p in parts]).astype(np.int64) for i in (0, 1))
+    size = np.concatenate([p[0] for p in parts]).astype(np.int64)
     base = np.cumsum([0] + [len(p[0]) for p in parts[:-1]])
-    owner = np.concatenate([p[2] + n for p, n in zip(parts, base, strict=True)]).astype(np.int64)
-    doc, tag, start = (np.concatenate([p[i] for p in parts]) for i in (3, 4, 5))
+    owner = np.concatenate([p[1] + n for p, n in zip(parts, base, strict=True)]).astype(np.int64)
+    doc, tag, start = (np.concatenate([p[i] for p in parts]) for i in (2, 3, 4))
     tag, start = tag.astype(np.int64), start.astype(np.int64)
-    data = np.concatenate([p[6] for p in parts])
+    data = np.concatenate([p[5] for p in parts])
     at = np.cumsum(size) - size
+    count = np.add.reduceat(data == 0x20, at, dtype=np.int64) + 1
     # the earliest occurrence of each string; all windows of later ones repeat it
     order = np.lexsort((start, tag, doc, owner))
     head = np.ones(len(order), bool)

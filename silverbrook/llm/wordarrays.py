@@ -15,6 +15,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 SLICE_BYTES = 2 << 20
+#: Bytes that are hashed at once.
+HASH_BYTES = 1 << 19
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -30,14 +32,14 @@ def powers(n: int, base: int = _BASE) -> tuple[np.ndarray, np.ndarray]:
     """The first ``n`` powers of an odd base modulo 2**64, and of its inverse; kept between calls up to a few slices."""
     have = _powers.get(base)
     if have is None or len(have[0]) < n:
-        size = max(n, SLICE_BYTES * 2)
+        size = max(n, HASH_BYTES * 2)
         out = []
         for b in (base, pow(base, -1, _MOD)):
             step = np.full(size, b, np.uint64)
             step[0] = 1
             out.append(np.cumprod(step, dtype=np.uint64))
         have = (out[0], out[1])
-        if size <= SLICE_BYTES * 4:
+        if size <= HASH_BYTES * 4:
             _powers[base] = have
     return have[0][:n], have[1][:n]
 
@@ -111,16 +113,21 @@ class Words:
 
     def hashes(self) -> np.ndarray:
         """A 64-bit hash of each word's bytes."""
-        if not len(self.start):
-            return np.zeros(0, np.uint64)
-        up, down = powers(len(self.data))
-        value = _BYTE_VALUES[self.data]
-        value *= up
-        total = np.cumsum(value, dtype=np.uint64)
-        out = total[self.end - 1] - total[self.start]
-        out += value[self.start]
-        out *= down[self.start]
-        return mix(out)
+        out, i = np.empty(len(self.start), np.uint64), 0
+        while i < len(out):  # blocks of whole words, for the memory's sake
+            j = max(i + 1, int(np.searchsorted(self.start, self.start[i] + HASH_BYTES)))
+            a, b = self.start[i], self.end[j - 1]
+            up, down = powers(b - a)
+            value = _BYTE_VALUES[self.data[a:b]]
+            value *= up
+            total = np.cumsum(value, dtype=np.uint64)
+            start = self.start[i:j] - a
+            part = total[self.end[i:j] - 1 - a] - total[start]
+            part += value[start]
+            part *= down[start]
+            out[i:j] = mix(part)
+            i = j
+        return out
 
     def canonical(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(bytes, start, end): the words with one space after each."""
