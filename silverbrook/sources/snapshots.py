@@ -1,0 +1,252 @@
+"""Versioned tables on plain Parquet: snapshots, time travel, change feed, merge, compaction and vacuum.
+
+A table is a folder with a snapshot ``v=N`` for each version and a log of JSON files, one a version, which is written
+last.  All files go through Hadoop's file system, so any store that Spark writes to will do.  A version exists once its
+log file does; two writers that race for a number collide on that file, and the later one fails.
+"""
+
+from __future__ import annotations
+
+import json
+import time
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
+from typing import Any
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+
+from silverbrook.errors import SinkError, SourceError
+
+
+@dataclass(frozen=True)
+class When:
+    """A clause of a merge: ``update``, ``delete`` or ``insert``, under an SQL condition on ``s.`` (source) and ``t.``
+    (target) columns.  ``set`` gives SQL for columns; without it all of the source's columns are taken."""
+
+    action: str
+    condition: str | None = None
+    set: Mapping[str, str] | None = None
+
+
+UPSERT = (When("update"), When("insert"))
+
+
+class SnapshotTable:
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path.rstrip("/")
+
+    # files
+
+    def _hadoop(self, path: str):
+        jvm = self.spark._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        return p.getFileSystem(self.spark._jsc.hadoopConfiguration()), p
+
+    def _log_path(self, version: int) -> str:
+        return f"{self.path}/_log/{version:020d}.json"
+
+    def _data_path(self, version: int) -> str:
+        return f"{self.path}/v={version}"
+
+    def _log(self) -> list[dict[str, Any]]:
+        """The log, one small line a version."""
+        fs, p = self._hadoop(f"{self.path}/_log")
+        if not fs.exists(p):
+            return []
+        files = sorted(str(s.getPath()) for s in fs.listStatus(p) if s.getPath().getName().endswith(".json"))
+        out = []
+        for f in files:
+            stream_fs, q = self._hadoop(f)
+            stream = stream_fs.open(q)
+            try:
+                out.append(json.loads(bytes(self.spark._jvm.org.apache.commons.io.IOUtils.toByteArray(stream)).decode()))
+            finally:
+                stream.close()
+        return out
+
+    def exists(self) -> bool:
+        return bool(self._log())
+
+    def version(self) -> int:
+        log = self._log()
+        if not log:
+            raise SourceError("no such table", {"path": self.path})
+        return log[-1]["version"]
+
+    def _commit(self, df: DataFrame, operation: str, partition_by: Sequence[str] = (), **parameters: Any) -> int:
+        log = self._log()
+        version = log[-1]["version"] + 1 if log else 0
+        writer = df.write.mode("overwrite")
+        (writer.partitionBy(*partition_by) if partition_by else writer).parquet(self._data_path(version))
+        entry = {"version": version, "timestamp": max(time.time(), log[-1]["timestamp"] + 0.001 if log else 0), "operation": operation, "partition_by": list(partition_by), "parameters": parameters}
+        fs, p = self._hadoop(self._log_path(version))
+        try:
+            stream = fs.create(p, False)
+        except Exception as e:
+            raise SinkError("another writer made this version", {"version": version}) from e
+        stream.write(bytearray(json.dumps(entry).encode()))
+        stream.close()
+        return version
+
+    # reading
+
+    def read(self, version: int | None = None, timestamp: float | str | None = None) -> DataFrame:
+        """The latest snapshot, a version, or what was latest at a time (seconds, or text that Spark casts to a
+        timestamp); the version wins."""
+        log = self._log()
+        if not log:
+            raise SourceError("no such table", {"path": self.path})
+        if version is None and timestamp is not None:
+            at = timestamp if isinstance(timestamp, int | float) else self.spark.range(1).select(F.lit(timestamp).cast("timestamp").cast("double")).first()[0]
+            known = [e["version"] for e in log if e["timestamp"] <= at]
+            if not known:
+                raise SourceError("the table is younger", {"timestamp": timestamp})
+            version = known[-1]
+        version = log[-1]["version"] if version is None else version
+        if version not in {e["version"] for e in log}:
+            raise SourceError("no such version", {"version": version})
+        return self.spark.read.parquet(self._data_path(version))
+
+    def history(self, limit: int | None = None) -> DataFrame:
+        """Versions, the latest first."""
+        rows = [(e["version"], e["timestamp"], e["operation"], json.dumps(e["parameters"])) for e in reversed(self._log())][: limit or None]
+        return self.spark.createDataFrame(rows, "version long, timestamp double, operation string, parameters string").withColumn("timestamp", F.col("timestamp").cast("timestamp"))
+
+    def changes(self, start: int, end: int | None = None, keys: Sequence[str] = ()) -> DataFrame:
+        """What each version from ``start`` to ``end`` changed: its rows with ``_change_type`` (insert, delete,
+        update_preimage, update_postimage) and ``_commit_version``.  Snapshots are compared by the keys; without keys a
+        changed row is a delete and an insert, and repeated rows count."""
+        end = self.version() if end is None else end
+        found = None
+        for v in range(start, end + 1):
+            now = self.read(v)
+            before = self.read(v - 1) if v > 0 else now.limit(0)
+            one = self._diff(before, now, keys).withColumn("_commit_version", F.lit(v).cast("long"))
+            found = one if found is None else found.unionByName(one, allowMissingColumns=True)
+        if found is None:
+            raise SourceError("no versions in this range", {"start": start, "end": end})
+        return found
+
+    def _diff(self, before: DataFrame, now: DataFrame, keys: Sequence[str]) -> DataFrame:
+        names = now.columns
+        before = before.select(*[F.col(c) if c in before.columns else F.lit(None).cast(dict(now.dtypes)[c]).alias(c) for c in names])
+        if not keys:
+            gone = before.exceptAll(now).withColumn("_change_type", F.lit("delete"))
+            return gone.unionByName(now.exceptAll(before).withColumn("_change_type", F.lit("insert")))
+        rest = [c for c in names if c not in keys]
+        a = before.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(keys)], F.struct(*names).alias("_a"))
+        b = now.select(*[F.col(c).alias(f"_m{i}") for i, c in enumerate(keys)], F.struct(*names).alias("_b"))
+        test = F.lit(True)
+        for i in range(len(keys)):
+            test = test & F.col(f"_k{i}").eqNullSafe(F.col(f"_m{i}"))
+        same = F.lit(True)
+        for c in rest:
+            same = same & F.col(f"_a.`{c}`").eqNullSafe(F.col(f"_b.`{c}`"))
+        pick = lambda kind, side: F.struct(F.lit(kind).alias("_change_type"), F.col(side).alias("row"))
+        events = (
+            F.when(F.col("_a").isNull(), F.array(pick("insert", "_b")))
+            .when(F.col("_b").isNull(), F.array(pick("delete", "_a")))
+            .when(~same, F.array(pick("update_preimage", "_a"), pick("update_postimage", "_b")))
+        )
+        return a.join(b, test, "full_outer").select(F.explode(events).alias("e")).select("e.row.*", "e._change_type")
+
+    # writing
+
+    def write(self, df: DataFrame, mode: str = "append", partition_by: Sequence[str] = ()) -> int:
+        """Append to, overwrite or create the table; returns the version.  Appending unites schemas by name."""
+        exists = self.exists()
+        if exists and mode in ("error", "errorifexists"):
+            raise SinkError("the table exists", {"path": self.path})
+        if exists and mode == "ignore":
+            return self.version()
+        if mode not in ("append", "overwrite", "error", "errorifexists", "ignore"):
+            raise SinkError(f"unknown mode {mode!r}")
+        if exists and not partition_by:
+            partition_by = self._log()[-1]["partition_by"]
+        if exists and mode == "append":
+            df = self.read().unionByName(df, allowMissingColumns=True)
+        return self._commit(df, "WRITE", partition_by, mode=mode)
+
+    def merge(self, source: DataFrame, keys: Sequence[str] = (), clauses: Sequence[When] = UPSERT, condition: str | None = None) -> int:
+        """Merge by equal keys, or by an SQL condition on ``s.`` and ``t.`` columns.  Of the clauses the first whose
+        condition holds applies.  A target row that several source rows match is an error.  Without a table the inserts
+        make it."""
+        if not keys and not condition:
+            raise SinkError("a merge needs keys or a condition")
+        if not self.exists():
+            inserts = [c for c in clauses if c.action == "insert"]
+            if not inserts:
+                raise SourceError("no such table", {"path": self.path})
+            return self._commit(source, "MERGE", keys=list(keys))
+        target = self.read()
+        names = target.columns + [c for c in source.columns if c not in target.columns]
+        kinds = dict(source.dtypes) | dict(target.dtypes)
+        t = target.withColumn("_t", F.lit(1)).withColumn("_row", F.monotonically_increasing_id()).alias("t")
+        s = source.withColumn("_s", F.lit(1)).alias("s")
+        if condition:
+            test = F.expr(condition)
+        else:
+            test = F.lit(True)
+            for k in keys:
+                test = test & (F.col(f"s.`{k}`") == F.col(f"t.`{k}`"))
+        joined = t.join(s, test, "full_outer")
+        twice = joined.where("_t = 1 and _s = 1").groupBy("t._row").count().where("count > 1")
+        if not twice.isEmpty():
+            raise SinkError("several source rows match one row", {"keys": list(keys)})
+
+        def ours(c: str) -> Column:
+            return F.col(f"t.`{c}`") if c in target.columns else F.lit(None).cast(kinds[c])
+
+        def theirs(c: str) -> Column:
+            return F.col(f"s.`{c}`").cast(kinds[c]) if c in source.columns else ours(c)
+
+        hit, only_s = F.col("_t").isNotNull() & F.col("_s").isNotNull(), F.col("_t").isNull()
+        choice = F.when(F.col("_s").isNull(), -1)
+        for i, c in enumerate(clauses):
+            when = (only_s if c.action == "insert" else hit) & (F.expr(c.condition) if c.condition else F.lit(True))
+            choice = choice.when(when, i)
+        choice = choice.otherwise(-1)
+        joined = joined.withColumn("_choice", choice)
+        keep = F.when(F.col("_choice") == -1, F.col("_t").isNotNull())
+        for i, c in enumerate(clauses):
+            keep = keep.when(F.col("_choice") == i, F.lit(c.action != "delete"))
+
+        def value(name: str) -> Column:
+            out = F.when(F.col("_choice") == -1, ours(name))
+            for i, c in enumerate(clauses):
+                if c.action != "delete":
+                    new = theirs(name) if c.set is None else F.expr(c.set[name]).cast(kinds[name]) if name in c.set else ours(name) if c.action == "update" else F.lit(None).cast(kinds[name])
+                    out = out.when(F.col("_choice") == i, new)
+            return out.alias(name)
+
+        return self._commit(joined.where(keep).select(*[value(c) for c in names]), "MERGE", self._log()[-1]["partition_by"], keys=list(keys))
+
+    def delete(self, condition: str) -> int:
+        """Remove the rows for which the condition is true."""
+        return self._commit(self.read().where(~F.coalesce(F.expr(condition), F.lit(False))), "DELETE", self._log()[-1]["partition_by"], condition=condition)
+
+    def update(self, values: Mapping[str, str], condition: str = "true") -> int:
+        df = self.read()
+        kinds = dict(df.dtypes)
+        hit = F.coalesce(F.expr(condition), F.lit(False))
+        return self._commit(df.select(*[F.when(hit, F.expr(values[c]).cast(kinds[c])).otherwise(F.col(c)).alias(c) if c in values else F.col(c) for c in df.columns]), "UPDATE", self._log()[-1]["partition_by"], condition=condition)
+
+    def optimize(self, cluster_by: Sequence[str] = (), files: int = 8) -> int | None:
+        """Rewrite in ``files`` files, ordered by columns so that their minima and maxima let scans skip.  Nothing happens
+        without a table."""
+        if not self.exists():
+            return None
+        df = self.read()
+        df = df.repartitionByRange(files, *cluster_by).sortWithinPartitions(*cluster_by) if cluster_by else df.coalesce(files)
+        return self._commit(df, "OPTIMIZE", self._log()[-1]["partition_by"], cluster_by=list(cluster_by))
+
+    def vacuum(self, retention_hours: float = 168) -> list[int]:
+        """Delete snapshots that were replaced longer ago than that; the latest always stays.  Returns their versions."""
+        log, gone = self._log(), []
+        for old, new in zip(log, log[1:], strict=False):
+            if new["timestamp"] < time.time() - retention_hours * 3600:
+                for path in (self._data_path(old["version"]), self._log_path(old["version"])):
+                    fs, p = self._hadoop(path)
+                    fs.delete(p, True)
+                gone.append(old["version"])
+        return gone
