@@ -73,8 +73,12 @@ def add_rank(partition_by: Sequence[str], order_by: Sequence[str], alias: str =
 
 def share_of_total(partition_by: Sequence[str], column: str, alias: str, digits: int = 2) -> Operator:
     """``column`` as a percentage of its partition's sum; null where that is 0."""
-    total = F.sum(column).over(Window.partitionBy(*partition_by))
-    return lambda df: df.withColumn(alias, F.round(F.try_divide(F.col(column) * 100, total), digits))
+
+    def run(df: DataFrame) -> DataFrame:
+        total = F.sum(column).over(Window.partitionBy(*partition_by))
+        return df.withColumn(alias, F.round(F.try_divide(F.col(column) * 100, total), digits))
+
+    return run
 
 
 def above_percentile(column: str, percentile: float, alias: str, accuracy: int = 10_000) -> Operator:
@@ -90,8 +94,12 @@ def above_percentile(column: str, percentile: float, alias: str, accuracy: int =
 
 def growth(partition_by: Sequence[str], order_by: Sequence[str], column: str, alias: str, digits: int = 2) -> Operator:
     """Change since the previous row in percent; null without one or where it isn't positive."""
-    before = F.lag(column).over(Window.partitionBy(*partition_by).orderBy(*order_by))
-    return lambda df: df.withColumn(alias, F.when(before > 0, F.round((F.col(column) - before) / before * 100, digits)))
+
+    def run(df: DataFrame) -> DataFrame:
+        before = F.lag(column).over(Window.partitionBy(*partition_by).orderBy(*order_by))
+        return df.withColumn(alias, F.when(before > 0, F.round((F.col(column) - before) / before * 100, digits)))
+
+    return run
 
 
 def top_per_group(partition_by: Sequence[str], order_by: Sequence[str], n: int, ascending: bool | Sequence[bool] = False, rank: str | None = "rank") -> Operator:

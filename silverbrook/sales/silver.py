@@ -64,8 +64,12 @@ def high_value_orders(threshold: float = 500, column: str = "total_amount") -> O
 
 def repeat_orders(customer: str = "customer_id", date: str = "order_date", ties: Sequence[str] = ()) -> Operator:
     """Number each customer's orders by date, then by ``ties``; all but the first are repeats."""
-    number = F.row_number().over(Window.partitionBy(customer).orderBy(date, *ties))
-    return lambda df: df.withColumn("customer_order_number", number).withColumn("is_repeat_order", flag(F.col("customer_order_number") > 1))
+
+    def run(df: DataFrame) -> DataFrame:
+        number = F.row_number().over(Window.partitionBy(customer).orderBy(date, *ties))
+        return df.withColumn("customer_order_number", number).withColumn("is_repeat_order", flag(F.col("customer_order_number") > 1))
+
+    return run
 
 
 def delivery_time(delivered: str = "delivery_date", ordered: str = "order_date") -> Operator:
@@ -75,19 +79,27 @@ def delivery_time(delivered: str = "delivery_date", ordered: str = "order_date")
 
 def add_tax(rates: Mapping[str, Decimal | str | float], country: str = "customer_country", subtotal: str = "subtotal") -> Operator:
     """tax_amount by the country's rate, 0 without a subtotal, and total_amount, null without one."""
-    rate = F.lit(DEFAULT_TAX_RATE).cast("decimal(5,4)")
-    for name, value in rates.items():
-        rate = F.when(F.col(country) == name, F.lit(str(value)).cast("decimal(5,4)")).otherwise(rate)
-    tax = F.round(F.col(subtotal) * rate, 2)
-    return lambda df: df.withColumn("tax_amount", F.coalesce(tax, F.lit(0))).withColumn("total_amount", F.round(F.col(subtotal) + F.col("tax_amount"), 2))
+
+    def run(df: DataFrame) -> DataFrame:
+        rate = F.lit(DEFAULT_TAX_RATE).cast("decimal(5,4)")
+        for name, value in rates.items():
+            rate = F.when(F.col(country) == name, F.lit(str(value)).cast("decimal(5,4)")).otherwise(rate)
+        tax = F.round(F.col(subtotal) * rate, 2)
+        return df.withColumn("tax_amount", F.coalesce(tax, F.lit(0))).withColumn("total_amount", F.round(F.col(subtotal) + F.col("tax_amount"), 2))
+
+    return run
 
 
 def add_discount(mode: str = "percent", subtotal: str = "subtotal", discount: str = "discount_percent") -> Operator:
     """discount_amount: a percentage of the subtotal, or with ``mode="amount"`` the column itself; 0 where unknown."""
     if mode not in ("percent", "amount"):
         raise ValueError(f"mode must be percent or amount, not {mode!r}")
-    value = F.round(F.col(subtotal) * F.col(discount) / 100, 2) if mode == "percent" else F.col(discount)
-    return lambda df: df.withColumn("discount_amount", F.coalesce(value, F.lit(0)))
+
+    def run(df: DataFrame) -> DataFrame:
+        value = F.round(F.col(subtotal) * F.col(discount) / 100, 2) if mode == "percent" else F.col(discount)
+        return df.withColumn("discount_amount", F.coalesce(value, F.lit(0)))
+
+    return run
 
 
 def payment_status(status: str = "order_status") -> Operator:
