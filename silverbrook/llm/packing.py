@@ -7,15 +7,18 @@ inside long runs without either, every few tokens (a larger one).  With f(j) the
     f(j) = penalty(j) + min over i of f(i) + padding(p(j) - p(i)) + a constant for each window,
 
 and as padding is ``LENGTH`` minus the window's size, the minimum over the last ``LENGTH`` tokens is a sliding minimum
-of f(i) + p(i), kept in a monotone queue.  Windows whose size is a power of two aren't padded; those transitions are
-looked up by position.  No data is shuffled and a task holds a bounded stretch of its stream.
+of f(i) + p(i), kept in a monotone queue.  Windows whose size is a power of two aren't padded; half a window is
+tried everywhere, smaller powers at the end of a stream.  No data is shuffled and a task holds a bounded stretch of its stream.
 """
 
 from __future__ import annotations
 
+import os
+import re
 import zlib
 from collections import deque
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -29,27 +32,40 @@ LENGTH, END = 2048, 1
 SENTENCE, ELSEWHERE, WINDOW = 12, 40, 16
 #: Inside runs without a sentence's end longer than GAP tokens a cut may stand every GAP tokens.
 GAP = 48
+#: Of the sentences that end in SPARSE tokens the first counts.
+SPARSE = 16
 #: Tokens of a stream that are laid out at once.
 STRETCH = 1 << 18
-CACHE_BYTES = 32 << 20
+CACHE_BYTES = 96 << 20
+_MARKS, _PLAIN = b".,!?;:", b"abcdefghijklmnopqrstuvwxyz0123456789"
+#: Words of small Latin letters, and the characters by which byte-level vocabularies name bytes: printable ones of
+#: Latin-1 themselves, the others by turns those from 256 on.
+_LETTERS = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+")
+_SHOWN = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+_BYTE_NAMES = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _SHOWN)}
 
 
 class WordIds(dict):
-    """Token ids by word.  The tokenizer drops white space and no token spans it, so a text's ids are those of its words
-    ``[^\\x20\\x09-\\x0D]+`` end to end; each distinct word is encoded once, until the cache is full."""
+    """Token ids by word.  The tokenizer lower-cases and drops white space, and no token spans it, so a text's ids are
+    those of its words ``[^\\x20\\x09-\\x0D]+`` end to end; each distinct word is encoded once, until the cache is full.
+    A mark after an ASCII letter or digit is a token run of its own, so ``word,`` has the ids of ``word`` and of ``,``."""
 
     def __init__(self, path: str):
         super().__init__()
         from tokenizers import Tokenizer
 
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # tasks are the parallelism
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        self.model = self.tokenizer.model
         self.reset()
 
     def reset(self) -> None:
         self.clear()
-        self.new: list[bytes] = []
         self.bytes = 0
+        self.new: list[bytes] = []
+        self.new_at: list[int] = []
+        self.pairs: list[tuple[int, int, int]] = []
         self.ids = np.zeros(0, np.uint32)
         self.start = np.zeros(0, np.int64)
         self.size = np.zeros(0, np.int64)
@@ -57,21 +73,45 @@ class WordIds(dict):
 
     def __missing__(self, word: bytes) -> int:
         at = self[word] = len(self)
-        self.new.append(word)
         self.bytes += len(word) + 100
+        if len(word) > 1 and word[-1] in _MARKS and word[-2] in _PLAIN:
+            self.pairs.append((at, self[word[:-1]], self[word[-1:]]))
+        else:
+            self.new.append(word)
+            self.new_at.append(at)
         return at
 
+    def _place(self, at: np.ndarray, ids: np.ndarray, size: np.ndarray) -> None:
+        self.start[at] = len(self.ids) + np.cumsum(size) - size
+        self.size[at] = size
+        self.ids = np.concatenate([self.ids, ids])
+
     def learn(self) -> None:
-        if not self.new:
+        more = len(self) - len(self.start)
+        if not more:
             return
-        found = [x.ids for x in self.tokenizer.encode_batch([w.decode() for w in self.new], add_special_tokens=False)]
-        size = np.array([len(x) for x in found])
-        ids = np.concatenate([np.array(x, np.uint32) for x in found])
-        self.start = np.concatenate([self.start, len(self.ids) + np.cumsum(size) - size])
-        self.size = np.concatenate([self.size, size])
-        self.ids = np.concatenate([self.ids, ids])
-        self.ends = np.concatenate([self.ends, np.array([w[-1:] in b".!?" or w.endswith("。".encode()) for w in self.new])])
-        self.new = []
+        self.start, self.size = (np.concatenate([x, np.zeros(more, np.int64)]) for x in (self.start, self.size))
+        self.ends = np.concatenate([self.ends, np.zeros(more, bool)])
+        found, rest, one = [], [], self.model.tokenize
+        for i, w in enumerate(self.new):
+            if _LETTERS.fullmatch(w):
+                # neither the normaliser nor the splitting into runs does anything to these
+                found.append([t.id for t in one(w.decode("latin-1").translate(_BYTE_NAMES))])
+            else:
+                found.append(None)
+                rest.append(i)
+        for i, x in zip(rest, self.tokenizer.encode_batch_fast([self.new[i].decode() for i in rest], add_special_tokens=False), strict=True):
+            found[i] = x.ids
+        if found:
+            self._place(np.array(self.new_at), np.fromiter(chain.from_iterable(found), np.uint32), np.array(list(map(len, found))))
+        self.ends[self.new_at] = [w[-1] in b".!?" for w in self.new]
+        if self.pairs:
+            at, word, mark = np.array(self.pairs).T
+            # the two parts of each pair by turns
+            both = np.stack([word, mark], 1).ravel()
+            self._place(at, self.ids[_flat(self.start[both], self.size[both])], self.size[word] + self.size[mark])
+            self.ends[at] = self.ends[mark]
+        self.new, self.new_at, self.pairs = [], [], []
 
     def encode(self, data: bytes, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(ids of all texts, each followed by the end token; tokens of each text; where sentences end)."""
@@ -81,7 +121,7 @@ class WordIds(dict):
         counts, get = [], self.__getitem__
         for i, j in zip(offsets[:-1], offsets[1:], strict=True):
             had = len(words)
-            words.extend(map(get, data[i:j].split()))
+            words.extend(map(get, data[i:j].lower().split()))
             counts.append(len(words) - had)
         self.learn()
         texts = len(counts)
@@ -104,7 +144,8 @@ def _flat(start: np.ndarray, size: np.ndarray) -> np.ndarray:
 
 def cut_places(length: int, documents: np.ndarray, sentences: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(positions, penalties) of the cuts allowed in a stream, 0 and its end among them."""
-    soft = np.unique(np.concatenate([[0], documents, sentences]))
+    # one sentence's end in every few tokens is choice enough
+    soft = np.unique(np.concatenate([[0], documents, sentences[np.unique(sentences // SPARSE, return_index=True)[1]]]))
     gap = np.diff(soft)
     wide = np.flatnonzero(gap > GAP)
     steps = (gap[wide] - 1) // GAP
@@ -121,17 +162,16 @@ def lay_out(at: list[int], cost: list[int], limit: int = LENGTH) -> list[int]:
     """The cheapest windows: their ends, as positions.  ``at`` must hold a place in every ``limit`` tokens."""
     best, back, key, queue = [0], [0], [0], deque([0])
     place = {0: 0}
-    halves = [limit >> s for s in (1, 2, 3)]
+    half = limit >> 1
     for j in range(1, len(at)):
         p = at[j]
         while at[queue[0]] < p - limit:
             queue.popleft()
         i = queue[0]
         least, origin = key[i] + limit - p, i
-        for h in halves:
-            i = place.get(p - h)
-            if i is not None and best[i] < least:
-                least, origin = best[i], i
+        i = place.get(p - half)
+        if i is not None and best[i] < least:
+            least, origin = best[i], i
         least += cost[j] + WINDOW
         best.append(least)
         back.append(origin)
