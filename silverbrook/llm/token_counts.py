@@ -13,6 +13,7 @@ taken from its rank by Zipf's law, which is the model's fixed prior.
 from __future__ import annotations
 
 import math
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,7 +27,7 @@ SHIFT, BYTE_SCORE = 2.7, -14.0
 #: A word begins with this mark, as in the vocabulary.
 MARK = "▁"
 #: Nodes and words of a trie before it is begun anew.
-MOST_NODES, MOST_WORDS = 400_000, 400_000
+MOST_NODES, MOST_WORDS = 1_600_000, 700_000
 
 
 def zipf_scores(pieces: list[str]) -> dict[str, float]:
@@ -43,68 +44,86 @@ def vocabulary(path: str) -> dict[str, float]:
     return zipf_scores([model.id_to_piece(i) for i in range(model.get_piece_size()) if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i) or model.is_unused(i))])
 
 
-class Trie:
-    """Forward scores of prefixes.  ``count`` and ``score`` of a node are those of the best segmentation of its prefix;
-    of segmentations with one score the one with the shortest last piece counts."""
+class Trie(dict):
+    """Forward scores of prefixes; as a mapping, the node at which a word ends.  ``count`` and ``score`` of a node are
+    those of the best segmentation of its prefix; of segmentations with one score the one with the shortest last piece
+    counts."""
 
     def __init__(self, scores: dict[str, float]):
+        super().__init__()
         self.scores = scores
-        self.longest = max(map(len, scores), default=1)
+        # the pieces from their ends: (node, code of the character before) in one number, and the piece a node spells
+        self.before: dict[int, int] = {}
+        self.spells: list[float | None] = [None]
+        for piece, value in scores.items():
+            node = 0
+            for char in reversed(piece):
+                name = node << 21 | ord(char)
+                node = self.before.get(name, 0)
+                if not node:
+                    node = self.before[name] = len(self.spells)
+                    self.spells.append(None)
+            self.spells[node] = value
         self.reset()
 
     def reset(self) -> None:
-        self.child: dict[tuple[int, str], int] = {}
-        self.score, self.count = [0.0], [0]
-        self.words: dict[bytes, tuple[int, float]] = {}
+        self.clear()
+        #: The child of a node by (node, character) in one number.
+        self.child: dict[int, int] = {}
+        self.score, self.count = array("d", [0.0]), array("q", [0])
         self.add(MARK)
 
     def add(self, word: str) -> int:
         """The node of a word; what is new of its path is scored."""
-        child, node, path = self.child, 0, [0]
-        get = self.scores.get
-        for depth, char in enumerate(word, 1):
-            name = (node, char)
-            found = child.get(name)
+        child, node, path, score = self.child, 0, [0], self.score
+        depth = 0
+        for depth, char in enumerate(word, 1):  # as far as the trie knows it
+            found = child.get(node << 21 | ord(char))
             if found is None:
-                best, tokens = -math.inf, 0
-                for begin in range(depth - 1, max(-1, depth - 1 - self.longest), -1):
-                    piece = get(word[begin:depth])
-                    if piece is not None:
-                        total = self.score[path[begin]] + piece
-                        if total > best:
-                            best, tokens = total, self.count[path[begin]] + 1
-                if best == -math.inf or get(char) is None:
-                    size = len(char.encode("utf-8", "surrogatepass"))
-                    total = self.score[node] + BYTE_SCORE * size
-                    if total > best:
-                        best, tokens = total, self.count[node] + size
-                found = child[name] = len(self.score)
-                self.score.append(best)
-                self.count.append(tokens)
+                depth -= 1
+                break
             node = found
             path.append(node)
+        codes, before, spells = [*map(ord, word)], self.before.get, self.spells
+        for depth in range(depth + 1, len(word) + 1):
+            char, best, tokens, ending = word[depth - 1], -math.inf, 0, 0
+            for begin in range(depth - 1, -1, -1):
+                ending = before(ending << 21 | codes[begin])
+                if ending is None:  # no piece ends like this
+                    break
+                piece = spells[ending]
+                if piece is not None:
+                    total = score[path[begin]] + piece
+                    if total > best:
+                        best, tokens = total, self.count[path[begin]] + 1
+            if char not in self.scores:
+                size = len(char.encode("utf-8", "surrogatepass"))
+                total = score[node] + BYTE_SCORE * size
+                if total > best:
+                    best, tokens = total, self.count[node] + size
+            child[node << 21 | ord(char)] = node = len(score)
+            score.append(best)
+            self.count.append(tokens)
+            path.append(node)
         return node
 
-    def word(self, raw: bytes) -> tuple[int, float]:
-        known = self.words.get(raw)
-        if known is None:
-            node = self.add(MARK + raw.decode("utf-8", "replace"))
-            known = self.words[raw] = (self.count[node], self.score[node])
-        return known
+    def __missing__(self, raw: bytes) -> int:
+        node = self[raw] = self.add(MARK + raw.decode("utf-8", "replace"))
+        return node
 
-    def texts(self, memory: bytes, offsets: np.ndarray) -> tuple[list[int], list[int], list[float]]:
+    def texts(self, memory: bytes, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(words, tokens, score) of each text."""
-        if len(self.score) > MOST_NODES or len(self.words) > MOST_WORDS:
+        if len(self.score) > MOST_NODES or len(self) > MOST_WORDS:
             self.reset()
-        words, tokens, scores = [], [], []
-        word = self.word
-        known = self.words
+        nodes: list[int] = []
+        ends, word = [0], self.__getitem__
         for i, j in zip(offsets[:-1], offsets[1:], strict=True):
-            found = [known.get(x) or word(x) for x in memory[i:j].split()]
-            words.append(len(found))
-            tokens.append(sum([x for x, _ in found]))
-            scores.append(math.fsum([x for _, x in found]))
-        return words, tokens, scores
+            nodes.extend(map(word, memory[i:j].split()))
+            ends.append(len(nodes))
+        at = np.array(nodes, np.int64)
+        text = np.repeat(np.arange(len(ends) - 1), np.diff(ends))
+        tokens = np.bincount(text, np.array(self.count)[at], len(ends) - 1).astype(np.int64)
+        return np.diff(ends), tokens, np.bincount(text, np.array(self.score)[at], len(ends) - 1).astype(np.float64)
 
 
 _known: dict[str, Trie] = {}
@@ -118,7 +137,7 @@ def _run(path: str):
         for part in wa.slices(batches, "text", 1 << 20):
             data, offsets = wa.raw(part.column("text"))
             words, tokens, scores = trie.texts(data.tobytes(), offsets)
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(words, pa.int64()), pa.array(tokens, pa.int64()), pa.array(scores, pa.float64())], ["doc_id", "n_words", "n_tokens", "log_score"])
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(words), pa.array(tokens), pa.array(scores)], ["doc_id", "n_words", "n_tokens", "log_score"])
 
     return run
 

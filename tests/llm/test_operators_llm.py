@@ -226,7 +226,9 @@ def test_tile_links_bound_loses_nothing():
     assert exact and classes(links) == classes(exact)
 
 
-def test_components(spark):
+@pytest.mark.parametrize("hub", [1000, 5])
+def test_components(spark, hub, monkeypatch):
+    monkeypatch.setattr("silverbrook.llm.components.HUB_EDGES", hub)
     rng = random.Random(3)
     edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(220)] + [(1000, i) for i in range(1001, 1200)] + [(i, i + 1) for i in range(2000, 2100)] + [(None, 5)]
     top = {}
