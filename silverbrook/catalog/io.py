@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from silverbrook.catalog.tables import Entry, Tables
 from silverbrook.sources import files as S
-from silverbrook.sources.jdbc import Jdbc
+from silverbrook.sources.jdbc import Jdbc, upsert_sql
 from silverbrook.sources.scratch import scratch
 from silverbrook.sources.snapshots import SnapshotTable, When
 from silverbrook.streaming.kafka import decode, shape, start
@@ -115,6 +115,30 @@ def _stream(t: Tables) -> DataFrame:
     return t.spark.read.schema(f"key string, {_EVENT}").parquet(f"{folder}/out")
 
 
+def _modes(t: Tables) -> DataFrame:
+    """Two appends after an overwrite, and a write that is ignored."""
+    path = scratch(t.spark, "modes")
+    sink = S.ParquetSink(path)
+    for mode, rows in (("append", t.nation), ("overwrite", t.nation.where("n_regionkey = 0")), ("append", t.nation.where("n_regionkey = 1")), ("ignore", t.nation)):
+        sink.with_options(mode=mode).write(rows)
+    return t.spark.read.parquet(path)
+
+
+def _json_partitioned(t: Tables) -> DataFrame:
+    path = S.JsonSink(scratch(t.spark, "jsonp"), partition_by=("o_orderstatus",), compression="gzip").write(t.orders.select("o_orderkey", "o_orderstatus"))
+    return S.Json(path, "o_orderkey long, o_orderstatus string").read(t.spark)
+
+
+def _upsert(t: Tables) -> DataFrame:
+    """Derby has MERGE; the table and its staging table are made by Spark under small quoted names."""
+    db = _database(t)
+    rows = t.region.select(F.col("r_regionkey").alias("k"), F.col("r_name").alias("v"))
+    db.write(rows, "target", "overwrite")
+    db.write(rows.select((F.col("k") + 3).alias("k"), F.lit("new").alias("v")), "staging", "overwrite")
+    db.execute(t.spark, upsert_sql("target", "staging", ['"k"', '"v"'], ['"k"'], dialect="merge"))
+    return db.read(t.spark, "target").toDF("k", "v")
+
+
 _EVEN = "SELECT o_orderkey, o_orderstatus, o_totalprice AS price FROM orders WHERE o_orderkey % 2 = 0"
 
 ENTRIES: dict[str, Entry] = {
@@ -122,6 +146,11 @@ ENTRIES: dict[str, Entry] = {
     "S3_csv_preview": (lambda t: S.Csv(S.write_csv(t.nation, scratch(t.spark, "csv")), "n_nationkey int, n_name string, n_regionkey int").preview(t.spark, 100), "SELECT * FROM nation"),
     "S4_W3_csv_partitioned": (_csv_partitioned, "SELECT c_custkey, c_mktsegment FROM customer"),
     "S5_W4_json": (_json, "SELECT * FROM customer"),
+    "S6_json_preview": (lambda t: S.Json(S.write_json(t.region, scratch(t.spark, "jsonv")), "r_regionkey int, r_name string").preview(t.spark, 10), "SELECT * FROM region"),
+    "S8_json_options": (lambda t: S.Json().with_options(path=S.write_json(t.region, scratch(t.spark, "jsono")), primitives_as_string=True).read(t.spark).select("r_regionkey", "r_name"), "SELECT CAST(r_regionkey AS VARCHAR) AS r_regionkey, r_name FROM region"),
+    "W1_write_modes": (_modes, "SELECT * FROM nation WHERE n_regionkey IN (0, 1)"),
+    "W5_json_partitioned": (_json_partitioned, "SELECT o_orderkey, o_orderstatus FROM orders"),
+    "W15_jdbc_upsert": (_upsert, "SELECT r_regionkey AS k, CASE WHEN r_regionkey >= 3 THEN 'new' ELSE r_name END AS v FROM region UNION ALL SELECT CAST(r_regionkey + 3 AS INTEGER), 'new' FROM region WHERE r_regionkey >= 2"),
     "S7_W6_nested_json": (_nested, "SELECT o_orderkey, o_orderstatus AS state_o_orderstatus, c_custkey AS who_c_custkey, c_name AS who_c_name FROM orders JOIN customer ON o_custkey = c_custkey"),
     "S9_json_documents": (lambda t: S.read_json_documents(t.spark, S.write_json(t.region, scratch(t.spark, "doc"), files=5), "r_regionkey int, r_name string"), "SELECT * FROM region"),
     "S10_W8_parquet": (_parquet, "SELECT * FROM part"),

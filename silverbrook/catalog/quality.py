@@ -63,6 +63,14 @@ ENTRIES: dict[str, Entry] = {
         lambda t: t.spark.createDataFrame([(",".join(d.missing), ",".join(d.extra), ",".join(d.types), d.valid) for d in [schema_diff(t.region, StructType([StructField("r_regionkey", LongType()), StructField("r_comment", StringType())]))]], "missing string, extra string, types string, valid boolean"),
         "SELECT 'r_comment' AS missing, 'r_name' AS extra, 'r_regionkey' AS types, false AS valid",
     ),
+    "Q10_Q20_suite": (
+        lambda t: t.spark.createDataFrame([(r.suite, r.success, round(r.success_rate, 6), len(r.failures())) for r in [run_expectations(_holes(t), [{"expectation_type": "expect_column_values_to_not_be_null", "kwargs": {"column": c}} for c in ("c_custkey", "c_acctbal", "seg")], "customers")]], "suite string, success boolean, rate double, failures long"),
+        f"SELECT 'customers' AS suite, count(seg) = count(*) AS success, CASE WHEN count(seg) = count(*) THEN 1.0 ELSE 0.666667 END::DOUBLE AS rate, (count(seg) < count(*))::BIGINT AS failures FROM {_HOLES}",
+    ),
+    "Q21_report_score": (
+        lambda t: t.spark.createDataFrame([(s["all_passed"], round(s["score"], 6)) for s in [summary(R.evaluate(_holes(t), R.completeness(["c_custkey", "seg"])))]], "all_passed boolean, score double"),
+        f"SELECT count(seg) >= 0.95 * count(*) AS all_passed, round((1 + count(seg) / count(*)) / 2, 6) AS score FROM {_HOLES}",
+    ),
     "Q11_column_exists": (_expect("expect_column_to_exist", column="absent"), None),
     "Q12_expect_not_null": (_expect("expect_column_values_to_not_be_null", column="seg", mostly=0.7), _expect_sql("expect_column_values_to_not_be_null", "count(seg)", 0.7)),
     "Q13_expect_unique": (_expect("expect_column_values_to_be_unique", column="c_custkey"), _expect_sql("expect_column_values_to_be_unique", "count(DISTINCT c_custkey)")),

@@ -7,6 +7,9 @@ from pyspark.sql import DataFrame, functions as F
 from silverbrook.catalog.tables import SALES_SQL, Entry, Tables, mean_sql, money_sql, plain, sales_customers, sales_orders, sales_products
 from silverbrook.plans.pipeline import Pipeline
 from silverbrook.sales import gold, silver
+from silverbrook.sales.jobs import clean_customers, gold_job, transform_orders
+from silverbrook.sources.scratch import scratch
+from silverbrook.sources.snapshots import SnapshotTable
 
 RATES = {"FRANCE": "0.20", "UNITED STATES": "0.10", "GERMANY": "0.19"}
 TIES = ["order_id", "line", "product_id", "supplier_id", "subtotal", "delivery_date", "quantity", "discount_percent"]
@@ -51,6 +54,33 @@ def _rfm(t: Tables) -> DataFrame:
 
 _DAY = "CAST(order_date AS DATE)"
 
+def _customers(t: Tables) -> DataFrame:
+    """Raw customers as they come from files, cleaned: padded names, mixed flags, two rows a customer."""
+    raw = t.customer.select(
+        F.col("c_custkey").cast("string").alias("customer_id"),
+        F.concat(F.lit(" "), "c_name", F.lit("@MAIL.com ")).alias("email"),
+        F.lit("Ann").alias("first_name"),
+        F.col("c_mktsegment").alias("last_name"),
+        F.when(F.col("c_custkey") % 2 == 0, "oui").otherwise("N").alias("is_active"),
+        F.when(F.col("c_custkey") % 3 == 0, "Femme").otherwise("?").alias("gender"),
+    )
+    both = raw.withColumn("registration_date", F.lit("2020-01-31")).unionByName(raw.withColumns({"registration_date": F.lit("2021-01-31 10:00:00"), "last_name": F.lit("Lee")}))
+    return both.transform(clean_customers()).select("customer_id", "email", "full_name", "is_active", "gender")
+
+
+def _through_job(t: Tables, table: str) -> DataFrame:
+    """A gold table written by its job and read back."""
+    folder = scratch(t.spark, "gold")
+    SnapshotTable(t.spark, f"{folder}/silver").write(enriched(t))
+    gold_job(f"{folder}/silver", folder, [table]).run(t.spark)
+    return SnapshotTable(t.spark, f"{folder}/{table}").read()
+
+
+def _orders(t: Tables) -> DataFrame:
+    raw = t.orders.select(F.col("o_orderkey").cast("string").alias("order_id"), F.lit(2).alias("quantity"), F.round(F.col("o_totalprice") * 100).cast("long").cast("decimal(12,0)").alias("unit_price"), F.when(F.col("o_orderkey") % 2 == 0, 50).cast("decimal(5,2)").alias("discount"), F.concat(F.lit(" "), "o_orderpriority").alias("status"))
+    return plain(raw.unionByName(raw).transform(transform_orders()).select("order_id", "total_amount", "status"))
+
+
 ENTRIES: dict[str, Entry] = {
     "B1_order_enrichment": (
         lambda t: plain(sales_orders(t).transform(silver.enrich_orders(sales_customers(t), sales_products(t))).select(*_KEYS, "customer_name", "customer_segment", "customer_country", "is_vip_customer", "product_name", "product_category", "product_brand", "product_price")),
@@ -187,6 +217,18 @@ ENTRIES: dict[str, Entry] = {
         lambda t: plain(gold.status_summary()(sales_orders(t).withColumnRenamed("order_status", "status"))),
         _sql(f"SELECT order_status AS status, count(*) AS orders, CAST(sum(quantity) AS BIGINT) AS total_quantity, {money_sql('sum(quantity * unit_c)')} AS total_value FROM sales GROUP BY 1"),
     ),
+    "K3_clean_customers": (
+        _customers,
+        "SELECT CAST(c_custkey AS VARCHAR) AS customer_id, lower(c_name) || '@mail.com' AS email, 'Ann Lee' AS full_name, c_custkey % 2 = 0 AS is_active, CASE WHEN c_custkey % 3 = 0 THEN 'F' ELSE 'U' END AS gender FROM customer",
+    ),
+    "K4_transform_orders": (
+        _orders,
+        "SELECT CAST(o_orderkey AS VARCHAR) AS order_id, CAST(round(o_totalprice * 100) AS DOUBLE) * CASE WHEN o_orderkey % 2 = 0 THEN 1 ELSE 2 END AS total_amount, lower(o_orderpriority) AS status FROM orders",
+    ),
+    "K6_K7_gold_job": (
+        lambda t: plain(_through_job(t, "sales_kpis").select("sale_date", "total_orders", "total_revenue")),
+        _sql(f"SELECT {_DAY} AS sale_date, count(order_id) AS total_orders, {money_sql('sum(total_c)')} AS total_revenue FROM enriched GROUP BY 1"),
+    ),
     "K5_enriched_orders": (
         lambda t: plain(enriched(t).select(*_KEYS, "customer_segment", "total_amount", "margin_percent", "is_high_value_order", "is_repeat_order", "days_to_delivery", "payment_status")),
         _sql(f"SELECT {_LINE}, customer_segment, {money_sql('total_c')} AS total_amount, {money_sql('margin_c')} AS margin_percent, is_high_value_order, CASE WHEN customer_order_number > 1 THEN 'Y' ELSE 'N' END AS is_repeat_order, CAST(date_diff('day', CAST(order_date AS DATE), CAST(delivery_date AS DATE)) AS INTEGER) AS days_to_delivery, CASE order_status WHEN 'delivered' THEN 'completed' ELSE order_status END AS payment_status FROM enriched"),
