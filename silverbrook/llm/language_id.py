@@ -27,7 +27,8 @@ from silverbrook.llm.storage import cut
 FIT_ROWS, SLOTS, TEMPER = 4000, 1 << 15, 0.2
 #: Weights of the suffix's and of the whole table's distribution, as rows.
 HOST_PULL, SUFFIX_PULL, DECLARED_PULL = 8.0, 8.0, 4.0
-#: Trigrams on which a text is judged by the flat model: it costs this much more each than a fair text.
+#: Part of the flat model in each language's, so that odd trigrams alone don't make a text unknown.
+FLAT = 0.2
 UNKNOWN = "und"
 
 _FOLD = np.arange(256, dtype=np.uint8)
@@ -109,7 +110,7 @@ def fit(labelled: DataFrame, rows: int = FIT_ROWS) -> Model:
     total = total.reshape(len(languages), SLOTS)
     pooled = (total.sum(0) + 0.01) / (total.sum() + 0.01 * SLOTS)
     smooth = total + 200.0 * pooled
-    logs = np.log(smooth / smooth.sum(1, keepdims=True))
+    logs = np.log((1 - FLAT) * smooth / smooth.sum(1, keepdims=True) + FLAT / SLOTS)
     return Model(languages, np.vstack([logs, np.full(SLOTS, -math.log(SLOTS))]).astype(np.float32))
 
 
@@ -129,10 +130,11 @@ def _suffix(host: Column) -> Column:
     return F.element_at(F.split(host, r"\."), -1)
 
 
-def _softmax(logs: Column) -> Column:
-    top = F.array_max(logs)
-    raised = F.transform(logs, lambda x: F.exp(x - top))
-    return F.transform(raised, lambda x: x / F.aggregate(raised, F.lit(0.0), lambda a, y: a + y))
+def _with_softmax(df: DataFrame, logs: str, out: str) -> DataFrame:
+    """Add the normalised exponentials of an array column; the steps are columns, so that each is evaluated once."""
+    df = df.withColumn("_raised", F.transform(logs, lambda x: F.exp(x - F.array_max(logs))))
+    df = df.withColumn("_all", F.aggregate("_raised", F.lit(0.0), lambda a, y: a + y))
+    return df.withColumn(out, F.transform("_raised", lambda x: x / F.col("_all"))).drop("_raised", "_all")
 
 
 def identify(rows: DataFrame, model: Model, markup: bool = False) -> DataFrame:
@@ -147,7 +149,7 @@ def identify(rows: DataFrame, model: Model, markup: bool = False) -> DataFrame:
     kept = rows.select("id", "text", F.lower("declared").alias("declared"), F.lower("host").alias("host"))
     kind = dict(kept.dtypes)["id"]
     scored = cut(kept.mapInArrow(_scores(model, markup, ["id", "declared", "host"]), f"id {kind}, declared string, host string, loglik array<double>, trigrams long"), "likelihoods")
-    post = scored.withColumn("text_post", _softmax(F.col("loglik"))).withColumn("host_key", F.coalesce("host", F.lit("")))
+    post = _with_softmax(scored, "loglik", "text_post").withColumn("host_key", F.coalesce("host", F.lit("")))
     sums = lambda source: [F.sum(source(i)).alias(f"c{i}") for i in range(width)]
     # a text without trigrams says nothing of its host
     share = lambda i: F.when(F.col("trigrams") > 0, F.col("text_post")[i]).otherwise(0.0)
@@ -182,7 +184,7 @@ def identify(rows: DataFrame, model: Model, markup: bool = False) -> DataFrame:
         + F.log((F.get("others", i) + HOST_PULL * F.get("p_suffix", i)) / (F.col("n_others") + HOST_PULL))
         + F.coalesce(F.log(F.get("p_said", i)), F.lit(0.0)),
     )
-    joined = joined.withColumn("post", _softmax(fused))
+    joined = _with_softmax(joined.withColumn("fused", fused), "fused", "post")
     label = F.array(*map(F.lit, names))
     best = lambda c: F.element_at(label, F.array_position(c, F.array_max(c)).cast("int"))
     blind = (F.col("trigrams") == 0) & F.col("declared").isNull() & F.col("host").isNull()
