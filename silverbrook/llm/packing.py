@@ -36,8 +36,9 @@ GAP = 48
 SPARSE = 16
 #: Tokens of a stream that are laid out at once.
 STRETCH = 1 << 18
-CACHE_BYTES = 96 << 20
-_MARKS, _PLAIN = b".,!?;:", b"abcdefghijklmnopqrstuvwxyz0123456789"
+CACHE_WORDS = 1_500_000
+_MARKS, _PLAIN, _STOPS = b".,!?;:", b"abcdefghijklmnopqrstuvwxyz0123456789", b".!?"
+_IS_PLAIN, _IS_STOP = (np.isin(np.arange(256), list(x)) for x in (_PLAIN, _STOPS))
 #: Words of small Latin letters, and the characters by which byte-level vocabularies name bytes: printable ones of
 #: Latin-1 themselves, the others by turns those from 256 on.
 _LETTERS = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+")
@@ -45,96 +46,94 @@ _SHOWN = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174
 _BYTE_NAMES = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _SHOWN)}
 
 
-class WordIds(dict):
+class WordIds:
     """Token ids by word.  The tokenizer lower-cases and drops white space, and no token spans it, so a text's ids are
     those of its words ``[^\\x20\\x09-\\x0D]+`` end to end; each distinct word is encoded once, until the cache is full.
-    A mark after an ASCII letter or digit is a token run of its own, so ``word,`` has the ids of ``word`` and of ``,``."""
+    A mark after an ASCII letter or digit is a token run of its own, so ``word,`` has the ids of ``word`` and of ``,``.
+    Words are known by two 64-bit hashes, sorted by the first: some 40 bytes a word."""
 
     def __init__(self, path: str):
-        super().__init__()
         from tokenizers import Tokenizer
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # tasks are the parallelism
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.model = self.tokenizer.model
+        marks = self._encode([bytes([m]) for m in _MARKS])
+        self.fixed = np.array([END, *chain.from_iterable(marks)], np.uint32)
+        size = np.array([len(x) for x in marks])
+        self.mark_start, self.mark_size = np.zeros(256, np.int64), np.zeros(256, np.int64)
+        self.mark_start[list(_MARKS)], self.mark_size[list(_MARKS)] = 1 + np.cumsum(size) - size, size
         self.reset()
 
     def reset(self) -> None:
-        self.clear()
-        self.bytes = 0
-        self.new: list[bytes] = []
-        self.new_at: list[int] = []
-        self.pairs: list[tuple[int, int, int]] = []
-        self.ids = np.zeros(0, np.uint32)
-        self.start = np.zeros(0, np.int64)
-        self.size = np.zeros(0, np.int64)
-        self.ends = np.zeros(0, bool)
-
-    def __missing__(self, word: bytes) -> int:
-        at = self[word] = len(self)
-        self.bytes += len(word) + 100
-        if len(word) > 1 and word[-1] in _MARKS and word[-2] in _PLAIN:
-            self.pairs.append((at, self[word[:-1]], self[word[-1:]]))
-        else:
-            self.new.append(word)
-            self.new_at.append(at)
-        return at
-
-    def _place(self, at: np.ndarray, ids: np.ndarray, size: np.ndarray) -> None:
-        self.start[at] = len(self.ids) + np.cumsum(size) - size
-        self.size[at] = size
-        self.ids = np.concatenate([self.ids, ids])
-
-    def learn(self) -> None:
-        more = len(self) - len(self.start)
-        if not more:
-            return
-        self.start, self.size = (np.concatenate([x, np.zeros(more, np.int64)]) for x in (self.start, self.size))
-        self.ends = np.concatenate([self.ends, np.zeros(more, bool)])
+        self.key, self.check = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+        self.start, self.size = np.zeros(0, np.int64), np.zeros(0, np.int32)
+        self.ids = self.fixed
+
+    def _encode(self, words: list[bytes]) -> list[list[int]]:
         found, rest, one = [], [], self.model.tokenize
-        for i, w in enumerate(self.new):
-            if _LETTERS.fullmatch(w):
-                # neither the normaliser nor the splitting into runs does anything to these
+        for i, w in enumerate(words):
+            # neither the normaliser nor the splitting into runs does anything to small Latin letters
+            if w.isalpha():  # ASCII alone
+                found.append([t.id for t in one(w.decode())])
+            elif _LETTERS.fullmatch(w):
                 found.append([t.id for t in one(w.decode("latin-1").translate(_BYTE_NAMES))])
             else:
                 found.append(None)
                 rest.append(i)
-        for i, x in zip(rest, self.tokenizer.encode_batch_fast([self.new[i].decode() for i in rest], add_special_tokens=False), strict=True):
+        for i, x in zip(rest, self.tokenizer.encode_batch_fast([words[i].decode() for i in rest], add_special_tokens=False), strict=True):
             found[i] = x.ids
-        if found:
-            self._place(np.array(self.new_at), np.fromiter(chain.from_iterable(found), np.uint32), np.array(list(map(len, found))))
-        self.ends[self.new_at] = [w[-1] in b".!?" for w in self.new]
-        if self.pairs:
-            at, word, mark = np.array(self.pairs).T
-            # the two parts of each pair by turns
-            both = np.stack([word, mark], 1).ravel()
-            self._place(at, self.ids[_flat(self.start[both], self.size[both])], self.size[word] + self.size[mark])
-            self.ends[at] = self.ends[mark]
-        self.new, self.new_at, self.pairs = [], [], []
-
-    def encode(self, data: bytes, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        return found
+
+    def _look_up(self, words: wa.Words) -> tuple[np.ndarray, np.ndarray]:
+        """(start in ``ids``, size) of each word; new words are encoded."""
+        key, check = words.hashes(), words.hashes(0xC2B2AE3D27D4EB4F)
+        distinct, first, which = np.unique(key, return_index=True, return_inverse=True)
+        for i in np.flatnonzero(check != check[first][which]):  # two words with one hash: they stand for themselves
+            which[i] = len(first)
+            first = np.append(first, i)
+        at = np.minimum(np.searchsorted(self.key, key[first]), max(0, len(self.key) - 1))
+        known = (self.key[at] == key[first]) & (self.check[at] == check[first]) if len(self.key) else np.zeros(len(first), bool)
+        start, size = np.zeros(len(first), np.int64), np.zeros(len(first), np.int64)
+        start[known], size[known] = self.start[at[known]], self.size[at[known]]
+        new = np.flatnonzero(~known)
+        if len(new):
+            memory, n = words.data.tobytes(), first[new]
+            found = self._encode([memory[i:j] for i, j in zip(words.start[n].tolist(), words.end[n].tolist(), strict=True)])
+            size[new] = np.fromiter(map(len, found), np.int64, len(found))
+            start[new] = len(self.ids) + np.cumsum(size[new]) - size[new]
+            self.ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(found), np.uint32)])
+            new = new[new < len(distinct)]
+            place = np.searchsorted(self.key, key[first[new]])
+            free = np.ones(len(new), bool) if not len(self.key) else self.key[np.minimum(place, len(self.key) - 1)] != key[first[new]]
+            new, place = new[free], place[free]
+            self.key, self.check = np.insert(self.key, place, key[first[new]]), np.insert(self.check, place, check[first[new]])
+            self.start, self.size = np.insert(self.start, place, start[new]), np.insert(self.size, place, size[new])
+        return start[which], size[which]
+
+    def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(ids of all texts, each followed by the end token; tokens of each text; where sentences end)."""
-        if self.bytes > CACHE_BYTES:
+        if len(self.key) > CACHE_WORDS:
             self.reset()
-        words: list[int] = []
-        counts, get = [], self.__getitem__
-        for i, j in zip(offsets[:-1], offsets[1:], strict=True):
-            had = len(words)
-            words.extend(map(get, data[i:j].lower().split()))
-            counts.append(len(words) - had)
-        self.learn()
-        texts = len(counts)
-        # the end token is one more word of each text, known by the index after the last
-        which = np.array(words, np.int64)
-        ends_at = np.cumsum(counts)
-        which = np.insert(which, ends_at, len(self.size))
-        size = np.append(self.size, 1)[which]
-        ids = np.append(self.ids, np.uint32(END))[_flat(np.append(self.start, len(self.ids))[which], size)]
-        bounds = np.cumsum(size)
-        last = ends_at + np.arange(texts)
-        length = np.diff(np.concatenate([[0], bounds[last]]))
-        return ids, length, bounds[np.append(self.ends, False)[which] & (size > 0)]
+        words = wa.Words(column, lower=True)
+        last = words.data[words.end - 1]
+        marked = (words.end - words.start > 1) & (self.mark_size[last] > 0) & _IS_PLAIN[words.data[words.end - 2]]
+        words.end = words.end - marked
+        start, size = self._look_up(words)
+        texts = len(words.first) - 1
+        owner = np.repeat(np.arange(texts), np.diff(words.first))
+        # a text's units: its words, each with its mark, and the end token
+        units = np.concatenate([[0], np.cumsum(1 + marked)])
+        word_at, end_at = units[:-1] + owner, units[words.first[1:]] + np.arange(texts)
+        mark_at = word_at[marked] + 1
+        unit_start, unit_size = np.zeros(units[-1] + texts, np.int64), np.ones(units[-1] + texts, np.int64)
+        unit_start[word_at], unit_size[word_at] = start, size
+        unit_start[mark_at], unit_size[mark_at] = self.mark_start[last[marked]], self.mark_size[last[marked]]
+        ids = self.ids[_flat(unit_start, unit_size)]
+        bounds = np.cumsum(unit_size)
+        length = np.diff(np.concatenate([[0], bounds[end_at]]))
+        return ids, length, bounds[(word_at + marked)[_IS_STOP[last]]]
 
 
 def _flat(start: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -259,9 +258,8 @@ def _pack(path: str, keep_ids: bool):
         if words is None:
             words = _known[path] = WordIds(path)
         stream, some = _Stream(keep_ids), False
-        for part in wa.slices(batches, "text", 1 << 19):
-            data, offsets = wa.raw(part.column("text"))
-            stream.add(part.column("doc_id").to_pylist(), *words.encode(data.tobytes(), offsets))
+        for part in wa.slices(batches, "text"):
+            stream.add(part.column("doc_id").to_pylist(), *words.encode(part.column("text")))
             some = True
             if stream.tokens > STRETCH:
                 yield stream.flush(last=False)
