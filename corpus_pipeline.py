@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from silverbrook.llm import jaccard_join, language_id, mixing, packing, substring_dedup
 from silverbrook.llm.queries import tokenizer_path
-from silverbrook.llm.storage import cut
+from silverbrook.llm.storage import cut, let_workers_import
 
 #: Near duplicates of the pipeline share word 5-grams with a Jaccard index of 0.8 at least.
 NEAR_WORDS, NEAR_PERCENT = 5, 80
@@ -14,11 +14,13 @@ NEAR_WORDS, NEAR_PERCENT = 5, 80
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is identified go on, with that language."""
+    let_workers_import(spark)
     return language_id.accepted(docs)
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates the document with the smallest doc_id goes on."""
+    let_workers_import(spark)
     classes = jaccard_join.jaccard_classes(docs, n=NEAR_WORDS, percent=NEAR_PERCENT)
     stay = classes.where("doc_id = component_id or doc_id is null").select("doc_id").distinct()
     return docs.join(stay, docs["doc_id"].eqNullSafe(stay["doc_id"]), "left_semi")
@@ -26,16 +28,16 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages that an earlier document has are cut out; texts of which nothing is left go."""
-    judged = substring_dedup.remove_repeats(docs).where("n_removed > 0").groupBy("doc_id", F.xxhash64("text").alias("tag")).agg(F.min("kept").alias("kept"))
-    judged = judged.withColumnsRenamed({"doc_id": "_id", "tag": "_tag"})
-    joined = docs.join(judged, docs["doc_id"].eqNullSafe(judged["_id"]) & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("_tag")), "left")
-    text = F.coalesce("kept", "text")
-    out = joined.where("kept is null or kept <> ''").withColumn("new_text", text)
-    return out.select(*[{"text": F.col("new_text"), "n_chars": F.length("new_text").cast("long")}.get(c, F.col(c)).alias(c) for c in docs.columns])
+    let_workers_import(spark)
+    others = tuple(c for c in docs.columns if c not in ("doc_id", "text", "n_chars"))
+    out = substring_dedup.remove_repeats(docs, carry=others).where("kept is null or kept <> ''").withColumn("new", F.coalesce("kept", "text"))
+    made = {"doc_id": F.col("doc_id"), "text": F.col("new"), "n_chars": F.length("new").cast("long")}
+    return out.select(*[made.get(c, F.col(f"carried.`{c}`")).alias(c) for c in docs.columns])
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it: whole repetitions, and for one document of a source a part."""
+    let_workers_import(spark)
     taken = mixing.mix(docs.where("doc_id is not null")).groupBy("doc_id").agg(F.max("size").alias("size"), F.max("taken").alias("taken"))
     taken = taken.where("taken > 0").withColumnRenamed("doc_id", "_id")
     joined = docs.join(taken, docs["doc_id"] == taken["_id"])
@@ -49,6 +51,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents in sequences of 2048 tokens."""
+    let_workers_import(spark)
     return packing.pack(docs, tokenizer_path())
 
 

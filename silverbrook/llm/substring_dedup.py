@@ -1,7 +1,7 @@
 """Operator 8, substring dedup: super-k-mer partitioning of word windows.
 
-A window is ``WINDOW`` consecutive words of one document.  Its minimiser is the least of its word 4-grams in an order
-that puts common 4-grams last (by a count sketch of the whole corpus) and is random otherwise.  Consecutive windows with
+A window is ``WINDOW`` consecutive words of one document.  Its minimiser is the least of its word 3-grams in an order
+that puts common 3-grams last (by a count sketch of the whole corpus) and is random otherwise.  Consecutive windows with
 the same minimiser form a super-k-mer, which travels as one packed string to the bucket of that minimiser; all windows
 with equal words meet there.  In the bucket windows are sorted by hash, runs of equal hashes are compared byte by byte,
 and every window but the earliest of its run is marked.  The marks of a document come back as intervals of words.
@@ -24,10 +24,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 from silverbrook.llm import wordarrays as wa
 from silverbrook.llm.storage import partitions
 
-#: Words in a 4-gram of the minimiser order, and slots of the count sketch (fixed, whatever the input).
-GRAM, SLOTS = 4, 1 << 16
+#: Words in a 3-gram of the minimiser order, and slots of the count sketch (fixed, whatever the input).
+GRAM, SLOTS = 3, 1 << 16
 #: Text bytes that one bucket and one slice are meant for.
-BUCKET_BYTES, SLICE = 4 << 20, 4 << 20
+BUCKET_BYTES, SLICE = 3 << 20, 4 << 20
 _LOWEST = -(1 << 63)
 
 
@@ -35,10 +35,12 @@ def _text(column: str = "text") -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
-    """doc_id (null: the lowest), a check sum of the text and the text: the first two name a document."""
+def _keyed(docs: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id (null: the lowest), a check sum of the text and the text: the first two name a document.  Columns to carry
+    along stand in a struct."""
     text = _text()
-    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_LOWEST)).alias("doc_id"), F.crc32(text.cast("binary")).alias("tag"), text.alias("text"))
+    more = [F.struct(*carry).alias("carried")] if carry else []
+    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_LOWEST)).alias("doc_id"), F.crc32(text.cast("binary")).alias("tag"), text.alias("text"), *more)
 
 
 def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -53,7 +55,7 @@ def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def common_classes(docs: DataFrame) -> np.ndarray:
-    """A rank for each slot of the sketch: 0 for ordinary 4-grams, more the more often those of a slot occur.  Only the
+    """A rank for each slot of the sketch: 0 for ordinary 3-grams, more the more often those of a slot occur.  Only the
     ``SLOTS`` sums reach the driver, however large the input is."""
     sums = docs.mapInArrow(_count_grams, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).toPandas()
     total = np.zeros(SLOTS)
@@ -91,7 +93,7 @@ def _equal_ranges(data: np.ndarray, a: np.ndarray, b: np.ndarray, size: np.ndarr
     return ok
 
 
-_ZSTD = pa.Codec("zstd", compression_level=3)
+_ZSTD = pa.Codec("zstd", compression_level=5)
 
 
 def _pack(texts: list[bytes], owner: np.ndarray, doc: np.ndarray, tag: np.ndarray, start: np.ndarray) -> bytes:
@@ -262,6 +264,7 @@ def _judge(window: int):
 
 def _apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for part in wa.slices(batches, "text"):
+        given = [c for c in part.schema.names if c != "spans"]
         words = wa.Words(part.column("text"))
         change = np.zeros(len(words) + 1, np.int64)
         for d, spans in enumerate(part.column("spans").to_pylist()):
@@ -279,8 +282,8 @@ def _apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memory = data[keep].tobytes()
         kept = [memory[i : max(i, j - 1)] for i, j in zip(size[:-1], size[1:], strict=True)]
         yield pa.RecordBatch.from_arrays(
-            [*(part.column(c) for c in ("doc_id", "tag", "text")), pa.array(counts), pa.array(removed), pa.array([hashlib.sha256(x).hexdigest() for x in kept]), pa.array([x if r else None for x, r in zip(kept, removed, strict=True)], pa.binary()).cast(pa.string())],
-            ["doc_id", "tag", "text", "n_words", "n_removed", "kept_sha256", "kept"],
+            [*(part.column(c) for c in given), pa.array(counts), pa.array(removed), pa.array([hashlib.sha256(x).hexdigest() for x in kept]), pa.array([x if r else None for x, r in zip(kept, removed, strict=True)], pa.binary()).cast(pa.string())],
+            [*given, "n_words", "n_removed", "kept_sha256", "kept"],
         )
 
 
@@ -293,17 +296,19 @@ def repeat_intervals(docs: DataFrame, window: int = 20) -> DataFrame:
     return blobs.groupBy("bucket").applyInPandas(_judge(window), "doc_id long, tag long, spans binary")
 
 
-def remove_repeats(docs: DataFrame, window: int = 20) -> DataFrame:
+def remove_repeats(docs: DataFrame, window: int = 20, carry: tuple[str, ...] = ()) -> DataFrame:
     """Remove every word that a repeated window covers.
 
-    Needs ``doc_id`` (long) and ``text``; other columns are ignored.  One row per row of ``docs``: ``doc_id, text,
-    n_words, n_removed, kept_sha256, kept``; ``kept`` is null where nothing was removed.  Words are
-    ``[^\\x20\\x09-\\x0D]+``, unchanged.  Earlier means a smaller doc_id (a null one comes first), then, where several
-    texts carry one doc_id, the smaller check sum, then the position.  A row that stands twice in the table is one
-    occurrence and doesn't repeat itself.  Null, empty and texts of fewer than ``window`` words lose nothing.
+    Needs ``doc_id`` (long) and ``text``; of other columns those named in ``carry`` come back in the struct ``carried``.
+    One row per row of ``docs``: ``doc_id, text, n_words, n_removed, kept_sha256, kept``; ``kept`` is null where nothing
+    was removed.  Words are ``[^\\x20\\x09-\\x0D]+``, unchanged.  Earlier means a smaller doc_id (a null one comes
+    first), then, where several texts carry one doc_id, the smaller check sum, then the position.  A row that stands
+    twice in the table is one occurrence and doesn't repeat itself.  Null, empty and texts of fewer than ``window`` words
+    lose nothing.
     """
-    keyed = _keyed(docs)
-    spans = repeat_intervals(keyed, window).groupBy("doc_id", "tag").agg(F.collect_list("spans").alias("spans"))
-    joined = keyed.join(spans, ["doc_id", "tag"], "left").select("doc_id", "tag", "text", "spans")
-    out = joined.mapInArrow(_apply, "doc_id long, tag long, text string, n_words long, n_removed long, kept_sha256 string, kept string")
+    keyed = _keyed(docs, carry)
+    spans = repeat_intervals(keyed.select("doc_id", "tag", "text"), window).groupBy("doc_id", "tag").agg(F.collect_list("spans").alias("spans"))
+    joined = keyed.join(spans, ["doc_id", "tag"], "left").select(*keyed.columns, "spans")
+    kinds = ", ".join(f"{name} {kind}" for name, kind in keyed.dtypes)
+    out = joined.mapInArrow(_apply, f"{kinds}, n_words long, n_removed long, kept_sha256 string, kept string").drop("tag")
     return out.withColumn("doc_id", F.nullif("doc_id", F.lit(_LOWEST)))

@@ -111,13 +111,13 @@ class Words:
     def counts(self) -> np.ndarray:
         return np.diff(self.first)
 
-    def hashes(self) -> np.ndarray:
-        """A 64-bit hash of each word's bytes."""
+    def hashes(self, base: int = _BASE) -> np.ndarray:
+        """A 64-bit hash of each word's bytes; another odd base gives another hash."""
         out, i = np.empty(len(self.start), np.uint64), 0
         while i < len(out):  # blocks of whole words, for the memory's sake
             j = max(i + 1, int(np.searchsorted(self.start, self.start[i] + HASH_BYTES)))
             a, b = self.start[i], self.end[j - 1]
-            up, down = powers(b - a)
+            up, down = powers(b - a, base)
             value = _BYTE_VALUES[self.data[a:b]]
             value *= up
             total = np.cumsum(value, dtype=np.uint64)
@@ -131,9 +131,12 @@ class Words:
 
     def canonical(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(bytes, start, end): the words with one space after each."""
-        which = np.cumsum(np.bincount(self.start, minlength=len(self.data)))[self.word] - 1 if len(self.start) else np.zeros(0, np.int64)
-        out = np.full(len(which) + len(self.start), 0x20, np.uint8)
-        out[np.arange(len(which)) + which] = self.data[self.word]
+        begins = np.zeros(len(self.data), bool)
+        begins[self.start] = True
+        place = np.cumsum(begins, dtype=np.int64)[self.word]  # the words up to each byte of a word
+        place += np.arange(-1, len(place) - 1)
+        out = np.full(len(place) + len(self.start), 0x20, np.uint8)
+        out[place] = self.data[self.word]
         end = np.cumsum(self.end - self.start + 1) - 1
         return out, end - (self.end - self.start), end
 
