@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 
 from silverbrook.llm.storage import cut
 
@@ -30,13 +30,15 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", most: int = 60) ->
     ``HUB_EDGES`` edges and more than a 50,000th of all, are not shuffled for it: such nodes are fewer than 100,000
     whatever the graph, and their minima are broadcast.  Edges with a null end and loops are ignored; repeated edges count once.
     """
-    now = cut(
-        edges.select(F.greatest(a, b).cast("long").alias("u"), F.least(a, b).cast("long").alias("v")).where("u is not null and v is not null and u <> v").distinct(),
-        "edges",
-    )
+    def settled(df: DataFrame) -> tuple[DataFrame, dict]:
+        """The edges as a table, with their number and a sum of hashes, both taken while it is written."""
+        seen = Observation()
+        table = cut(df.observe(seen, F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v") % F.lit(1 << 31)).alias("h")), "edges")
+        return table, seen.get
+
+    now, state = settled(edges.select(F.greatest(a, b).cast("long").alias("u"), F.least(a, b).cast("long").alias("v")).where("u is not null and v is not null and u <> v").distinct())
     before = None
     for _ in range(most):
-        state = now.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v") % F.lit(1 << 31)).alias("h")).first()
         if not state["n"] or before == state:
             break
         before = state
@@ -46,7 +48,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", most: int = 60) ->
         down = large.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
         low = down.groupBy("u").agg(F.min("v").alias("m"))
         small = down.join(low, "u").select(F.explode(F.array(F.struct("v", "m"), F.struct(F.col("u").alias("v"), "m"))).alias("e")).select(F.col("e.v").alias("u"), F.col("e.m").alias("v")).where("u <> v").distinct()
-        now = cut(small, "edges")
+        now, state = settled(small)
     else:
         raise RuntimeError(f"components did not settle in {most} rounds")
     top = now.groupBy("u").agg(F.min("v").alias("component"))
