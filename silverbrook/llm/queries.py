@@ -7,11 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from silverbrook.llm import fingerprints, jaccard_join, language_id, mixing, motion_jpeg, packing, page_text, quotations, substring_dedup, token_counts
+from silverbrook.llm.storage import let_workers_import
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    let_workers_import(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -35,3 +37,17 @@ def cut(df: DataFrame, name: str) -> DataFrame:
 
 def partitions(spark: SparkSession, least: int = 1) -> int:
     return max(least, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
+
+
+#: The most bytes and rows of a batch in which texts travel to Python.
+BATCH_BYTES, BATCH_ROWS = 4 << 20, 4000
+
+
+def let_workers_import(spark: SparkSession) -> None:
+    """Let Python workers on this machine find the library where the driver found it (on a cluster ship it with
+    ``--py-files`` or install it), and keep the batches they get small, as texts may be long."""
+    for name, value in (("maxBytesPerBatch", BATCH_BYTES), ("maxRecordsPerBatch", BATCH_ROWS)):
+        spark.conf.set(f"spark.sql.execution.arrow.{name}", str(value))
+    root, have = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment.get("PYTHONPATH", "")
+    if root not in have.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, have]))
