@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from silverbrook.llm import fingerprints, jaccard_join, language_id, mixing, motion_jpeg, packing, page_text, quotations, substring_dedup, token_counts
+from silverbrook.llm import fingerprints, jaccard_join, language_id, mixing, motion_jpeg, oracles, packing, page_text, quotations, substring_dedup, token_counts
 from silverbrook.llm.storage import let_workers_import
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -87,4 +87,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_mix_sources": mixing.ORACLE}
+    return dict(oracles.SQL)

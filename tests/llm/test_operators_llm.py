@@ -425,10 +425,11 @@ def test_mix(docs, rows, empty):
     assert mixing.mix(docs.where("text is null")).first().taken == 0
 
 
-def test_mix_matches_sql(spark, data):
+@pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
+def test_matches_sql(name, spark, data):
     from silverbrook.catalog.compare import connect, differences
 
-    assert differences(queries.op9_mix_sources(spark, data), connect(data), queries.oracle_sql()["op9_mix_sources"]) == []
+    assert differences(queries.queries()[name](spark, data), connect(data), queries.oracle_sql()[name]) == []
 
 
 # 10
