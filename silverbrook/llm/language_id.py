@@ -8,7 +8,7 @@ Hypotheses are the labelled languages and ``und``, anything else.  The evidence
 * address: a prior for each host, smoothed towards that of its address suffix, which is smoothed towards that of all
   rows.  All three come from one grouped sum of text posteriors; a row's own share is taken out of its host's prior.
 
-Only the trigram models are fitted on a sample: about ``FIT_ROWS`` labelled rows, chosen by a hash of their ids.
+Only the trigram models are fitted on a sample: about ``LABEL_ROWS`` rows of each label, or all it has, chosen by a hash.
 """
 
 from __future__ import annotations
@@ -18,13 +18,14 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from silverbrook.llm import wordarrays as wa
 from silverbrook.llm.storage import cut
 
-FIT_ROWS, SLOTS, TEMPER = 4000, 1 << 15, 0.2
+LABEL_ROWS, SLOTS, TEMPER = 1000, 1 << 15, 0.2
 #: Weights of the suffix's and of the whole table's distribution, as rows.
 HOST_PULL, SUFFIX_PULL, DECLARED_PULL = 8.0, 8.0, 4.0
 #: Part of the flat model in each language's, so that odd trigrams alone don't make a text unknown.
@@ -63,14 +64,14 @@ def _plain(column: pa.Array, markup: bool) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _count(languages: list[str]):
+    place = {x: i for i, x in enumerate(languages)}
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((len(languages), SLOTS), np.int64)
         for part in wa.slices(batches, "text", 1 << 20):
             slot, text = _slots(*wa.raw(part.column("text")))
-            label = np.array([languages.index(x) for x in part.column("label").to_pylist()])
-            total += np.bincount(label[text] * SLOTS + slot, minlength=total.size).reshape(total.shape)
-        at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total.ravel()[at])], ["at", "n"])
+            label = np.array([place[x] for x in part.column("label").to_pylist()], np.int64)
+            at, n = np.unique(label[text] * SLOTS + slot, return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(n)], ["at", "n"])
 
     return run
 
@@ -94,17 +95,27 @@ class Model:
         return out * TEMPER, np.bincount(text, minlength=texts)
 
 
-def fit(labelled: DataFrame, rows: int = FIT_ROWS) -> Model:
-    """Fit on about ``rows`` rows of ``labelled`` (id, text, label).  Rows without a label or text are left out; without
-    any other row the model knows ``und`` alone."""
-    known = labelled.where("label is not null and text is not null and length(text) > 0")
-    counts = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "label").limit(200).collect()}
+def fit(labelled: DataFrame, rows: int = LABEL_ROWS) -> Model:
+    """Fit on about ``rows`` rows of each label of ``labelled`` (id, text, label), or all it has, one at least.  Rows
+    without a label or without a trigram are left out; without any other row the model knows ``und`` alone.  Every
+    label has its model, of 4 bytes a slot."""
+    known = labelled.where("label is not null and octet_length(text) >= 3").where(F.col("text").rlike(r"[A-Za-z]|[^\x00-\x7F]"))
+    counts = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     languages = sorted(counts)
     if not languages:
         return Model([], np.full((1, SLOTS), -math.log(SLOTS), np.float32))
-    share = min(1.0, rows / sum(counts.values()))
-    sample = known.where(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < math.ceil(share * 1_000_000))
-    sums = sample.select("text", "label").where(F.col("label").isin(languages)).mapInArrow(_count(languages), "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).toPandas()
+    known = known.withColumn("order", F.xxhash64("id", "text"))
+    large = {x: math.ceil(rows / n * (1 << 40)) for x, n in counts.items() if n > rows}
+    part = F.lit(True)
+    if large:
+        share = F.create_map(*[F.lit(y) for x in large.items() for y in x])
+        part = F.pmod("order", F.lit(1 << 40)) < F.coalesce(F.try_element_at(share, F.col("label")), F.lit(1 << 40))
+    count = lambda df: df.select("text", "label").mapInArrow(_count(languages), "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).toPandas()
+    sums = count(known.where(part))
+    missed = sorted(large.keys() - {languages[i] for i in np.unique(sums["at"] // SLOTS)})
+    if missed:  # a label whose rows repeat a few texts: the hash may choose none
+        least = known.where(F.col("label").isin(missed)).groupBy("label").agg(F.min_by("text", "order").alias("text"))
+        sums = pd.concat([sums, count(least)])
     total = np.zeros(len(languages) * SLOTS)
     total[sums["at"]] = sums["n"]
     total = total.reshape(len(languages), SLOTS)

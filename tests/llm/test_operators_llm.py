@@ -9,6 +9,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -275,6 +276,23 @@ def test_language_evidence_and_odd_rows(spark, data, docs, empty):
     assert language_id.accepted(empty).count() == 0
 
 
+def test_rare_labels_are_fitted(spark, empty):
+    """Each label has rows in the sample, whatever the table's size and however many labels there are."""
+    rare = "ქართული ენის ტექსტი აქ არის და კიდევ სიტყვები"
+    common = [(i, f"the house number {i} and the street of it", "en", "s") for i in range(3000)]
+    docs = spark.createDataFrame([*common, (9000, rare, "ka", "s"), (9001, "123", "xx", "s")], "doc_id long, text string, lang string, source string")
+    model = language_id.fit(docs.selectExpr("doc_id id", "text", "lang label"), rows=20)
+    assert model.languages == ["en", "ka"]
+    batch = pa.array([rare, "the street and the house"])
+    assert [model.hypotheses[i] for i in model.score(batch, False)[0].argmax(1)] == ["ka", "en"]
+    same = spark.createDataFrame([(1, "one text again", "en")] * 3000 + [(2, rare, "ka")], "id long, text string, label string")
+    assert abs(language_id.fit(same, rows=1).logs[0] - language_id.fit(same.limit(0), rows=1).logs[0]).max() > 1
+    many = spark.range(230).selectExpr("id doc_id", "concat('text of the label ', id) text", "concat('l', id) lang", "'s' source")
+    assert len(language_id.document_model(many).languages) == 230
+    null_ids = docs.withColumn("doc_id", F.lit(None).cast("long"))
+    assert 9000 in {r.doc_id for r in language_id.accepted(docs).collect()} and rare in {r.text for r in language_id.accepted(null_ids).collect()}
+
+
 # 6
 
 
