@@ -36,17 +36,17 @@ def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it: whole repetitions, and for one document of a source a part."""
+    """Each document as often as the mix takes it: whole repetitions, and for one document of a source a part.
+    Each row goes by its own count, rows with a null or repeated doc_id too."""
     let_workers_import(spark)
-    taken = mixing.mix(docs.where("doc_id is not null")).groupBy("doc_id").agg(F.max("size").alias("size"), F.max("taken").alias("taken"))
-    taken = taken.where("taken > 0").withColumnRenamed("doc_id", "_id")
-    joined = docs.join(taken, docs["doc_id"] == taken["_id"])
+    carried = [F.col(f"carried.`{c}`").alias(c) for c in docs.columns]
+    taken = mixing.mix(docs, carry=tuple(docs.columns)).where("taken > 0").select("size", "taken", "carried")
     rounds = F.sequence(F.lit(0).cast("long"), F.ceil(F.col("taken") / F.col("size")) - 1)
-    rows = joined.select(*docs.columns, "size", "taken", F.explode(rounds).alias("round"))
-    left = F.least("size", F.col("taken") - F.col("round") * F.col("size"))
-    text = F.when(left == F.col("size"), F.col("text")).otherwise(F.array_join(F.slice(F.split(F.regexp_replace("text", r"^[\x20\x09-\x0D]+", ""), r"[\x20\x09-\x0D]+"), F.lit(1), left.cast("int")), " "))
-    out = rows.withColumn("new_text", text)
-    return out.select(*[{"text": F.col("new_text"), "n_chars": F.length("new_text").cast("long")}.get(c, F.col(c)).alias(c) for c in docs.columns])
+    rows = taken.select(*carried, F.col("size").alias("_size"), F.col("taken").alias("_taken"), F.explode(rounds).alias("_round"))
+    left = F.least("_size", F.col("_taken") - F.col("_round") * F.col("_size"))
+    text = F.when(left == F.col("_size"), F.col("text")).otherwise(F.array_join(F.slice(F.split(F.regexp_replace("text", r"^[\x20\x09-\x0D]+", ""), r"[\x20\x09-\x0D]+"), F.lit(1), left.cast("int")), " "))
+    out = rows.withColumn("_text", text)
+    return out.select(*[{"text": F.col("_text"), "n_chars": F.length("_text").cast("long")}.get(c, F.col(c)).alias(c) for c in docs.columns])
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -48,32 +48,36 @@ def source_targets(sizes: DataFrame, epochs: int = EPOCHS, weights: tuple[int, .
     return filled.select("source", "source_size", F.when(F.col("clamped"), F.col("cap").cast("double")).otherwise(share).alias("target"), "clamped")
 
 
-def mix(docs: DataFrame, epochs: int = EPOCHS, weights: tuple[int, ...] = WEIGHTS, seed: str = SEED) -> DataFrame:
-    """One row per row of ``docs``: ``doc_id, size, source_size, target, taken``.
+def mix(docs: DataFrame, epochs: int = EPOCHS, weights: tuple[int, ...] = WEIGHTS, seed: str = SEED, carry: tuple[str, ...] = ()) -> DataFrame:
+    """One row per row of ``docs``: ``doc_id, size, source_size, target, taken``, and the columns ``carry`` as a struct ``carried`` if
+    there are any.
 
     Needs ``doc_id, source, text``; other columns are ignored.  Sizes count words; a null or empty text has none.  Null
-    is a source of its own, the last.  The seeded order goes by a hash of doc_id (null: as an empty string); rows that
-    repeat a doc_id stand together in it, by size.  A source without words has a target of 0.
+    is a source of its own, the last.  The seeded order goes by a hash of doc_id (null: of the text); rows that
+    repeat a doc_id stand together in it, by size and then by a hash of their text and carried columns.  A source without words has a target of 0.
     """
-    key = F.md5(F.concat_ws(":", F.lit(seed), F.col("doc_id").cast("string")).cast("binary"))
-    sizes = cut(docs.select("doc_id", F.col("source").cast("string").alias("source"), words_of(F.col("text")).alias("size")), "sizes")
+    key = F.md5(F.concat_ws(":", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("-"), F.coalesce(F.xxhash64("text"), F.lit(0)).cast("string")))).cast("binary"))
+    tie = F.xxhash64("text", *carry)
+    sized = docs.select("doc_id", F.col("source").cast("string").alias("source"), words_of(F.col("text")).alias("size"), key.alias("order"), tie.alias("tie"), *([F.struct(*carry).alias("carried")] if carry else []))
+    # carried columns aren't written once more: the sums come from narrow rows, the counts from docs read again
+    sizes = cut(sized.drop("carried"), "sizes")
     rows = sizes.count()
     digits = 1
     while rows > 1000 * 16**digits:
         digits += 1
     named = F.coalesce(F.concat(F.lit("="), "source"), F.lit("-"))
-    keyed = sizes.withColumn("name", named).withColumn("order", key).withColumn("bucket", F.substring("order", 1, digits))
-    totals = keyed.groupBy("name", "bucket").agg(F.sum("size").alias("here"))
+    keyed, narrow = ((df.withColumn("name", named).withColumn("bucket", F.substring("order", 1, digits))) for df in (sized if carry else sizes, sizes))
+    totals = narrow.groupBy("name", "bucket").agg(F.sum("size").alias("here"))
     before = F.sum("here").over(Window.partitionBy("name").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1))
     targets = source_targets(sizes, epochs, weights).withColumn("name", named).select("name", "source_size", "target")
     places = totals.withColumn("before", F.coalesce(before, F.lit(0))).join(targets, "name").select("name", "bucket", "before", "source_size", "target")
-    inner = Window.partitionBy("name", "bucket").orderBy("order", "size").rowsBetween(Window.unboundedPreceding, -1)
+    inner = Window.partitionBy("name", "bucket").orderBy("order", "size", "tie").rowsBetween(Window.unboundedPreceding, -1)
     placed = keyed.join(places, ["name", "bucket"]).withColumn("ahead", F.col("before") + F.coalesce(F.sum("size").over(inner), F.lit(0)))
     goal = F.floor(F.col("target") + 0.5).cast("long")
     whole = F.coalesce(F.floor(F.try_divide(goal, F.col("source_size"))), F.lit(0)).cast("long")
     part = goal - whole * F.col("source_size")
     more = F.greatest(F.lit(0).cast("long"), F.least(F.col("size"), part - F.col("ahead")))
-    return placed.select("doc_id", "size", "source_size", "target", (whole * F.col("size") + more).cast("long").alias("taken"))
+    return placed.select("doc_id", "size", "source_size", "target", (whole * F.col("size") + more).cast("long").alias("taken"), *(["carried"] if carry else []))
 
 
 #: The same result in DuckDB's SQL.

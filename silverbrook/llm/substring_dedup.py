@@ -256,7 +256,7 @@ def _judge(window: int):
         new = np.ones(len(doc), bool)
         new[1:] = (doc[1:] != doc[:-1]) | (tag[1:] != tag[:-1])
         at = np.flatnonzero(new)
-        to = np.append(at[1:], len(doc))
+        to = np.append(at, len(doc))[1:]
         return pd.DataFrame({"doc_id": doc[at], "tag": tag[at], "spans": [spans[i:j].tobytes() for i, j in zip(at, to, strict=True)]})
 
     return run

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import random
+from collections import Counter
+
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from silverbrook.llm import mixing
 from silverbrook.llm.queries import queries
 from test_operators_llm import _classes, _deduped
 
@@ -45,3 +49,37 @@ def test_run_and_registration(spark, data):
     for _, stage in corpus_pipeline.STAGES:
         empty = corpus_pipeline.cut(stage(spark, empty, data), "empty")
         assert empty.count() == 0
+
+
+def test_null_and_repeated_ids(spark):
+    """Rows without an id and rows that share one keep their own text, source and count in each stage."""
+    rng = random.Random(4)
+    text = lambda n: " ".join("".join(rng.choice("abdeghilmnorstu") for _ in range(5)) for _ in range(n))
+    rows = [(i, text(40), "a") for i in range(6)] + [(None, text(n), s) for n, s in ((30, "a"), (50, "a"), (60, "b"), (70, "b"))]
+    rows += [(100, text(35), "a"), (100, text(200), "b"), (100, text(36), None)]
+    docs = spark.createDataFrame([(i, x, "en", s, len(x)) for i, x, s in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    docs = corpus_pipeline.cut(docs, "test")
+    key = lambda r: (r.doc_id is None, r.doc_id, r.source, r.text)
+    whole = Counter(map(key, docs.collect()))
+    for _, stage in corpus_pipeline.STAGES[:3]:
+        assert Counter(map(key, stage(spark, docs, "").collect())) == whole
+    out = corpus_pipeline.mixed(spark, docs, "").collect()
+    words, size, want = Counter(), Counter(), {}
+    for r in out:
+        words[r.source] += len(r.text.split())
+        assert any(i == r.doc_id and s == r.source and x.startswith(r.text) for i, x, s in rows) and r.n_chars == len(r.text)
+    for r in mixing.mix(docs).collect():
+        size[r.source_size] = r.target
+    for s in ("a", "b", None):
+        mine = sum(len(x.split()) for _, x, t in rows if t == s)
+        want[s] = size[mine]
+        assert abs(words[s] - want[s]) <= 1
+    assert {r.text for r in out} >= {x for i, x, s in rows if i is None and s == "b"}
+    packed = corpus_pipeline.packed(spark, docs, "").groupBy("doc_id").agg(F.sum("length").alias("n")).collect()
+    assert len(packed) == 8 and all(r.n > 0 for r in packed)
+
+
+def test_null_ids_are_dealt_like_others(spark):
+    docs = spark.createDataFrame([(None, f"word{i} " * (i + 1), "a") for i in range(20)] + [(1, "x " * 4000, "b")], "doc_id long, text string, source string")
+    taken = lambda df: sorted((r.carried.text, r.taken) for r in mixing.mix(df, carry=("text",)).collect())
+    assert taken(docs.repartition(3)) == taken(docs) and len(taken(docs)) == 21
