@@ -3,8 +3,9 @@
 Tokens of a page are its tags, named by their path, and its text nodes, named by path and text.  A token's occurrence
 vector tells how often each page of a host has it.  Tokens with equal vectors form an equivalence class; classes of two
 tokens or more that half of a host's pages have are its template, and as tokens are named by paths, the tags among them
-nest.  What lies between template tokens is a slot; a page's text is what its main slot holds, without slots and template
-text that are not part of an article.
+nest.  What lies between template tokens is a slot; a page's text is what the lowest element holds that has all prose of
+its slots, heading included, without asides and without the template's own text, wherever that stands.  Pages of hosts
+without a template have only the names of their elements to go by.
 
 Vectors are never built: a grouped sum of page hashes times occurrences is a digest of a vector, it combines before the
 shuffle, and tokens of one host with equal digests have equal vectors.  A host's template is no larger than two pages.
@@ -28,8 +29,10 @@ from silverbrook.llm.storage import cut
 CLASS_TOKENS, CLASS_SHARE = 2, 0.5
 #: Bytes of all templates that may be broadcast, and the copies of each template for the join used beyond that.
 BROADCAST_BYTES, SALTS = 16 << 20, 64
-#: Share of a page's prose that the main slot must hold where no element is named as the article.
-MAIN_SHARE = 0.75
+#: Most of a page's prose that may be the template's: a page with more is a copy of others, and keeps its prose.
+COPIED_SHARE = 0.5
+#: Least of a page's prose that elements named as the article must hold to be it, where the host has no template.
+NAMED_SHARE = 0.5
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|textarea|select|svg|iframe|title)\b[^>]*>.*?(?:</\1\s*>|\Z)"
@@ -107,7 +110,8 @@ class Page:
 
     def _settle(self) -> None:
         """Which elements aren't part of an article, and the article that each is in.  A name alone doesn't make an
-        element that holds most of a page's prose an aside: wrappers are called things like ``has-sidebar``."""
+        element that holds most of a page's prose an aside: wrappers are called things like ``has-sidebar``.  It does where
+        the page's article is elsewhere: an advert may be longer than a short article."""
         count = len(self.tag)
         out = [False] * count
         for e in range(1, count):
@@ -120,8 +124,14 @@ class Page:
                     while e >= 0:
                         prose[e] += n
                         e = self.parent[e]
+            around = [False] * count
             for e in range(1, count):
-                if self.mark[e] == NAMED and 2 * prose[e] > prose[0]:
+                up = e if self.named_main[e] and not out[e] and prose[e] else 0
+                while up > 0 and not around[up]:
+                    around[up] = True
+                    up = self.parent[up]
+            for e in range(1, count):
+                if self.mark[e] == NAMED and 2 * prose[e] > prose[0] and (around[e] or True not in around):
                     self.mark[e] = 0
         self.aside, self.holder = [False] * count, [None] * count
         for e in range(1, count):
@@ -145,9 +155,13 @@ class Page:
                 value = "".join(value).lower()
                 if key.lower() == "role":
                     role = value
-                else:
+                elif key.lower() == "class":
+                    names.update(_NAME_PART.split(value))
+                    label += "." + value
+                elif tag == "section":
+                    names.add(value)  # ids of sections and prose are often made of headings
+                elif tag not in PROSE and tag not in INLINE:
                     names.update(_NAME_PART.split(value))
-                    label += "." + value if key.lower() == "class" else ""
         main = tag in ("article", "main") or role == "main"
         mark = 0
         if tag in ASIDE_TAGS or role in ASIDE_ROLES:
@@ -171,38 +185,59 @@ class Page:
         found.update(f"{self.path[e]}#{' '.join(t.split())}" for e, _, t, _ in self.texts if not t.isspace())
         return found
 
-    def main_text(self, template: frozenset[int]) -> str:
+    def _of_template(self, template: frozenset[int]) -> list[bool]:
+        """Which text nodes are the template's.  Where it has most of a page's prose, that prose stays."""
+        found = [False] * len(self.texts)
+        if not template:
+            return found
+        prose = [False] * len(self.tag)
+        for e in range(1, len(self.tag)):
+            prose[e] = prose[self.parent[e]] or self.tag[e] in PROSE or self.holder[e] is not None
+        whole, copied = 0, 0
+        for i, (e, _, t, link) in enumerate(self.texts):
+            if not self.aside[e] and t.strip():
+                found[i] = token_hash(f"{self.path[e]}#{' '.join(t.split())}") in template
+                if prose[e] and not link:
+                    whole += len(t.strip())
+                    copied += len(t.strip()) * found[i]
+        if copied > COPIED_SHARE * whole:
+            found = [x and not prose[e] for x, (e, *_) in zip(found, self.texts, strict=True)]
+        return found
+
+    def _main(self, template: frozenset[int], of_template: list[bool]) -> list[int]:
+        """The elements that hold the page's text."""
         size = [0] * len(self.tag)
-        for e, _, t, link in self.texts:
-            if not self.aside[e]:
-                n = len(t.strip()) * (-1 if link else 1)
-                while e >= 0:
+        for (e, _, t, link), out in zip(self.texts, of_template, strict=True):
+            if not (self.aside[e] or link or out):
+                n = len(t.strip())
+                while n and e >= 0:
                     size[e] += n
                     e = self.parent[e]
-        chosen = 0
-        for name in ("article", None):  # an article before any other element that is named as main
-            named = [e for e in range(len(self.tag)) if self.named_main[e] and not self.aside[e] and size[e] > 0 and (name is None or self.tag[e] == name)]
-            if named:
-                chosen = max(named, key=lambda e: (size[e], -e))
-                break
-        else:
-            # the deepest slot of the template that still holds most of the page's prose
-            total = max(1, size[0])
-            depth = [0] * len(self.tag)
+        if not template:
+            named: dict[bool, list[int]] = {True: [], False: []}
             for e in range(1, len(self.tag)):
-                depth[e] = depth[self.parent[e]] + 1
-            slots = [e for e in range(1, len(self.tag)) if not self.aside[e] and self.tag[e] not in INLINE and self.tag[e] not in PROSE and size[e] >= MAIN_SHARE * total and (not template or token_hash(self.path[e]) in template)]
-            chosen = max(slots, key=lambda e: (depth[e], -e), default=0)
+                if self.named_main[e] and not self.aside[e] and size[e]:
+                    kind, up = self.tag[e] == "article", self.parent[e]
+                    while up >= 0 and not (self.named_main[up] and (self.tag[up] == "article") == kind):
+                        up = self.parent[up]
+                    if up < 0:
+                        named[kind].append(e)
+            best = max(named.values(), key=lambda es: sum(size[e] for e in es))
+            if best and sum(size[e] for e in best) >= NAMED_SHARE * size[0]:
+                return best
+        return [max((e for e in range(len(self.tag)) if size[e] and size[e] == size[0]), default=0)]
+
+    def main_text(self, template: frozenset[int]) -> str:
+        of_template = self._of_template(template)
         inside = [False] * len(self.tag)
-        inside[chosen] = True
-        for e in range(chosen + 1, len(self.tag)):
-            inside[e] = inside[self.parent[e]]
+        for e in self._main(template, of_template):
+            inside[e] = True
+        for e in range(1, len(self.tag)):
+            inside[e] = inside[e] or inside[self.parent[e]]
         blocks, now, parts = [], None, []
-        for e, block, t, _ in self.texts:
-            if not inside[e] or self.aside[e]:
+        for (e, block, t, _), out in zip(self.texts, of_template, strict=True):
+            if not inside[e] or self.aside[e] or out:
                 continue
-            if template and t.strip() and self.tag[e] not in PROSE and self.holder[e] is None and token_hash(f"{self.path[e]}#{' '.join(t.split())}") in template:
-                continue  # text of the template
             if block != now:
                 blocks.append("".join(parts))
                 now, parts = block, []

@@ -127,6 +127,31 @@ def test_page_text_of_the_tables(spark, data):
         assert r.text == "\n\n".join(b for b in blocks if b) and r.n_chars == len(r.text)
 
 
+def test_page_text_loses_no_part_of_an_article():
+    text = lambda html: page_text.Page(html).main_text(frozenset())
+    story, lead = ("word " * 60).strip(), ("lead " * 12).strip()
+    assert text(_page(f"<div class=x><div><h1>Title</h1><p>{lead}</p><div class=body><p>{story}</p></div></div></div>")) == f"Title\n\n{lead}\n\n{story}"
+    assert text(_page(f"<article><p>Teaser</p></article><main><h1>T</h1><p>{story}</p></main>")) == f"T\n\n{story}"
+    assert text(_page(f"<div><article><p>{story}</p></article></div><div><article><p>{lead}</p></article></div>")) == f"{story}\n\n{lead}"
+    assert text(_page(f"<article><p>Teaser</p></article><div><p>{story}</p></div>")) == f"Teaser\n\n{story}"
+    slugs = f"<article><h2 id='social-effects'>Effects</h2><p>{story}</p><section id='related-work'><h2 id=related>Work</h2><p id='notice-periods'>{lead}</p></section><section id=comments><p>c</p></section></article>"
+    assert text(_page(slugs)) == f"Effects\n\n{story}\n\nWork\n\n{lead}"
+
+
+def test_template_text_inside_articles_goes(spark):
+    """Lines that a host repeats go from articles and paragraphs too; pages that are copies keep their text."""
+    own = lambda i: f"text{i} " * 20
+    pages = [(i, f"http://a.example.com/{i}", _page(f"<article><h1>Head {i}</h1><p>{own(i)}</p><p>Read our weekly letter</p><span>Tell your friends</span></article>")) for i in range(6)]
+    pages += [(10 + i, f"http://b.example.com/{i}", _page(f"<div><p>All rights are ours</p><div><h1>Head {i}</h1><p>{own(i)}</p></div></div>")) for i in range(6)]
+    pages += [(20 + i, f"http://c.example.com/{i}", _page("<article><h1>Same</h1><p>The same text twice</p></article>")) for i in range(2)]
+    pages += [(30 + i, f"http://d.example.com/{i}", _page(f"<article><p>Card</p></article><div><h1>Head {i}</h1><p>{own(i)}</p></div>")) for i in range(6)]
+    found = {r.page_id: r.text for r in page_text.extract_text(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    for i in range(6):
+        for base in (0, 10, 30):
+            assert found[base + i] == f"Head {i}\n\n{own(i).strip()}"
+    assert found[20] == found[21] == "Same\n\nThe same text twice"
+
+
 # 3
 
 
