@@ -1,36 +1,98 @@
 """Operator 3, chat formatting: quotation linking.
 
-Lines that begin with ``>`` are quotations, as deep as they have such marks.  Every line is normalised (markers, case,
-white space at word bounds and punctuation go) and hashed.  Lines that some message says itself are reduced to one
-origin a hash and conversation and one a hash, so a line that everyone says costs one row; quoted lines join those.
+Lines that begin with ``>`` are quotations, as deep as they have such marks.  Neighbouring lines of one depth are a
+passage.  Units that can be quoted are the lines, the sentences of passages and whole passages, so that line breaks may
+lie elsewhere in a quotation than in its origin.  Every unit is normalised (markers, case, white space at word bounds and
+punctuation go) and hashed.  Units that some message says itself are reduced to one origin a hash and conversation and
+one a hash, so a line that everyone says costs one row; quoted units join those.  Short lines link within their own
+conversation only, and only if one earlier message there says them.
 A message replies to the message that holds most of its shallowest linked quotations; links lead backwards only.
 Conversations that quote each other form one thread.
 """
 
 from __future__ import annotations
 
+import hashlib
+import re
+from bisect import bisect_right
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from silverbrook.llm import wordarrays as wa
 from silverbrook.llm.components import components
 from silverbrook.llm.storage import cut
 
-#: Letters and digits that a line must have to be an origin or a quotation of one.
+#: Letters and digits that a unit must have to be an origin or a quotation of one in any conversation.
 LEAST = 12
+_SENTENCE = re.compile(r".+?(?:[.!?…]+(?=\s)|[。！？]+|\Z)", re.S)
+_OTHER = re.compile(r"[\W_]+")
+_LINE = re.compile(r"\r\n|\r|\n")
 _MARKS = r"^[\x20\x09]*(?:>[\x20\x09]?)+"
-
-
-def _key(line: Column) -> Column:
-    return F.regexp_replace(F.lower(line), r"[^\p{L}\p{N}]+", " ")
-
-
-def split_lines(messages: DataFrame) -> DataFrame:
-    """``conv_id, turn, line_no, level, line, key, hash``: a row per nonblank line; ``hash`` is null for short lines."""
-    lines = messages.select("conv_id", "turn", F.posexplode(F.split(F.coalesce(F.col("text").cast("string"), F.lit("")), r"\r\n|\r|\n")).alias("line_no", "whole"))
-    mark = F.regexp_extract("whole", _MARKS, 0)
-    lines = lines.select("conv_id", "turn", "line_no", F.length(F.regexp_replace(mark, "[^>]", "")).alias("level"), F.trim(F.regexp_replace("whole", _MARKS, "")).alias("line"))
-    lines = lines.where("line <> ''").withColumn("key", F.trim(_key(F.col("line"))))
-    enough = F.length(F.regexp_replace("key", " ", "")) >= LEAST
-    return lines.withColumn("hash", F.when(enough, F.sha2("key", 256)))
+_MARK = re.compile(_MARKS)
+
+
+def _units_of(text: str, quoted: bool) -> Iterator[tuple[int, int, int, int, str, bool]]:
+    """``line_no, last_line, level, kind, hash, short`` of each unit: lines (kind 0), passages of several lines (1) and
+    sentences of passages (2).  Only lines may be short."""
+
+    def unit(first: int, last: int, level: int, kind: int, said: str):
+        key = _OTHER.sub(" ", said.lower()).strip()
+        n = len(key) - key.count(" ")
+        if n >= LEAST or n and not kind:
+            yield first, last, level, kind, hashlib.sha256(key.encode()).hexdigest(), n < LEAST
+
+    passages: list[tuple[int, list[tuple[int, str]]]] = []
+    before = None
+    for i, whole in enumerate(_LINE.split(text)):
+        mark = _MARK.match(whole)
+        level, line = (mark[0].count(">"), whole[mark.end() :].strip()) if mark else (0, whole.strip())
+        if not line:
+            before = None
+            continue
+        if level != before:
+            passages.append((level, []))
+            before = level
+        passages[-1][1].append((i, line))
+    for level, lines in passages:
+        if (level > 0) != quoted:
+            continue
+        for i, line in lines:
+            yield from unit(i, i, level, 0, line)
+        joined = " ".join(line for _, line in lines)
+        if len(lines) > 1:
+            yield from unit(lines[0][0], lines[-1][0], level, 1, joined)
+        starts, at = [], 0
+        for _, line in lines:
+            starts.append(at)
+            at += len(line) + 1
+        for m in _SENTENCE.finditer(joined):
+            if len(m[0]) < len(joined):
+                first = m.end() - len(m[0].lstrip())
+                yield from unit(lines[bisect_right(starts, first) - 1][0], lines[bisect_right(starts, m.end() - 1) - 1][0], level, 2, m[0])
+
+
+def _units(quoted: bool):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in wa.slices(batches, "text"):
+            found = [(i, *u) for i, text in enumerate(part.column("text").to_pylist()) for u in _units_of(text, quoted)]
+            columns = list(zip(*found, strict=True)) if found else [()] * 7
+            at = pa.array(columns[0], pa.int64())
+            kinds = (pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.string(), pa.bool_())
+            arrays = [part.column(c).take(at) for c in ("conv_id", "turn", "tag")] + [pa.array(c, k) for c, k in zip(columns[1:], kinds, strict=True)]
+            yield pa.RecordBatch.from_arrays(arrays, ["conv_id", "turn", "tag", "line_no", "last_line", "level", "kind", "hash", "short"])
+
+    return run
+
+
+def split_units(messages: DataFrame, quoted: bool) -> DataFrame:
+    """``conv_id, turn, tag, line_no, last_line, level, kind, hash, short``: the units of quoted or of other lines."""
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    rows = messages.select("conv_id", "turn", F.xxhash64("text").alias("tag"), text.alias("text"))
+    rows = rows.where(F.contains("text", F.lit(">"))) if quoted else rows
+    kind = dict(rows.dtypes)
+    return rows.mapInArrow(_units(quoted), f"conv_id {kind['conv_id']}, turn {kind['turn']}, tag long, line_no int, last_line int, level int, kind int, hash string, short boolean")
 
 
 def unquoted(text: Column) -> Column:
@@ -40,31 +102,32 @@ def unquoted(text: Column) -> Column:
 
 
 def link_quotations(messages: DataFrame) -> DataFrame:
-    """``conv_id, turn, line_no, level, hash, to_conv, to_turn``: a row per quoted line that is long enough, with the
-    message that says it: the latest earlier one of the same conversation, else the first in the order of (conv_id,
-    turn) if it comes before; null where no message does."""
-    lines = split_lines(messages.where("conv_id is not null and turn is not null"))
-    quoted = lines.where("level > 0 and hash is not null").select("conv_id", "turn", "line_no", "level", "hash")
-    said = lines.where("level = 0 and hash is not null").select("conv_id", "turn", "hash").distinct()
+    """``conv_id, turn, line_no, level, hash, to_conv, to_turn``: a row per quoted line that is long enough or
+    linked, with the message that says it, or else its passage, or else a sentence that it is part of: the latest earlier one of the same conversation, else the first in the order of (conv_id,
+    turn) if it comes before; null where no message does.  ``hash`` is null for short lines."""
+    known = messages.where("conv_id is not null and turn is not null")
+    quoted = cut(split_units(known, True).distinct(), "quoted")
+    sought = cut(quoted.select("hash").distinct(), "sought")
+    said = split_units(known, False).select("conv_id", "turn", "hash", "short").join(sought, "hash", "left_semi").distinct()
+    said = cut(said.select("conv_id", "turn", "hash", "short"), "said")
     # the same conversation: of the turns that say a line, the last before the quoting one
     wanted = quoted.select("conv_id", "turn", "hash").distinct()
     here = said.join(quoted.select("conv_id", "hash").distinct(), ["conv_id", "hash"], "left_semi")
     events = wanted.select("conv_id", "hash", "turn", F.lit(1).alias("asks")).unionByName(here.select("conv_id", "hash", "turn", F.lit(0).alias("asks")))
     before = Window.partitionBy("conv_id", "hash").orderBy("turn", F.desc("asks")).rowsBetween(Window.unboundedPreceding, -1)
-    near = events.withColumn("near_turn", F.max(F.when(F.col("asks") == 0, F.col("turn"))).over(before)).where("asks = 1").select("conv_id", "turn", "hash", "near_turn")
-    far = said.groupBy("hash").agg(F.min(F.struct("conv_id", "turn")).alias("first"))
+    earlier = F.when(F.col("asks") == 0, F.col("turn"))
+    near = events.withColumn("near_turn", F.max(earlier).over(before)).withColumn("first_turn", F.min(earlier).over(before)).where("asks = 1").drop("asks")
+    far = said.where("not short").groupBy("hash").agg(F.min(F.struct("conv_id", "turn")).alias("first"))
     found = quoted.join(near, ["conv_id", "turn", "hash"], "left").join(far, "hash", "left")
     usable = (F.col("first.conv_id") < F.col("conv_id")) | ((F.col("first.conv_id") == F.col("conv_id")) & (F.col("first.turn") < F.col("turn")))
-    own = F.col("near_turn").isNotNull()
-    return found.select(
-        "conv_id",
-        "turn",
-        "line_no",
-        "level",
-        "hash",
-        F.when(own, F.col("conv_id")).otherwise(F.when(usable, F.col("first.conv_id"))).alias("to_conv"),
-        F.when(own, F.col("near_turn")).otherwise(F.when(usable, F.col("first.turn"))).alias("to_turn"),
-    )
+    own = F.col("near_turn").isNotNull() & (~F.col("short") | (F.col("near_turn") == F.col("first_turn")))
+    to_conv = F.when(own, F.col("conv_id")).when(~F.col("short") & usable, F.col("first.conv_id"))
+    to_turn = F.when(own, F.col("near_turn")).when(~F.col("short") & usable, F.col("first.turn"))
+    units = found.withColumn("to", F.when(to_conv.isNotNull(), F.struct("kind", F.col("line_no").alias("from"), to_conv.alias("conv"), to_turn.alias("turn"))))
+    # each line of a unit, with its own link before that of its passage, and that before a sentence's
+    lines = units.select("conv_id", "turn", "tag", "level", F.when((F.col("kind") == 0) & ~F.col("short"), F.col("hash")).alias("hash"), "to", F.explode(F.sequence("line_no", "last_line")).alias("line_no"))
+    lines = lines.groupBy("conv_id", "turn", "tag", "line_no").agg(F.max("level").alias("level"), F.max("hash").alias("hash"), F.min("to").alias("to"))
+    return lines.where("hash is not null or to is not null").select("conv_id", "turn", "line_no", "level", "hash", F.col("to.conv").alias("to_conv"), F.col("to.turn").alias("to_turn"))
 
 
 def _depths(parents: DataFrame, most: int = 40) -> DataFrame:
@@ -85,7 +148,7 @@ def reply_conversations(messages: DataFrame) -> DataFrame:
     """The messages (conv_id, turn, role, text; other columns are ignored) as threads without quotations.
 
     One row per message: ``conv_id, turn, role, body, n_quoted, n_linked, parent_conv, parent_turn, depth, thread_id``.
-    ``n_quoted`` counts quoted lines of ``LEAST`` letters and digits or more.  A thread in reply order is its rows sorted
+    ``n_quoted`` counts quoted lines of ``LEAST`` letters and digits or more, and shorter ones that are linked.  A thread in reply order is its rows sorted
     by (thread_id, conv_id, turn): a message follows what it replies to.  A null text is empty.  Messages with a null
     conv_id or turn keep their row but link to nothing; a repeated (conv_id, turn) is one message whose rows all get its
     links.

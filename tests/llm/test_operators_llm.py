@@ -183,6 +183,27 @@ def test_a_line_that_all_say_links_once(spark):
     assert len(links) == 30 and all((r.to_conv, r.to_turn) == (r.conv_id, 2) for r in links)
 
 
+def test_wrapped_and_short_quotations(spark):
+    messages = [
+        (1, 0, "The quick brown fox jumps over the lazy dog while the cat sleeps in the warm sun"),
+        (1, 1, "> The quick brown fox jumps over\n> the lazy dog while the cat\n> sleeps in the warm sun\nIndeed it does."),
+        (2, 0, "First sentence of some length. Second sentence that is also long.\nYes."),
+        (2, 1, ">> First sentence of\n>> some length. Second sentence\n>> that is cut\nI see."),
+        (2, 2, "> Yes.\n> 好的\nFine"),
+        (3, 0, "Yes.\n好的"),
+        (3, 1, "> 好的\nok"),
+        (4, 0, "wrapped by its author over\nseveral lines of text"),
+        (5, 0, "> wrapped by its author over several lines of text\nnew"),
+        (6, 0, "no"),
+        (6, 1, "no"),
+        (6, 2, "> no\nwhich"),
+    ]
+    df = spark.createDataFrame([(c, t, "user", x) for c, t, x in messages], "conv_id long, turn long, role string, text string")
+    out = {(r.conv_id, r.turn): (r.parent_conv, r.parent_turn, r.n_linked) for r in quotations.reply_conversations(df).collect()}
+    assert out[1, 1] == (1, 0, 3) and out[2, 1] == (2, 0, 2) and out[2, 2] == (2, 0, 1)
+    assert out[3, 1] == (3, 0, 1) and out[5, 0] == (4, 0, 1) and out[6, 2] == (None, None, 0)
+
+
 # 4
 
 
