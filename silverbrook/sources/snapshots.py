@@ -1,19 +1,24 @@
 """Versioned tables on plain Parquet: snapshots, time travel, change feed, merge, compaction and vacuum.
 
-A table is a folder with a snapshot ``v=N`` for each version and a log of JSON files, one a version, which is written
-last.  All files go through Hadoop's file system, so any store that Spark writes to will do.  A version exists once its
-log file does; two writers that race for a number collide on that file, and the later one fails.
+A version is a list of ordinary Parquet folders.  Every write makes a folder of its own under ``data`` and then a JSON
+file in ``_log`` that names the version's folders: an append adds one to those of the version before and reads nothing, other
+writes begin a new list.  All files go through Hadoop's file system, so any store that Spark writes to will do.  A version
+exists once its log file does; of two writers that race for a number the later one finds that file, deletes its own folder
+and fails, and nothing that was committed is touched.
 """
 
 from __future__ import annotations
 
 import json
+import math
 import time
+import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from silverbrook.errors import SinkError, SourceError
 
@@ -29,6 +34,8 @@ class When:
 
 
 UPSERT = (When("update"), When("insert"))
+#: Bytes that :meth:`SnapshotTable.optimize` means a file to have.
+FILE_BYTES = 128 << 20
 
 
 class SnapshotTable:
@@ -45,8 +52,9 @@ class SnapshotTable:
     def _log_path(self, version: int) -> str:
         return f"{self.path}/_log/{version:020d}.json"
 
-    def _data_path(self, version: int) -> str:
-        return f"{self.path}/v={version}"
+    def _delete(self, path: str) -> None:
+        fs, p = self._hadoop(path)
+        fs.delete(p, True)
 
     def _log(self) -> list[dict[str, Any]]:
         """The log, one small line a version."""
@@ -59,30 +67,50 @@ class SnapshotTable:
             stream_fs, q = self._hadoop(f)
             stream = stream_fs.open(q)
             try:
-                out.append(json.loads(bytes(self.spark._jvm.org.apache.commons.io.IOUtils.toByteArray(stream)).decode()))
+                text = bytes(self.spark._jvm.org.apache.commons.io.IOUtils.toByteArray(stream)).decode()
             finally:
                 stream.close()
+            if text:  # a writer has made the file and not filled it yet
+                out.append(json.loads(text))
         return out
 
     def exists(self) -> bool:
         return bool(self._log())
 
-    def version(self) -> int:
+    def _last(self) -> dict[str, Any]:
         log = self._log()
         if not log:
             raise SourceError("no such table", {"path": self.path})
-        return log[-1]["version"]
+        return log[-1]
 
-    def _commit(self, df: DataFrame, operation: str, partition_by: Sequence[str] = (), **parameters: Any) -> int:
-        log = self._log()
-        version = log[-1]["version"] + 1 if log else 0
-        writer = df.write.mode("overwrite")
-        (writer.partitionBy(*partition_by) if partition_by else writer).parquet(self._data_path(version))
-        entry = {"version": version, "timestamp": max(time.time(), log[-1]["timestamp"] + 0.001 if log else 0), "operation": operation, "partition_by": list(partition_by), "parameters": parameters}
+    def version(self) -> int:
+        return self._last()["version"]
+
+    def _commit(self, df: DataFrame, operation: str, after: dict[str, Any] | None, partition_by: Sequence[str] = (), add: bool = False, **parameters: Any) -> int:
+        """Write ``df`` to a folder of its own and make it the version that follows the log entry ``after`` (none: the
+        first), or with ``add`` a part of that."""
+        version = after["version"] + 1 if after else 0
+        folder = f"{self.path}/data/_write={uuid.uuid4().hex}"
+        writer = df.write
+        (writer.partitionBy(*partition_by) if partition_by else writer).parquet(folder)
+        entry = {
+            "version": version,
+            "timestamp": max(time.time(), after["timestamp"] + 0.001 if after else 0),
+            "operation": operation,
+            "partition_by": list(partition_by),
+            "parameters": parameters,
+            "folders": [*(after["folders"] if add else []), folder],
+            "added": add,
+            "schema": df.schema.jsonValue(),
+        }
+        if add:
+            have = StructType.fromJson(after["schema"])
+            entry["schema"] = StructType([*have, *(f for f in df.schema if f.name not in have.names)]).jsonValue()
         fs, p = self._hadoop(self._log_path(version))
         try:
             stream = fs.create(p, False)
         except Exception as e:
+            self._delete(folder)
             raise SinkError("another writer made this version", {"version": version}) from e
         stream.write(bytearray(json.dumps(entry).encode()))
         stream.close()
@@ -97,34 +125,64 @@ class SnapshotTable:
         if not log:
             raise SourceError("no such table", {"path": self.path})
         if version is None and timestamp is not None:
-            at = timestamp if isinstance(timestamp, int | float) else self.spark.range(1).select(F.lit(timestamp).cast("timestamp").cast("double")).first()[0]
-            known = [e["version"] for e in log if e["timestamp"] <= at]
-            if not known:
-                raise SourceError("the table is younger", {"timestamp": timestamp})
-            version = known[-1]
+            version = self._version_at(timestamp)
+        known = {e["version"]: e for e in log}
         version = log[-1]["version"] if version is None else version
-        if version not in {e["version"] for e in log}:
+        if version not in known:
             raise SourceError("no such version", {"version": version})
-        return self.spark.read.parquet(self._data_path(version))
+        return self._folders(known[version]["folders"], known[version])
+
+    def _folders(self, folders: Sequence[str], entry: dict[str, Any]) -> DataFrame:
+        """Folders under the schema of a version; columns that a folder lacks are null."""
+        schema = StructType.fromJson(entry["schema"])
+        # under the common root a write's name is one more partition column, so folders may have partitions of their own
+        df = self.spark.read.schema(schema).option("basePath", f"{self.path}/data").parquet(*folders)
+        return df.select(*[F.col(f"`{c}`") for c in schema.names])
+
+    def _seconds(self, timestamp: float | str) -> float:
+        return timestamp if isinstance(timestamp, int | float) else self.spark.range(1).select(F.lit(timestamp).cast("timestamp").cast("double")).first()[0]
+
+    def _version_at(self, timestamp: float | str) -> int:
+        """What was the latest version at a time."""
+        at = self._seconds(timestamp)
+        known = [e["version"] for e in self._log() if e["timestamp"] <= at]
+        if not known:
+            raise SourceError("the table is younger", {"timestamp": timestamp})
+        return known[-1]
 
     def history(self, limit: int | None = None) -> DataFrame:
         """Versions, the latest first."""
         rows = [(e["version"], e["timestamp"], e["operation"], json.dumps(e["parameters"])) for e in reversed(self._log())][: limit or None]
         return self.spark.createDataFrame(rows, "version long, timestamp double, operation string, parameters string").withColumn("timestamp", F.col("timestamp").cast("timestamp"))
 
-    def changes(self, start: int, end: int | None = None, keys: Sequence[str] = ()) -> DataFrame:
+    def changes(self, start: int | None = None, end: int | None = None, keys: Sequence[str] = (), since: float | str | None = None, until: float | str | None = None) -> DataFrame:
         """What each version from ``start`` to ``end`` changed: its rows with ``_change_type`` (insert, delete,
-        update_preimage, update_postimage) and ``_commit_version``.  Snapshots are compared by the keys; without keys a
-        changed row is a delete and an insert, and repeated rows count."""
-        end = self.version() if end is None else end
+        update_preimage, update_postimage) and ``_commit_version``.  Instead of versions times may be given: the versions made
+        from ``since`` to ``until``.  Appends are inserts, read from what they added alone.  Other versions are compared with the
+        one before by the keys; without keys a changed row is a delete and an insert, and repeated rows count."""
+        log = self._log()
+        chosen = [
+            (i, e)
+            for i, e in enumerate(log)
+            if (start is None or e["version"] >= start)
+            and (end is None or e["version"] <= end)
+            and (since is None or e["timestamp"] >= self._seconds(since))
+            and (until is None or e["timestamp"] <= self._seconds(until))
+        ]
         found = None
-        for v in range(start, end + 1):
-            now = self.read(v)
-            before = self.read(v - 1) if v > 0 else now.limit(0)
-            one = self._diff(before, now, keys).withColumn("_commit_version", F.lit(v).cast("long"))
+        for i, e in chosen:
+            if e["added"]:
+                one = self._folders(e["folders"][-1:], e).withColumn("_change_type", F.lit("insert"))
+            else:
+                now = self._folders(e["folders"], e)
+                if i == 0 and e["version"] > 0:
+                    raise SourceError("the version before was vacuumed", {"version": e["version"]})
+                before = self._folders(log[i - 1]["folders"], log[i - 1]) if i else now.limit(0)
+                one = self._diff(before, now, keys)
+            one = one.withColumn("_commit_version", F.lit(e["version"]).cast("long"))
             found = one if found is None else found.unionByName(one, allowMissingColumns=True)
         if found is None:
-            raise SourceError("no versions in this range", {"start": start, "end": end})
+            raise SourceError("no versions in this range", {"start": start, "end": end, "since": since, "until": until})
         return found
 
     def _diff(self, before: DataFrame, now: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -153,32 +211,40 @@ class SnapshotTable:
     # writing
 
     def write(self, df: DataFrame, mode: str = "append", partition_by: Sequence[str] = ()) -> int:
-        """Append to, overwrite or create the table; returns the version.  Appending unites schemas by name."""
-        exists = self.exists()
+        """Append to, overwrite or create the table; returns the version.  Appending writes the new rows alone; schemas unite
+        by name, and columns that the table has are cast to its types."""
+        log = self._log()
+        exists = bool(log)
         if exists and mode in ("error", "errorifexists"):
             raise SinkError("the table exists", {"path": self.path})
         if exists and mode == "ignore":
-            return self.version()
+            return log[-1]["version"]
         if mode not in ("append", "overwrite", "error", "errorifexists", "ignore"):
             raise SinkError(f"unknown mode {mode!r}")
         if exists and not partition_by:
-            partition_by = self._log()[-1]["partition_by"]
-        if exists and mode == "append":
-            df = self.read().unionByName(df, allowMissingColumns=True)
-        return self._commit(df, "WRITE", partition_by, mode=mode)
+            partition_by = log[-1]["partition_by"]
+        add = exists and mode == "append"
+        if add:
+            kinds = {f.name: f.dataType for f in StructType.fromJson(log[-1]["schema"])}
+            if list(partition_by) != log[-1]["partition_by"]:
+                raise SinkError("an append can't change the partition columns", {"have": log[-1]["partition_by"], "given": list(partition_by)})
+            missing = [c for c in partition_by if c not in df.columns]
+            df = df.select(*[F.col(f"`{c}`").cast(kinds[c]).alias(c) if c in kinds else F.col(f"`{c}`") for c in df.columns], *[F.lit(None).cast(kinds[c]).alias(c) for c in missing])
+        return self._commit(df, "WRITE", log[-1] if exists else None, partition_by, add, mode=mode)
 
     def merge(self, source: DataFrame, keys: Sequence[str] = (), clauses: Sequence[When] = UPSERT, condition: str | None = None) -> int:
         """Merge by equal keys, or by an SQL condition on ``s.`` and ``t.`` columns.  Of the clauses the first whose
-        condition holds applies.  A target row that several source rows match is an error.  Without a table the inserts
-        make it."""
+        condition holds applies.  A target row that several source rows match is an error: with keys those of the source are
+        counted first, and only if some repeat the target is asked for them.  Without a table the inserts make it."""
         if not keys and not condition:
             raise SinkError("a merge needs keys or a condition")
-        if not self.exists():
+        log = self._log()
+        if not log:
             inserts = [c for c in clauses if c.action == "insert"]
             if not inserts:
                 raise SourceError("no such table", {"path": self.path})
-            return self._commit(source, "MERGE", keys=list(keys))
-        target = self.read()
+            return self._commit(source, "MERGE", None, keys=list(keys))
+        target = self._folders(log[-1]["folders"], log[-1])
         names = target.columns + [c for c in source.columns if c not in target.columns]
         kinds = dict(source.dtypes) | dict(target.dtypes)
         t = target.withColumn("_t", F.lit(1)).withColumn("_row", F.monotonically_increasing_id()).alias("t")
@@ -190,7 +256,11 @@ class SnapshotTable:
             for k in keys:
                 test = test & (F.col(f"s.`{k}`") == F.col(f"t.`{k}`"))
         joined = t.join(s, test, "full_outer")
-        twice = joined.where("_t = 1 and _s = 1").groupBy("t._row").count().where("count > 1")
+        if condition:
+            twice = t.join(s, test).groupBy("t._row").count().where("count > 1")
+        else:
+            twice = source.groupBy(*[F.col(f"`{k}`") for k in keys]).count().where("count > 1").drop("count")
+            twice = target.join(twice, list(keys), "left_semi") if not twice.isEmpty() else twice
         if not twice.isEmpty():
             raise SinkError("several source rows match one row", {"keys": list(keys)})
 
@@ -219,34 +289,41 @@ class SnapshotTable:
                     out = out.when(F.col("_choice") == i, new)
             return out.alias(name)
 
-        return self._commit(joined.where(keep).select(*[value(c) for c in names]), "MERGE", self._log()[-1]["partition_by"], keys=list(keys))
+        return self._commit(joined.where(keep).select(*[value(c) for c in names]), "MERGE", log[-1], log[-1]["partition_by"], keys=list(keys))
 
     def delete(self, condition: str) -> int:
         """Remove the rows for which the condition is true."""
-        return self._commit(self.read().where(~F.coalesce(F.expr(condition), F.lit(False))), "DELETE", self._log()[-1]["partition_by"], condition=condition)
+        last = self._last()
+        return self._commit(self._folders(last["folders"], last).where(~F.coalesce(F.expr(condition), F.lit(False))), "DELETE", last, last["partition_by"], condition=condition)
 
     def update(self, values: Mapping[str, str], condition: str = "true") -> int:
-        df = self.read()
+        last = self._last()
+        df = self._folders(last["folders"], last)
         kinds = dict(df.dtypes)
         hit = F.coalesce(F.expr(condition), F.lit(False))
-        return self._commit(df.select(*[F.when(hit, F.expr(values[c]).cast(kinds[c])).otherwise(F.col(c)).alias(c) if c in values else F.col(c) for c in df.columns]), "UPDATE", self._log()[-1]["partition_by"], condition=condition)
+        return self._commit(df.select(*[F.when(hit, F.expr(values[c]).cast(kinds[c])).otherwise(F.col(c)).alias(c) if c in values else F.col(c) for c in df.columns]), "UPDATE", last, last["partition_by"], condition=condition)
 
-    def optimize(self, cluster_by: Sequence[str] = (), files: int = 8) -> int | None:
-        """Rewrite in ``files`` files, ordered by columns so that their minima and maxima let scans skip.  Nothing happens
-        without a table."""
-        if not self.exists():
+    def optimize(self, cluster_by: Sequence[str] = (), files: int | None = None) -> int | None:
+        """Rewrite in ``files`` files, by default one for each ``FILE_BYTES`` of the table, ordered by columns so that their
+        minima and maxima let scans skip.  Nothing happens without a table."""
+        log = self._log()
+        if not log:
             return None
-        df = self.read()
-        df = df.repartitionByRange(files, *cluster_by).sortWithinPartitions(*cluster_by) if cluster_by else df.coalesce(files)
-        return self._commit(df, "OPTIMIZE", self._log()[-1]["partition_by"], cluster_by=list(cluster_by))
+        if files is None:
+            fs, _ = self._hadoop(self.path)
+            files = math.ceil(sum(fs.getContentSummary(self._hadoop(f)[1]).getLength() for f in log[-1]["folders"]) / FILE_BYTES) or 1
+        df = self._folders(log[-1]["folders"], log[-1])
+        df = df.repartitionByRange(files, *cluster_by).sortWithinPartitions(*cluster_by) if cluster_by else df.repartition(files)
+        return self._commit(df, "OPTIMIZE", log[-1], log[-1]["partition_by"], cluster_by=list(cluster_by))
 
     def vacuum(self, retention_hours: float = 168) -> list[int]:
-        """Delete snapshots that were replaced longer ago than that; the latest always stays.  Returns their versions."""
-        log, gone = self._log(), []
-        for old, new in zip(log, log[1:], strict=False):
-            if new["timestamp"] < time.time() - retention_hours * 3600:
-                for path in (self._data_path(old["version"]), self._log_path(old["version"])):
-                    fs, p = self._hadoop(path)
-                    fs.delete(p, True)
-                gone.append(old["version"])
-        return gone
+        """Forget versions that were replaced longer ago than that, the latest never, and delete the folders that no other
+        version has.  Returns the versions."""
+        log, edge = self._log(), time.time() - retention_hours * 3600
+        gone = [old for old, new in zip(log, log[1:], strict=False) if new["timestamp"] < edge]
+        kept = {f for e in log[len(gone) :] for f in e["folders"]}
+        for e in gone:
+            self._delete(self._log_path(e["version"]))
+        for folder in {f for e in gone for f in e["folders"]} - kept:
+            self._delete(folder)
+        return [e["version"] for e in gone]

@@ -84,6 +84,49 @@ def test_snapshot_table(spark, tmp_path):
         table.read(version=0)
 
 
+def test_snapshot_writers_that_race(spark, tmp_path, monkeypatch):
+    """The later of two writers of one version fails, and the version stays as the first made it."""
+    table, late = (SnapshotTable(spark, str(tmp_path / "t")) for _ in range(2))
+    table.write(spark.range(3))
+    stale = table._log()
+    table.write(spark.range(3, 8))
+    for write in (lambda: late.write(spark.range(100, 101)), lambda: late.write(spark.range(1), "overwrite"), lambda: late.delete("id > 1"), lambda: late.merge(spark.range(2), ["id"]), lambda: late.optimize()):
+        with monkeypatch.context() as m:
+            m.setattr(late, "_log", lambda: stale)
+            with pytest.raises(SinkError):
+                write()
+        assert rows(table.read()) == [(i,) for i in range(8)] and table.version() == 1
+    first = SnapshotTable(spark, str(tmp_path / "new"))
+    with monkeypatch.context() as m:
+        m.setattr(first, "_log", lambda: [])
+        SnapshotTable(spark, first.path).write(spark.range(2))
+        with pytest.raises(SinkError):
+            first.write(spark.range(5), "overwrite")
+    assert first.read().count() == 2
+    assert len(list((tmp_path / "t" / "data").iterdir())) == 2
+
+
+def test_snapshot_append_writes_its_rows_alone(spark, tmp_path):
+    table = SnapshotTable(spark, str(tmp_path / "t"))
+    table.write(spark.createDataFrame([(1, "a"), (2, "b")], "id int, k string"), partition_by=["k"])
+    before = {f: f.stat().st_mtime_ns for f in tmp_path.rglob("*.parquet")}
+    table.write(spark.createDataFrame([("a", 3, True)], "k string, id long, vip boolean"))
+    table.write(spark.createDataFrame([], "k string, id int"))
+    assert all(f.stat().st_mtime_ns == t for f, t in before.items()) and len(list(tmp_path.rglob("*.parquet"))) == len(before) + 1
+    assert rows(table.read().select("id", "k", "vip"), "id") == [(1, "a", None), (2, "b", None), (3, "a", True)]
+    assert dict(table.read().dtypes)["id"] == "int"
+    changed = table.changes(1, keys=["id"])
+    assert [(r.id, r._change_type, r._commit_version) for r in changed.collect()] == [(3, "insert", 1)]
+    times = [e["timestamp"] for e in table._log()]
+    assert table.changes(since=times[1], until=times[1]).count() == 1 and table.changes(until=times[0]).count() == 2
+    with pytest.raises(SourceError):
+        table.changes(since=times[-1] + 10)
+    with pytest.raises(SinkError):
+        table.write(spark.range(1), partition_by=["id"])
+    table.optimize(["id"])
+    assert table.vacuum(0) == [0, 1, 2] and table.read().count() == 3 and len(list((tmp_path / "t" / "data").iterdir())) == 1
+
+
 def test_jdbc(spark):
     db = Jdbc("jdbc:derby:memory:unit;create=true", "org.apache.derby.iapi.jdbc.AutoloadedDriver")
     db.execute(spark, "CREATE TABLE scores (id INT PRIMARY KEY, v INT)")
