@@ -31,9 +31,8 @@ SILVER = Pipeline(
 
 def enriched(t: Tables) -> DataFrame:
     """The sales view through all silver operators."""
-    customers = sales_customers(t)
-    df = sales_orders(t).transform(silver.enrich_orders(customers, sales_products(t))).transform(SILVER)
-    return df.join(customers.select("customer_id", (F.col("balance_cents") * F.lit("0.01").cast("decimal(3,2)")).alias("lifetime_value")), "customer_id", "left")
+    customers = sales_customers(t).withColumn("lifetime_value", F.col("balance_cents") * F.lit("0.01").cast("decimal(3,2)"))
+    return sales_orders(t).transform(silver.enrich_orders(customers, sales_products(t), more=["lifetime_value"])).transform(SILVER)
 
 
 def _sql(select: str, extra: str = "") -> str:
@@ -187,7 +186,7 @@ ENTRIES: dict[str, Entry] = {
           WHEN recency_score >= 4 AND frequency_score <= 2 THEN 'At Risk' WHEN recency_score <= 2 AND frequency_score >= 4 THEN 'Cannot Lose Them' WHEN recency_score >= 4 AND monetary_score >= 3 THEN 'Promising' ELSE 'Needs Attention' END AS customer_value_segment FROM g7s""",
             f"""g7 AS (SELECT customer_id, customer_name, max({_DAY}) AS last_day, (SELECT max({_DAY}) FROM enriched) AS report_date, count(order_id) AS purchase_frequency, sum(total_c) AS m_c FROM enriched GROUP BY 1, 2),
           g7d AS (SELECT *, CAST(date_diff('day', last_day, report_date) AS INTEGER) AS days_since_last_purchase FROM g7),
-          g7s AS (SELECT *, CAST(ntile(5) OVER (ORDER BY days_since_last_purchase DESC, customer_id) AS INTEGER) AS recency_score, CAST(ntile(5) OVER (ORDER BY purchase_frequency, customer_id) AS INTEGER) AS frequency_score, CAST(ntile(5) OVER (ORDER BY m_c, customer_id) AS INTEGER) AS monetary_score FROM g7d)""",
+          g7s AS (SELECT *, CAST(ntile(5) OVER (ORDER BY days_since_last_purchase DESC, md5(CAST(customer_id AS VARCHAR))) AS INTEGER) AS recency_score, CAST(ntile(5) OVER (ORDER BY purchase_frequency, md5(CAST(customer_id AS VARCHAR))) AS INTEGER) AS frequency_score, CAST(ntile(5) OVER (ORDER BY m_c, md5(CAST(customer_id AS VARCHAR))) AS INTEGER) AS monetary_score FROM g7d)""",
         ),
     ),
     "G8_daily_product_sales": (

@@ -144,57 +144,74 @@ def top_products(n: int = 20, stamp: bool = True) -> Operator:
     return run
 
 
+# The segments of customers in the order in which they are tried, with what each score must be.
+SEGMENTS = (
+    ("Champions", "recency_score >= 4 AND frequency_score >= 4 AND monetary_score >= 4"),
+    ("Loyal Customers", "recency_score >= 3 AND frequency_score >= 3 AND monetary_score >= 3"),
+    ("At Risk", "recency_score >= 4 AND frequency_score <= 2"),
+    ("Cannot Lose Them", "recency_score <= 2 AND frequency_score >= 4"),
+    ("Promising", "recency_score >= 4 AND monetary_score >= 3"),
+)
+OTHER_SEGMENT = "Needs Attention"
+
+
 def rfm(as_of: str | None = None, literal: bool = False, stamp: bool = True) -> Operator:
     """Recency, frequency and monetary value of each customer at a date (the last order's by default), scored 1 to 5.
 
     A high recency score means a recent purchase; ``literal`` scores the most recent 1.  Quintiles are taken in the order
-    of value and customer_id, by counting rows up to each value (:func:`_quintile`), so no task sorts all customers.
+    of value and, among equal values, of the MD5 of customer_id (:func:`_quintiles`): no task sorts all customers, and no
+    job runs while the plan is built.
     """
 
     def run(df: DataFrame) -> DataFrame:
-        day = F.to_date(F.lit(as_of)) if as_of else None
         base = df.groupBy("customer_id", "customer_name").agg(F.max(F.to_date("order_date")).alias("_last"), F.count("order_id").alias("purchase_frequency"), F.sum("total_amount").alias("monetary_value"))
-        if day is None:
-            base = base.crossJoin(F.broadcast(df.agg(F.max(F.to_date("order_date")).alias("report_date"))))
+        if as_of is None:
+            base = base.crossJoin(F.broadcast(base.agg(F.max("_last").alias("report_date"))))
         else:
-            base = base.withColumn("report_date", day)
+            base = base.withColumn("report_date", F.to_date(F.lit(as_of)))
         base = base.withColumn("days_since_last_purchase", F.datediff("report_date", "_last")).drop("_last")
-        order = {"recency_score": F.col("days_since_last_purchase") if literal else -F.col("days_since_last_purchase"), "frequency_score": F.col("purchase_frequency"), "monetary_score": F.col("monetary_value")}
-        for name, value in order.items():
-            base = _quintile(base, value, name)
-        r, f, m = (F.col(c) for c in order)
-        segment = (
-            F.when((r >= 4) & (f >= 4) & (m >= 4), "Champions")
-            .when((r >= 3) & (f >= 3) & (m >= 3), "Loyal Customers")
-            .when((r >= 4) & (f <= 2), "At Risk")
-            .when((r <= 2) & (f >= 4), "Cannot Lose Them")
-            .when((r >= 4) & (m >= 3), "Promising")
-            .otherwise("Needs Attention")
-        )
-        out = base.withColumn("rfm_score", F.concat_ws("", *order)).withColumn("customer_value_segment", segment)
+        recency = F.col("days_since_last_purchase") if literal else -F.col("days_since_last_purchase")
+        scores = {"recency_score": recency, "frequency_score": F.col("purchase_frequency"), "monetary_score": F.col("monetary_value")}
+        base = _quintiles(base, scores)
+        segment = F.lit(None).cast("string")
+        for name, rule in reversed(SEGMENTS):
+            segment = F.when(F.expr(rule), name).otherwise(segment)
+        out = base.withColumn("rfm_score", F.concat_ws("", *scores)).withColumn("customer_value_segment", F.coalesce(segment, F.lit(OTHER_SEGMENT)))
         return _stamped(out, stamp)
 
     return run
 
 
-def _quintile(df: DataFrame, value: Column, name: str, tiles: int = 5, bands: int = 64) -> DataFrame:
-    """ntile over the whole table without a window over the whole table: rows are numbered within hash-free value bands,
-    whose sizes are summed first.  Bands come from approximate quantiles, so they are even; their number is fixed."""
-    keyed = df.withColumn("_v", value.cast("double"))
-    cuts = sorted(set(keyed.stat.approxQuantile("_v", [i / bands for i in range(1, bands)], 0.001)))
-    band = F.lit(0)
-    for c in cuts:
-        band = band + F.when(F.col("_v") > c, 1).otherwise(0)
-    keyed = keyed.withColumn("_band", band)
-    sizes = keyed.groupBy("_band").agg(F.count(F.lit(1)).alias("_n"))
-    up_to = Window.orderBy("_band").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = sizes.withColumn("_before", F.coalesce(F.sum("_n").over(up_to), F.lit(0))).withColumn("_all", F.sum("_n").over(Window.partitionBy()))
-    row = F.row_number().over(Window.partitionBy("_band").orderBy("_v", "customer_id")) + F.col("_before") - 1
-    numbered = keyed.join(F.broadcast(sizes.drop("_n")), "_band").withColumn("_row", row)
-    small, extra = F.floor(F.col("_all") / tiles), F.col("_all") % tiles
-    edge = extra * (small + 1)
-    tile = F.when(F.col("_row") < edge, F.floor(F.col("_row") / (small + 1))).otherwise(extra + F.floor((F.col("_row") - edge) / F.greatest(small, F.lit(1))))
-    return numbered.withColumn(name, (tile + 1).cast("int")).drop("_v", "_band", "_before", "_all", "_row")
+def _quintiles(df: DataFrame, scores: dict[str, Column], tiles: int = 5) -> DataFrame:
+    """ntile over the whole table for each of ``scores``, without a window over the whole table.
+
+    Rows are numbered within bands of values: 256 for each factor of e, so small whole numbers have one each and a band of
+    others spans 0.4 %.  A band of a single value is dealt further by the first digits of the row's hash, which is the
+    order there.  Bands and their sizes come from one aggregation for all scores; only they, at most some 90 million and
+    in practice thousands, are summed up in order.
+    """
+    band = lambda v: (F.signum(v) * F.floor(F.log1p(F.abs(v)) * 256)).cast("long")
+    df = df.withColumn("_hash", F.md5(F.coalesce(F.col("customer_id").cast("string"), F.lit("")).cast("binary")))
+    for i, value in enumerate(scores.values()):
+        df = df.withColumn(f"_v{i}", value.cast("double")).withColumn(f"_b{i}", F.coalesce(band(F.col(f"_v{i}")), F.lit(-(1 << 62))))
+    df = df.withColumn("_digits", F.substring("_hash", 1, 2))
+    each = F.explode(F.array(*[F.struct(F.lit(i).alias("_score"), F.col(f"_b{i}").alias("_band"), F.col(f"_v{i}").alias("_v")) for i in range(len(scores))]))
+    sizes = df.select("_digits", each.alias("e")).groupBy("e._score", "e._band", "_digits").agg(F.count(F.lit(1)).alias("_n"), F.min("e._v").alias("_low"), F.max("e._v").alias("_high"))
+    whole = Window.partitionBy("_score", "_band")
+    one_value = F.coalesce(F.min("_low").over(whole) == F.max("_high").over(whole), F.lit(True))
+    sizes = sizes.withColumn("_part", F.when(one_value, F.col("_digits")).otherwise("")).groupBy("_score", "_band", "_part").agg(F.sum("_n").alias("_n"))
+    order = Window.partitionBy("_score").orderBy("_band", "_part").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.withColumn("_before", F.coalesce(F.sum("_n").over(order), F.lit(0))).withColumn("_all", F.sum("_n").over(Window.partitionBy("_score")))
+    for i, name in enumerate(scores):
+        here = sizes.where(F.col("_score") == i).select(F.col("_band").alias(f"_b{i}"), "_part", "_before", "_all")
+        parts = here.groupBy(f"_b{i}").agg((F.max("_part") != "").alias("_split"))
+        df = df.join(parts, f"_b{i}").withColumn("_part", F.when(F.col("_split"), F.col("_digits")).otherwise("")).join(here, [f"_b{i}", "_part"])
+        row = F.row_number().over(Window.partitionBy(f"_b{i}", "_part").orderBy(f"_v{i}", "_hash")) + F.col("_before") - 1
+        small, extra = F.floor(F.col("_all") / tiles), F.col("_all") % tiles
+        edge = extra * (small + 1)
+        tile = F.when(F.col("_row") < edge, F.floor(F.col("_row") / (small + 1))).otherwise(extra + F.floor((F.col("_row") - edge) / F.greatest(small, F.lit(1))))
+        df = df.withColumn("_row", row).withColumn(name, (tile + 1).cast("int")).drop("_split", "_part", "_before", "_all", "_row")
+    return df.drop("_hash", "_digits", *[f"_{x}{i}" for x in "vb" for i in range(len(scores))])
 
 
 def daily_product_sales() -> Operator:

@@ -27,15 +27,16 @@ def _mapped(column: Column, values: Mapping[str, str], otherwise: str) -> Column
     return out.otherwise(otherwise)
 
 
-def enrich_orders(customers: DataFrame | None = None, products: DataFrame | None = None) -> Operator:
+def enrich_orders(customers: DataFrame | None = None, products: DataFrame | None = None, more: Sequence[str] = ()) -> Operator:
     """Add customer_name, customer_segment, customer_country, is_vip_customer, product_name, product_category,
-    product_brand and product_price; a side that isn't given has nulls, N and the order's own price."""
+    product_brand and product_price; a side that isn't given has nulls, N and the order's own price.  ``more`` names further
+    columns of the customers that come along in the same lookup."""
 
     def run(df: DataFrame) -> DataFrame:
         if customers is None:
             df = df.withColumns({c: F.lit(None).cast("string") for c in ("customer_name", "customer_segment", "customer_country")} | {"is_vip_customer": F.lit("N")})
         else:
-            side = customers.select("customer_id", F.col("name").alias("customer_name"), F.col("segment").alias("customer_segment"), F.col("country").alias("customer_country"), F.col("is_vip").alias("is_vip_customer"))
+            side = customers.select("customer_id", F.col("name").alias("customer_name"), F.col("segment").alias("customer_segment"), F.col("country").alias("customer_country"), F.col("is_vip").alias("is_vip_customer"), *more)
             df = df.transform(lookup(side, "customer_id"))
         if products is None:
             return df.withColumns({c: F.lit(None).cast("string") for c in ("product_name", "product_category", "product_brand")} | {"product_price": F.col("unit_price")})
