@@ -255,7 +255,7 @@ ENTRIES: dict[str, Entry] = {
         "SELECT r_regionkey, r_name FROM region",
     ),
     "F17_expr": (lambda t: t.lineitem.select("l_orderkey", F.expr("l_quantity * 2 + l_linenumber").alias("v")), "SELECT l_orderkey, l_quantity * 2 + l_linenumber AS v FROM lineitem"),
-    "F18_input_file": (lambda t: t.region.select("r_regionkey", F.input_file_name().endswith("region.parquet").alias("v")), None),
+    "F18_input_file": (lambda t: t.region.select("r_regionkey", F.input_file_name().endswith("region.parquet").alias("v")), "SELECT r_regionkey, true AS v FROM region"),
     "F19_F20_normalise": (
         lambda t: t.spark.createDataFrame([(1, " Oui", "Homme"), (2, "0", "f"), (3, "maybe", "x"), (4, None, None)], "id long, b string, g string").select("id", parse_boolean("b").alias("b"), parse_gender("g").alias("g")),
         "SELECT * FROM (VALUES (1::BIGINT, true, 'M'), (2, false, 'F'), (3, NULL, 'U'), (4, NULL, 'U')) AS v(id, b, g)",

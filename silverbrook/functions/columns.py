@@ -18,16 +18,23 @@ def parse_timestamp(column: str | Column, formats: Sequence[str]) -> Column:
     return F.coalesce(*[F.try_to_timestamp(c, F.lit(f)) for f in formats])
 
 
+# The words for yes and no, and for the genders.
+YES = ("true", "1", "yes", "oui", "y")
+NO = ("false", "0", "no", "non", "n")
+MALE = ("m", "male", "homme", "h")
+FEMALE = ("f", "female", "femme")
+
+
 def parse_boolean(column: str | Column) -> Column:
-    """true/1/yes/oui/y and false/0/no/non/n in any case, else null."""
+    """True for the words of ``YES``, false for those of ``NO``, in any case, else null."""
     c = F.lower(F.trim(F.col(column) if isinstance(column, str) else column))
-    return F.when(c.isin("true", "1", "yes", "oui", "y"), True).when(c.isin("false", "0", "no", "non", "n"), False)
+    return F.when(c.isin(*YES), True).when(c.isin(*NO), False)
 
 
 def parse_gender(column: str | Column) -> Column:
     """M, F or U."""
     c = F.lower(F.trim(F.col(column) if isinstance(column, str) else column))
-    return F.when(c.isin("m", "male", "homme", "h"), "M").when(c.isin("f", "female", "femme"), "F").otherwise("U")
+    return F.when(c.isin(*MALE), "M").when(c.isin(*FEMALE), "F").otherwise("U")
 
 
 def flag(condition: Column) -> Column:

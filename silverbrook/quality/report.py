@@ -14,7 +14,7 @@ from silverbrook.quality.checks import CRITICAL, ERROR, RESULT, Result
 #: Shares of good rows that pass.
 COMPLETE, VALID, CONSISTENT = 0.95, 0.95, 0.99
 # Fixed value: the pattern of an address that counts as valid.
-EMAIL = r"^[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}$"
+EMAIL = r"^[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}$"
 
 
 @dataclass(frozen=True)
@@ -38,6 +38,15 @@ def completeness(required: Sequence[str]) -> list[Measure]:
     return [Measure(f"completeness_{c}", "completeness", c, F.count(F.lit(1)), _set(c), COMPLETE, (c,)) for c in required]
 
 
+def complete_on_average(df: DataFrame, required: Sequence[str], important: Sequence[str] = (), severity: str = ERROR) -> list[Result]:
+    """The verdict on the mean completeness of the required columns, then each column for information: what required ones
+    hold, a missing one nothing, and important ones if they are there.  All in one aggregation."""
+    found = evaluate(df, [replace(m, least=0.0) for m in completeness([*required, *(c for c in important if c in df.columns)])], severity)
+    total = max((r.total or 0 for r in found), default=0)
+    score = sum(r.score for r in found[: len(required)]) / len(required) if required else 0.0
+    return [Result("completeness", "completeness", ",".join(required), severity, score >= COMPLETE, total, int(total * score), score), *found]
+
+
 def uniqueness(*keys: str | Sequence[str]) -> list[Measure]:
     """Single columns and composite keys must both be unique."""
     out = []
