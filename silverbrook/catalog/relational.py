@@ -37,8 +37,12 @@ def _europe(t: Tables) -> DataFrame:
     return t.nation.where("n_regionkey in (1, 3)")
 
 
-def _rich(t: Tables) -> DataFrame:
-    return t.customer.where("c_acctbal > 9000").select("c_custkey", "c_acctbal")
+def _moved(t: Tables) -> DataFrame:
+    """All customers, every third under a key that no order has."""
+    return t.customer.select(F.when(F.col("c_custkey") % 3 == 0, -F.col("c_custkey")).otherwise(F.col("c_custkey")).alias("c_custkey"), "c_acctbal")
+
+
+_MOVED = "(SELECT * REPLACE (CASE WHEN c_custkey % 3 = 0 THEN -c_custkey ELSE c_custkey END AS c_custkey) FROM customer)"
 
 
 def _agg(function: str, column: str = "l_quantity", **more):
@@ -95,15 +99,17 @@ ENTRIES: dict[str, Entry] = {
     # joins
     "J1_inner": (lambda t: t.orders.transform(J.join(t.customer, conditions=[J.On("o_custkey", "c_custkey")])).select("o_orderkey", "c_name"), "SELECT o_orderkey, c_name FROM orders JOIN customer ON o_custkey = c_custkey"),
     "J1_left": (lambda t: t.customer.transform(J.join(t.orders, "left", conditions=[J.On("c_custkey", "o_custkey")])).select("c_custkey", "o_orderkey"), "SELECT c_custkey, o_orderkey FROM customer LEFT JOIN orders ON c_custkey = o_custkey"),
-    "J1_right": (lambda t: _rich(t).transform(J.join(t.orders, "right", conditions=[J.On("c_custkey", "o_custkey")])).select("c_custkey", "o_orderkey"), "SELECT c_custkey, o_orderkey FROM (SELECT * FROM customer WHERE c_acctbal > 9000) RIGHT JOIN orders ON c_custkey = o_custkey"),
+    "J1_right": (lambda t: _moved(t).transform(J.join(t.orders, "right", conditions=[J.On("c_custkey", "o_custkey")])).select("c_custkey", "o_orderkey"), f"SELECT c_custkey, o_orderkey FROM {_MOVED} RIGHT JOIN orders ON c_custkey = o_custkey"),
     "J1_full": (
-        lambda t: t.customer.where("c_acctbal > 5000").select(F.col("c_nationkey").alias("k"), "c_custkey").transform(J.join(t.supplier.where("s_acctbal < 3000").select(F.col("s_nationkey").alias("k"), "s_suppkey"), "full", on=["k"])),
-        "SELECT coalesce(c.c_nationkey, s.s_nationkey) AS k, c_custkey, s_suppkey FROM (SELECT * FROM customer WHERE c_acctbal > 5000) c FULL JOIN (SELECT * FROM supplier WHERE s_acctbal < 3000) s ON c_nationkey = s_nationkey",
+        lambda t: t.customer.select((F.col("c_nationkey") + F.when(F.col("c_custkey") % 5 == 0, 100).otherwise(0)).alias("k"), "c_custkey").transform(
+            J.join(t.supplier.select((F.col("s_nationkey") + F.when(F.col("s_suppkey") % 5 == 0, 200).otherwise(0)).alias("k"), "s_suppkey"), "full", on=["k"])
+        ),
+        "SELECT coalesce(c.k, s.k) AS k, c_custkey, s_suppkey FROM (SELECT c_nationkey + CASE WHEN c_custkey % 5 = 0 THEN 100 ELSE 0 END AS k, c_custkey FROM customer) c FULL JOIN (SELECT s_nationkey + CASE WHEN s_suppkey % 5 = 0 THEN 200 ELSE 0 END AS k, s_suppkey FROM supplier) s ON c.k = s.k",
     ),
     "J1_cross": (lambda t: t.region.transform(J.join(t.nation.select("n_name"), "cross")).select("r_name", "n_name"), "SELECT r_name, n_name FROM region, nation"),
     "J2_theta": (
-        lambda t: _rich(t).transform(J.join(t.orders.where("o_totalprice < 9500"), conditions=[J.On("c_custkey", "o_custkey"), J.On("c_acctbal", "o_totalprice", ">")])).select("c_custkey", "o_orderkey"),
-        "SELECT c_custkey, o_orderkey FROM customer JOIN orders ON c_custkey = o_custkey AND c_acctbal > o_totalprice WHERE c_acctbal > 9000 AND o_totalprice < 9500",
+        lambda t: _moved(t).transform(J.join(t.orders, conditions=[J.On("c_custkey", "o_custkey"), J.On("c_acctbal", "o_totalprice", ">")])).select("c_custkey", "o_orderkey"),
+        f"SELECT c_custkey, o_orderkey FROM {_MOVED} JOIN orders ON c_custkey = o_custkey AND c_acctbal > o_totalprice",
     ),
     "J3_suffix": (
         lambda t: t.nation.select(F.col("n_regionkey").alias("key"), F.col("n_name").alias("name")).transform(J.join(t.region.select(F.col("r_regionkey").alias("key"), F.col("r_name").alias("name")), on=["key"], broadcast=True)),
@@ -130,7 +136,7 @@ ENTRIES: dict[str, Entry] = {
         f"SELECT o_orderkey, band FROM orders JOIN {_BANDS} ON o_totalprice >= low AND o_totalprice < high",
     ),
     "J8_inner_using": (lambda t: J.inner_join(t.orders, t.customer.withColumnRenamed("c_custkey", "o_custkey"), "o_custkey").select("o_orderkey", "c_name"), "SELECT o_orderkey, c_name FROM orders JOIN customer ON o_custkey = c_custkey"),
-    "J8_left_using": (lambda t: J.left_join(t.orders, _rich(t).withColumnRenamed("c_custkey", "o_custkey"), ["o_custkey"], True).select("o_orderkey", "c_acctbal"), "SELECT o_orderkey, c_acctbal FROM orders LEFT JOIN (SELECT * FROM customer WHERE c_acctbal > 9000) ON o_custkey = c_custkey"),
+    "J8_left_using": (lambda t: J.left_join(t.orders, _moved(t).withColumnRenamed("c_custkey", "o_custkey"), ["o_custkey"]).select("o_orderkey", "c_acctbal"), f"SELECT o_orderkey, c_acctbal FROM orders LEFT JOIN {_MOVED} ON o_custkey = c_custkey"),
     "J9_lookup_same_key": (lambda t: t.orders.withColumnRenamed("o_custkey", "c_custkey").transform(J.lookup(t.customer, "c_custkey", columns=["c_name"])).select("o_orderkey", "c_name"), "SELECT o_orderkey, c_name FROM orders LEFT JOIN customer ON o_custkey = c_custkey"),
     "J10_anti": (lambda t: J.anti_join(t.customer, t.orders.select(F.col("o_custkey").alias("c_custkey")), "c_custkey"), "SELECT * FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)"),
     "J11_semi": (lambda t: J.semi_join(t.customer, t.orders.where("o_totalprice > 200000").select(F.col("o_custkey").alias("c_custkey")), "c_custkey"), "SELECT * FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders WHERE o_totalprice > 200000)"),
@@ -245,6 +251,10 @@ ENTRIES: dict[str, Entry] = {
         lambda t: t.orders.select("o_orderkey", F.date_format("o_orderdate", "yyyy-MM").alias("m"), F.year("o_orderdate").cast("long").alias("y"), F.month("o_orderdate").cast("long").alias("mm"), F.dayofmonth("o_orderdate").cast("long").alias("d"), F.datediff(F.lit("2002-01-01").cast("date"), "o_orderdate").cast("long").alias("n")),
         "SELECT o_orderkey, strftime(o_orderdate, '%Y-%m') AS m, year(o_orderdate) AS y, month(o_orderdate) AS mm, day(o_orderdate) AS d, date_diff('day', CAST(o_orderdate AS DATE), DATE '2002-01-01') AS n FROM orders",
     ),
+    "F9_timestamps": (
+        lambda t: t.orders.withColumn("_now", F.current_timestamp()).select("o_orderkey", (F.abs(F.unix_timestamp(F.current_timestamp()) - F.unix_timestamp("_now")) < 60).alias("same"), (F.col("_now") > "2020-01-01").alias("after")),
+        "SELECT o_orderkey, true AS same, true AS after FROM orders",
+    ),
     "F10_F11_round_abs": (lambda t: t.customer.select("c_custkey", F.abs("c_acctbal").alias("a"), F.round(F.col("c_acctbal").cast("decimal(12,2)"), 1).cast("double").alias("r")), "SELECT c_custkey, abs(c_acctbal) AS a, CAST(round(CAST(c_acctbal AS DECIMAL(12,2)), 1) AS DOUBLE) AS r FROM customer"),
     "F12_F15_conditions": (
         lambda t: _padded(t).select("c_custkey", F.when(F.col("c_acctbal") < 0, "debt").when(F.col("c_mktsegment").isNull(), "none").otherwise("ok").alias("w"), F.coalesce("c_mktsegment", F.lit("?")).alias("s"), F.col("c_nationkey").isin(1, 2).alias("i"), F.col("c_acctbal").cast("long").alias("n")),

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, functions as F
 
 from silverbrook.catalog.tables import SALES_SQL, Entry, Tables, mean_sql, money_sql, plain, sales_customers, sales_orders, sales_products
 from silverbrook.plans.pipeline import Pipeline
 from silverbrook.sales import gold, silver
-from silverbrook.sales.jobs import clean_customers, gold_job, transform_orders
+from silverbrook.quality import report
+from silverbrook.sales.jobs import clean_customers, gold_job, ingest_orders, quality_job, transform_orders
+from silverbrook.sources.jdbc import Jdbc
 from silverbrook.sources.scratch import scratch
 from silverbrook.sources.snapshots import SnapshotTable
 
@@ -75,6 +79,26 @@ def _through_job(t: Tables, table: str) -> DataFrame:
     return SnapshotTable(t.spark, f"{folder}/{table}").read()
 
 
+def _ingested(t: Tables) -> DataFrame:
+    """A database table through the ingestion job, run twice: bronze appends.  The database lives in the driver's memory."""
+    db = Jdbc(f"jdbc:derby:memory:d{uuid.uuid4().hex};create=true", "org.apache.derby.iapi.jdbc.AutoloadedDriver")
+    db.write(t.nation.select(F.col("n_nationkey").alias("order_id"), F.col("n_name").alias("status")), "orders", "overwrite")
+    bronze = f"{scratch(t.spark, 'bronze')}/orders"
+    for _ in range(2):
+        ingest_orders(db, "orders", bronze).run(t.spark)
+    df = SnapshotTable(t.spark, bronze).read()
+    df = df.toDF(*[c.lower() for c in df.columns])
+    return df.select("order_id", "status", "_source", "_job_name")
+
+
+def _quality(t: Tables) -> DataFrame:
+    """The quality job's written report."""
+    path = scratch(t.spark, "quality")
+    measures = {"customer": report.completeness(["c_custkey", "c_name"]), "orders": [report.numbers("o_totalprice", 1000), *report.uniqueness("o_orderkey")]}
+    quality_job(t.spark, {"customer": t.customer, "orders": t.orders}, measures, path)
+    return t.spark.read.parquet(path).select(F.col("table_name").cast("string").alias("table_name"), "check_name", "passed", "total", "valid")
+
+
 def _orders(t: Tables) -> DataFrame:
     raw = t.orders.select(F.col("o_orderkey").cast("string").alias("order_id"), F.lit(2).alias("quantity"), F.round(F.col("o_totalprice") * 100).cast("long").cast("decimal(12,0)").alias("unit_price"), F.when(F.col("o_orderkey") % 2 == 0, 50).cast("decimal(5,2)").alias("discount"), F.concat(F.lit(" "), "o_orderpriority").alias("status"))
     return plain(raw.unionByName(raw).transform(transform_orders()).select("order_id", "total_amount", "status"))
@@ -216,6 +240,14 @@ ENTRIES: dict[str, Entry] = {
         lambda t: plain(gold.status_summary()(sales_orders(t).withColumnRenamed("order_status", "status"))),
         _sql(f"SELECT order_status AS status, count(*) AS orders, CAST(sum(quantity) AS BIGINT) AS total_quantity, {money_sql('sum(quantity * unit_c)')} AS total_value FROM sales GROUP BY 1"),
     ),
+    "K2_ingest_orders": (_ingested, "SELECT n_nationkey AS order_id, n_name AS status, 'jdbc' AS _source, 'ingest_orders' AS _job_name FROM nation, range(2)"),
+    "K8_quality_job": (
+        _quality,
+        """SELECT 'customer' AS table_name, 'completeness_c_custkey' AS check_name, true AS passed, count(*) AS total, count(c_custkey) AS valid FROM customer
+        UNION ALL SELECT 'customer', 'completeness_c_name', true, count(*), count(c_name) FROM customer
+        UNION ALL SELECT 'orders', 'number_o_totalprice', count(*) FILTER (o_totalprice >= 1000) >= 0.95 * count(*), count(*), count(*) FILTER (o_totalprice >= 1000) FROM orders
+        UNION ALL SELECT 'orders', 'uniqueness_o_orderkey', count(*) = count(DISTINCT o_orderkey), count(*), count(DISTINCT o_orderkey) FROM orders""",
+    ),
     "K3_clean_customers": (
         _customers,
         "SELECT CAST(c_custkey AS VARCHAR) AS customer_id, lower(c_name) || '@mail.com' AS email, 'Ann Lee' AS full_name, c_custkey % 2 = 0 AS is_active, CASE WHEN c_custkey % 3 = 0 THEN 'F' ELSE 'U' END AS gender FROM customer",

@@ -150,10 +150,44 @@ def test_kafka_records(spark, tmp_path):
     with pytest.raises(ValueError):
         Kafka("h:1", "t", starting_offsets="latest")._options(False)
     assert Kafka("h:1", "t")._options(True)["startingOffsets"] == "latest"
+    whole = Kafka("h:1,h:2", "t", group="g", starting_offsets="earliest", max_per_trigger=50, options={"failOnDataLoss": "false"})
+    common = {"kafka.bootstrap.servers": "h:1,h:2", "subscribe": "t", "startingOffsets": "earliest", "kafka.group.id": "g", "failOnDataLoss": "false"}
+    assert whole._options(False) == common and whole._options(True) == common | {"maxOffsetsPerTrigger": "50"}
     with pytest.raises(ValueError):
         start(None, "x", "sometimes")
 
 
+class _Asked:
+    """Stands for a reader or writer and keeps what it was asked."""
+
+    def __init__(self) -> None:
+        self.asked: dict = {}
+
+    def __getattr__(self, name: str):
+        def take(*args, **named):
+            self.asked[args[0] if name == "option" else name] = args[1] if name == "option" else named or args
+            return self
+
+        return take
+
+
+def test_kafka_connector_is_asked_for_what_it_needs(monkeypatch):
+    """The connector isn't here; what it gets is."""
+    from types import SimpleNamespace
+
+    kafka = Kafka("h:1", "t", max_per_trigger=9)
+    for method, side in (("read", "read"), ("read_stream", "readStream")):
+        reader = _Asked()
+        getattr(kafka, method)(SimpleNamespace(**{side: reader}))
+        assert reader.asked["format"] == ("kafka",) and reader.asked["options"] == kafka._options(side == "readStream")
+    for method, args, expected in (("write", (), {"save": ()}), ("write_stream", ("/c", None, "update", "1 minute"), {"outputMode": ("update",), "checkpointLocation": "/c", "trigger": {"processingTime": "1 minute"}, "start": ()})):
+        writer = _Asked()
+        frame = SimpleNamespace(write=writer, writeStream=writer)
+        frame.transform = lambda _, frame=frame: frame
+        getattr(kafka, method)(frame, *args)
+        assert writer.asked == {"format": ("kafka",), "kafka.bootstrap.servers": "h:1", "topic": "t", **expected}
+
+
 def test_checks(spark):
     df = spark.createDataFrame([(1, "a", 5.0), (2, None, -1.0), (2, "z", None)], "id int, s string, v double")
     checks = Checks().not_null("s").unique("id").in_set("s", ["a", "b"]).in_range("v", 0).row_count(3).custom("boom", lambda d: 1 / 0).not_null("nope", severity=WARNING)
