@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 _UNSET = ""
 
@@ -26,19 +29,64 @@ def shared_folder(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
-def cut(df: DataFrame, name: str) -> DataFrame:
+_scopes = threading.local()
+
+
+@contextmanager
+def passing(spark: SparkSession) -> Iterator[None]:
+    """Tables that :func:`cut` makes inside are deleted at the end, but for those made with ``stays``."""
+    open_ = _scopes.__dict__.setdefault("open", [])
+    open_.append([])
+    try:
+        yield
+    finally:
+        for path in open_.pop():
+            delete(spark, path)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def cut(df: DataFrame, name: str, stays: bool = False) -> DataFrame:
+    """:func:`written` without the path."""
+    return written(df, name, stays)[0]
+
+
+def written(df: DataFrame, name: str, stays: bool = False) -> tuple[DataFrame, str]:
     """Write ``df`` as a Parquet table to the shared folder and read it back: lineage ends there, and a lost executor
-    costs only the tasks that were running on it."""
+    costs only the tasks that were running on it.  Within :func:`passing` the table is deleted at its end; with ``stays``
+    it belongs to the next outer one, and without any it stays until the folder is cleared."""
     spark = df.sparkSession
     path = f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    open_ = _scopes.__dict__.setdefault("open", [])
+    if len(open_) > stays:
+        open_[-1 - stays].append(path)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
 
 
 def partitions(spark: SparkSession, least: int = 1) -> int:
     return max(least, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
 
 
+#: Bytes up to which a table may be broadcast, and the copies of each of its rows for the join used beyond that.
+BROADCAST_BYTES, SALTS = 16 << 20, 64
+
+
+def attach(df: DataFrame, table: DataFrame, key: str, size: Column, tie: Column) -> DataFrame:
+    """``df`` with the columns of ``table``, which has one row a key; nulls where it has none.  ``size`` gives the bytes of
+    a row of ``table``.  Their sum decides how: a small table is broadcast; for a large one the rows of a key are dealt to
+    ``SALTS`` parts by ``tie``, as a key may hold a large share of ``df``."""
+    table = cut(table, "attached")
+    bytes_ = table.agg(F.sum(size + 32)).first()[0] or 0
+    if bytes_ <= BROADCAST_BYTES:
+        return df.join(F.broadcast(table), key, "left")
+    spread = table.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+    return df.withColumn("_salt", F.pmod(tie, F.lit(SALTS))).join(spread, [key, "_salt"], "left").drop("_salt")
+
+
 #: The most bytes and rows of a batch in which texts travel to Python.
 BATCH_BYTES, BATCH_ROWS = 4 << 20, 4000
 
