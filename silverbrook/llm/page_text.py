@@ -2,20 +2,23 @@
 
 Tokens of a page are its tags, named by their path, and its text nodes, named by path and text.  A token's occurrence
 vector tells how often each page of a host has it.  Tokens with equal vectors form an equivalence class; classes of two
-tokens or more that half of a host's pages have are its template, and as tokens are named by paths, the tags among them
-nest.  What lies between template tokens is a slot; a page's text is what the lowest element holds that has all prose of
+tokens or more that half of a host's pages have are its template.  Tokens are named by paths from the root, so of two tags
+one path begins the other or they lie apart: the classes nest in one tree on every page.  What lies between template tokens is a slot; a page's text is what the lowest element holds that has all prose of
 its slots, heading included, without asides and without the template's own text, wherever that stands.  Pages of hosts
 without a template have only the names of their elements to go by.
 
 Vectors are never built: a grouped sum of page hashes times occurrences is a digest of a vector, it combines before the
 shuffle, and tokens of one host with equal digests have equal vectors.  A host's template is no larger than two pages.
+
+A page takes time and memory in proportion to its length, whatever it holds: paths are hashes, elements nested deeper than
+``DEPTH`` stand beside each other there, and patterns don't backtrack.
 """
 
 from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from html import unescape
 
 import pyarrow as pa
@@ -23,20 +26,21 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 from silverbrook.llm import wordarrays as wa
-from silverbrook.llm.storage import cut
+from silverbrook.llm.storage import attach, cut
 
 #: Tokens of a class, and the share of a host's pages (two at least) that must have it.
 CLASS_TOKENS, CLASS_SHARE = 2, 0.5
-#: Bytes of all templates that may be broadcast, and the copies of each template for the join used beyond that.
-BROADCAST_BYTES, SALTS = 16 << 20, 64
 #: Most of a page's prose that may be the template's: a page with more is a copy of others, and keeps its prose.
 COPIED_SHARE = 0.5
 #: Least of a page's prose that elements named as the article must hold to be it, where the host has no template.
 NAMED_SHARE = 0.5
 
+#: The most open elements; what opens beyond them takes the innermost one's place.
+DEPTH = 512
+
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|textarea|select|svg|iframe|title)\b[^>]*>.*?(?:</\1\s*>|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/<>]*)((?:\"[^\"<>]*\"|'[^'<>]*'|[^<>\"'])*[^<>]*)>|<[!?][^<>]*>|[^<]+|<",
+    r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|textarea|select|svg|iframe|title)\b[^<>]*+>.*?(?:</\1\s*+>|\Z)"
+    r"|<(/?)([a-zA-Z][^\s/<>]*+)([^<>]*+)>|<[!?][^<>]*+>|[^<]++|<",
     re.S | re.I,
 )
 _ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
@@ -52,9 +56,13 @@ LIST_ROOTS = frozenset(("ul", "ol", "dl", "table", "article", "section", "div",
 # Fixed values of this operator: elements, roles and parts of names that aren't part of an article.
 ASIDE_TAGS = frozenset("nav footer aside form head button menu dialog fieldset object".split())
 ASIDE_ROLES = frozenset("navigation contentinfo complementary search form alert alertdialog dialog menu menubar".split())
+#: Names that mark an aside as any part of a class or id, those that do only beside others of these lists, and words for
+#: boxes that may stand with them.
 ASIDE_NAMES = frozenset(
-    "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe sidebar sidebars menu menus nav navbar navigation breadcrumb breadcrumbs footer share sharing social related recommended widget widgets toolbar pagination pager login signup skip copyright".split()
+    "advert adverts advertisement advertising sponsor sponsored cookie cookies consent gdpr popup modal overlay newsletter subscribe sidebar sidebars menu menus nav navbar navigation breadcrumb breadcrumbs footer sharing widget widgets toolbar pagination pager login signup".split()
 )
+WEAK_NAMES = frozenset("ad ads promo promotion banner notice notices alert share social related recommended skip copyright".split())
+BOX_WORDS = frozenset("box bar block container wrapper wrap unit slot section area list links buttons icons posts stories articles items content text message site page top bottom left right main inner outer".split())
 HEAD_NAMES = frozenset("header masthead topbar".split())
 PROSE = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre li td th dd dt figcaption".split())
 READER_NAMES = frozenset("comment comments commentlist disqus reply replies respond".split())
@@ -62,15 +70,24 @@ READER_NAMES = frozenset("comment comments commentlist disqus reply replies resp
 HARD, READERS, NAMED = 1, 2, 3
 
 
+def _telling(name: str, weak: bool) -> set[str]:
+    """The parts of a class or id; a name that says little alone counts as an aside's if all other parts go with it."""
+    parts = {x for x in _NAME_PART.split(name) if x}
+    if weak and parts & WEAK_NAMES and parts <= WEAK_NAMES | ASIDE_NAMES | BOX_WORDS:
+        return parts | {"sidebar"}
+    return parts
+
+
 class Page:
     """The elements and text nodes of a page, in order."""
 
     def __init__(self, html: str):
-        self.tag, self.parent, self.path, self.within = ["#"], [-1], [""], [False]
+        self.tag, self.parent, self.path, self.within = ["#"], [-1], [0], [False]
         self.named_main, self.mark = [False], [0]
         #: (element, block, text, in a link)
         self.texts: list[tuple[int, int, str, bool]] = []
         stack, block, links = [0], 0, 0
+        self.open: Counter = Counter()
         for m in _TOKEN.finditer(html):
             raw = m[0]
             if raw[0] != "<" or raw == "<":
@@ -103,9 +120,12 @@ class Page:
                     self._close(stack, CLOSES[tag], LIST_ROOTS)
             if tag == "a":
                 links = 1
+            if len(stack) > DEPTH:
+                self._cut(stack, len(stack) - 1)
             stack.append(self._open(tag, m[4] or "", stack[-1]))
+            self.open[tag] += 1
             if raw.endswith("/>"):
-                stack.pop()
+                self._cut(stack, len(stack) - 1)
         self._settle()
 
     def _settle(self) -> None:
@@ -117,13 +137,7 @@ class Page:
         for e in range(1, count):
             out[e] = out[self.parent[e]] or self.mark[e] in (HARD, READERS)
         if NAMED in self.mark:
-            prose = [0] * count
-            for e, _, t, link in self.texts:
-                if not out[e] and not link:
-                    n = len(t.strip())
-                    while e >= 0:
-                        prose[e] += n
-                        e = self.parent[e]
+            prose = self._sums((e, len(t.strip())) for e, _, t, link in self.texts if not out[e] and not link)
             around = [False] * count
             for e in range(1, count):
                 up = e if self.named_main[e] and not out[e] and prose[e] else 0
@@ -139,29 +153,46 @@ class Page:
             self.aside[e] = self.aside[up] or self.mark[e] > 0
             self.holder[e] = e if self.named_main[e] and not self.aside[e] else self.holder[up]
 
+    def _sums(self, sizes: Iterable[tuple[int, int]]) -> list[int]:
+        """What each element holds, of sizes by element."""
+        out = [0] * len(self.tag)
+        for e, n in sizes:
+            out[e] += n
+        for e in range(len(out) - 1, 0, -1):
+            out[self.parent[e]] += out[e]
+        return out
+
+    def _cut(self, stack: list[int], i: int) -> None:
+        for e in stack[i:]:
+            self.open[self.tag[e]] -= 1
+        del stack[i:]
+
     def _close(self, stack: list[int], tags: tuple[str, ...], walls) -> None:
+        if not any(self.open[t] for t in tags):
+            return
         for i in range(len(stack) - 1, 0, -1):
             name = self.tag[stack[i]]
             if name in tags:
-                del stack[i:]
+                self._cut(stack, i)
                 return
             if name in walls:
                 return
 
     def _open(self, tag: str, attributes: str, parent: int) -> int:
-        names, role, label = set(), "", ""
+        names, role, label, within = set(), "", "", self.within[parent]
+        prose = tag in PROSE or tag in INLINE
         if "=" in attributes:
             for key, *value in _ATTRIBUTE.findall(attributes):
                 value = "".join(value).lower()
                 if key.lower() == "role":
                     role = value
                 elif key.lower() == "class":
-                    names.update(_NAME_PART.split(value))
                     label += "." + value
-                elif tag == "section":
-                    names.add(value)  # ids of sections and prose are often made of headings
-                elif tag not in PROSE and tag not in INLINE:
-                    names.update(_NAME_PART.split(value))
+                    if not (prose and within):  # a paragraph of an article is of it, whatever its name
+                        for word in value.split():
+                            names.update(_telling(word, True))
+                elif not prose:  # ids are often made of headings
+                    names.update(_telling(value, not within))
         main = tag in ("article", "main") or role == "main"
         mark = 0
         if tag in ASIDE_TAGS or role in ASIDE_ROLES:
@@ -169,22 +200,25 @@ class Page:
         elif tag not in ("html", "body") and not names.isdisjoint(READER_NAMES):
             mark = READERS
         elif not main and tag not in ("html", "body"):
-            if not names.isdisjoint(ASIDE_NAMES) or not self.within[parent] and (tag == "header" or role == "banner" or not names.isdisjoint(HEAD_NAMES)):
+            if not names.isdisjoint(ASIDE_NAMES) or not within and (tag == "header" or role == "banner" or not names.isdisjoint(HEAD_NAMES)):
                 mark = NAMED
         self.tag.append(tag)
         self.parent.append(parent)
-        self.path.append(f"{self.path[parent]}/{tag}{label}")
+        self.path.append(token_hash(f"{self.path[parent]}/{tag}{label}"))
         self.named_main.append(main)
-        self.within.append(main or self.within[parent])
+        self.within.append(main or within)
         self.mark.append(mark)
         return len(self.tag) - 1
 
     def tokens(self) -> Counter:
         """Occurrences of the page's tokens."""
         found = Counter(self.path)
-        found.update(f"{self.path[e]}#{' '.join(t.split())}" for e, _, t, _ in self.texts if not t.isspace())
+        found.update(self._text_token(e, t) for e, _, t, _ in self.texts if not t.isspace())
         return found
 
+    def _text_token(self, e: int, t: str) -> int:
+        return token_hash(f"{self.path[e]}#{' '.join(t.split())}")
+
     def _of_template(self, template: frozenset[int]) -> list[bool]:
         """Which text nodes are the template's.  Where it has most of a page's prose, that prose stays."""
         found = [False] * len(self.texts)
@@ -196,7 +230,7 @@ class Page:
         whole, copied = 0, 0
         for i, (e, _, t, link) in enumerate(self.texts):
             if not self.aside[e] and t.strip():
-                found[i] = token_hash(f"{self.path[e]}#{' '.join(t.split())}") in template
+                found[i] = self._text_token(e, t) in template
                 if prose[e] and not link:
                     whole += len(t.strip())
                     copied += len(t.strip()) * found[i]
@@ -206,13 +240,7 @@ class Page:
 
     def _main(self, template: frozenset[int], of_template: list[bool]) -> list[int]:
         """The elements that hold the page's text."""
-        size = [0] * len(self.tag)
-        for (e, _, t, link), out in zip(self.texts, of_template, strict=True):
-            if not (self.aside[e] or link or out):
-                n = len(t.strip())
-                while n and e >= 0:
-                    size[e] += n
-                    e = self.parent[e]
+        size = self._sums((e, len(t.strip())) for (e, _, t, link), out in zip(self.texts, of_template, strict=True) if not (self.aside[e] or out or link and self.holder[e] is None))
         if not template:
             named: dict[bool, list[int]] = {True: [], False: []}
             for e in range(1, len(self.tag)):
@@ -259,8 +287,7 @@ def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: dict[tuple[str, int], list[int]] = {}
         for host, page, html in zip(*(part.column(c).to_pylist() for c in ("host", "page", "html")), strict=True):
             a, b = page & _HALF, (page >> 31) & _HALF
-            tokens = Counter({token_hash(t): n for t, n in Page(html).tokens().items()})
-            for token, n in tokens.items():
+            for token, n in Page(html).tokens().items():
                 row = found.setdefault((host, token), [0, 0, 0])
                 row[0] += 1
                 row[1] += a * n
@@ -307,16 +334,11 @@ def extract_text(pages: DataFrame) -> DataFrame:
     """``page_id, url, text, n_chars`` of each row of ``pages`` (page_id, url, html; others are ignored).
 
     A null or empty html has an empty text.  Pages without a readable address share one template.  Hosts with a single
-    page have none; there only the names of elements tell the article.  page_id may be null or repeated.
+    page have none; there only the names of elements tell the article.  page_id may be of any type, null or repeated; rows
+    that repeat are pages of their host like others.  An empty table gives no rows.  A page takes some 100 times its bytes of
+    memory while it is read.
     """
     keyed = _keyed(pages)
-    found = cut(templates(keyed), "templates")
-    size = found.agg(F.sum(F.size("tokens") * 8 + F.length("host") + 32)).first()[0] or 0
-    if size <= BROADCAST_BYTES:
-        joined = keyed.join(F.broadcast(found), "host", "left")
-    else:
-        salt = F.pmod(F.xxhash64("page_id", "url"), F.lit(SALTS))
-        spread = found.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
-        joined = keyed.withColumn("salt", salt).join(spread, ["host", "salt"], "left")
+    joined = attach(keyed, templates(keyed), "host", F.size("tokens") * 8 + F.octet_length("host"), F.xxhash64("page_id", "url"))
     kind = dict(keyed.dtypes)["page_id"]
     return joined.select("page_id", "url", "host", "html", "tokens").mapInArrow(_extract, f"page_id {kind}, url string, text string, n_chars long")
