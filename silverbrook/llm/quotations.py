@@ -4,7 +4,8 @@ Lines that begin with ``>`` are quotations, as deep as they have such marks.  Ne
 passage.  Units that can be quoted are the lines, the sentences of passages and whole passages, so that line breaks may
 lie elsewhere in a quotation than in its origin.  Every unit is normalised (markers, case, white space at word bounds and
 punctuation go) and hashed.  Units that some message says itself are reduced to one origin a hash and conversation and
-one a hash, so a line that everyone says costs one row; quoted units join those.  Short lines link within their own
+one a hash, so a line that everyone says costs one row; quoted units join those, and the rows of a line that everyone
+quotes are dealt to parts where those aren't few enough to be broadcast.  Short lines link within their own
 conversation only, and only if one earlier message there says them.
 A message replies to the message that holds most of its shallowest linked quotations; links lead backwards only.
 Conversations that quote each other form one thread.
@@ -22,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from silverbrook.llm import wordarrays as wa
 from silverbrook.llm.components import components
-from silverbrook.llm.storage import cut
+from silverbrook.llm.storage import attach, cut, delete, written
 
 #: Letters and digits that a unit must have to be an origin or a quotation of one in any conversation.
 LEAST = 12
@@ -103,12 +104,14 @@ def unquoted(text: Column) -> Column:
 
 def link_quotations(messages: DataFrame) -> DataFrame:
     """``conv_id, turn, line_no, level, hash, to_conv, to_turn``: a row per quoted line that is long enough or
-    linked, with the message that says it, or else its passage, or else a sentence that it is part of: the latest earlier one of the same conversation, else the first in the order of (conv_id,
-    turn) if it comes before; null where no message does.  ``hash`` is null for short lines."""
+    linked, with the message that says it, or else its passage, or else a sentence that it is part of: the latest earlier
+    one of the same conversation, else the first in the order of (conv_id, turn) if it comes before; null where no message
+    does.  ``hash`` is null for short lines."""
     known = messages.where("conv_id is not null and turn is not null")
     quoted = cut(split_units(known, True).distinct(), "quoted")
-    sought = cut(quoted.select("hash").distinct(), "sought")
-    said = split_units(known, False).select("conv_id", "turn", "hash", "short").join(sought, "hash", "left_semi").distinct()
+    sought = quoted.select("hash").distinct().withColumn("sought", F.lit(True))
+    tie, bytes_ = F.xxhash64("conv_id", "turn"), F.lit(80)
+    said = attach(split_units(known, False).select("conv_id", "turn", "hash", "short"), sought, "hash", bytes_, tie).where("sought").distinct()
     said = cut(said.select("conv_id", "turn", "hash", "short"), "said")
     # the same conversation: of the turns that say a line, the last before the quoting one
     wanted = quoted.select("conv_id", "turn", "hash").distinct()
@@ -118,7 +121,7 @@ def link_quotations(messages: DataFrame) -> DataFrame:
     earlier = F.when(F.col("asks") == 0, F.col("turn"))
     near = events.withColumn("near_turn", F.max(earlier).over(before)).withColumn("first_turn", F.min(earlier).over(before)).where("asks = 1").drop("asks")
     far = said.where("not short").groupBy("hash").agg(F.min(F.struct("conv_id", "turn")).alias("first"))
-    found = quoted.join(near, ["conv_id", "turn", "hash"], "left").join(far, "hash", "left")
+    found = attach(quoted.join(near, ["conv_id", "turn", "hash"], "left"), far, "hash", bytes_, tie)
     usable = (F.col("first.conv_id") < F.col("conv_id")) | ((F.col("first.conv_id") == F.col("conv_id")) & (F.col("first.turn") < F.col("turn")))
     own = F.col("near_turn").isNotNull() & (~F.col("short") | (F.col("near_turn") == F.col("first_turn")))
     to_conv = F.when(own, F.col("conv_id")).when(~F.col("short") & usable, F.col("first.conv_id"))
@@ -133,12 +136,14 @@ def link_quotations(messages: DataFrame) -> DataFrame:
 def _depths(parents: DataFrame, most: int = 40) -> DataFrame:
     """``conv_id, turn, depth`` of messages that reply to another: links up to the first that doesn't, found by doubling
     (each round joins what is not settled with what its ancestor knows, so a chain of n takes log2(n) rounds)."""
-    now = cut(parents.select("conv_id", "turn", F.col("to_conv").alias("up_conv"), F.col("to_turn").alias("up_turn"), F.lit(1).cast("long").alias("depth")), "depths")
+    now, path = written(parents.select("conv_id", "turn", F.col("to_conv").alias("up_conv"), F.col("to_turn").alias("up_turn"), F.lit(1).cast("long").alias("depth")), "depths")
     for _ in range(most):
         up = now.select(F.col("conv_id").alias("up_conv"), F.col("turn").alias("up_turn"), F.col("up_conv").alias("next_conv"), F.col("up_turn").alias("next_turn"), F.col("depth").alias("more"))
         step = now.join(up, ["up_conv", "up_turn"], "left")
         step = step.select("conv_id", "turn", F.col("next_conv").alias("up_conv"), F.col("next_turn").alias("up_turn"), (F.col("depth") + F.coalesce("more", F.lit(0).cast("long"))).alias("depth"))
-        now = cut(step, "depths")
+        old = path
+        now, path = written(step, "depths")
+        delete(now.sparkSession, old)
         if now.where("up_conv is not null").isEmpty():
             return now.select("conv_id", "turn", "depth")
     raise RuntimeError("reply links did not settle")
@@ -148,10 +153,12 @@ def reply_conversations(messages: DataFrame) -> DataFrame:
     """The messages (conv_id, turn, role, text; other columns are ignored) as threads without quotations.
 
     One row per message: ``conv_id, turn, role, body, n_quoted, n_linked, parent_conv, parent_turn, depth, thread_id``.
-    ``n_quoted`` counts quoted lines of ``LEAST`` letters and digits or more, and shorter ones that are linked.  A thread in reply order is its rows sorted
-    by (thread_id, conv_id, turn): a message follows what it replies to.  A null text is empty.  Messages with a null
-    conv_id or turn keep their row but link to nothing; a repeated (conv_id, turn) is one message whose rows all get its
-    links.
+    ``n_quoted`` counts quoted lines of ``LEAST`` letters and digits or more, and shorter ones that are linked.  A thread in
+    reply order is its rows sorted by (thread_id, conv_id, turn): a message follows what it replies to.  Of messages with
+    equal votes the last in the order of (conv_id, turn) is the parent.  ``conv_id`` and ``turn`` are of any types that have
+    an order.  A null text is empty.  Messages with a null conv_id or turn keep their row but link to nothing; a repeated
+    (conv_id, turn) is one message whose rows all get its links.  An empty table gives no rows.  A task needs memory for
+    some 20 copies of the largest single text.
     """
     links = cut(link_quotations(messages), "quotations")
     per = links.groupBy("conv_id", "turn").agg(F.countDistinct("line_no").alias("n_quoted"), F.countDistinct(F.when(F.col("to_conv").isNotNull(), F.col("line_no"))).alias("n_linked"))
@@ -162,7 +169,7 @@ def reply_conversations(messages: DataFrame) -> DataFrame:
     threads = components(links.where("to_conv is not null and to_conv <> conv_id").select("conv_id", "to_conv"), "conv_id", "to_conv").withColumnsRenamed({"id": "conv_id", "component": "joined"})
     known = per.join(parents, ["conv_id", "turn"], "left").join(depth, ["conv_id", "turn"], "left")
     base = messages.select("conv_id", "turn", F.col("role").alias("role"), unquoted(F.col("text")).alias("body"))
-    out = base.join(known, ["conv_id", "turn"], "left").join(threads, "conv_id", "left")
+    out = attach(base.join(known, ["conv_id", "turn"], "left"), threads, "conv_id", F.lit(64), F.xxhash64("turn"))
     zero = F.lit(0).cast("long")
     return out.select(
         "conv_id",
