@@ -1,13 +1,15 @@
 """Operator 8, substring dedup: super-k-mer partitioning of word windows.
 
 A window is ``WINDOW`` consecutive words of one document.  Its minimiser is the least of its word 3-grams in an order
-that puts common 3-grams last (by a count sketch of the whole corpus) and is random otherwise.  Consecutive windows with
+that puts common 3-grams last (:mod:`~silverbrook.llm.rarity`) and is random otherwise.  Consecutive windows with
 the same minimiser form a super-k-mer, which travels as one packed string to the bucket of that minimiser; all windows
 with equal words meet there.  In the bucket windows are sorted by hash, runs of equal hashes are compared byte by byte,
 and every window but the earliest of its run is marked.  The marks of a document come back as intervals of words.
 
-Skew: equal super-k-mers of one slice of text are packed once, so a copy group or a common passage costs one string per
-slice; strings that merely touch a common passage are dealt by their rarer words.
+Skew: equal super-k-mers of one slice of text are packed once, so a copy group costs one string per slice; strings that
+merely touch a common passage are dealt by their rarer words.  Windows whose every 3-gram is common have two minimisers, the
+second in an order of its own, and both together choose the bucket; so a passage that very many documents have is dealt to
+as many buckets as it has second minimisers.  Their strings are held back and packed once per task.
 """
 
 from __future__ import annotations
@@ -21,13 +23,15 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
-from silverbrook.llm import wordarrays as wa
+from silverbrook.llm import rarity, wordarrays as wa
 from silverbrook.llm.storage import partitions
 
-#: Words in a 3-gram of the minimiser order, and slots of the count sketch (fixed, whatever the input).
-GRAM, SLOTS = 3, 1 << 16
+#: Words in a gram of the minimiser order.
+GRAM = 3
 #: Text bytes that one bucket and one slice are meant for.
 BUCKET_BYTES, SLICE = 3 << 20, 4 << 20
+#: Bytes of common strings and of their occurrences that a task holds back before it sends them.
+HELD_BYTES = 8 << 20
 _LOWEST = -(1 << 63)
 
 
@@ -43,28 +47,6 @@ def _keyed(docs: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
     return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_LOWEST)).alias("doc_id"), F.crc32(text.cast("binary")).alias("tag"), text.alias("text"), *more)
 
 
-def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total = np.zeros(SLOTS, np.int64)
-    for part in wa.slices(batches, "text"):
-        words = wa.Words(part.column("text"))
-        hashes = words.hashes()
-        grams = wa.grams(hashes, GRAM)[wa.inside(words.first, GRAM, len(hashes))]
-        total += np.bincount((grams >> np.uint64(48)).astype(np.int64), minlength=SLOTS)
-    slot = np.flatnonzero(total)
-    yield pa.RecordBatch.from_arrays([pa.array(slot.astype(np.int32)), pa.array(total[slot])], ["slot", "n"])
-
-
-def common_classes(docs: DataFrame) -> np.ndarray:
-    """A rank for each slot of the sketch: 0 for ordinary 3-grams, more the more often those of a slot occur.  Only the
-    ``SLOTS`` sums reach the driver, however large the input is."""
-    sums = docs.mapInArrow(_count_grams, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).toPandas()
-    total = np.zeros(SLOTS)
-    total[sums["slot"]] = sums["n"]
-    usual = float(np.median(total))
-    excess = total / (usual + 8 * np.sqrt(usual) + 16)
-    return np.where(excess > 1, 1 + np.log2(np.maximum(excess, 1)), 0).astype(np.uint8)
-
-
 def _least(x: np.ndarray, width: int) -> np.ndarray:
     """The minimum of each run of ``width`` values."""
     have = 1
@@ -114,28 +96,65 @@ def _unpack(blob: bytes) -> list:
 
 
 def super_kmers(column: pa.Array, classes: np.ndarray, window: int):
-    """Of a slice of texts: (text, first word, last word + 1, minimiser) of each super-k-mer, and the words."""
+    """Of a slice of texts: the words and their hashes, and (text, first word, last word + 1, key of its bucket, whether
+    all its 3-grams are common) of each super-k-mer."""
     words = wa.Words(column)
     hashes = words.hashes()
     grams = wa.grams(hashes, GRAM)
-    rank = (classes[(grams >> np.uint64(48)).astype(np.int64)].astype(np.uint64) << np.uint64(56)) | (wa.mix(grams * np.uint64(0x9FB21C651E98DF25)) >> np.uint64(8))
-    least = _least(rank, window - GRAM + 1) if len(rank) > window - GRAM else np.zeros(0, np.uint64)
     at = np.flatnonzero(wa.inside(words.first, window, len(hashes)))
     if not len(at):
         none = np.zeros(0, np.int64)
-        return words, hashes, none, none, none, np.zeros(0, np.uint64)
+        return words, hashes, none, none, none, np.zeros(0, np.uint64), np.zeros(0, bool)
+    least = _least(rarity.ranks(grams, classes), window - GRAM + 1)
+    common = least >= np.uint64(1 << 56)
+    second = _least(wa.mix(grams ^ np.uint64(0xD6E8FEB86659FD93)), window - GRAM + 1)
+    least = np.where(common, wa.mix(least * np.uint64(0xA0761D6478BD642F) ^ second), least)
     new = np.ones(len(at), bool)
     new[1:] = (at[1:] != at[:-1] + 1) | (least[at[1:]] != least[at[:-1]])
     first = np.flatnonzero(new)
     last = np.append(first[1:], len(at)) - 1
     begin = at[first]
-    return words, hashes, np.searchsorted(words.first, begin, "right") - 1, begin, at[last] + window, least[begin]
+    return words, hashes, np.searchsorted(words.first, begin, "right") - 1, begin, at[last] + window, least[begin], common[begin]
+
+
+class _Held:
+    """Common strings of a task, each with all its occurrences (document, its check sum, first word)."""
+
+    def __init__(self) -> None:
+        self.strings: dict[tuple[int, bytes], list[np.ndarray]] = {}
+        self.size = 0
+
+    def add(self, bucket: int, string: bytes, seen: np.ndarray) -> None:
+        have = self.strings.get((bucket, string))
+        if have is None:
+            have = self.strings[bucket, string] = []
+            self.size += len(string) + 200
+        have.append(seen)
+        self.size += seen.nbytes + 100
+
+    def sent(self) -> pa.RecordBatch:
+        names, blobs = [], []
+        by: dict[int, list[tuple[bytes, np.ndarray]]] = {}
+        for (bucket, string), parts in self.strings.items():
+            by.setdefault(bucket, []).append((string, np.concatenate(parts)))
+        for bucket, found in by.items():
+            owner = np.repeat(np.arange(len(found)), [len(x) for _, x in found])
+            seen = np.concatenate([x for _, x in found])
+            names.append(bucket)
+            blobs.append(_pack([x for x, _ in found], owner, seen[:, 0], seen[:, 1], seen[:, 2]))
+        self.__init__()
+        return _blobs(names, blobs)
+
+
+def _blobs(names: list[int], blobs: list[bytes]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(names, pa.int32()), pa.array(blobs, pa.binary())], ["bucket", "blob"])
 
 
 def _travel(classes: np.ndarray, buckets: int, window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = _Held()
         for part in wa.slices(batches, "text", SLICE):
-            words, hashes, text, begin, end, key = super_kmers(part.column("text"), classes, window)
+            words, hashes, text, begin, end, key, common = super_kmers(part.column("text"), classes, window)
             if not len(begin):
                 continue
             up, down = wa.powers(len(hashes) + 1, 0xC2B2AE3D27D4EB4F)
@@ -157,23 +176,33 @@ def _travel(classes: np.ndarray, buckets: int, window: int):
             doc = part.column("doc_id").to_numpy()
             tag = part.column("tag").to_numpy()
             to = (wa.mix(key[head] ^ np.uint64(0xB0C4E7)) % np.uint64(buckets)).astype(np.int64)
-            by = np.argsort(to, kind="stable")
+            by = np.lexsort((to, common[head]))  # common strings last
+            usual = int(np.count_nonzero(~common[head]))
             place = np.empty(len(head), np.int64)
             place[by] = np.arange(len(head))
             occ = np.argsort(place[owner], kind="stable")
             slot = place[owner[occ]]
             first_word = words.first[text]
-            bound = np.searchsorted(to[by], np.unique(to))
-            bound = np.append(bound, len(by))
+            sorted_to = to[by[:usual]]
+            bound = np.flatnonzero(np.concatenate([[True], sorted_to[1:] != sorted_to[:-1], [True]])) if usual else np.zeros(1, np.int64)
             blobs, names = [], []
             memory = data.tobytes()
-            for lo, hi in zip(bound[:-1], bound[1:], strict=True):
+            for lo, hi in zip(bound[:-1].tolist(), bound[1:].tolist(), strict=True):
                 here = head[by[lo:hi]]
                 x, y = np.searchsorted(slot, [lo, hi])
                 seen = occ[x:y]
                 blobs.append(_pack([memory[i:j] for i, j in zip(a[here], b[here], strict=True)], slot[x:y] - lo, doc[text[seen]], tag[text[seen]], begin[seen] - first_word[seen]))
-                names.append(int(to[by[lo]]))
-            yield pa.RecordBatch.from_arrays([pa.array(names, pa.int32()), pa.array(blobs, pa.binary())], ["bucket", "blob"])
+                names.append(int(sorted_to[lo]))
+            if names:
+                yield _blobs(names, blobs)
+            edge = np.searchsorted(slot, np.arange(usual, len(head) + 1))
+            for k, x, y in zip(range(usual, len(head)), edge[:-1].tolist(), edge[1:].tolist(), strict=False):
+                h, seen = head[by[k]], occ[x:y]
+                held.add(int(to[by[k]]), memory[a[h] : b[h]], np.stack([doc[text[seen]], tag[text[seen]], begin[seen] - first_word[seen]], 1))
+            if held.size > HELD_BYTES:
+                yield held.sent()
+        if held.strings:
+            yield held.sent()
 
     return run
 
@@ -289,7 +318,7 @@ def _apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def repeat_intervals(docs: DataFrame, window: int = 20) -> DataFrame:
     """``doc_id, tag, spans`` (int32 pairs of word bounds) for what repeats; ``docs`` as :func:`_keyed` gives it."""
-    classes = common_classes(docs.select("text"))
+    classes = rarity.common_classes(docs, GRAM)
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(partitions(docs.sparkSession), int(size // BUCKET_BYTES) + 1)
     blobs = docs.mapInArrow(_travel(classes, buckets, window), "bucket int, blob binary")
@@ -304,7 +333,8 @@ def remove_repeats(docs: DataFrame, window: int = 20, carry: tuple[str, ...] = (
     was removed.  Words are ``[^\\x20\\x09-\\x0D]+``, unchanged.  Earlier means a smaller doc_id (a null one comes
     first), then, where several texts carry one doc_id, the smaller check sum, then the position.  A row that stands
     twice in the table is one occurrence and doesn't repeat itself.  Null, empty and texts of fewer than ``window`` words
-    lose nothing.
+    lose nothing, and an empty table gives an empty result.  A task needs memory for some 20 copies of the largest single
+    text.
     """
     keyed = _keyed(docs, carry)
     spans = repeat_intervals(keyed.select("doc_id", "tag", "text"), window).groupBy("doc_id", "tag").agg(F.collect_list("spans").alias("spans"))
