@@ -27,7 +27,7 @@ def words_of(text: Column) -> Column:
 
 def source_targets(sizes: DataFrame, epochs: int = EPOCHS, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
     """``source, source_size, target, clamped`` for the rows ``source, size``; one row per source, and only such rows
-    are ever sorted together."""
+    are ever sorted together: one task sorts them all, which is meant for up to some ten million sources."""
     big = "decimal(38,0)"
     per = sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
     order = Window.orderBy(F.col("source").isNull(), "source")
@@ -49,12 +49,13 @@ def source_targets(sizes: DataFrame, epochs: int = EPOCHS, weights: tuple[int, .
 
 
 def mix(docs: DataFrame, epochs: int = EPOCHS, weights: tuple[int, ...] = WEIGHTS, seed: str = SEED, carry: tuple[str, ...] = ()) -> DataFrame:
-    """One row per row of ``docs``: ``doc_id, size, source_size, target, taken``, and the columns ``carry`` as a struct ``carried`` if
-    there are any.
+    """One row per row of ``docs``: ``doc_id, size, source_size, target, taken``, and the columns ``carry`` as a struct
+    ``carried`` if there are any.
 
     Needs ``doc_id, source, text``; other columns are ignored.  Sizes count words; a null or empty text has none.  Null
     is a source of its own, the last.  The seeded order goes by a hash of doc_id (null: of the text); rows that
-    repeat a doc_id stand together in it, by size and then by a hash of their text and carried columns.  A source without words has a target of 0.
+    repeat a doc_id stand together in it, by size and then by a hash of their text and carried columns.  A source without words has a
+    target of 0; an empty table gives no rows.  Texts are counted one at a time, by built-in functions.
     """
     key = F.md5(F.concat_ws(":", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("-"), F.coalesce(F.xxhash64("text"), F.lit(0)).cast("string")))).cast("binary"))
     tie = F.xxhash64("text", *carry)

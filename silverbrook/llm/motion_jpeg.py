@@ -303,7 +303,8 @@ def _docs(docs: DataFrame) -> DataFrame:
 
 def media_digests(docs: DataFrame) -> DataFrame:
     """Store each text as an AVI file, read it back and describe both; a null text is an empty one, whose file has one
-    frame of spaces.  One row per row of ``docs``; doc_id may be null or repeated, other columns are ignored."""
+    frame of spaces.  One row per row of ``docs``; doc_id may be null or repeated, other columns are ignored, and an empty
+    table gives no rows.  A task needs some 55 times the bytes of the largest single text: its frames are made at once."""
     return _docs(docs).mapInArrow(_digest, "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string")
 
 
@@ -316,12 +317,12 @@ def _files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def text_videos(docs: DataFrame) -> DataFrame:
-    """``doc_id, media``: each text as an AVI file."""
+    """``doc_id, media``: each text as an AVI file, a null one as an empty one; for odd rows see :func:`media_digests`."""
     return _docs(docs).mapInArrow(_files, "doc_id long, media binary")
 
 
 def _clips(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in wa.slices(batches, "media", 4 << 20):
         rows = []
         for name, media in zip(batch.column("id").to_pylist(), batch.column("media").to_pylist(), strict=True):
             try:
@@ -339,6 +340,7 @@ def _clips(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def clips(videos: DataFrame, id_column: str = "doc_id", media_column: str = "media") -> DataFrame:
     """``id, clip, first_frame, end_frame, start_s, end_s, error``: a row per shot of each AVI file.  Null media, and
-    bytes that aren't an AVI file of grey baseline frames, give one row that has only ``error``."""
+    bytes that aren't an AVI file of grey baseline frames, give one row that has only ``error``.  Ids may be null or
+    repeated; each row is a file of its own."""
     chosen = videos.select(F.col(id_column).cast("long").alias("id"), F.col(media_column).cast("binary").alias("media"))
     return chosen.mapInArrow(_clips, "id long, clip long, first_frame long, end_frame long, start_s double, end_s double, error string")

@@ -275,7 +275,7 @@ def pack(docs: DataFrame, tokenizer: str, keep_ids: bool = False) -> DataFrame:
 
     Needs ``doc_id`` (long) and ``text``; other columns are ignored.  A null or empty text has the end token alone.
     Rows with a null doc_id and repeated rows are packed like others; each row is a document of its own.  An empty table
-    gives no rows.  ``tokenizer`` is the path of a tokenizer file on every machine, one that drops white space.
+    gives no rows.  A task needs memory for some 30 copies of the largest single text.  ``tokenizer`` is the path of a tokenizer file on every machine, one that drops white space.
     """
     kinds = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long" + ", ids binary" * keep_ids
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(_pack(tokenizer, keep_ids), kinds)

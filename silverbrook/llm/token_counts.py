@@ -146,7 +146,9 @@ def count_tokens(docs: DataFrame, vocabulary_path: str) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text; others are ignored): ``doc_id, n_words, n_tokens, log_score``.
 
     Words are ``[^\\x20\\x09-\\x0D]+``.  Null and empty texts have 0 of each.  A character that no piece has counts as its
-    UTF-8 bytes.  doc_id may be null or repeated.  ``vocabulary_path`` names the file on every machine.
+    UTF-8 bytes.  doc_id may be null or repeated; an empty table gives no rows.  A task needs memory for some 20 copies of
+    the largest single text, and some 160 bytes a character of its longest word.  ``vocabulary_path`` names the file on
+    every machine.
     """
     chosen = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return chosen.mapInArrow(_run(vocabulary_path), "doc_id long, n_words long, n_tokens long, log_score double")
