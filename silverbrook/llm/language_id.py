@@ -8,7 +8,9 @@ Hypotheses are the labelled languages and ``und``, anything else.  The evidence
 * address: a prior for each host, smoothed towards that of its address suffix, which is smoothed towards that of all
   rows.  All three come from one grouped sum of text posteriors; a row's own share is taken out of its host's prior.
 
-Only the trigram models are fitted on a sample: about ``LABEL_ROWS`` rows of each label, or all it has, chosen by a hash.
+Texts are scored twice, once for those sums and once where a row's own evidence is fused, so that no text is shuffled or
+written in between: hosts and declarations come to the rows.  Only the trigram models are fitted on a sample: about
+``LABEL_ROWS`` rows of each label, or all it has, chosen by a hash.
 """
 
 from __future__ import annotations
@@ -21,9 +23,10 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import ArrayType, DoubleType, LongType, StringType, StructField, StructType
 
 from silverbrook.llm import wordarrays as wa
-from silverbrook.llm.storage import cut
+from silverbrook.llm.storage import attach, cut
 
 LABEL_ROWS, SLOTS, TEMPER = 1000, 1 << 15, 0.2
 #: Weights of the suffix's and of the whole table's distribution, as rows.
@@ -38,20 +41,24 @@ _FOLD[:32] = 32
 _TAGS = re.compile(rb"(?is)<script\b.*?(?:</script\s*>|\Z)|<style\b.*?(?:</style\s*>|\Z)|<!--.*?(?:-->|\Z)|<[^<>]*>|&#?\w+;")
 
 
-def _slots(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(slot of each trigram that lies in one text and isn't punctuation only, its text)."""
-    if len(data) < 3:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    d = _FOLD[data].astype(np.uint32)
-    code = (d[:-2] << 16) | (d[1:-1] << 8) | d[2:]
-    letter = ((d >= 97) & (d <= 122)) | (d >= 128)
-    ok = letter[:-2] | letter[1:-1] | letter[2:]
-    for j in (1, 2):
-        at = offsets[1:-1] - j
-        ok[at[(at >= 0) & (at < len(ok))]] = False
-    where = np.flatnonzero(ok)
-    slot = (code[where] * np.uint32(2654435761)) >> np.uint32(17)
-    return slot.astype(np.int64), np.searchsorted(offsets, where, "right") - 1
+#: Trigrams times hypotheses that are scored at once.
+BLOCK = 1 << 20
+
+
+def _slots(data: np.ndarray, offsets: np.ndarray, block: int = BLOCK) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(slot of each trigram that lies in one text and isn't punctuation only, its text), a block of bytes at a time."""
+    for a in range(0, len(data) - 2, block):
+        d = _FOLD[data[a : a + block + 2]].astype(np.uint32)
+        code = (d[:-2] << 16) | (d[1:-1] << 8) | d[2:]
+        letter = ((d >= 97) & (d <= 122)) | (d >= 128)
+        ok = letter[:-2] | letter[1:-1] | letter[2:]
+        ends = offsets[np.searchsorted(offsets, a) : np.searchsorted(offsets, a + len(d), "right")] - a
+        for j in (1, 2):
+            at = ends - j
+            ok[at[(at >= 0) & (at < len(ok))]] = False
+        where = np.flatnonzero(ok)
+        slot = (code[where] * np.uint32(2654435761)) >> np.uint32(17)
+        yield slot.astype(np.int64), np.searchsorted(offsets, where + a, "right") - 1
 
 
 def _plain(column: pa.Array, markup: bool) -> tuple[np.ndarray, np.ndarray]:
@@ -68,10 +75,10 @@ def _count(languages: list[str]):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in wa.slices(batches, "text", 1 << 20):
-            slot, text = _slots(*wa.raw(part.column("text")))
             label = np.array([place[x] for x in part.column("label").to_pylist()], np.int64)
-            at, n = np.unique(label[text] * SLOTS + slot, return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(n)], ["at", "n"])
+            for slot, text in _slots(*wa.raw(part.column("text"))):
+                at, n = np.unique(label[text] * SLOTS + slot, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(n)], ["at", "n"])
 
     return run
 
@@ -89,10 +96,15 @@ class Model:
     def score(self, column: pa.Array, markup: bool) -> tuple[np.ndarray, np.ndarray]:
         """(tempered log-likelihoods of shape (texts, hypotheses), trigrams of each text)."""
         data, offsets = _plain(column, markup)
-        slot, text = _slots(data, offsets)
-        texts = len(column)
-        out = np.stack([np.bincount(text, row[slot], texts) for row in self.logs], 1) if len(slot) else np.zeros((texts, len(self.logs)))
-        return out * TEMPER, np.bincount(text, minlength=texts)
+        texts, width = len(column), len(self.logs)
+        by_slot = np.ascontiguousarray(self.logs.T, np.float64)
+        out, n = np.zeros((texts, width)), np.zeros(texts, np.int64)
+        for slot, text in _slots(data, offsets, max(1 << 12, BLOCK // width)):
+            if len(slot):
+                first = np.flatnonzero(np.concatenate([[True], text[1:] != text[:-1]]))
+                out[text[first]] += np.add.reduceat(by_slot[slot], first, axis=0)
+                n += np.bincount(text, minlength=texts)
+        return out * TEMPER, n
 
 
 def fit(labelled: DataFrame, rows: int = LABEL_ROWS) -> Model:
@@ -125,89 +137,110 @@ def fit(labelled: DataFrame, rows: int = LABEL_ROWS) -> Model:
     return Model(languages, np.vstack([logs, np.full(SLOTS, -math.log(SLOTS))]).astype(np.float32))
 
 
-def _scores(model: Model, markup: bool, columns: list[str]):
+def _softmax(logs: np.ndarray) -> np.ndarray:
+    raised = np.exp(logs - logs.max(1, keepdims=True))
+    return raised / raised.sum(1, keepdims=True)
+
+
+def _list(values: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(np.arange(0, values.size + 1, values.shape[1], dtype=np.int32)), pa.array(values.ravel()))
+
+
+def _matrix(column: pa.Array, width: int, missing: float) -> np.ndarray:
+    """The lists of a column as rows; a null is a row of ``missing``."""
+    known = column.is_valid().to_numpy(zero_copy_only=False)
+    out = np.full((len(column), width), missing)
+    out[known] = column.drop_null().flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
+    return out
+
+
+def _evidence(model, markup: bool):
+    """What the texts of each host and declaration say, a row for each of them and slice of text."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: Model = model.value
         for part in wa.slices(batches, "text", 1 << 20):
-            score, n = model.score(part.column("text"), markup)
-            flat = pa.array(score.ravel())
-            width = score.shape[1]
-            lists = pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, width, dtype=np.int32)), flat)
-            yield pa.RecordBatch.from_arrays([*(part.column(c) for c in columns), lists, pa.array(n)], [*columns, "loglik", "trigrams"])
+            score, n = known.score(part.column("text"), markup)
+            post = np.where(n[:, None] > 0, _softmax(score), 0.0)  # a text without trigrams says nothing of its host
+            names = list(zip(part.column("host_key").to_pylist(), part.column("declared").to_pylist(), strict=True))
+            place = {x: i for i, x in enumerate(dict.fromkeys(names))}
+            sums = np.zeros((len(place), post.shape[1]))
+            np.add.at(sums, [place[x] for x in names], post)
+            yield pa.RecordBatch.from_arrays([pa.array([h for h, _ in place], pa.string()), pa.array([d for _, d in place], pa.string()), _list(sums)], ["host_key", "declared", "c"])
 
     return run
 
 
+def _fuse(model, markup: bool, given: list[str]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: Model = model.value
+        names, width = np.array(known.hypotheses, object), len(known.hypotheses)
+        for part in wa.slices(batches, "text", 1 << 20):
+            score, n = known.score(part.column("text"), markup)
+            text_post = _softmax(score)
+            own = np.where(n[:, None] > 0, text_post, 0.0)
+            others = np.maximum(0.0, _matrix(part.column("c"), width, 0.0) - own)
+            host = (others + HOST_PULL * _matrix(part.column("p_suffix"), width, 1 / width)) / (others.sum(1, keepdims=True) + HOST_PULL)
+            post = _softmax(score + np.log(host) + np.log(_matrix(part.column("p_said"), width, 1.0)))
+            blind = (n == 0) & part.column("declared").is_null().to_numpy(zero_copy_only=False) & part.column("host").is_null().to_numpy(zero_copy_only=False)
+            language = np.where(blind, UNKNOWN, names[post.argmax(1)])
+            by_text = np.where(n > 0, names[text_post.argmax(1)], UNKNOWN)
+            found = [pa.array(language, pa.string()), pa.array(post.max(1)), pa.array(by_text, pa.string()), pa.array(n)]
+            yield pa.RecordBatch.from_arrays([*(part.column(c) for c in given), *found], [*given, *_FOUND])
+
+    return run
+
+
+_FOUND = {"language": StringType(), "posterior": DoubleType(), "text_language": StringType(), "trigrams": LongType()}
+
+
 def _suffix(host: Column) -> Column:
     return F.element_at(F.split(host, r"\."), -1)
 
 
-def _with_softmax(df: DataFrame, logs: str, out: str) -> DataFrame:
-    """Add the normalised exponentials of an array column; the steps are columns, so that each is evaluated once."""
-    df = df.withColumn("_raised", F.transform(logs, lambda x: F.exp(x - F.array_max(logs))))
-    df = df.withColumn("_all", F.aggregate("_raised", F.lit(0.0), lambda a, y: a + y))
-    return df.withColumn(out, F.transform("_raised", lambda x: x / F.col("_all"))).drop("_raised", "_all")
+def _fused(rows: DataFrame, model: Model, markup: bool) -> DataFrame:
+    """``rows`` (text, declared, host and others) with ``language, posterior, text_language, trigrams``."""
+    width = len(model.hypotheses)
+    sent = rows.sparkSession.sparkContext.broadcast(model)  # 128 KB a label
+    keyed = rows.withColumn("host_key", F.coalesce("host", F.lit("")))
+    kinds = StructType([StructField("host_key", StringType()), StructField("declared", StringType()), StructField("c", ArrayType(DoubleType()))])
+    sums = lambda source, out: [F.sum(source(i)).alias(f"{out}{i}") for i in range(width)]
+    evidence = keyed.select("host_key", "declared", "text").mapInArrow(_evidence(sent, markup), kinds)
+    evidence = cut(evidence.groupBy("host_key", "declared").agg(*sums(lambda i: F.col("c")[i], "c")), "evidence")
+    hosts = evidence.groupBy("host_key").agg(*sums(lambda i: f"c{i}", "c")).withColumn("suffix", _suffix(F.col("host_key")))
+    suffixes = hosts.groupBy("suffix").agg(*sums(lambda i: f"c{i}", "s"))
+    said = evidence.where("declared is not null").groupBy("declared").agg(*sums(lambda i: f"c{i}", "d"))
+    all_ = np.array([x or 0.0 for x in evidence.agg(*sums(lambda i: f"c{i}", "c")).first()]) + 0.5
+    base = all_ / all_.sum()
+    spoken = [float(x or 0.0) for x in said.agg(*sums(lambda i: f"d{i}", "d")).first()]
+    total = lambda name: sum((F.col(f"{name}{i}") for i in range(width)), F.lit(0.0))
+    # P(declared | language), smoothed towards the declaration's share of all rows
+    p_said = F.array(*[(F.col(f"d{i}") + DECLARED_PULL * (total("d") + 1) / (sum(spoken) + 10)) / (spoken[i] + DECLARED_PULL) for i in range(width)])
+    p_suffix = F.array(*[(F.col(f"s{i}") + SUFFIX_PULL * float(base[i])) / (total("s") + SUFFIX_PULL) for i in range(width)])
+    said = said.select("declared", p_said.alias("p_said"))
+    priors = hosts.join(suffixes, "suffix").select("host_key", F.array(*[F.col(f"c{i}") for i in range(width)]).alias("c"), p_suffix.alias("p_suffix"))
+    tie = F.xxhash64("text")
+    joined = attach(attach(keyed, priors, "host_key", F.octet_length("host_key") + 16 * width, tie), said, "declared", F.octet_length("declared") + 8 * width, tie)
+    given = rows.columns
+    return joined.select(*given, "c", "p_suffix", "p_said").mapInArrow(_fuse(sent, markup, given), StructType([*rows.schema, *(StructField(c, k) for c, k in _FOUND.items())]))
+
+
+def _evidence_rows(rows: DataFrame) -> DataFrame:
+    return rows.withColumns({"declared": F.lower("declared"), "host": F.lower("host")})
 
 
 def identify(rows: DataFrame, model: Model, markup: bool = False) -> DataFrame:
-    """``id, language, posterior, text_language, declared, host, trigrams`` for ``rows`` (id, text, declared, host).
+    """``id, language, posterior, text_language, declared, host, trigrams`` for ``rows`` (id, text, declared, host; other
+    columns are ignored).
 
     ``declared`` and ``host`` may be null: such a row has no evidence of that kind (null hosts share one prior).  A text
-    without a letter has no text evidence; with nothing else known the language is ``und``.  ``id`` may be of any type
-    and repeat.  An empty table gives an empty result.
+    without a letter, a null and an empty one have no text evidence; with nothing else known the language is ``und``.  Of
+    languages with equal posteriors the first in the order of the labels counts, ``und`` last.  ``id`` may be of any type,
+    null or repeated; repeated rows are rows like others.  An empty table gives an empty result.  A long text is scored in
+    blocks, so a task needs memory for a few copies of its bytes.
     """
-    names = model.hypotheses
-    width = len(names)
-    kept = rows.select("id", "text", F.lower("declared").alias("declared"), F.lower("host").alias("host"))
-    kind = dict(kept.dtypes)["id"]
-    scored = cut(kept.mapInArrow(_scores(model, markup, ["id", "declared", "host"]), f"id {kind}, declared string, host string, loglik array<double>, trigrams long"), "likelihoods")
-    post = _with_softmax(scored, "loglik", "text_post").withColumn("host_key", F.coalesce("host", F.lit("")))
-    sums = lambda source: [F.sum(source(i)).alias(f"c{i}") for i in range(width)]
-    # a text without trigrams says nothing of its host
-    share = lambda i: F.when(F.col("trigrams") > 0, F.col("text_post")[i]).otherwise(0.0)
-    hosts = post.groupBy("host_key").agg(*sums(share)).withColumn("suffix", _suffix(F.col("host_key")))
-    hosts = cut(hosts, "hosts")
-    suffixes = hosts.groupBy("suffix").agg(*[F.sum(f"c{i}").alias(f"s{i}") for i in range(width)])
-    all_ = hosts.agg(*[F.sum(f"c{i}") for i in range(width)]).first()
-    total = np.array([x or 0.0 for x in all_]) + 0.5
-    base = total / total.sum()
-    said = post.where("declared is not null").groupBy("declared").agg(*[F.sum(share(i)).alias(f"d{i}") for i in range(width)])
-    said_all = said.agg(*[F.sum(f"d{i}") for i in range(width)]).first()
-    spoken = [float(x or 0.0) for x in said_all]
-    # P(declared | language), smoothed towards the declaration's share of all rows
-    said_share = F.lit(0.0)
-    for i in range(width):
-        said_share = said_share + F.col(f"d{i}")
-    said = said.withColumn("p_said", F.array(*[(F.col(f"d{i}") + DECLARED_PULL * (said_share + 1) / (sum(spoken) + 10)) / (spoken[i] + DECLARED_PULL) for i in range(width)])).select("declared", "p_said")
-    s_total, c_total = F.lit(0.0), F.lit(0.0)
-    for i in range(width):
-        s_total, c_total = s_total + F.col(f"s{i}"), c_total + F.col(f"c{i}")
-    priors = hosts.join(suffixes, "suffix").select(
-        "host_key",
-        F.array(*[F.col(f"c{i}") for i in range(width)]).alias("c"),
-        F.array(*[(F.col(f"s{i}") + SUFFIX_PULL * float(base[i])) / (s_total + SUFFIX_PULL) for i in range(width)]).alias("p_suffix"),
-    )
-    joined = post.join(said, "declared", "left").join(priors, "host_key", "left")
-    others = F.transform("c", lambda x, i: F.greatest(F.lit(0.0), x - F.when(F.col("trigrams") > 0, F.get("text_post", i)).otherwise(0.0)))
-    joined = joined.withColumn("others", others).withColumn("n_others", F.aggregate("others", F.lit(0.0), lambda a, x: a + x))
-    fused = F.transform(
-        "loglik",
-        lambda x, i: x
-        + F.log((F.get("others", i) + HOST_PULL * F.get("p_suffix", i)) / (F.col("n_others") + HOST_PULL))
-        + F.coalesce(F.log(F.get("p_said", i)), F.lit(0.0)),
-    )
-    joined = _with_softmax(joined.withColumn("fused", fused), "fused", "post")
-    label = F.array(*map(F.lit, names))
-    best = lambda c: F.element_at(label, F.array_position(c, F.array_max(c)).cast("int"))
-    blind = (F.col("trigrams") == 0) & F.col("declared").isNull() & F.col("host").isNull()
-    return joined.select(
-        "id",
-        F.when(blind, F.lit(UNKNOWN)).otherwise(best(F.col("post"))).alias("language"),
-        F.array_max("post").alias("posterior"),
-        F.when(F.col("trigrams") > 0, best(F.col("text_post"))).otherwise(F.lit(UNKNOWN)).alias("text_language"),
-        "declared",
-        "host",
-        "trigrams",
-    )
+    found = _fused(_evidence_rows(rows.select("id", "text", "declared", "host")), model, markup)
+    return found.select("id", "language", "posterior", "text_language", "declared", "host", "trigrams")
 
 
 def document_model(documents: DataFrame) -> Model:
@@ -217,18 +250,20 @@ def document_model(documents: DataFrame) -> Model:
 def identify_pages(pages: DataFrame, model: Model) -> DataFrame:
     """Language of web pages (page_id, url, html): declared in the html tag, host and suffix from the address."""
     host = F.nullif(F.regexp_extract("url", r"(?i)^[a-z][a-z0-9+.-]*://(?:[^/@]*@)?([^/:?#]+)", 1), F.lit(""))
-    lang = F.nullif(F.regexp_extract("html", r"(?i)<html\b[^>]*?\blang\s*=\s*[\"']?([a-z]{2,8})", 1), F.lit(""))
+    lang = F.nullif(F.regexp_extract("html", r"(?i)<html\b[^<>]*?\blang\s*=\s*[\"']?([a-z]{2,8})", 1), F.lit(""))
     rows = pages.select(F.col("page_id").alias("id"), F.col("html").cast("string").alias("text"), lang.alias("declared"), host.alias("host"))
     return identify(rows, model, markup=True).withColumnRenamed("id", "page_id")
 
 
 def accepted(documents: DataFrame, threshold: float = 0.5) -> DataFrame:
-    """The documents whose language is known, in ``lang``; other columns stay as they are.  Rejected are texts without a
-    letter, texts that the flat model explains best and those whose best posterior is below ``threshold``."""
-    keyed = documents.withColumn("_tag", F.xxhash64("text"))
-    rows = keyed.select(F.struct("doc_id", "_tag").alias("id"), F.col("text").cast("string").alias("text"), F.col("lang").alias("declared"), F.col("source").alias("host"))
-    found = identify(rows, document_model(documents))
+    """The documents (doc_id, text, lang, source and any others) whose language is known, in ``lang``; other columns stay
+    as they are.  Rejected are null and empty texts and those without a letter, texts that the flat model explains best
+    and those whose best posterior is below ``threshold``.  Each row is judged by itself: a null or repeated doc_id and
+    repeated rows change nothing, and an empty table gives an empty one."""
+    others = [c for c in documents.columns if c != "text"]
+    rows = documents.select(F.struct(*others).alias("carried"), F.col("text").cast("string").alias("text"), F.col("lang").alias("declared"), F.col("source").alias("host"))
+    found = _fused(_evidence_rows(rows), document_model(documents), False)
     good = found.where(f"language <> '{UNKNOWN}' and text_language <> '{UNKNOWN}' and trigrams > 0 and posterior >= {threshold}")
-    good = good.select(F.col("id.doc_id").alias("_id"), F.col("id._tag").alias("_t"), "language").groupBy("_id", "_t").agg(F.min("language").alias("language"))
-    joined = keyed.join(good, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_tag") == F.col("_t")))
-    return joined.select(*[F.col("language").alias("lang") if c == "lang" else F.col(c) for c in documents.columns])
+    kind = dict(documents.dtypes)["text"]
+    made = {"lang": F.col("language"), "text": F.col("text").cast(kind)}
+    return good.select(*[made.get(c, F.col(f"carried.`{c}`")).alias(c) for c in documents.columns])

@@ -68,9 +68,33 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BY
             start = stop
 
 
+def whole_runs(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
+    """Cut batches whose rows stand together by a column of numbers so that no run of equal ones is parted."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        value = batch.column(column).to_numpy()
+        if held and held[-1].column(column)[-1].as_py() != value[0]:
+            yield _joined(held)
+            held = []
+        other = np.flatnonzero(value != value[-1])
+        last = int(other[-1]) + 1 if len(other) else 0
+        if last:
+            yield _joined([*held, batch.slice(0, last)])
+            held = []
+        held.append(batch.slice(last))
+    if held:
+        yield _joined(held)
+
+
+def _joined(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+    return parts[0] if len(parts) == 1 else pa.concat_batches(parts)
+
+
 def raw(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """(bytes, offsets): the UTF-8 of a string column end to end; null counts as empty."""
-    column = pc.fill_null(column, "") if column.null_count else column
+    """(bytes, offsets): the UTF-8 of a string column, or the bytes of a binary one, end to end; null counts as empty."""
+    column = pc.fill_null(column, pa.scalar(b"" if pa.types.is_binary(column.type) else "", column.type)) if column.null_count else column
     if pa.types.is_large_string(column.type):
         kind = np.int64
     else:
