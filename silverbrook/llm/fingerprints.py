@@ -1,13 +1,16 @@
 """Operator 1, document fingerprints by winnowing, with built-in functions only.
 
-A text's units are its words.  Every run of ``K`` units gets a hash; of each window of ``w`` consecutive hashes the least
-is chosen, the rightmost among equal ones, and the chosen hashes keep their positions.  Hash and position are packed in
-one number whose order is (hash, later position first), so the choice is a plain minimum, and the minimum of a window of
-1, 2, 4, 8, 16 hashes is made by doubling.  ``w`` is 16 for texts of 128 hashes or more and smaller for shorter ones.
+A text's units are its words.  Each unit is hashed once, and every run of ``K`` units gets the Karp-Rabin polynomial of
+its hashes; of each window of ``w`` consecutive hashes the least is chosen, the rightmost among equal ones, and the chosen
+hashes keep their positions.  Hash and position are packed in one number whose order is (hash, later position first), so the
+choice is a plain minimum, and the minimum of a window of 1, 2, 4, 8, 16 hashes is made by doubling.  ``w`` is 16 for texts
+of 128 hashes or more and smaller for shorter ones, so that these have some fingerprints too.
 
 Guarantee: two texts of that length that share a run of ``w + K - 1`` words share a chosen hash, wherever it stands.
 
-Texts of up to ``SHORT`` code points are too small for words alone and carry a second part made of their characters.
+Texts of up to ``SHORT`` code points are too small for words alone and carry a second part made of their characters; a
+rule of each text by itself, the same whatever the table's size.  All columns of a row are in memory at once, some 20 times
+the bytes of the largest single text.
 """
 
 from __future__ import annotations
@@ -16,20 +19,30 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 K, LEVELS, SHORT, SHORT_K = 3, 4, 320, 5
 SPACE = r"[\x20\x09-\x0D]+"
-#: Rows of a bucket of neighbours, and bucket heads that may be broadcast (their ids take some 2 MB).
+#: Rows of a bucket of neighbours, and bucket heads that may be broadcast (their ids take some 3 MB).
 BUCKET, HEADS = 256, 100_000
+#: Stretches of doc_id with equal numbers of rows, from approximate quantiles; each is cut evenly into buckets.
+STRETCHES, ACCURACY = 256, 25_600
 
 _LOW = (1 << 32) - 1
+#: Base and modulus of the polynomial hash.
+_BASE, _PRIME = 1_103_515_245, (1 << 31) - 1
 
 
-def _packed(units: Column, k: int) -> Column:
+def _hashed(units: Column) -> Column:
+    return F.transform(units, lambda x: F.pmod(F.xxhash64(x), F.lit(_PRIME)))
+
+
+def _packed(hashes: Column, k: int) -> Column:
     """(hash of the k-gram, descending position) as one long, for each unit; the last k - 1 grams are shorter."""
 
-    def gram(unit: Column, i: Column) -> Column:
-        value = F.xxhash64(unit, *[F.get(units, i + j) for j in range(1, k)])
-        return F.shiftleft(F.shiftrightunsigned(value, 33), 32) + (F.lit(_LOW) - i)
+    def gram(first: Column, i: Column) -> Column:
+        value = first
+        for j in range(1, k):
+            value = (value * _BASE + F.coalesce(F.get(hashes, i + j), F.lit(0).cast("long"))) % _PRIME
+        return F.shiftleft(value, 32) + (F.lit(_LOW) - i)
 
-    return F.transform(units, gram)
+    return F.transform(hashes, gram)
 
 
 def _chosen(df: DataFrame, units: str, k: int, out: str) -> DataFrame:
@@ -37,7 +50,8 @@ def _chosen(df: DataFrame, units: str, k: int, out: str) -> DataFrame:
     evaluated more than once."""
     n = F.size(units)
     grams = f"{out}_0"
-    df = df.withColumn(f"{out}_all", _packed(F.col(units), k))
+    df = df.withColumn(f"{out}_hash", _hashed(F.col(units)))
+    df = df.withColumn(f"{out}_all", _packed(F.col(f"{out}_hash"), k))
     df = df.withColumn(grams, F.when(n >= k, F.slice(f"{out}_all", F.lit(1), n - (k - 1))).otherwise(F.slice(f"{out}_all", 1, 1)))
     now = grams
     for level in range(1, LEVELS + 1):
@@ -46,7 +60,7 @@ def _chosen(df: DataFrame, units: str, k: int, out: str) -> DataFrame:
         both = F.zip_with(F.slice(now, F.lit(1), rest), F.slice(now, F.lit(half + 1), rest), lambda x, y: F.least(x, y))
         df = df.withColumn(name, F.when(F.size(grams) >= 8 << level, both).otherwise(F.col(now)))
         now = name
-    return df.withColumn(out, F.array_distinct(now)).drop(f"{out}_all", *[f"{out}_{i}" for i in range(LEVELS + 1)])
+    return df.withColumn(out, F.array_distinct(now)).drop(f"{out}_hash", f"{out}_all", *[f"{out}_{i}" for i in range(LEVELS + 1)])
 
 
 def with_fingerprint(df: DataFrame, text: str = "text", prefix: str = "") -> DataFrame:
@@ -86,34 +100,75 @@ def shown(prefix: str = "") -> Column:
     return F.concat_ws("|", *[F.concat_ws(" ", F.transform(f"{prefix}{part}", one)) for part in ("words", "chars")])
 
 
+def _bucketed(rows: DataFrame) -> tuple[DataFrame, int]:
+    """Add ``bucket``, whose descending order is that of documents, and give the number of rows.
+
+    Stretches of doc_id that quantiles find to hold equal numbers of rows are cut evenly, so neither an id far from the
+    others nor ids in clusters fill a bucket.  An id that holds a stretch or more, and the null ids, are dealt by a hash of
+    the text, which orders rows of one id."""
+    span = rows.agg(F.count(F.lit(1)).alias("n"), F.count("doc_id").alias("known"), F.percentile_approx("doc_id", [i / STRETCHES for i in range(STRETCHES + 1)], ACCURACY).alias("at")).first()
+    n, at = span["n"], span["at"] or []
+    #: (first doc_id, last doc_id, buckets, dealt by hash), ascending
+    stretches: list[tuple[int, int, int, bool]] = []
+    each = -(-n // (STRETCHES * BUCKET)) or 1
+    lows = sorted(set(at))
+    for i, low in enumerate(lows):
+        times, nxt = at.count(low), lows[i + 1] if i + 1 < len(lows) else None
+        if times > 1:
+            stretches.append((low, low, each * times, True))
+        if nxt is None or low + (times > 1) < nxt:
+            stretches.append((low + (times > 1), (nxt or (1 << 63)) - 1, each, False))
+    if stretches and stretches[-1][0] > (1 << 63) - 1:
+        stretches.pop()
+    high_bits = F.shiftright(F.xxhash64("text"), 32) + F.lit(1 << 31)
+    hash_part = lambda parts: parts - 1 - F.shiftright(high_bits * parts, 32)
+    nulls = max(1, -(-(n - span["known"]) // BUCKET))
+    null_bucket = hash_part(F.lit(nulls).cast("long"))
+    if not stretches:
+        return rows.withColumn("bucket", null_bucket), n
+    column = lambda k, kind: F.array(*[F.lit(s[k]).cast(kind) for s in stretches])
+    before, base = [], nulls
+    for s in stretches:
+        before.append(base)
+        base += s[2]
+    rows = rows.withColumn("_s", F.greatest(F.lit(1), F.size(F.filter(column(0, "long"), lambda x: x <= F.col("doc_id")))))
+    pick = lambda values: F.element_at(values, F.col("_s"))
+    low, high, parts = (pick(column(k, "decimal(38,0)")) for k in (0, 1, 2))
+    even = F.floor((F.col("doc_id").cast("decimal(38,0)") - low) * parts / (high - low + 1)).cast("long")
+    even = F.least(F.greatest(even, F.lit(0).cast("long")), parts.cast("long") - 1)
+    inside = F.when(pick(column(3, "boolean")), hash_part(parts.cast("long"))).otherwise(even)
+    bucket = pick(F.array(*[F.lit(b).cast("long") for b in before])) + inside
+    return rows.withColumn("bucket", F.when(F.col("doc_id").isNull(), null_bucket).otherwise(bucket)).drop("_s"), n
+
+
 def beside_next(docs: DataFrame) -> DataFrame:
     """Fingerprint each text and put the next document's text and fingerprint beside it.
 
     Next is the document with the next smaller doc_id, after the last the first; rows with one doc_id follow each other
-    by text, and null doc_ids come last.  Documents are dealt to buckets by ranges of doc_id; the first document of a
-    bucket also visits the bucket before, as a guest, so that no bucket needs another's rows.
+    by a hash of their text, then by text, and null doc_ids come last.  Documents are dealt to buckets (:func:`_bucketed`);
+    the first document of a bucket also visits the next higher bucket that has rows, as a guest, so that no bucket needs
+    another's rows.  The highest bucket's first visits the lowest.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    span = rows.agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).first()
-    low, high = span["low"] or 0, span["high"] or 0
-    width = max(1, -(-(high - low + 1) * BUCKET // max(1, span["n"])))
-    key = F.coalesce("doc_id", F.lit(low) - 1 if low > -(1 << 63) else F.lit(low))
-    rows = rows.withColumn("key", key).withColumn("bucket", F.coalesce(F.floor((F.col("doc_id").cast("decimal(38,0)") - low) / width).cast("long"), F.lit(0)))
-    heads = rows.groupBy("bucket").agg(F.max("key").alias("key"))
-    order = Window.orderBy(F.col("bucket").desc())
-    first = F.max("bucket").over(Window.partitionBy())
-    # a head is the guest of the next higher bucket that has rows; the highest bucket's head visits the lowest
-    guests = heads.withColumn("host", F.coalesce(F.lag("bucket").over(order), F.min("bucket").over(Window.partitionBy()))).withColumn("top", first)
-    guests = guests.select("key", "bucket", "host")
-    if span["n"] // BUCKET <= HEADS:
+    rows, n = _bucketed(rows)
+    rows = rows.withColumn("place", F.struct(F.col("doc_id").isNotNull().alias("known"), F.col("doc_id").alias("id"), F.bitwise_not(F.xxhash64("text")).alias("hash")))
+    heads = rows.groupBy("bucket").agg(F.max("place").alias("place")).withColumn("group", F.floor(F.col("bucket") / F.lit(HEADS)))
+    # the next higher bucket: in the same group of buckets, else the lowest of the next group
+    groups = heads.groupBy("group").agg(F.min("bucket").alias("lowest"))
+    all_groups = Window.orderBy("group")  # one row for each HEADS buckets
+    groups = groups.select("group", F.coalesce(F.lead("lowest").over(all_groups), F.min("lowest").over(Window.partitionBy())).alias("beyond"))
+    higher = F.lead("bucket").over(Window.partitionBy("group").orderBy("bucket"))
+    guests = heads.withColumn("higher", higher).join(groups, "group").select("place", "bucket", F.coalesce("higher", "beyond").alias("host"))
+    if n // BUCKET + 3 * STRETCHES <= HEADS:
         guests = F.broadcast(guests)
-    guests = rows.join(guests, ["key", "bucket"]).select("doc_id", "text", "key", F.col("host").alias("bucket"), F.lit(1).alias("guest"))
-    every = rows.select("doc_id", "text", "key", "bucket", F.lit(0).alias("guest")).unionByName(guests)
+    # rows of one place are one text
+    guests = rows.join(guests, ["place", "bucket"]).dropDuplicates(["place", "bucket"]).select("doc_id", "text", "place", F.col("host").alias("bucket"), F.lit(1).alias("guest"))
+    every = rows.select("doc_id", "text", "place", "bucket", F.lit(0).alias("guest")).unionByName(guests)
     every = with_fingerprint(every)
-    after = Window.partitionBy("bucket").orderBy("guest", F.col("key").desc(), "text")
+    after = Window.partitionBy("bucket").orderBy("guest", F.col("place").desc(), "text")
     for name in ("text", "words", "chars"):
         every = every.withColumn(f"next_{name}", F.lead(name).over(after))
-    return every.where("guest = 0").drop("guest", "bucket", "key")
+    return every.where("guest = 0").drop("guest", "bucket", "place")
 
 
 def compare_edited(docs: DataFrame) -> DataFrame:
