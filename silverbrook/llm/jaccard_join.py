@@ -97,9 +97,10 @@ def _signatures(n: int, count: int):
             values, at = gram_sets(part.column("text"), n)
             node, keys, seen = digests(values, at), minhash_keys(values, at, count).view(np.int64), set()
             rows = []
-            for i, d in enumerate(node):
-                rows.append(keys[i] if at[i + 1] > at[i] and d not in seen else None)
-                seen.add(d)
+            for i, (d, known) in enumerate(zip(node, part.column("doc_id").is_valid().to_pylist(), strict=True)):
+                rows.append(keys[i] if known and at[i + 1] > at[i] and d not in seen else None)
+                if known:
+                    seen.add(d)
             yield pa.RecordBatch.from_arrays(
                 [part.column("doc_id"), pa.array(np.diff(at)), pa.array(node, pa.binary()), pa.array(rows, pa.list_(pa.int64()))],
                 ["doc_id", "n_shingles", "node", "keys"],
@@ -166,9 +167,11 @@ def jaccard_links(docs: DataFrame, n: int = 4, percent: int = 85) -> tuple[DataF
 
     ``docs`` needs ``doc_id`` (long) and ``text``; other columns are ignored, so clashing names do no harm.
     ``links`` (a, b): links between class representatives that span every linked group.  ``members`` (doc_id,
-    n_shingles, node, rep): each row of ``docs`` with its set's size and the smallest doc_id that has the same set.
+    n_shingles, rep): each row of ``docs`` with its set's size and the smallest doc_id that has the same set.
     Null and empty texts and texts without words have an empty set and ``rep`` = their own doc_id.  A row with a null
-    doc_id is a member without links.  Rows repeated with one doc_id count as one document if their sets are equal.
+    doc_id is a member whose ``rep`` is null, without links.  Rows repeated with one doc_id count as one document if their
+    sets are equal.  An empty table gives empty results.  A task needs memory for a few copies of the largest single text.
+    For all links, or without the probability of a miss, see :mod:`silverbrook.llm.exact_join`.
     """
     count = bands(percent / 100)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -209,13 +212,14 @@ def jaccard_links(docs: DataFrame, n: int = 4, percent: int = 85) -> tuple[DataF
     texts = rows.where("doc_id is not null").join(placed.hint("shuffle_hash"), "doc_id").select("doc_id", "text", "tiles")
     sets = texts.mapInArrow(_arrays(n), "doc_id long, tiles array<string>, grams binary").select("doc_id", "grams", F.explode("tiles").alias("tile"))
     links = sets.groupBy("tile").applyInPandas(_verify(percent), "a long, b long").where("a <> b")
-    members = made.select("doc_id", "n_shingles", "node").join(nodes.select("node", "rep"), "node", "left")
-    members = members.select("doc_id", "n_shingles", "node", F.when(F.col("n_shingles") > 0, F.coalesce("rep", "doc_id")).otherwise(F.col("doc_id")).alias("rep"))
-    return links, members
+    alone = made.where("n_shingles = 0 or doc_id is null").select("doc_id", "n_shingles", F.col("doc_id").alias("rep"))
+    members = full.select("doc_id", "n_shingles", "node").join(nodes.select("node", "rep"), "node").select("doc_id", "n_shingles", "rep")
+    return links, members.unionByName(alone)
 
 
 def jaccard_classes(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
-    """One row per row of ``docs``: ``doc_id, n_shingles, component_id``, the smallest doc_id reachable by links."""
+    """One row per row of ``docs``: ``doc_id, n_shingles, component_id``, the smallest doc_id reachable by links.  A row
+    with a null doc_id has a null component_id.  For other odd rows see :func:`jaccard_links`."""
     links, members = jaccard_links(docs, n, percent)
     groups = components(links).withColumnsRenamed({"id": "rep"})
     return members.join(groups, "rep", "left").select("doc_id", "n_shingles", F.coalesce("component", "rep").alias("component_id"))
