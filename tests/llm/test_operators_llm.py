@@ -13,7 +13,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from silverbrook.llm import fingerprints, jaccard_join, language_id, mixing, motion_jpeg, packing, page_text, queries, quotations, substring_dedup, token_counts, wordarrays as wa
+from silverbrook.llm import exact_join, fingerprints, jaccard_join, language_id, mixing, motion_jpeg, packing, page_text, queries, quotations, rarity, substring_dedup, token_counts, wordarrays as wa
 from silverbrook.llm.components import components
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -60,12 +60,28 @@ def test_fingerprints_edit_and_order(docs, rows, empty):
     assert fingerprints.compare_edited(null_ids).count() == 3
 
 
+def test_fingerprints_of_far_and_repeated_ids(spark):
+    """Buckets stay small whatever the ids, and the order of documents holds across them."""
+    rng = random.Random(9)
+    ids = [*range(1500), 1 << 61, -(1 << 63), (1 << 63) - 1, *[(7 << 48) + i for i in range(1500)], *[(9 << 40) + 5] * 1500, *[None] * 1500]
+    rows = [(i, f"word{rng.randrange(10**6)} and word{k}") for k, i in enumerate(ids)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    dealt, n = fingerprints._bucketed(df)
+    sizes = [r["count"] for r in dealt.groupBy("bucket").count().collect()]
+    assert n == len(rows) and max(sizes) <= 3 * fingerprints.BUCKET
+    nexts = {(r.doc_id, r.text): r.next_text for r in fingerprints.beside_next(df).select("doc_id", "text", "next_text").collect()}
+    hashes = {r.text: r.h for r in df.select("text", F.xxhash64("text").alias("h")).collect()}
+    order = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), hashes[r[1]]))
+    assert all(nexts[row] == order[(k + 1) % len(order)][1] for k, row in enumerate(order))
+
+
 def test_winnowing_chooses_rightmost_minimum(spark, rows):
     """Positions and hashes are those of the definition."""
     texts = [x for _, x in rows if len(x) > 400][:20] + ["a b c d " * 40]
     df = spark.createDataFrame([(i, x) for i, x in enumerate(texts)], "id long, text string")
-    grams = df.withColumn("u", F.filter(F.split("text", fingerprints.SPACE), lambda x: x != "")).withColumn("g", F.transform("u", lambda x, i: F.shiftrightunsigned(F.xxhash64(x, F.get("u", i + 1), F.get("u", i + 2)), 33)))
-    known = {r.id: r.g[: len(r.u) - 2] for r in grams.collect()}
+    grams = df.withColumn("u", F.filter(F.split("text", fingerprints.SPACE), lambda x: x != "")).withColumn("g", F.transform("u", lambda x: F.xxhash64(x)))
+    base, prime = 1_103_515_245, (1 << 31) - 1
+    known = {r.id: [(a * base**2 + b * base + c) % prime for a, b, c in zip(r.g, r.g[1:], r.g[2:])] for r in grams.collect()}
     low = (1 << 32) - 1
     for r in fingerprints.with_fingerprint(df).collect():
         g = known[r.id]
@@ -113,7 +129,7 @@ def test_template_text_goes_and_skewed_join_agrees(spark, monkeypatch):
     found = sorted((r.page_id, r.text, r.n_chars) for r in page_text.extract_text(df).collect())
     expected = {i: f"{('text%d ' % i * 30).strip()}\n\ntail {i}" for i in range(12)} | {50: "", 51: "", 52: "alone"}
     assert found == sorted((p, expected[p], len(expected[p])) for p, _, _ in pages)
-    monkeypatch.setattr(page_text, "BROADCAST_BYTES", -1)
+    monkeypatch.setattr("silverbrook.llm.storage.BROADCAST_BYTES", -1)
     assert sorted((r.page_id, r.text, r.n_chars) for r in page_text.extract_text(df).collect()) == found
     assert page_text.extract_text(df.limit(0)).count() == 0
 
@@ -134,10 +150,69 @@ def test_page_text_loses_no_part_of_an_article():
     assert text(_page(f"<article><p>Teaser</p></article><main><h1>T</h1><p>{story}</p></main>")) == f"T\n\n{story}"
     assert text(_page(f"<div><article><p>{story}</p></article></div><div><article><p>{lead}</p></article></div>")) == f"{story}\n\n{lead}"
     assert text(_page(f"<article><p>Teaser</p></article><div><p>{story}</p></div>")) == f"Teaser\n\n{story}"
+    two = f"<main><article><p>{story}</p></article><article><p><a href=x>{lead}</a></p></article></main>"
+    assert text(_page(two)) == f"{story}\n\n{lead}"
+    assert text(_page(f"<article><p><a href=x>One link</a></p><ul><li><a>Two</a><li><a>Three</a></ul></article><div class=x>.</div>")) == "One link\n\nTwo\n\nThree"
+    odd = f"<article><p>a</p><h2 id='related'>Related work</h2><p>{lead}</p><p class='notice'>important</p><section id='social'><p>b</p></section><p class='ad-hoc'>c</p><div class='ad-hoc'>d</div><div class='ad-box'>e</div></article>"
+    assert text(_page(odd)) == f"a\n\nRelated work\n\n{lead}\n\nimportant\n\nb\n\nc\n\nd"
     slugs = f"<article><h2 id='social-effects'>Effects</h2><p>{story}</p><section id='related-work'><h2 id=related>Work</h2><p id='notice-periods'>{lead}</p></section><section id=comments><p>c</p></section></article>"
     assert text(_page(slugs)) == f"Effects\n\n{story}\n\nWork\n\n{lead}"
 
 
+def _brute_templates(pages):
+    """host -> template tokens, from whole occurrence vectors."""
+    hosts = defaultdict(dict)
+    for i, url, html in pages:
+        hosts[url.split("/")[2]][i] = page_text.Page(html).tokens()
+    out = {}
+    for host, counts in hosts.items():
+        classes = defaultdict(set)
+        for token in {t for c in counts.values() for t in c}:
+            classes[tuple(counts[i][token] for i in sorted(counts))].add(token)
+        chosen = [ts for v, ts in classes.items() if len(ts) >= page_text.CLASS_TOKENS and sum(n > 0 for n in v) >= max(2, page_text.CLASS_SHARE * len(v))]
+        out[host] = frozenset(t for ts in chosen for t in ts)
+    return out
+
+
+def test_templates_are_those_of_whole_vectors(spark):
+    """Pages without an article element: slots of the deduced template hold the planted article, and nothing else."""
+    rng = random.Random(8)
+    words = lambda n: " ".join("".join(rng.choice("abcdefghijklmnoprstu") for _ in range(rng.randrange(2, 9))) for _ in range(n))
+    pages, truth = [], {}
+    for host in range(4):
+        lines = [words(6) for _ in range(8)]
+        box = "div" if host % 2 else "section"
+        for k in range(1 + 9 * (host < 3)):
+            blocks = [words(4), *(words(rng.randrange(5, 40)) for _ in range(rng.randrange(2, 6)))]
+            body = "".join([f"<h1>{blocks[0]}</h1>", *(f"<p>{b}</p>" for b in blocks[1:])])
+            links = "".join(f"<li><a href=/{i}>{lines[i]}</a></li>" for i in range(4))
+            some = f"<div class=m>{lines[6]}<span>{lines[7]}</span></div>" if k % 3 else ""
+            page = len(pages)
+            pages.append((page, f"http://h{host}.example.com/{k}", _page(f"<div class=a><b>{lines[4]}</b><i>{lines[5]}</i></div><div class=z><ul>{links}</ul></div>{some}<{box} class=q><div class=r>{body}</div></{box}><div class=y>{lines[6]} {lines[7]}</div><div class=y2>{lines[0]}</div>")))
+            truth[page] = "\n\n".join(blocks) if host < 3 else None
+    found = {r.page_id: r.text for r in page_text.extract_text(spark.createDataFrame(pages, "page_id long, url string, html string").repartition(3)).collect()}
+    plain = _brute_templates(pages)
+    tokens = {r.host: frozenset(r.tokens) for r in page_text.templates(page_text._keyed(spark.createDataFrame(pages, "page_id long, url string, html string"))).collect()}
+    assert tokens == {h: ts for h, ts in plain.items() if ts}
+    for page, url, html in pages:
+        assert found[page] == page_text.Page(html).main_text(plain[url.split("/")[2]])
+        assert truth[page] is None or found[page] == truth[page]
+
+
+def test_pages_that_are_hard_to_parse():
+    """Time in proportion to the length for deep, unclosed and broken markup."""
+    import time
+
+    for html in ("<a b" * 100_000, "<a " + '"' * 400_000, "<script " * 50_000, "<div>" * 80_000 + "end", "<b>" * 60_000 + "</i>" * 60_000, "<p><div>" + "<b>" * 60_000 + "<li>" * 60_000, "<!-- " * 80_000, "<" * 400_000):
+        begun = time.time()
+        page = page_text.Page(html)
+        page.main_text(frozenset(page.tokens()))
+        assert time.time() - begun < 20
+    assert page_text.Page("<div>" * 80_000 + "end").main_text(frozenset()) == "end"
+    deep = "<div>" * 600 + "<p>one</p></div><p>two</p>"
+    assert page_text.Page(deep).main_text(frozenset()) == "one\n\ntwo"
+
+
 def test_template_text_inside_articles_goes(spark):
     """Lines that a host repeats go from articles and paragraphs too; pages that are copies keep their text."""
     own = lambda i: f"text{i} " * 20
@@ -204,6 +279,89 @@ def test_wrapped_and_short_quotations(spark):
     assert out[3, 1] == (3, 0, 1) and out[5, 0] == (4, 0, 1) and out[6, 2] == (None, None, 0)
 
 
+def _brute_threads(messages):
+    """What reply_conversations says of each (conv, turn), with plain loops."""
+    said, quoted = set(), set()
+    for c, t, _, x in messages:
+        if c is not None and t is not None:
+            said |= {(c, t, u[4], u[5]) for u in quotations._units_of(x or "", False)}
+            quoted |= {(c, t, x, *u) for u in quotations._units_of(x or "", True)}
+    lines = defaultdict(lambda: [0, None, None])
+    for c, t, x, first, last, level, kind, key, short in quoted:
+        earlier = sorted(u for d, u, k, _ in said if d == c and k == key and u < t)
+        anywhere = sorted((d, u) for d, u, k, s in said if k == key and not s)
+        to = None
+        if earlier and (not short or len(set(earlier)) == 1):
+            to = (c, earlier[-1])
+        elif not short and anywhere and anywhere[0] < (c, t):
+            to = anywhere[0]
+        for n in range(first, last + 1):
+            row = lines[c, t, x, n]
+            row[0] = max(row[0], level)
+            row[1] = max(row[1] or "", key) if kind == 0 and not short else row[1]
+            if to:
+                row[2] = min(row[2] or (9,), (kind, first, to))
+    shown = defaultdict(lambda: (set(), set(), Counter()))
+    pairs = []
+    for (c, t, _, n), (level, key, to) in lines.items():
+        if key or to:
+            counted, linked, votes = shown[c, t]
+            counted.add(n)
+            if to:
+                linked.add(n)
+                votes[level, to[2]] += 1
+                pairs.append((c, to[2][0]))
+    parent = {m: max(v[2].items(), key=lambda i: (-i[0][0], i[1], i[0][1]))[0][1] for m, v in shown.items() if v[2]}
+    top = {}
+
+    def find(c):
+        while top.get(c, c) != c:
+            c = top[c]
+        return c
+
+    for a, b in pairs:
+        x, y = sorted((find(a), find(b)))
+        top[y] = x
+    out = {}
+    for c, t, *_ in messages:
+        depth, at = 0, (c, t)
+        while at in parent:
+            depth, at = depth + 1, parent[at]
+        counted, linked, _ = shown.get((c, t), (set(), set(), None))
+        out[c, t] = (len(counted), len(linked), *parent.get((c, t), (None, None)), depth, find(c))
+    return out
+
+
+@pytest.mark.parametrize("kind", ["long", "string"])
+def test_quotations_against_plain_loops(spark, kind, monkeypatch):
+    rng = random.Random(12)
+    pool = ["yes", "no, thanks", "ok"] + [" ".join("".join(rng.choice("abcdeghilmnoprst") for _ in range(rng.randrange(2, 8))) for _ in range(rng.randrange(3, 14))) + rng.choice([".", "!", "?", ""]) for _ in range(40)]
+    name = (lambda c: c) if kind == "long" else (lambda c: f"c{c:03}")
+    messages = []
+    for c in range(40):
+        for t in range(rng.randrange(1, 7)):
+            lines = []
+            for _ in range(rng.randrange(3)):
+                if messages and rng.random() < 0.8:
+                    source = rng.choice(messages[-6:] if rng.random() < 0.7 else messages)[3] or "nothing"
+                    words = " ".join(rng.sample(source.split("\n"), rng.randrange(1, 1 + len(source.split("\n"))))).split()
+                    while words:  # wrapped elsewhere, and one level deeper
+                        k = rng.randrange(2, 20)
+                        line, words = " ".join(words[:k]), words[k:]
+                        lines.append(("> " if not line.startswith(">") else ">") + (line.upper() if rng.random() < 0.1 else line))
+            lines += [" ".join(rng.sample(pool, rng.randrange(1, 3))) for _ in range(rng.randrange(1, 4))]
+            messages.append((name(c), t, "user", "\n".join(lines)))
+    messages += [messages[3], (name(5), 1, "user", "> " + pool[5]), (name(41), 0, "user", None), (name(41), 1, "user", "")]
+    df = spark.createDataFrame([*messages, (None, 0, "user", "> " + pool[4]), (name(1), None, "user", pool[4])], f"conv_id {kind}, turn long, role string, text string").repartition(3)
+    expected = _brute_threads(messages)
+    seen = lambda: {(r.conv_id, r.turn): (r.n_quoted, r.n_linked, r.parent_conv, r.parent_turn, r.depth, r.thread_id) for r in quotations.reply_conversations(df).collect() if r.conv_id is not None and r.turn is not None}
+    assert seen() == expected
+    assert sum(v[1] > 0 for v in expected.values()) > 30 and max(v[4] for v in expected.values()) > 1
+    if kind == "long":  # hot lines dealt to parts
+        monkeypatch.setattr("silverbrook.llm.storage.BROADCAST_BYTES", -1)
+        assert seen() == expected
+
+
 # 4
 
 
@@ -275,6 +433,99 @@ def test_tile_links_bound_loses_nothing():
     assert exact and classes(links) == classes(exact)
 
 
+def test_prefixes_and_bitmaps_lose_no_link():
+    """Sets that link share an n-gram of their prefixes and pass the bound of their bitmaps, whatever the classes."""
+    rng = np.random.default_rng(0)
+    base = rng.integers(0, 2**63, 300).astype(np.uint64)
+    sets = [np.unique(np.concatenate([base[rng.random(300) > rng.random() * 0.2], rng.integers(0, 2**63, rng.integers(0, 20)).astype(np.uint64)])) for _ in range(60)]
+    sets += [np.unique(rng.choice(base[:9], rng.integers(1, 9))) for _ in range(60)]
+    sets.sort(key=len)
+    values, at = np.concatenate(sets), np.cumsum([0] + [len(x) for x in sets])
+    size, n = np.diff(at), len(sets)
+    exact = {(i, j) for j in range(n) for i in range(j) if 100 * len(np.intersect1d(sets[i], sets[j])) >= 85 * len(np.union1d(sets[i], sets[j]))}
+    grams, ends = exact_join.prefixes(values, at, rng.integers(0, 3, rarity.SLOTS).astype(np.uint8), 85)
+    heads = [set(grams[i:j].tolist()) for i, j in zip(ends[:-1], ends[1:], strict=True)]
+    assert len(exact) > 20 and all(heads[i] & heads[j] for i, j in exact)
+    bits = exact_join.Bitmaps(pa.array(exact_join.bitmaps(values, at), pa.binary()))
+    pairs = np.array([(i, j) for j in range(n) for i in range(j)])
+    apart = bits.apart(pairs[:, 0], pairs[:, 1])
+    assert all(k <= len(np.setxor1d(sets[i], sets[j])) for (i, j), k in zip(pairs, apart, strict=True))
+    none = np.zeros(n, bool)
+    found = {(int(x), int(y)) for a, b in exact_join.candidates(np.zeros(n, np.int64), size, bits, np.arange(n), none, 85) for x, y in zip(a, b, strict=True)}
+    assert exact <= found and len(found) < len(pairs) / 2
+
+
+def test_forest_spans():
+    rng = np.random.default_rng(2)
+    a, b = rng.integers(0, 200, (2, 300))
+    a, b = a[a != b], b[a != b]
+    taken = exact_join.forest(a, b, 200)
+
+    def top(edges):
+        label = np.arange(200)
+        for x, y in edges:
+            label[label == max(label[x], label[y])] = min(label[x], label[y])
+        return label
+
+    chosen = list(zip(a[taken], b[taken], strict=True))
+    whole = top(zip(a, b, strict=True))
+    assert (top(chosen) == whole).all() and len(chosen) == 200 - len(set(whole.tolist()))
+
+
+def test_jaccard_long_chain_is_linear(spark):
+    """Texts of which each shares three quarters with the next form no family of which all pairs meet."""
+    rng = random.Random(5)
+    words = [f"w{rng.randrange(10**7)}" for _ in range(3000 * 10 + 40)]
+    rows = [(i, " ".join(words[10 * i : 10 * i + 40])) for i in range(3000)] + [(5000 + i, " ".join(words[10 * i : 10 * i + 39])) for i in range(0, 3000, 100)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    signed, made, nodes = exact_join._nodes(df, 4, 85)
+    lists = exact_join._lists(nodes, 85)
+    nothing = nodes.select("rep").limit(0).select("rep", F.col("rep").alias("label"))
+    assert exact_join._all_tiles(lists, nothing).count() < 40 * len(rows)
+    assert lists.count() < 2 * len(rows)
+    found = {r.doc_id: r.component_id for r in exact_join.exact_classes(df).collect()}
+    assert all(found[5000 + i] == i for i in range(0, 3000, 100)) and len(set(found.values())) == 3000
+
+
+def test_jaccard_null_ids_and_all_links(spark):
+    text = " ".join(f"w{i}" for i in range(60))
+    near = text + " x"
+    df = spark.createDataFrame([(None, text), (7, text), (5, text), (5, text), (9, near), (None, near), (11, "other words that stand alone here"), (12, None), (13, "")], "doc_id long, text string")
+    for classes in (exact_join.exact_classes, jaccard_join.jaccard_classes):
+        found = sorted(((r.doc_id or 0), r.component_id) for r in classes(df).collect())
+        assert found == [(0, None), (0, None), (5, 5), (5, 5), (7, 5), (9, 5), (11, 11), (12, 12), (13, 13)]
+    counts = {r.doc_id: r.n_links for r in exact_join.link_counts(df).collect()}
+    assert counts == {5: 2, 7: 2, 9: 2, 11: 0, 12: 0, 13: 0}
+
+
+def test_jaccard_all_links_are_found(docs, rows):
+    """Recall and precision of the links between different sets, against all pairs."""
+    links, members = exact_join.exact_links(docs, 2, 60, spanning=False)
+    sets = {}
+    for i, x in rows:
+        sets.setdefault(_shingles(x, 2), i)
+        sets[_shingles(x, 2)] = min(i, sets[_shingles(x, 2)])
+    sets = {i: s for s, i in sets.items() if s}
+    exact = {(i, j) for i in sets for j in sets if i < j and 100 * len(sets[i] & sets[j]) >= 60 * len(sets[i] | sets[j])}
+    assert {(r.a, r.b) for r in links.collect()} == exact and exact
+
+
+def test_exact_and_minhash_joins_agree(spark, data, monkeypatch):
+    """Recall of the minhash families at the threshold and just above it: all that the exact join finds."""
+    monkeypatch.setattr(exact_join, "TILE", 2)
+    rng, rows = random.Random(31), []
+    for g in range(60):
+        base = [f"g{g}w{i}" for i in range(403)]
+        rows.append((10 * g, " ".join(base)))
+        for k in range(1, 4):  # of 400 shingles 32 or 33 change: a similarity of 368/432 to 367/433, on either side of 0.85
+            cut = [*base[: 400 - 32 - rng.randrange(2) + 3], *(f"g{g}x{k}y{i}" for i in range(32))]
+            rows.append((10 * g + k, " ".join(cut)))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    exact = {r.doc_id: r.component_id for r in exact_join.exact_classes(df).collect()}
+    assert exact == {i: c for i, (_, c) in _classes(rows, 4, 85).items()}
+    assert len(set(exact.values())) < len(rows) and {r.doc_id: r.component_id for r in jaccard_join.jaccard_classes(df).collect()} == exact
+
+
 @pytest.mark.parametrize("hub", [1000, 5])
 def test_components(spark, hub, monkeypatch):
     monkeypatch.setattr("silverbrook.llm.components.HUB_EDGES", hub)
@@ -322,6 +573,64 @@ def test_language_evidence_and_odd_rows(spark, data, docs, empty):
     assert language_id.accepted(empty).count() == 0
 
 
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_fused_evidence_against_plain_sums(spark, data, broadcast, monkeypatch):
+    """Priors of hosts and suffixes, declarations and leave-one-out, from the likelihoods alone."""
+    if not broadcast:
+        monkeypatch.setattr("silverbrook.llm.storage.BROADCAST_BYTES", -1)
+    docs = spark.read.parquet(f"{data}/documents.parquet")
+    model = language_id.document_model(docs)
+    rng, width = random.Random(7), len(model.hypotheses)
+    texts = [" ".join(r.text.split()[:3]) for r in docs.select("text").limit(60).collect()] + ["", None, "1 2 3", "zq xv"]
+    rows = [(i, rng.choice(texts), rng.choice([None, "en", "DE", "xx"]), rng.choice([None, "a.example.de", "b.example.de", "c.example.org", "HOST"])) for i in range(300)]
+    rows += [rows[0], (None, texts[0], "en", None)]
+    logs, n = model.score(pa.array([x for _, x, _, _ in rows], pa.string()), False)
+    soft = lambda x: np.exp(x - x.max()) / np.exp(x - x.max()).sum()
+    own = [soft(x) if k else np.zeros(width) for x, k in zip(logs, n, strict=True)]
+    hosts, suffixes, said = (defaultdict(lambda: np.zeros(width)) for _ in range(3))
+    for (_, _, d, h), p in zip(rows, own, strict=True):
+        host = (h or "").lower()
+        hosts[host] += p
+        suffixes[host.split(".")[-1]] += p
+        if d:
+            said[d.lower()] += p
+    base = sum(own) + 0.5
+    base /= base.sum()
+    spoken = sum(said.values())
+    expected = Counter()
+    for (i, _, d, h), p, x, k in zip(rows, own, logs, n, strict=True):
+        host = (h or "").lower()
+        s = suffixes[host.split(".")[-1]]
+        prior = (s + language_id.SUFFIX_PULL * base) / (s.sum() + language_id.SUFFIX_PULL)
+        others = np.maximum(0, hosts[host] - p)
+        fused = x + np.log((others + language_id.HOST_PULL * prior) / (others.sum() + language_id.HOST_PULL))
+        if d:
+            c = said[d.lower()]
+            fused = fused + np.log((c + language_id.DECLARED_PULL * (c.sum() + 1) / (spoken.sum() + 10)) / (spoken + language_id.DECLARED_PULL))
+        post = soft(fused)
+        blind = not k and not d and not h
+        expected[i, "und" if blind else model.hypotheses[post.argmax()], round(float(post.max()), 9), model.hypotheses[x.argmax()] if k else "und", int(k)] += 1
+    df = spark.createDataFrame(rows, "id long, text string, declared string, host string").repartition(3)
+    found = Counter((r.id, r.language, round(r.posterior, 9), r.text_language, r.trigrams) for r in language_id.identify(df, model).collect())
+    assert found == expected
+
+
+def test_equal_posteriors_and_long_texts(spark):
+    same = [(i, "the very same words", x) for i, x in enumerate(("bb", "aa"))]
+    model = language_id.fit(spark.createDataFrame(same, "id long, text string, label string"))
+    found = language_id.identify(spark.createDataFrame([(1, "the very same words", None, None)], "id long, text string, declared string, host string"), model).first()
+    assert found.language == found.text_language == "aa"
+    text = "der Text über ein Haus " * 500
+    whole = model.score(pa.array([text, "x", text]), False)
+    parts = language_id.Model(model.languages, model.logs)
+    language_id.BLOCK, block = 1 << 10, language_id.BLOCK
+    try:
+        small = parts.score(pa.array([text, "x", text]), False)
+    finally:
+        language_id.BLOCK = block
+    assert (whole[1] == small[1]).all() and np.allclose(whole[0], small[0])
+
+
 def test_rare_labels_are_fitted(spark, empty):
     """Each label has rows in the sample, whatever the table's size and however many labels there are."""
     rare = "ქართული ენის ტექსტი აქ არის და კიდევ სიტყვები"
@@ -378,6 +687,22 @@ def test_shots_and_bad_files(spark):
     assert len(motion_jpeg.find_shots(np.zeros((30, 192), np.uint8))) == 1
 
 
+def test_shots_against_plain_loops():
+    rng = np.random.default_rng(4)
+    for frames in (2, 3, 40, 200):
+        base = np.repeat(rng.integers(0, 256, (frames // 10 + 1, motion_jpeg.FRAME)), 10, 0)[:frames]
+        samples = np.clip(base + rng.integers(-9, 9, base.shape), 0, 255).astype(np.uint8)
+        bins = [np.bincount(f >> 4, minlength=motion_jpeg.BINS) for f in samples]
+        change = [np.abs(x - y).sum() / (2 * motion_jpeg.FRAME) for x, y in zip(bins, bins[1:], strict=False)]
+        cuts = [0]
+        for i, c in enumerate(change):
+            near = [change[j] for j in range(max(0, i - motion_jpeg.AROUND), min(len(change), i + motion_jpeg.AROUND + 1)) if j != i]
+            mean, spread = (np.mean(near), np.std(near)) if near else (0, 0)
+            if c > max(motion_jpeg.LEAST, mean + motion_jpeg.DEVIATIONS * spread):
+                cuts.append(i + 1)
+        assert motion_jpeg.find_shots(samples).tolist() == cuts
+
+
 # 7
 
 
@@ -435,6 +760,29 @@ def test_substring_dedup(docs, rows, window, monkeypatch):
     assert {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in found} == _deduped(rows, window)
 
 
+def test_passage_that_all_documents_have(spark, monkeypatch):
+    """A common passage is dealt to many buckets, and its strings travel once a task."""
+    monkeypatch.setattr(substring_dedup, "SLICE", 3000)
+    rng = random.Random(6)
+    word = lambda: f"w{rng.randrange(10**5)}"
+    passage = " ".join(word() for _ in range(90))
+    rows = [(i, " ".join([*(word() for _ in range(rng.randrange(40))), passage, *(word() for _ in range(rng.randrange(40)))])) for i in range(600)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in substring_dedup.remove_repeats(df).collect()}
+    assert found == _deduped(rows, 20)
+    classes = rarity.common_classes(df, substring_dedup.GRAM)
+    _, _, text, _, _, key, common = substring_dedup.super_kmers(pa.array([x for _, x in rows]), classes, 20)
+    assert common.mean() > 0.2 and len(set(key[common].tolist())) > 10
+    keyed = substring_dedup._keyed(df).select("doc_id", "tag", "text")
+    blobs = keyed.mapInArrow(substring_dedup._travel(classes, 1, 20), "bucket int, blob binary").collect()
+    strings = Counter(bytes(x) for r in blobs for x in [r.blob])
+    sizes = [substring_dedup._unpack(bytes(r.blob)) for r in blobs]
+    held = [s for s in sizes if len(s[1]) > 5 * len(s[0])]
+    assert len(held) == 3 and strings
+    monkeypatch.setattr(substring_dedup, "HELD_BYTES", 1)
+    assert {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in substring_dedup.remove_repeats(df).collect()} == found
+
+
 def test_substring_dedup_ids(spark, empty):
     text = " ".join(f"w{i}" for i in range(30))
     df = spark.createDataFrame([(None, text), (1, text), (1, text), (2, "q " + text)], "doc_id long, text string")
@@ -449,7 +797,7 @@ def test_colliding_hashes_are_told_apart(monkeypatch):
     monkeypatch.setattr(wa.Words, "hashes", lambda self: np.ones(len(self.start), np.uint64))
     texts = [" ".join(f"a{i}" for i in range(25)), " ".join(f"b{i}" for i in range(25)), " ".join(f"a{i}" for i in range(25))]
     batch = pa.RecordBatch.from_arrays([pa.array([1, 2, 3]), pa.array([0, 0, 0], pa.int64()), pa.array(texts)], ["doc_id", "tag", "text"])
-    blobs = [x for r in substring_dedup._travel(np.zeros(substring_dedup.SLOTS, np.uint8), 1, 20)(iter([batch])) for x in r.column("blob").to_pylist()]
+    blobs = [x for r in substring_dedup._travel(np.zeros(rarity.SLOTS, np.uint8), 1, 20)(iter([batch])) for x in r.column("blob").to_pylist()]
     doc, _, start, end = substring_dedup.repeated_spans(blobs, 20)
     assert set(doc.tolist()) == {3} and (start.min(), end.max()) == (0, 25)
 
@@ -540,6 +888,39 @@ def test_word_hashes_that_collide(monkeypatch):
         assert words.encode(pa.array([x, ""]))[0].tolist() == Tokenizer.from_file(path).encode(x, add_special_tokens=False).ids + [1, 1]
 
 
+def test_null_ids(spark):
+    """Rows without an id are rows like others in the operators that work row by row."""
+    rows = [(None, "one two three"), (None, "one two three"), (None, None), (4, "four")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumns({"size": F.lit(1), "media": F.lit("x"), "start": F.lit(0), "source": F.lit("s")})
+    count = lambda out, *columns: Counter(tuple(r[c] for c in ("doc_id", *columns)) for r in out.collect())
+    assert count(motion_jpeg.media_digests(df), "n_bytes") == {(None, 13): 2, (None, 0): 1, (4, 4): 1}
+    assert count(token_counts.count_tokens(df, queries.tokenizer_path("piece_bpe_32k.model")), "n_words") == {(None, 3): 2, (None, 0): 1, (4, 1): 1}
+    assert count(mixing.mix(df), "size") == {(None, 3): 2, (None, 0): 1, (4, 1): 1}
+    packed = packing.pack(df, queries.tokenizer_path())
+    whole = Counter((r.doc_id, r.doc_tokens) for r in packed.where("start = 0").collect())
+    assert sum(whole.values()) == 4 and whole[None, 1] == 1 and packed.agg(F.sum("length")).first()[0] == sum(n * k for (_, n), k in whole.items())
+
+
+def test_very_long_texts(spark):
+    """A text of a megabyte beside short ones, and its near copy."""
+    rng = random.Random(3)
+    words = ["".join(rng.choice("abcdefghiklmnoprstu") for _ in range(rng.randrange(2, 9))) for _ in range(5000)]
+    long = " ".join(rng.choice(words) for _ in range(180_000))
+    rows = [(1, long, "en", "s"), (2, long + " more", "en", "s"), (3, "short one", "en", "s"), (4, "x" * 1_000_000, "en", "s")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").cache()
+    queries.let_workers_import(spark)
+    assert {r.doc_id: r.component_id for r in jaccard_join.jaccard_classes(df).collect()} == {1: 1, 2: 1, 3: 3, 4: 4}
+    assert {r.doc_id: r.n_removed for r in substring_dedup.remove_repeats(df).collect()} == {1: 0, 2: 180_000, 3: 0, 4: 0}
+    assert {r.doc_id for r in language_id.accepted(df).collect()} >= {1, 2}
+    assert {r.doc_id: r.payload_bytes for r in motion_jpeg.media_digests(df).collect()} == {i: -(-len(x) // 192) * 192 for i, x, *_ in rows}
+    assert {r.doc_id: r.n_words for r in token_counts.count_tokens(df, queries.tokenizer_path("piece_bpe_32k.model")).collect()} == {1: 180_000, 2: 180_001, 3: 2, 4: 1}
+    assert mixing.mix(df).agg(F.sum("taken")).first()[0] == 360_004
+    pieces = packing.pack(df, queries.tokenizer_path()).groupBy("doc_id").agg(F.sum("length").alias("n"), F.max("doc_tokens").alias("k")).collect()
+    assert len(pieces) == 4 and all(r.n == r.k for r in pieces)
+    near = {r.doc_id: r.near_edited for r in fingerprints.compare_edited(df).collect()}
+    assert len(near) == 4 and near[2] > 0.4
+
+
 def test_lay_out_is_optimal():
     rng = random.Random(2)
     for _ in range(30):

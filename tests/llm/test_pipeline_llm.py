@@ -8,7 +8,7 @@ from collections import Counter
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from silverbrook.llm import mixing
+from silverbrook.llm import mixing, storage
 from silverbrook.llm.queries import queries
 from test_operators_llm import _classes, _deduped
 
@@ -19,7 +19,7 @@ def test_stages(spark, data):
     assert names == ["language ID", "n-gram Jaccard join", "substring dedup", "mixing sources to target weights", "packing"]
     columns, seen = docs.columns, {}
     for name, stage in corpus_pipeline.STAGES:
-        docs = corpus_pipeline.cut(stage(spark, docs, data), "test")
+        docs = storage.cut(stage(spark, docs, data), "test")
         seen[name] = docs
         if name != "packing":
             assert docs.columns == columns
@@ -47,7 +47,7 @@ def test_run_and_registration(spark, data):
     assert [n.split("_")[0] for n in queries()] == [f"op{i}" for i in range(1, 11)]
     empty = spark.read.parquet(f"{data}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:
-        empty = corpus_pipeline.cut(stage(spark, empty, data), "empty")
+        empty = storage.cut(stage(spark, empty, data), "empty")
         assert empty.count() == 0
 
 
@@ -58,7 +58,7 @@ def test_null_and_repeated_ids(spark):
     rows = [(i, text(40), "a") for i in range(6)] + [(None, text(n), s) for n, s in ((30, "a"), (50, "a"), (60, "b"), (70, "b"))]
     rows += [(100, text(35), "a"), (100, text(200), "b"), (100, text(36), None)]
     docs = spark.createDataFrame([(i, x, "en", s, len(x)) for i, x, s in rows], "doc_id long, text string, lang string, source string, n_chars long")
-    docs = corpus_pipeline.cut(docs, "test")
+    docs = storage.cut(docs, "test")
     key = lambda r: (r.doc_id is None, r.doc_id, r.source, r.text)
     whole = Counter(map(key, docs.collect()))
     for _, stage in corpus_pipeline.STAGES[:3]:
@@ -83,3 +83,48 @@ def test_null_ids_are_dealt_like_others(spark):
     docs = spark.createDataFrame([(None, f"word{i} " * (i + 1), "a") for i in range(20)] + [(1, "x " * 4000, "b")], "doc_id long, text string, source string")
     taken = lambda df: sorted((r.carried.text, r.taken) for r in mixing.mix(df, carry=("text",)).collect())
     assert taken(docs.repartition(3)) == taken(docs) and len(taken(docs)) == 21
+
+
+def test_odd_rows_in_each_stage(spark):
+    """Nulls in any column, empty and repeated texts, and further columns whose names clash with the stages' own."""
+    rng = random.Random(11)
+    words = ["".join(rng.choice("abdeghilmnorstu") for _ in range(5)) for _ in range(40)]
+    text = lambda n: " ".join(rng.choice(words) for _ in range(n))
+    kept = [(1, text(40), None, None), (2, text(50), "en", None), (3, text(60), None, "a"), (None, text(45), "en", "a")]
+    odd = [(10, None, "en", "a"), (11, "", "en", "a"), (12, " \n", None, None), (13, "12 34", "en", "b"), (None, None, None, None)]
+    again = [kept[1], kept[1]]
+    docs = spark.createDataFrame([(i, x, lang, s, None if x is None else len(x)) for i, x, lang, s in kept + odd + again], "doc_id long, text string, lang string, source string, n_chars long")
+    docs = storage.cut(docs.withColumns({c: F.lit(c) for c in ("language", "host", "declared", "c", "rep", "node", "label", "size", "taken", "carried", "tag", "spans", "kept", "bucket")}), "odd")
+    ids = lambda df: Counter((r.doc_id, r.text) for r in df.collect())
+    whole = Counter((i, x) for i, x, *_ in kept + again)
+    first = corpus_pipeline.known_language(spark, docs, "")
+    assert first.columns == docs.columns and ids(first) == whole
+    for stage in (corpus_pipeline.one_of_each_group, corpus_pipeline.without_repeats):
+        out = stage(spark, docs, "")
+        assert out.columns == docs.columns and Counter((r.doc_id, r.text or "") for r in out.collect()) == whole + Counter((i, x or "") for i, x, *_ in odd)
+        assert {r.language for r in out.collect()} == {"language"}
+    out = corpus_pipeline.mixed(spark, docs, "")
+    assert out.columns == docs.columns and not {10, 11, 12} & {r.doc_id for r in out.collect()}
+    packed = corpus_pipeline.packed(spark, docs, "").where("start = 0").groupBy("doc_id").count().collect()
+    assert {r.doc_id: r["count"] for r in packed} == {1: 1, 2: 3, 3: 1, None: 2, 10: 1, 11: 1, 12: 1, 13: 1}
+
+
+def test_stages_leave_clean_documents_and_catch_planted_ones(spark):
+    rng = random.Random(21)
+    text = lambda n: " ".join("".join(rng.choice("abdeghilmnorstu") for _ in range(rng.randrange(3, 8))) for _ in range(n))
+    clean = [(i, text(120)) for i in range(30)]
+    passage = text(60)
+    copies = [(100 + i, clean[i][1]) for i in range(5)] + [(110 + i, clean[i][1] + " end") for i in range(5)]
+    planted = [(200 + i, f"{text(50)} {passage} {text(50)}") for i in range(4)]
+    docs = spark.createDataFrame([(i, x, "en", "s", len(x)) for i, x in clean + copies + planted], "doc_id long, text string, lang string, source string, n_chars long")
+    assert corpus_pipeline.known_language(spark, docs, "").count() == docs.count()
+    near = corpus_pipeline.one_of_each_group(spark, docs, "")
+    assert {r.doc_id for r in near.collect()} == {i for i, _ in clean + planted}
+    out = {r.doc_id: r.text for r in corpus_pipeline.without_repeats(spark, storage.cut(near, "near"), "").collect()}
+    assert all(out[i] == x for i, x in clean) and passage in out[200] and all(len(out[i].split()) == 100 for i in (201, 202, 203))
+
+
+def test_run_leaves_one_table(spark, data, tmp_path, monkeypatch):
+    monkeypatch.setattr(storage, "shared_folder", lambda _: str(tmp_path))
+    assert corpus_pipeline.run(spark, data).count() > 0
+    assert [p.name.split("-")[0] for p in tmp_path.iterdir()] == ["stage3"]
