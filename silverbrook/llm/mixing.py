@@ -58,8 +58,9 @@ def mix(docs: DataFrame, epochs: int = EPOCHS, weights: tuple[int, ...] = WEIGHT
     target of 0; an empty table gives no rows.  Texts are counted one at a time, by built-in functions.
     """
     key = F.md5(F.concat_ws(":", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("-"), F.coalesce(F.xxhash64("text"), F.lit(0)).cast("string")))).cast("binary"))
-    tie = F.xxhash64("text", *carry)
-    sized = docs.select("doc_id", F.col("source").cast("string").alias("source"), words_of(F.col("text")).alias("size"), key.alias("order"), tie.alias("tie"), *([F.struct(*carry).alias("carried")] if carry else []))
+    others = [F.col(f"`{c}`") for c in carry]
+    tie = F.xxhash64("text", *others)
+    sized = docs.select("doc_id", F.col("source").cast("string").alias("source"), words_of(F.col("text")).alias("size"), key.alias("order"), tie.alias("tie"), *([F.struct(*others).alias("carried")] if carry else []))
     # carried columns aren't written once more: the sums come from narrow rows, the counts from docs read again
     sizes = cut(sized.drop("carried"), "sizes")
     rows = sizes.count()

@@ -71,20 +71,36 @@ def partitions(spark: SparkSession, least: int = 1) -> int:
     return max(least, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
 
 
-#: Bytes up to which a table may be broadcast, and the copies of each of its rows for the join used beyond that.
-BROADCAST_BYTES, SALTS = 16 << 20, 64
+#: Bytes up to which a table may be broadcast; the parts to which the rows of a hot key are dealt beyond that; a key is hot
+#: with more than ``HOT_ROWS`` rows that are more than a ``HOT_PART``-th of all, so there are fewer hot keys than that.
+BROADCAST_BYTES, SALTS, HOT_ROWS, HOT_PART = 16 << 20, 64, 1000, 10_000
 
 
 def attach(df: DataFrame, table: DataFrame, key: str, size: Column, tie: Column) -> DataFrame:
     """``df`` with the columns of ``table``, which has one row a key; nulls where it has none.  ``size`` gives the bytes of
-    a row of ``table``.  Their sum decides how: a small table is broadcast; for a large one the rows of a key are dealt to
-    ``SALTS`` parts by ``tie``, as a key may hold a large share of ``df``."""
+    a row of ``table``.  Their sum decides how, so the table is written first: a small one is broadcast.  For a large one
+    the keys of ``df`` are counted: the rows of hot ones are dealt to ``SALTS`` parts by ``tie``, and only the rows of those
+    keys in ``table`` are copied to each part.  Hot keys go by a hash, in 8 bytes each, so they may be broadcast."""
     table = cut(table, "attached")
     bytes_ = table.agg(F.sum(size + 32)).first()[0] or 0
     if bytes_ <= BROADCAST_BYTES:
         return df.join(F.broadcast(table), key, "left")
-    spread = table.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
-    return df.withColumn("_salt", F.pmod(tie, F.lit(SALTS))).join(spread, [key, "_salt"], "left").drop("_salt")
+    hot = hot_keys(df, key)
+    if not hot:
+        return df.join(table, key, "left")
+    known = F.broadcast(df.sparkSession.createDataFrame([(h, True) for h in hot], "_key long, _hot boolean"))
+    marked = lambda rows: rows.withColumn("_key", F.xxhash64(key)).join(known, "_key", "left")
+    first = F.lit(0).cast("long")
+    spread = marked(table).withColumn("_salt", F.explode(F.sequence(first, F.when(F.col("_hot"), F.lit(SALTS - 1).cast("long")).otherwise(first))))
+    dealt = marked(df).withColumn("_salt", F.when(F.col("_hot"), F.pmod(tie, F.lit(SALTS).cast("long"))).otherwise(first))
+    return dealt.drop("_key", "_hot").join(spread.drop("_key", "_hot"), [key, "_salt"], "left").drop("_salt")
+
+
+def hot_keys(df: DataFrame, key: str) -> list[int]:
+    """The hashes of the hot keys of ``df``, fewer than ``HOT_PART`` whatever ``df`` is.  Runs a grouped count."""
+    counts = cut(df.groupBy(F.xxhash64(key).alias("h")).agg(F.count(F.lit(1)).alias("n")), "counts")
+    rows = counts.agg(F.sum("n")).first()[0] or 0
+    return [r["h"] for r in counts.where(F.col("n") > max(HOT_ROWS, rows // HOT_PART)).select("h").collect()]
 
 
 #: The most bytes and rows of a batch in which texts travel to Python.

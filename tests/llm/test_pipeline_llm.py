@@ -94,7 +94,7 @@ def test_odd_rows_in_each_stage(spark):
     odd = [(10, None, "en", "a"), (11, "", "en", "a"), (12, " \n", None, None), (13, "12 34", "en", "b"), (None, None, None, None)]
     again = [kept[1], kept[1]]
     docs = spark.createDataFrame([(i, x, lang, s, None if x is None else len(x)) for i, x, lang, s in kept + odd + again], "doc_id long, text string, lang string, source string, n_chars long")
-    docs = storage.cut(docs.withColumns({c: F.lit(c) for c in ("language", "host", "declared", "c", "rep", "node", "label", "size", "taken", "carried", "tag", "spans", "kept", "bucket")}), "odd")
+    docs = storage.cut(docs.withColumns({c: F.lit(c) for c in ("language", "host", "declared", "c", "rep", "node", "label", "size", "taken", "carried", "tag", "spans", "kept", "bucket", "round", "_size", "_taken", "_round", "_text", "_key", "_hot", "_salt")}), "odd")
     ids = lambda df: Counter((r.doc_id, r.text) for r in df.collect())
     whole = Counter((i, x) for i, x, *_ in kept + again)
     first = corpus_pipeline.known_language(spark, docs, "")
@@ -105,6 +105,7 @@ def test_odd_rows_in_each_stage(spark):
         assert {r.language for r in out.collect()} == {"language"}
     out = corpus_pipeline.mixed(spark, docs, "")
     assert out.columns == docs.columns and not {10, 11, 12} & {r.doc_id for r in out.collect()}
+    assert {(r._size, r._taken, r._round, r._text, r.round) for r in out.collect()} == {("_size", "_taken", "_round", "_text", "round")}
     packed = corpus_pipeline.packed(spark, docs, "").where("start = 0").groupBy("doc_id").count().collect()
     assert {r.doc_id: r["count"] for r in packed} == {1: 1, 2: 3, 3: 1, None: 2, 10: 1, 11: 1, 12: 1, 13: 1}
 
