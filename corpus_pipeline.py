@@ -48,14 +48,15 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Each row goes by its own count, rows with a null or repeated doc_id too.  A null source is a source of its own; null and
     empty texts have no words that a mix could take, and go."""
     let_workers_import(spark)
-    carried = [F.col(f"carried.`{c}`").alias(c) for c in docs.columns]
     taken = mixing.mix(docs, carry=tuple(docs.columns)).where("taken > 0").select("size", "taken", "carried")
     rounds = F.sequence(F.lit(0).cast("long"), F.ceil(F.col("taken") / F.col("size")) - 1)
-    rows = taken.select(*carried, F.col("size").alias("_size"), F.col("taken").alias("_taken"), F.explode(rounds).alias("_round"))
-    left = F.least("_size", F.col("_taken") - F.col("_round") * F.col("_size"))
-    text = F.when(left == F.col("_size"), F.col("text")).otherwise(F.array_join(F.slice(F.split(F.regexp_replace("text", r"^[\x20\x09-\x0D]+", ""), r"[\x20\x09-\x0D]+"), F.lit(1), left.cast("int")), " "))
-    out = rows.withColumn("_text", text)
-    return out.select(*[{"text": F.col("_text"), "n_chars": F.length("_text").cast("long")}.get(c, F.col(c)).alias(c) for c in docs.columns])
+    rows = taken.select("size", "taken", "carried", F.explode(rounds).alias("round"))
+    left = F.least("size", F.col("taken") - F.col("round") * F.col("size"))
+    whole = F.col("carried.text").cast("string")
+    words = F.split(F.regexp_replace(whole, r"^[\x20\x09-\x0D]+", ""), r"[\x20\x09-\x0D]+")
+    text = F.when(left == F.col("size"), whole).otherwise(F.array_join(F.slice(words, F.lit(1), left.cast("int")), " "))
+    made = {"text": text, "n_chars": F.length(text).cast("long")}  # the documents' columns stay in their struct until here: their names may be any
+    return rows.select(*[made.get(c, F.col(f"carried.`{c}`")).alias(c) for c in docs.columns])
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
