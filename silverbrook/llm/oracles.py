@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from silverbrook.llm.divergence import ORACLE as DIVERGENCE
 from silverbrook.llm.mixing import ORACLE as MIXING
+from silverbrook.llm.vector_codes import ORACLE as CODES
 
 JACCARD = r"""
 WITH RECURSIVE w AS (
@@ -29,4 +31,10 @@ SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n, 0) AS n_removed,
 FROM w LEFT JOIN kept USING (doc_id) LEFT JOIN lost USING (doc_id)
 """
 
-SQL = {"op4_ngram_jaccard_join": JACCARD, "op8_substring_dedup": SUBSTRINGS, "op9_mix_sources": MIXING}
+SQL = {
+    "op4_ngram_jaccard_join": JACCARD,
+    "op8_substring_dedup": SUBSTRINGS,
+    "op9_mix_sources": MIXING,
+    "op12_vector_codes": CODES,
+    "op13_source_divergence": DIVERGENCE,
+}

@@ -1,12 +1,12 @@
-"""Queries of the ten operators, each over its whole table, and their SQL where SQL can express them."""
+"""Queries of the operators, each over its whole table, and their SQL where SQL can express them."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from silverbrook.llm import fingerprints, jaccard_join, language_id, mixing, motion_jpeg, oracles, packing, page_text, quotations, substring_dedup, token_counts
+from silverbrook.llm import divergence, fingerprints, jaccard_join, language_id, mixing, motion_jpeg, oracles, packing, page_text, quotations, substring_dedup, token_counts, vector_codes, vector_search
 from silverbrook.llm.storage import let_workers_import
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -68,6 +68,18 @@ def op10_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_documents(spark, sf_dir), tokenizer_path())
 
 
+def op11_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_search.search(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.encode(_table(spark, sf_dir, "embeddings"))
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(_documents(spark, sf_dir))
+
+
 _ALL = (
     op1_document_fingerprints,
     op2_html_extraction,
@@ -79,6 +91,9 @@ _ALL = (
     op8_substring_dedup,
     op9_mix_sources,
     op10_pack_sequences,
+    op11_nearest_neighbours,
+    op12_vector_codes,
+    op13_source_divergence,
 )
 
 

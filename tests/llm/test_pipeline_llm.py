@@ -44,7 +44,7 @@ def test_stages(spark, data):
 
 def test_run_and_registration(spark, data):
     assert corpus_pipeline.run(spark, data).count() > 0
-    assert [n.split("_")[0] for n in queries()] == [f"op{i}" for i in range(1, 11)]
+    assert [n.split("_")[0] for n in queries()] == [f"op{i}" for i in range(1, 14)]
     empty = spark.read.parquet(f"{data}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:
         empty = storage.cut(stage(spark, empty, data), "empty")
