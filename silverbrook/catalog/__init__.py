@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from silverbrook.catalog import io, quality, relational, sales
+from silverbrook.catalog import io, quality, relational, sales, streams
 from silverbrook.catalog.tables import Tables
 
-ENTRIES = relational.ENTRIES | sales.ENTRIES | quality.ENTRIES | io.ENTRIES
+ENTRIES = relational.ENTRIES | sales.ENTRIES | quality.ENTRIES | io.ENTRIES | streams.ENTRIES
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
