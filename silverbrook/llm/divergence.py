@@ -28,12 +28,12 @@ from silverbrook.llm import wordarrays as wa
 from silverbrook.llm.storage import attach, cut
 
 LEAST_DOCS, UNIT, RANKS = 3, 1_000_000_000, 200
-#: Terms that a task counts before it hands them on.
-HELD = 200_000
+#: Different terms of all groups that a task holds before it hands their counts on.
+HELD = 250_000
 #: Keys of a group that may be ranked together, as a multiple of the ranks.
 SPARE = 4
 #: Sources of a block, and terms of one task's share of a language.
-SOURCE_BLOCK, TERM_SHARE = 256, 20_000
+SOURCE_BLOCK, TERM_SHARE = 256, 2000
 #: Pairs that are compared at once.
 PAIRS = 1 << 18
 
@@ -60,10 +60,10 @@ def _count(most: int):
         for part in wa.slices(batches, "text"):
             for lang, source, text in zip(*(part.column(c).to_pylist() for c in ("lang", "source", "text")), strict=True):
                 found, seen = counts.setdefault((lang, source), Counter()), docs.setdefault((lang, source), Counter())
-                terms = Counter(terms_of(text))
-                held += len(terms)
+                terms, known = Counter(terms_of(text)), len(found)
                 found.update(terms)
                 seen.update(terms.keys())
+                held += len(found) - known
             if held > most:
                 yield table(counts, docs)
                 counts, docs, held = {}, {}, 0
@@ -74,9 +74,13 @@ def _count(most: int):
 
 
 def share(n: Column, whole: Column) -> Column:
-    """``1 + floor(UNIT * (n + 1) / whole)``, exact whatever the counts."""
-    wide = lambda c: c.cast("decimal(38,0)")
-    return 1 + F.call_function("div", wide(F.lit(UNIT)) * wide(n + 1), wide(F.greatest(whole, F.lit(1))))
+    """``1 + floor(UNIT * (n + 1) / whole)`` by long division, three digits at a time: exact while ``whole`` is below 2**53, an error
+    where it is so large that a digit overflows."""
+    div = lambda a, b: F.call_function("div", a, b)
+    whole, rest, value = F.greatest(whole, F.lit(1)).cast("long"), (n + 1).cast("long"), F.lit(1).cast("long")
+    for digits in (UNIT // 1000, UNIT // 1_000_000, 1):
+        value, rest = value + div(rest * 1000, whole) * digits, (rest * 1000) % whole
+    return value
 
 
 def _apart(p: np.ndarray, q: np.ndarray) -> np.ndarray:
