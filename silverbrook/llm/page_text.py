@@ -2,10 +2,16 @@
 
 Tokens of a page are its tags, named by their path, and its text nodes, named by path and text.  A token's occurrence
 vector tells how often each page of a host has it.  Tokens with equal vectors form an equivalence class; classes of two
-tokens or more that half of a host's pages have are its template.  Tokens are named by paths from the root, so of two tags
-one path begins the other or they lie apart: the classes nest in one tree on every page.  What lies between template tokens is a slot; a page's text is what the lowest element holds that has all prose of
-its slots, heading included, without asides and without the template's own text, wherever that stands.  Pages of hosts
-without a template have only the names of their elements to go by.
+tokens or more that half of a host's pages have are candidates, and those whose tokens come in one order on all of these
+pages are its template.  Tokens are named by paths from the root, so of two tags one path begins the other or they lie apart:
+the classes nest in one tree on every page.
+
+What lies between template tokens is a slot.  Slots are judged over all pages of the host: the article is the deepest
+template element, one a page, that holds nearly all prose of the slots and the pages' top headings, so an advert or a box
+beside it is out whatever it is called, and a title beside the body is in.  From the article only template text, elements that HTML itself sets aside
+(navigation, forms, footers) and readers' comments are taken out.  Hosts with one page, pages without a readable address and hosts
+without a template share a template among them.  A page on which the article's element is missing, and every page where there is no
+template at all, is judged by itself: by ``article`` and ``main``, then by where its prose is.
 
 Vectors are never built: a grouped sum of page hashes times occurrences is a digest of a vector, it combines before the
 shuffle, and tokens of one host with equal digests have equal vectors.  A host's template is no larger than two pages.
@@ -28,24 +34,30 @@ from pyspark.sql import Column, DataFrame, functions as F
 from silverbrook.llm import wordarrays as wa
 from silverbrook.llm.storage import attach, cut
 
-#: Tokens of a class, and the share of a host's pages (two at least) that must have it.
-CLASS_TOKENS, CLASS_SHARE = 2, 0.5
+#: Tokens of a class, and the share of a host's pages (two at least; of text ``TEXT_PAGES``) that must have it.
+CLASS_TOKENS, CLASS_SHARE, TEXT_PAGES = 2, 0.5, 3
+#: Shares of a host's prose, and of its pages' top headings, that the element of the article holds; ``article`` and ``main``
+#: need the lower one.
+MAIN_SHARE, TAG_SHARE, HEADED_SHARE = 0.8, 0.5, 0.9
 #: Most of a page's prose that may be the template's: a page with more is a copy of others, and keeps its prose.
 COPIED_SHARE = 0.5
-#: Least of a page's prose that elements named as the article must hold to be it, where the host has no template.
+#: Least of a page's prose that elements named as the article must hold to be it, where the page is judged by itself.
 NAMED_SHARE = 0.5
 
 #: The most open elements; what opens beyond them takes the innermost one's place.
 DEPTH = 512
 
+# A quoted value may hold brackets; a quote that isn't closed within 4096 characters is a character like others.
+_INSIDE = r"(?:[^<>=]++|=\s*+\"[^\"]{0,4096}+\"|=\s*+'[^']{0,4096}+'|=)*+"
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|textarea|select|svg|iframe|title)\b[^<>]*+>.*?(?:</\1\s*+>|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/<>]*+)([^<>]*+)>|<[!?][^<>]*+>|[^<]++|<",
+    rf"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|textarea|select|svg|iframe|title)\b{_INSIDE}>.*?(?:</\1\s*+>|\Z)"
+    rf"|<(/?)([a-zA-Z][^\s/<>]*+)({_INSIDE})>|<[!?][^<>]*+>|[^<]++|<",
     re.S | re.I,
 )
 _ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _NAME_PART = re.compile(r"[^a-z]+")
 _SPACE = re.compile(r"\s+")
+_CLOSED = re.compile(r"(?:[\s\"']|^)/$")
 
 # Fixed values of HTML: elements without content, elements that don't begin a new block, and those whose start ends
 # an open one.
@@ -53,45 +65,57 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
 CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr",), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 LIST_ROOTS = frozenset(("ul", "ol", "dl", "table", "article", "section", "div", "body"))
-# Fixed values of this operator: elements, roles and parts of names that aren't part of an article.
+HEADINGS = {f"h{i}": i for i in range(1, 7)}
+# Fixed values of this operator: elements and roles that HTML sets aside, elements of prose, and names of readers' comments, which no
+# template tells from an article.
 ASIDE_TAGS = frozenset("nav footer aside form head button menu dialog fieldset object".split())
 ASIDE_ROLES = frozenset("navigation contentinfo complementary search form alert alertdialog dialog menu menubar".split())
-#: Names that mark an aside as any part of a class or id, those that do only beside others of these lists, and words for
-#: boxes that may stand with them.
-ASIDE_NAMES = frozenset(
-    "advert adverts advertisement advertising sponsor sponsored cookie cookies consent gdpr popup modal overlay newsletter subscribe sidebar sidebars menu menus nav navbar navigation breadcrumb breadcrumbs footer sharing widget widgets toolbar pagination pager login signup".split()
-)
-WEAK_NAMES = frozenset("ad ads promo promotion banner notice notices alert share social related recommended skip copyright".split())
-BOX_WORDS = frozenset("box bar block container wrapper wrap unit slot section area list links buttons icons posts stories articles items content text message site page top bottom left right main inner outer".split())
-HEAD_NAMES = frozenset("header masthead topbar".split())
 PROSE = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre li td th dd dt figcaption".split())
-READER_NAMES = frozenset("comment comments commentlist disqus reply replies respond".split())
-#: Why an element isn't part of an article: its tag or role, its readers, or its name only.
-HARD, READERS, NAMED = 1, 2, 3
+READER_NAMES = frozenset("comment comments commentlist disqus".split())
+
+
+class Template:
+    """What a host's pages share: its tokens, and the path of the element that holds the article."""
 
+    def __init__(self, tokens: frozenset[int], main: int):
+        self.tokens, self.main = tokens, main
 
-def _telling(name: str, weak: bool) -> set[str]:
-    """The parts of a class or id; a name that says little alone counts as an aside's if all other parts go with it."""
-    parts = {x for x in _NAME_PART.split(name) if x}
-    if weak and parts & WEAK_NAMES and parts <= WEAK_NAMES | ASIDE_NAMES | BOX_WORDS:
-        return parts | {"sidebar"}
-    return parts
+    @classmethod
+    def settled(cls, candidates: list[dict], facts: list[dict]) -> Template:
+        """Keep the candidates of classes with one order, and choose the element of the article."""
+        ordered = {f["id"] for f in facts if f["kind"] == ORDER and f["low"] == f["high"]}
+        tokens = frozenset(c["token"] for c in candidates if c["class"] in ordered)
+        slots = [f for f in facts if f["kind"] == SLOT]
+        whole = next((f for f in slots if f["id"] == ROOT), None)
+        best = ROOT, 0
+        for f in slots if whole else ():
+            share = TAG_SHARE if f["named"] else MAIN_SHARE
+            if f["id"] in tokens and f["prose"] >= share * whole["prose"] > 0 and f["headed"] >= HEADED_SHARE * whole["headed"] and f["low"] > best[1]:
+                best = f["id"], f["low"]
+        return cls(tokens, best[0])
+
+
+ROOT = 0
+#: Kinds of facts: the order of a class on a page, and what an element holds.
+ORDER, SLOT = 0, 1
 
 
 class Page:
     """The elements and text nodes of a page, in order."""
 
     def __init__(self, html: str):
-        self.tag, self.parent, self.path, self.within = ["#"], [-1], [0], [False]
-        self.named_main, self.mark = [False], [0]
+        self.tag, self.parent, self.path = ["#"], [-1], [ROOT]
+        self.named_main, self.mark = [False], [False]
         #: (element, block, text, in a link)
         self.texts: list[tuple[int, int, str, bool]] = []
+        #: The elements before each of them.
+        self.opened: list[int] = []
         stack, block, links = [0], 0, 0
         self.open: Counter = Counter()
         for m in _TOKEN.finditer(html):
             raw = m[0]
             if raw[0] != "<" or raw == "<":
-                self.texts.append((stack[-1], block, raw, links > 0))
+                self._text(stack[-1], block, raw, links > 0)
                 continue
             tag = m[3]
             if tag is None:
@@ -104,13 +128,13 @@ class Page:
                     links = 0
                 if tag == "p" or tag in VOID:
                     if tag == "br":
-                        self.texts.append((stack[-1], block, " ", False))
+                        self._text(stack[-1], block, " ", False)
                     self._close(stack, (tag,), LIST_ROOTS)
                     continue
                 self._close(stack, (tag,), ())
                 continue
             if tag == "br":
-                self.texts.append((stack[-1], block, " ", False))
+                self._text(stack[-1], block, " ", False)
                 continue
             if tag in VOID:
                 continue
@@ -124,33 +148,21 @@ class Page:
                 self._cut(stack, len(stack) - 1)
             stack.append(self._open(tag, m[4] or "", stack[-1]))
             self.open[tag] += 1
-            if raw.endswith("/>"):
+            if _CLOSED.search(m[4]):
                 self._cut(stack, len(stack) - 1)
         self._settle()
 
+    def _text(self, e: int, block: int, text: str, link: bool) -> None:
+        self.texts.append((e, block, text, link))
+        self.opened.append(len(self.tag))
+
     def _settle(self) -> None:
-        """Which elements aren't part of an article, and the article that each is in.  A name alone doesn't make an
-        element that holds most of a page's prose an aside: wrappers are called things like ``has-sidebar``.  It does where
-        the page's article is elsewhere: an advert may be longer than a short article."""
+        """Which elements aren't part of an article, and the article that each is in."""
         count = len(self.tag)
-        out = [False] * count
-        for e in range(1, count):
-            out[e] = out[self.parent[e]] or self.mark[e] in (HARD, READERS)
-        if NAMED in self.mark:
-            prose = self._sums((e, len(t.strip())) for e, _, t, link in self.texts if not out[e] and not link)
-            around = [False] * count
-            for e in range(1, count):
-                up = e if self.named_main[e] and not out[e] and prose[e] else 0
-                while up > 0 and not around[up]:
-                    around[up] = True
-                    up = self.parent[up]
-            for e in range(1, count):
-                if self.mark[e] == NAMED and 2 * prose[e] > prose[0] and (around[e] or True not in around):
-                    self.mark[e] = 0
         self.aside, self.holder = [False] * count, [None] * count
         for e in range(1, count):
             up = self.parent[e]
-            self.aside[e] = self.aside[up] or self.mark[e] > 0
+            self.aside[e] = self.aside[up] or self.mark[e]
             self.holder[e] = e if self.named_main[e] and not self.aside[e] else self.holder[up]
 
     def _sums(self, sizes: Iterable[tuple[int, int]]) -> list[int]:
@@ -179,35 +191,21 @@ class Page:
                 return
 
     def _open(self, tag: str, attributes: str, parent: int) -> int:
-        names, role, label, within = set(), "", "", self.within[parent]
-        prose = tag in PROSE or tag in INLINE
+        names, role, label = set(), "", ""
         if "=" in attributes:
             for key, *value in _ATTRIBUTE.findall(attributes):
                 value = "".join(value).lower()
                 if key.lower() == "role":
                     role = value
-                elif key.lower() == "class":
-                    label += "." + value
-                    if not (prose and within):  # a paragraph of an article is of it, whatever its name
-                        for word in value.split():
-                            names.update(_telling(word, True))
-                elif not prose:  # ids are often made of headings
-                    names.update(_telling(value, not within))
-        main = tag in ("article", "main") or role == "main"
-        mark = 0
-        if tag in ASIDE_TAGS or role in ASIDE_ROLES:
-            mark = HARD
-        elif tag not in ("html", "body") and not names.isdisjoint(READER_NAMES):
-            mark = READERS
-        elif not main and tag not in ("html", "body"):
-            if not names.isdisjoint(ASIDE_NAMES) or not within and (tag == "header" or role == "banner" or not names.isdisjoint(HEAD_NAMES)):
-                mark = NAMED
+                else:
+                    label += "." + value if key.lower() == "class" else ""
+                    if tag not in PROSE and tag not in INLINE:  # ids of headings are often made of their words
+                        names.update(_NAME_PART.split(value))
         self.tag.append(tag)
         self.parent.append(parent)
-        self.path.append(token_hash(f"{self.path[parent]}/{tag}{label}"))
-        self.named_main.append(main)
-        self.within.append(main or within)
-        self.mark.append(mark)
+        self.path.append(token_hash(f"{self.path[parent]}/{tag}{label}", False))
+        self.named_main.append(tag in ("article", "main") or role == "main")
+        self.mark.append(tag in ASIDE_TAGS or role in ASIDE_ROLES or tag not in ("html", "body") and not names.isdisjoint(READER_NAMES))
         return len(self.tag) - 1
 
     def tokens(self) -> Counter:
@@ -217,7 +215,7 @@ class Page:
         return found
 
     def _text_token(self, e: int, t: str) -> int:
-        return token_hash(f"{self.path[e]}#{' '.join(t.split())}")
+        return token_hash(f"{self.path[e]}#{' '.join(t.split())}", True)
 
     def _of_template(self, template: frozenset[int]) -> list[bool]:
         """Which text nodes are the template's.  Where it has most of a page's prose, that prose stays."""
@@ -238,10 +236,50 @@ class Page:
             found = [x and not prose[e] for x, (e, *_) in zip(found, self.texts, strict=True)]
         return found
 
-    def _main(self, template: frozenset[int], of_template: list[bool]) -> list[int]:
+    def _prose(self, of_template: list[bool]) -> list[int]:
+        """The prose that each element holds, without the template's and without links outside articles."""
+        return self._sums((e, len(t.strip())) for (e, _, t, link), out in zip(self.texts, of_template, strict=True) if not (self.aside[e] or out or link and self.holder[e] is None))
+
+    def facts(self, classes: dict[int, int], once: frozenset[int]) -> Iterator[tuple]:
+        """What this page says of its host's candidates (token to class; ``once``: tags that a page has once):
+        (kind, id, low, high, named, prose, headed)."""
+        orders: dict[int, dict[int, None]] = {}
+        for token in self._in_order():
+            if token in classes:
+                orders.setdefault(classes[token], {})[token] = None
+        for c, tokens in orders.items():
+            order = token_hash(",".join(map(str, tokens)), False)
+            yield ORDER, c, order, order, False, 0, 0
+        of_template = self._of_template(frozenset(classes))
+        prose = self._prose(of_template)
+        level, depth = [0] * len(self.tag), [0] * len(self.tag)
+        for e in range(1, len(self.tag)):
+            depth[e] = depth[self.parent[e]] + 1
+            level[e] = HEADINGS.get(self.tag[e], level[self.parent[e]])
+        heads = [(level[e], e, len(t.strip())) for (e, _, t, _), out in zip(self.texts, of_template, strict=True) if level[e] and t.strip() and not (self.aside[e] or out)]
+        top = min(heads)[0] if heads else 0
+        headed = self._sums((e, n) for at, e, n in heads if at == top)
+        for e, path in enumerate(self.path):
+            if e == 0 or path in once:
+                yield SLOT, path, depth[e], depth[e], self.named_main[e], prose[e], int(bool(heads) and headed[e] == headed[0])
+
+    def _in_order(self) -> Iterator[int]:
+        at = 0
+        for (e, _, t, _), opened in zip(self.texts, self.opened, strict=True):
+            yield from self.path[at:opened]
+            at = max(at, opened)
+            if not t.isspace():
+                yield self._text_token(e, t)
+        yield from self.path[at:]
+
+    def _main(self, template: Template | None, of_template: list[bool]) -> list[int]:
         """The elements that hold the page's text."""
-        size = self._sums((e, len(t.strip())) for (e, _, t, link), out in zip(self.texts, of_template, strict=True) if not (self.aside[e] or out or link and self.holder[e] is None))
-        if not template:
+        size = self._prose(of_template)
+        if template:
+            best = [e for e, path in enumerate(self.path) if path == template.main and not self.aside[e]]
+            if best and any(size[e] for e in best):
+                return best
+        else:
             named: dict[bool, list[int]] = {True: [], False: []}
             for e in range(1, len(self.tag)):
                 if self.named_main[e] and not self.aside[e] and size[e]:
@@ -255,10 +293,10 @@ class Page:
                 return best
         return [max((e for e in range(len(self.tag)) if size[e] and size[e] == size[0]), default=0)]
 
-    def main_text(self, template: frozenset[int]) -> str:
-        of_template = self._of_template(template)
+    def main_text(self, template: Template | None) -> str:
+        of_template = self._of_template(template.tokens if template else frozenset())
         inside = [False] * len(self.tag)
-        for e in self._main(template, of_template):
+        for e in self._main(template if template and template.main in self.path else None, of_template):
             inside[e] = True
         for e in range(1, len(self.tag)):
             inside[e] = inside[e] or inside[self.parent[e]]
@@ -275,8 +313,9 @@ class Page:
         return "\n\n".join(b for b in clean if b)
 
 
-def token_hash(token: str) -> int:
-    return xxhash.xxh64_intdigest(token) - (1 << 63)
+def token_hash(token: str, text: bool) -> int:
+    """64 bits, the last one for the kind."""
+    return (xxhash.xxh64_intdigest(token) - (1 << 63)) & ~1 | text
 
 
 _HALF = (1 << 31) - 1
@@ -288,12 +327,13 @@ def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for host, page, html in zip(*(part.column(c).to_pylist() for c in ("host", "page", "html")), strict=True):
             a, b = page & _HALF, (page >> 31) & _HALF
             for token, n in Page(html).tokens().items():
-                row = found.setdefault((host, token), [0, 0, 0])
+                row = found.setdefault((host, token), [0, 0, 0, 0])
                 row[0] += 1
                 row[1] += a * n
                 row[2] += b * n
-        columns = [[h for h, _ in found], [t for _, t in found], *zip(*found.values(), strict=True)] if found else [[]] * 5
-        yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.string()), *[pa.array(list(c), pa.int64()) for c in columns[1:]]], ["host", "token", "pages", "a", "b"])
+                row[3] += n
+        columns = [[h for h, _ in found], [t for _, t in found], *zip(*found.values(), strict=True)] if found else [[]] * 6
+        yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.string()), *[pa.array(list(c), pa.int64()) for c in columns[1:]]], ["host", "token", "pages", "a", "b", "n"])
 
 
 def host_of(url: Column) -> Column:
@@ -305,40 +345,107 @@ def _keyed(pages: DataFrame) -> DataFrame:
     return pages.select(F.col("page_id"), F.col("url"), host_of(F.col("url")).alias("host"), html.alias("html"))
 
 
-def templates(keyed: DataFrame) -> DataFrame:
-    """``host, tokens``: the template tokens of each host that has a template."""
+_CANDIDATES = "array<struct<token:long,class:long,once:boolean>>"
+_FACTS = "kind int, id long, low long, high long, named boolean, prose long, headed long"
+#: The group of pages whose host has no other page, or isn't known.
+OTHERS = ""
+
+
+class _ByHost:
+    """What is known of each row's host, made once for a run of its rows."""
+
+    def __init__(self, columns: tuple[str, ...], make, default):
+        self.columns, self.make, self.default, self.known = columns, make, default, {}
+
+    def of(self, part: pa.RecordBatch) -> list:
+        values, out = [part.column(c) for c in self.columns], []
+        for i, host in enumerate(part.column("host").to_pylist()):
+            if host not in self.known:
+                if len(self.known) > 1000:
+                    self.known.clear()
+                given = [v[i].as_py() for v in values]
+                self.known[host] = self.default if given[0] is None else self.make(*given)
+            out.append((host, self.known[host], not values[0][i].is_valid))
+        return out
+
+
+def _classes(candidates: list[dict]) -> tuple[dict[int, int], frozenset[int]]:
+    return {c["token"]: c["class"] for c in candidates}, frozenset(c["token"] for c in candidates if c["once"])
+
+
+def _judge(default: list[dict]):
+    """Facts of each host, summed over a slice of pages."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hosts = _ByHost(("candidates",), _classes, _classes(default))
+        for part in wa.slices(batches, "html"):
+            found: dict[tuple, list] = {}
+            for (host, (classes, once), other), html in zip(hosts.of(part), part.column("html").to_pylist(), strict=True):
+                for kind, i, low, high, named, prose, headed in Page(html).facts(classes, once) if classes else ():
+                    row = found.setdefault((OTHERS if other else host, kind, i), [low, high, False, 0, 0])
+                    row[0], row[1], row[2] = min(row[0], low), max(row[1], high), row[2] or named
+                    row[3] += prose
+                    row[4] += headed
+            columns = [*zip(*found, strict=True), *zip(*found.values(), strict=True)] if found else [[]] * 8
+            kinds = (pa.string(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)], ["host", "kind", "id", "low", "high", "named", "prose", "headed"])
+
+    return run
+
+
+def _extract(default: Template | None):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hosts = _ByHost(("candidates", "facts"), Template.settled, default)
+        for part in wa.slices(batches, "html"):
+            texts = [Page(html).main_text(template) for (_, template, _), html in zip(hosts.of(part), part.column("html").to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([part.column("page_id"), part.column("url"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], ["page_id", "url", "text", "n_chars"])
+
+    return run
+
+
+def candidates(keyed: DataFrame) -> DataFrame:
+    """``host, candidates``: the tokens of valid classes of each host that has some; pages of one-page hosts are those of ``OTHERS``."""
     rows = keyed.select("host", F.xxhash64("page_id", "url").alias("page"), "html")
-    vectors = rows.mapInArrow(_vectors, "host string, token long, pages long, a long, b long").groupBy("host", "token").agg(*[F.sum(c).alias(c) for c in ("pages", "a", "b")])
-    often = cut(vectors.where("pages > 1"), "vectors")
-    hosts = keyed.groupBy("host").agg(F.count(F.lit(1)).alias("n"))
+    hosts = keyed.groupBy("host").agg(F.count(F.lit(1)).alias("all_pages"))
+    sums = [F.sum(c).alias(c) for c in ("pages", "a", "b", "n")]
+    vectors = rows.mapInArrow(_vectors, "host string, token long, pages long, a long, b long, n long").groupBy("host", "token").agg(*sums)
+    group = F.when(F.col("all_pages") == 1, OTHERS).otherwise(F.col("host")).alias("host")
+    grouped = vectors.join(hosts, "host").where("all_pages = 1 or pages > 1").select(group, "token", "pages", "a", "b", "n").groupBy("host", "token").agg(*sums)
+    often = cut(grouped.where((F.col("pages") > 1) & ((F.col("token") % 2 == 0) | (F.col("pages") >= TEXT_PAGES))), "vectors")
+    whole = hosts.select(group, "all_pages").groupBy("host").agg(F.sum("all_pages").alias("all_pages"))
     classes = often.groupBy("host", "a", "b", "pages").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") >= CLASS_TOKENS)
-    valid = classes.join(hosts, "host").where(F.col("pages") >= F.greatest(F.lit(2), CLASS_SHARE * F.col("n"))).select("host", "a", "b", "pages")
-    return often.join(valid, ["host", "a", "b", "pages"]).groupBy("host").agg(F.sort_array(F.collect_set("token")).alias("tokens"))
+    valid = classes.join(whole, "host").where(F.col("pages") >= F.greatest(F.lit(2), CLASS_SHARE * F.col("all_pages"))).select("host", "a", "b", "pages")
+    one = F.struct("token", F.xxhash64("a", "b", "pages").alias("class"), (F.col("n") == F.col("pages")).alias("once"))
+    return often.join(valid, ["host", "a", "b", "pages"]).groupBy("host").agg(F.sort_array(F.collect_list(one)).alias("candidates"))
 
 
-def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    known: dict[str, frozenset[int]] = {}
-    for part in wa.slices(batches, "html"):
-        texts = []
-        tokens = part.column("tokens")
-        for i, (host, html) in enumerate(zip(part.column("host").to_pylist(), part.column("html").to_pylist(), strict=True)):
-            if host not in known:
-                if len(known) > 1000:
-                    known.clear()
-                known[host] = frozenset(tokens[i].as_py() or ())
-            texts.append(Page(html).main_text(known[host]))
-        yield pa.RecordBatch.from_arrays([part.column("page_id"), part.column("url"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], ["page_id", "url", "text", "n_chars"])
+def templates(keyed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``(found, facts)``: ``host, candidates`` as a table, and what all pages say of them, ``host, facts``.  Both are written."""
+    found = cut(candidates(keyed), "candidates")
+    shared = found.where(F.col("host") == OTHERS).first()
+    own = found.where(F.col("host") != OTHERS)
+    tie, size = F.xxhash64("page_id", "url"), F.size("candidates") * 17 + F.octet_length("host")
+    seen = attach(keyed, own, "host", size, tie).select("host", "candidates", "html")
+    seen = seen.mapInArrow(_judge(shared["candidates"] if shared else []), f"host string, {_FACTS}")
+    sums = [F.min("low").alias("low"), F.max("high").alias("high"), F.max("named").alias("named"), F.sum("prose").alias("prose"), F.sum("headed").alias("headed")]
+    facts = seen.groupBy("host", "kind", "id").agg(*sums).groupBy("host").agg(F.collect_list(F.struct("kind", "id", "low", "high", "named", "prose", "headed")).alias("facts"))
+    return found, cut(facts, "facts")
 
 
 def extract_text(pages: DataFrame) -> DataFrame:
     """``page_id, url, text, n_chars`` of each row of ``pages`` (page_id, url, html; others are ignored).
 
-    A null or empty html has an empty text.  Pages without a readable address share one template.  Hosts with a single
-    page have none; there only the names of elements tell the article.  page_id may be of any type, null or repeated; rows
-    that repeat are pages of their host like others.  An empty table gives no rows.  A page takes some 100 times its bytes of
-    memory while it is read.
+    Three passes read the pages: tokens, then orders and slots, then texts; the narrow tables between are written while the result is
+    built.  A null or empty html has an empty text.  Pages without a readable address and hosts with a single page share one
+    template.  page_id may be of any type, null or repeated; rows that repeat are pages of their host like others.  An
+    empty table gives no rows.  A page takes some 100 times its bytes of memory while it is read.
     """
     keyed = _keyed(pages)
-    joined = attach(keyed, templates(keyed), "host", F.size("tokens") * 8 + F.octet_length("host"), F.xxhash64("page_id", "url"))
+    found, facts = templates(keyed)
+    both = found.join(facts, "host")
+    shared = both.where(F.col("host") == OTHERS).first()
+    default = Template.settled(*([r.asDict() for r in shared[c]] for c in ("candidates", "facts"))) if shared else None
+    size = F.size("candidates") * 17 + F.size("facts") * 60 + F.octet_length("host")
+    joined = attach(keyed, both.where(F.col("host") != OTHERS), "host", size, F.xxhash64("page_id", "url"))
     kind = dict(keyed.dtypes)["page_id"]
-    return joined.select("page_id", "url", "host", "html", "tokens").mapInArrow(_extract, f"page_id {kind}, url string, text string, n_chars long")
+    return joined.select("page_id", "url", "host", "html", "candidates", "facts").mapInArrow(_extract(default), f"page_id {kind}, url string, text string, n_chars long")

@@ -104,7 +104,7 @@ def _page(body: str, head: str = "") -> str:
 
 
 def test_page_text_cases():
-    text = lambda html: page_text.Page(html).main_text(frozenset())
+    text = lambda html: page_text.Page(html).main_text(None)
     html = _page(
         "<nav><a href=x>Home</a></nav><div class='cookie-notice'>We use cookies</div><header><h2>Site</h2></header>"
         "<article><h1>A &amp; B</h1><p>One\n  two<br>three <b>bold</b> <a href=y>link</a></p><p>Unclosed<p>Next&nbsp;&mdash; end"
@@ -118,8 +118,10 @@ def test_page_text_cases():
     assert text("<script>only") == "" and text("<!-- x --><p>y") == "y"
     wrapped = _page("<div class='wrap has-sidebar'><div class=sidebar>s</div><article><h1>T</h1><p>" + "w " * 50 + "</p></article><div id=comments><article>" + "r " * 500 + "</article></div></div>")
     assert text(wrapped) == "T\n\n" + ("w " * 50).strip()
-    plain = _page("<div class=menu>" + "<a>m</a>" * 9 + "</div><div class=wrap><div class=story><p>" + "word " * 60 + "</p><p>more</p></div></div><div class=footer>f</div>")
-    assert text(plain) == ("word " * 60).strip() + "\n\nmore"
+    quoted = _page("<article><p><a title=\"next > page\" href='/x'>link</a> <img alt=\"<b>bold</b> view\">end</p><div data-u=/a/>in</div><p title=it's>Don't \"stop\"</p><br/><i/>x<p class=\"open>y</p></article>")
+    assert text(quoted) == "link end\n\nin\n\nDon't \"stop\"\n\nx\n\ny"
+    boxes = "<article><p>lead</p><section class=share><p>Market share fell.</p></section><div class=related><p>Study</p></div><div class=reply><p>The minister's reply</p></div></article>"
+    assert text(_page(boxes)) == "lead\n\nMarket share fell.\n\nStudy\n\nThe minister's reply"
 
 
 def test_template_text_goes_and_skewed_join_agrees(spark, monkeypatch):
@@ -144,7 +146,7 @@ def test_page_text_of_the_tables(spark, data):
 
 
 def test_page_text_loses_no_part_of_an_article():
-    text = lambda html: page_text.Page(html).main_text(frozenset())
+    text = lambda html: page_text.Page(html).main_text(None)
     story, lead = ("word " * 60).strip(), ("lead " * 12).strip()
     assert text(_page(f"<div class=x><div><h1>Title</h1><p>{lead}</p><div class=body><p>{story}</p></div></div></div>")) == f"Title\n\n{lead}\n\n{story}"
     assert text(_page(f"<article><p>Teaser</p></article><main><h1>T</h1><p>{story}</p></main>")) == f"T\n\n{story}"
@@ -154,26 +156,37 @@ def test_page_text_loses_no_part_of_an_article():
     assert text(_page(two)) == f"{story}\n\n{lead}"
     assert text(_page(f"<article><p><a href=x>One link</a></p><ul><li><a>Two</a><li><a>Three</a></ul></article><div class=x>.</div>")) == "One link\n\nTwo\n\nThree"
     odd = f"<article><p>a</p><h2 id='related'>Related work</h2><p>{lead}</p><p class='notice'>important</p><section id='social'><p>b</p></section><p class='ad-hoc'>c</p><div class='ad-hoc'>d</div><div class='ad-box'>e</div></article>"
-    assert text(_page(odd)) == f"a\n\nRelated work\n\n{lead}\n\nimportant\n\nb\n\nc\n\nd"
+    assert text(_page(odd)) == f"a\n\nRelated work\n\n{lead}\n\nimportant\n\nb\n\nc\n\nd\n\ne"
     slugs = f"<article><h2 id='social-effects'>Effects</h2><p>{story}</p><section id='related-work'><h2 id=related>Work</h2><p id='notice-periods'>{lead}</p></section><section id=comments><p>c</p></section></article>"
     assert text(_page(slugs)) == f"Effects\n\n{story}\n\nWork\n\n{lead}"
 
 
 def _brute_templates(pages):
-    """host -> template tokens, from whole occurrence vectors."""
+    """host -> template tokens, from whole occurrence vectors and whole orders."""
     hosts = defaultdict(dict)
     for i, url, html in pages:
-        hosts[url.split("/")[2]][i] = page_text.Page(html).tokens()
+        hosts[url.split("/")[2]][i] = page_text.Page(html)
     out = {}
-    for host, counts in hosts.items():
-        classes = defaultdict(set)
+    for host, read in hosts.items():
+        counts, classes = {i: p.tokens() for i, p in read.items()}, defaultdict(set)
         for token in {t for c in counts.values() for t in c}:
             classes[tuple(counts[i][token] for i in sorted(counts))].add(token)
-        chosen = [ts for v, ts in classes.items() if len(ts) >= page_text.CLASS_TOKENS and sum(n > 0 for n in v) >= max(2, page_text.CLASS_SHARE * len(v))]
-        out[host] = frozenset(t for ts in chosen for t in ts)
+        chosen = set()
+        for v, ts in classes.items():
+            least = max(2, page_text.CLASS_SHARE * len(v))
+            ts = {t for t in ts if sum(n > 0 for n in v) >= (max(least, page_text.TEXT_PAGES) if t % 2 else least)}
+            orders = {tuple(dict.fromkeys(t for t in p._in_order() if t in ts)) for i, p in read.items() if counts[i].keys() & ts}
+            if len(ts) >= page_text.CLASS_TOKENS and len(orders) == 1:
+                chosen |= ts
+        out[host] = frozenset(chosen)
     return out
 
 
+def _found_templates(spark, pages):
+    found, facts = page_text.templates(page_text._keyed(spark.createDataFrame(pages, "page_id long, url string, html string")))
+    return {r.host: page_text.Template.settled(r.candidates, r.facts) for r in found.join(facts, "host").collect()}
+
+
 def test_templates_are_those_of_whole_vectors(spark):
     """Pages without an article element: slots of the deduced template hold the planted article, and nothing else."""
     rng = random.Random(8)
@@ -192,13 +205,38 @@ def test_templates_are_those_of_whole_vectors(spark):
             truth[page] = "\n\n".join(blocks) if host < 3 else None
     found = {r.page_id: r.text for r in page_text.extract_text(spark.createDataFrame(pages, "page_id long, url string, html string").repartition(3)).collect()}
     plain = _brute_templates(pages)
-    tokens = {r.host: frozenset(r.tokens) for r in page_text.templates(page_text._keyed(spark.createDataFrame(pages, "page_id long, url string, html string"))).collect()}
-    assert tokens == {h: ts for h, ts in plain.items() if ts}
+    made = _found_templates(spark, pages)
+    assert {h: t.tokens for h, t in made.items()} == {h: ts for h, ts in plain.items() if ts}
     for page, url, html in pages:
-        assert found[page] == page_text.Page(html).main_text(plain[url.split("/")[2]])
+        assert found[page] == page_text.Page(html).main_text(made.get(url.split("/")[2]))
         assert truth[page] is None or found[page] == truth[page]
 
 
+def test_classes_must_keep_their_order(spark):
+    """Two lines that change places from page to page are no template; in one place they are."""
+    pages = []
+    for i in range(8):
+        lines = ["<p>First line</p>", "<p>Second line</p>"]
+        for host in range(2):
+            body = "".join(lines[:: -1 if host and i % 2 else 1])
+            pages.append((len(pages), f"http://h{host}.example.com/{i}", _page(f"<article><h1>Head {i}</h1>{body}<p>{f'own{i} ' * 30}</p></article>")))
+    found = {r.page_id: r.text for r in page_text.extract_text(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    assert all("First" not in found[p] for p in found if p % 2 == 0) and all("First" in found[p] for p in found if p % 2)
+    assert {h: t.tokens for h, t in _found_templates(spark, pages).items()} == _brute_templates(pages)
+
+
+def test_slots_decide_what_names_do_not(spark):
+    """Boxes beside the article go whatever they are called, in hosts of one page by the template that such hosts share."""
+    own = lambda i: f"text{i} " * 40
+    body = lambda i, box: _page(f"<div class={box}><p>Buy number {i}</p></div><div class=k><h1>Head {i}</h1><p>{own(i)}</p><div class={box}><p>In the middle {i}</p></div></div><div>Number {i} of many</div>")
+    pages = [(i, f"http://a.example.com/{i}", body(i, "c17")) for i in range(6)] + [(10 + i, f"http://b.example.com/{i}", body(i, "advert-box")) for i in range(6)]
+    pages += [(20 + i, f"http://only{i}.example.com/", body(i, "promo")) for i in range(6)]
+    found = {r.page_id: r.text for r in page_text.extract_text(spark.createDataFrame(pages, "page_id long, url string, html string").repartition(4)).collect()}
+    assert found == {p: f"Head {p % 10}\n\n{own(p % 10).strip()}\n\nIn the middle {p % 10}" for p, *_ in pages}
+    empty = page_text.Template(frozenset(), page_text.ROOT)
+    assert all(page_text.Page(html).main_text(empty) != found[p] for p, _, html in pages)
+
+
 def test_pages_that_are_hard_to_parse():
     """Time in proportion to the length for deep, unclosed and broken markup."""
     import time
@@ -206,11 +244,12 @@ def test_pages_that_are_hard_to_parse():
     for html in ("<a b" * 100_000, "<a " + '"' * 400_000, "<script " * 50_000, "<div>" * 80_000 + "end", "<b>" * 60_000 + "</i>" * 60_000, "<p><div>" + "<b>" * 60_000 + "<li>" * 60_000, "<!-- " * 80_000, "<" * 400_000):
         begun = time.time()
         page = page_text.Page(html)
-        page.main_text(frozenset(page.tokens()))
+        page.main_text(page_text.Template(frozenset(page.tokens()), page_text.ROOT))
+        list(page.facts(dict.fromkeys(page.tokens(), 1), frozenset(page.tokens())))
         assert time.time() - begun < 20
-    assert page_text.Page("<div>" * 80_000 + "end").main_text(frozenset()) == "end"
+    assert page_text.Page("<div>" * 80_000 + "end").main_text(None) == "end"
     deep = "<div>" * 600 + "<p>one</p></div><p>two</p>"
-    assert page_text.Page(deep).main_text(frozenset()) == "one\n\ntwo"
+    assert page_text.Page(deep).main_text(None) == "one\n\ntwo"
 
 
 def test_template_text_inside_articles_goes(spark):
