@@ -7,7 +7,9 @@ import uuid
 from pyspark.sql import DataFrame, functions as F
 
 from silverbrook.catalog.tables import Entry, Tables
+from silverbrook.operators.clustering import clustered
 from silverbrook.sources import files as S
+from silverbrook.sources.constraints import Constrained
 from silverbrook.sources.jdbc import Jdbc, upsert_sql
 from silverbrook.sources.scratch import scratch
 from silverbrook.sources.snapshots import SnapshotTable, When
@@ -139,6 +141,23 @@ def _upsert(t: Tables) -> DataFrame:
     return db.read(t.spark, "target").toDF("k", "v")
 
 
+RULES = {"price": "o_totalprice < 300000", "done": "o_orderstatus <> 'O' or o_orderdate >= date '1995-01-01'", "priority": "nullif(o_orderpriority, '5-LOW') is not null"}
+
+
+def _constrained(t: Tables) -> DataFrame:
+    """Orders under three rules: the good ones, and the bad ones with the rules that they break."""
+    sink = Constrained(scratch(t.spark, "rules"), RULES)
+    sink.write(t.orders)
+    good = sink.read(t.spark).select("o_orderkey", F.lit("").alias("broken"))
+    return good.unionByName(sink.quarantine(t.spark).select("o_orderkey", F.array_join("broken", ",").alias("broken")))
+
+
+def _clustered(t: Tables) -> DataFrame:
+    path = scratch(t.spark, "curve")
+    t.lineitem.transform(clustered(["l_partkey", "l_shipdate"], 16)).write.parquet(path)
+    return t.spark.read.parquet(path).select("l_orderkey", "l_linenumber", "l_partkey")
+
+
 _EVEN = "SELECT o_orderkey, o_orderstatus, o_totalprice AS price FROM orders WHERE o_orderkey % 2 = 0"
 
 ENTRIES: dict[str, Entry] = {
@@ -176,6 +195,12 @@ ENTRIES: dict[str, Entry] = {
         lambda t: [x := _changed(t), x.optimize(["o_orderkey"]), x.vacuum(0)][0].read().select("o_orderkey"),
         f"SELECT o_orderkey FROM ({_EVEN}) WHERE o_orderkey % 10 <> 2 UNION ALL SELECT o_orderkey FROM orders WHERE o_orderkey % 10 = 1",
     ),
+    "W12_clustered_files": (_clustered, "SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem"),
+    "W10_constraints": (
+        _constrained,
+        """SELECT o_orderkey, concat_ws(',', CASE WHEN NOT o_totalprice < 300000 THEN 'price' END, CASE WHEN o_orderstatus = 'O' AND o_orderdate < DATE '1995-01-01' THEN 'done' END,
+        CASE WHEN o_orderpriority = '5-LOW' THEN 'priority' END) AS broken FROM orders""",
+    ),
     "S17_W18_records": (lambda t: t.events.drop("ts").transform(shape("event_id", ["event_id", "user_id", "event_type", "value", "props"])).transform(decode(_EVENT)), "SELECT CAST(event_id AS VARCHAR) AS key, event_id, user_id, event_type, value, props FROM events"),
     "S16_W17_stream": (_stream, "SELECT CAST(event_id AS VARCHAR) AS key, event_id, user_id, event_type, value, props FROM events"),
 }

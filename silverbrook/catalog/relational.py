@@ -8,6 +8,8 @@ from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, Str
 from silverbrook.catalog.tables import Entry, Tables
 from silverbrook.functions.columns import parse_boolean, parse_date, parse_gender, parse_timestamp
 from silverbrook.operators import aggregate as A, clean as P, joins as J, window as V
+from silverbrook.operators.running import running
+from silverbrook.operators.selection import exact_quantiles
 from silverbrook.plans.pipeline import Pipeline
 
 
@@ -159,6 +161,10 @@ ENTRIES: dict[str, Entry] = {
     "A1_median": (_agg("median", accuracy=0), _agg_sql("quantile_cont(l_quantity, 0.5)")),
     "A1_percentile": (_agg("percentile", percentile=0.9, accuracy=0), _agg_sql("quantile_cont(l_quantity, 0.9)")),
     "A1_percentile_approx": (_agg("percentile", percentile=0.9), _agg_sql("quantile_disc(l_quantity, 0.9)")),
+    "A1_exact_quantiles": (
+        lambda t: t.lineitem.transform(exact_quantiles(["l_returnflag", "l_linestatus"], "l_extendedprice", {"p01": 0.01, "median": 0.5, "p90": 0.9})),
+        "SELECT l_returnflag, l_linestatus, quantile_cont(l_extendedprice, 0.01) AS p01, quantile_cont(l_extendedprice, 0.5) AS median, quantile_cont(l_extendedprice, 0.9) AS p90 FROM lineitem GROUP BY ALL",
+    ),
     "A3_having_order": (
         lambda t: t.orders.transform(A.aggregate(["o_custkey"], [A.Agg("*", "count", "n"), A.Agg("o_totalprice", "max")], "n > 8", ["n", "o_custkey"], [False, True])),
         "SELECT o_custkey, count(*) AS n, max(o_totalprice) AS o_totalprice_max FROM orders GROUP BY 1 HAVING count(*) > 8",
@@ -208,6 +214,11 @@ ENTRIES: dict[str, Entry] = {
     ),
     "V5_lag": (_over("lag", "o_orderkey", offset=2, default=-1), _over_sql("lag(o_orderkey, 2, -1)")),
     "V5_lead": (_over("lead", "o_orderkey"), _over_sql("lead(o_orderkey)")),
+    "V6_hot_running_total": (
+        lambda t: t.events.select("event_id", "event_type", "user_id", F.round(F.col("value") * 100).cast("long").alias("cents")).transform(running([], ["event_type", "user_id", "event_id"], "cents")).select("event_id", "row_number", "running_total"),
+        """SELECT event_id, row_number() OVER w AS row_number, CAST(sum(CAST(round(value * 100) AS BIGINT)) OVER w AS BIGINT) AS running_total
+        FROM events WINDOW w AS (ORDER BY event_type, user_id, event_id ROWS UNBOUNDED PRECEDING)""",
+    ),
     "V6_running_total": (
         lambda t: t.orders.transform(V.running_total(["o_custkey"], ["o_orderdate", "o_orderkey"], "o_totalprice", "v")).select("o_orderkey", F.round("v", 4).alias("v")),
         f"SELECT o_orderkey, round(sum(o_totalprice) OVER {_W[:-1]} ROWS UNBOUNDED PRECEDING), 4) AS v FROM orders",

@@ -1,11 +1,11 @@
-"""Folders for round trips in queries and tests."""
+"""Folders for round trips, and tables that end a lineage."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch(spark: SparkSession, name: str) -> str:
@@ -17,3 +17,10 @@ def scratch(spark: SparkSession, name: str) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="silverbrook-")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def kept(df: DataFrame, name: str = "kept") -> DataFrame:
+    """``df`` written to a new folder there, and read back."""
+    path = scratch(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
