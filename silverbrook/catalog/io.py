@@ -1,4 +1,4 @@
-"""Registered queries of sources, sinks, snapshot tables, JDBC and streams: write, read back, compare."""
+"""Registered queries of sources, sinks, merges and versions of tables, JDBC and streams: write, read back, compare."""
 
 from __future__ import annotations
 
@@ -12,7 +12,7 @@ from silverbrook.sources import files as S
 from silverbrook.sources.constraints import Constrained
 from silverbrook.sources.jdbc import Jdbc, upsert_sql
 from silverbrook.sources.scratch import scratch
-from silverbrook.sources.snapshots import SnapshotTable, When
+from silverbrook.sources.tables import When, changes, compact, deleted, merge_into, merged, replace
 from silverbrook.streaming.kafka import decode, shape, start
 
 _CUSTOMER = "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
@@ -79,32 +79,57 @@ def _halves(t: Tables) -> tuple[DataFrame, DataFrame]:
     return orders.where("o_orderkey % 2 = 0"), orders.where("o_orderkey % 2 = 1")
 
 
-def _table(t: Tables) -> SnapshotTable:
-    return SnapshotTable(t.spark, scratch(t.spark, "table"))
+def _travel(t: Tables) -> DataFrame:
+    """A folder before and after an append, each version under a name of its own."""
+    folder, (even, odd) = scratch(t.spark, "versions"), _halves(t)
+    even.write.parquet(f"{folder}/0")
+    t.spark.read.parquet(f"{folder}/0").unionByName(odd).write.parquet(f"{folder}/1")
+    version = lambda n: t.spark.read.parquet(f"{folder}/{n}").select(F.lit(n).alias("v"), "o_orderkey")
+    return version(0).unionByName(version(1))
+
+
+def _changed(t: Tables) -> str:
+    """Three versions: even orders, a merge of others and of new prices, and a delete."""
+    folder, (even, odd) = scratch(t.spark, "versions"), _halves(t)
+    even.write.parquet(f"{folder}/0")
+    news = odd.where("o_orderkey % 10 = 1").unionByName(even.where("o_orderkey % 10 = 0").withColumn("price", F.lit(1.0)))
+    merged(t.spark.read.parquet(f"{folder}/0"), news, ["o_orderkey"]).write.parquet(f"{folder}/1")
+    deleted(t.spark.read.parquet(f"{folder}/1"), "o_orderkey % 10 = 2").write.parquet(f"{folder}/2")
+    return folder
 
 
-def _travel(t: Tables) -> DataFrame:
-    table, (even, odd) = _table(t), _halves(t)
-    table.write(even)
-    table.write(odd)
-    return table.read(version=0).select(F.lit(0).alias("v"), "o_orderkey").unionByName(table.read().select(F.lit(1).alias("v"), "o_orderkey"))
+def _change_feed(t: Tables) -> DataFrame:
+    folder = _changed(t)
+    a, b, c = (t.spark.read.parquet(f"{folder}/{n}") for n in range(3))
+    feed = [changes(x, y, ["o_orderkey"]).select("o_orderkey", "price", "_change_type", F.lit(n).cast("long").alias("_commit_version")) for n, (x, y) in enumerate(((a, b), (b, c)), 1)]
+    return feed[0].unionByName(feed[1])
 
 
-def _changed(t: Tables) -> SnapshotTable:
-    table, (even, odd) = _table(t), _halves(t)
-    table.write(even)
-    news = odd.where("o_orderkey % 10 = 1").unionByName(even.where("o_orderkey % 10 = 0").withColumn("price", F.lit(1.0)))
-    table.merge(news, ["o_orderkey"])
-    table.delete("o_orderkey % 10 = 2")
-    return table
+def _history(t: Tables) -> DataFrame:
+    """Rows and value of each version, from their folders."""
+    folder = _changed(t)
+    rows = t.spark.read.parquet(*[f"{folder}/{n}" for n in range(3)]).withColumn("version", F.regexp_extract(F.input_file_name(), "/([0-9]+)/[^/]*$", 1).cast("long"))
+    return rows.groupBy("version").agg(F.count(F.lit(1)).alias("n"), F.min("o_orderkey").alias("first_key"), F.max("o_orderkey").alias("last_key"))
+
+
+def _merge_in_place(t: Tables) -> DataFrame:
+    path, (even, odd) = f"{scratch(t.spark, 'merged')}/orders", _halves(t)
+    merge_into(path, even, ["o_orderkey"])
+    merge_into(path, odd.where("o_orderkey % 10 = 1").unionByName(even.where("o_orderkey % 10 = 0").withColumn("price", F.lit(1.0))), ["o_orderkey"])
+    replace(deleted(t.spark.read.parquet(path), "o_orderkey % 10 = 2"), path)
+    return t.spark.read.parquet(path)
 
 
 def _merge_clauses(t: Tables) -> DataFrame:
-    table, (even, odd) = _table(t), _halves(t)
-    table.write(even)
+    even, _ = _halves(t)
     source = t.orders.select("o_orderkey", "o_orderstatus", F.col("o_totalprice").alias("price")).where("o_orderkey % 3 = 0")
-    table.merge(source, ["o_orderkey"], [When("delete", "s.o_orderstatus = 'F'"), When("update", "t.price > 1000", {"price": "t.price + 1"}), When("insert", "s.price > 50000")])
-    return table.read()
+    return merged(even, source, ["o_orderkey"], [When("delete", "s.o_orderstatus = 'F'"), When("update", "t.price > 1000", {"price": "t.price + 1"}), When("insert", "s.price > 50000")])
+
+
+def _compacted(t: Tables) -> DataFrame:
+    folder = _changed(t)
+    compact(t.spark, f"{folder}/2", f"{folder}/3", ["o_orderkey"])
+    return t.spark.read.parquet(f"{folder}/3").select("o_orderkey")
 
 
 def _stream(t: Tables) -> DataFrame:
@@ -177,22 +202,27 @@ ENTRIES: dict[str, Entry] = {
     "S12_jdbc_query": (_jdbc_query, "SELECT r_name FROM region WHERE r_regionkey > 2"),
     "S13_W10_time_travel": (_travel, "SELECT 0 AS v, o_orderkey FROM orders WHERE o_orderkey % 2 = 0 UNION ALL SELECT 1, o_orderkey FROM orders"),
     "S14_change_feed": (
-        lambda t: _changed(t).changes(1, 2, ["o_orderkey"]).select("o_orderkey", "price", "_change_type", "_commit_version"),
+        _change_feed,
         f"""WITH e AS ({_EVEN}) SELECT o_orderkey, price, 'update_preimage' AS _change_type, 1::BIGINT AS _commit_version FROM e WHERE o_orderkey % 10 = 0
         UNION ALL SELECT o_orderkey, 1.0, 'update_postimage', 1 FROM e WHERE o_orderkey % 10 = 0
         UNION ALL SELECT o_orderkey, o_totalprice, 'insert', 1 FROM orders WHERE o_orderkey % 10 = 1
         UNION ALL SELECT o_orderkey, price, 'delete', 2 FROM e WHERE o_orderkey % 10 = 2""",
     ),
-    "S15_history": (lambda t: _changed(t).history(2).select("version", "operation"), "SELECT * FROM (VALUES (2::BIGINT, 'DELETE'), (1, 'MERGE')) AS h(version, operation)"),
+    "S15_history": (
+        _history,
+        f"""WITH e AS ({_EVEN}), v AS (SELECT 0 AS version, o_orderkey FROM e UNION ALL SELECT 1, o_orderkey FROM orders WHERE o_orderkey % 2 = 0 OR o_orderkey % 10 = 1
+          UNION ALL SELECT 2, o_orderkey FROM orders WHERE (o_orderkey % 2 = 0 OR o_orderkey % 10 = 1) AND o_orderkey % 10 <> 2)
+        SELECT CAST(version AS BIGINT) AS version, count(*) AS n, min(o_orderkey) AS first_key, max(o_orderkey) AS last_key FROM v GROUP BY 1""",
+    ),
     "W7_array_json": (_arrays, "SELECT o_custkey, count(*) AS n, max(o_orderkey) AS last FROM orders GROUP BY 1"),
     "W9_date_partitions": (_by_date, "SELECT year(o_orderdate) AS year, month(o_orderdate) AS month, count(*) AS n FROM orders GROUP BY 1, 2"),
-    "W11_merge": (lambda t: _changed(t).read(), f"WITH e AS ({_EVEN}) SELECT o_orderkey, o_orderstatus, CASE WHEN o_orderkey % 10 = 0 THEN 1.0 ELSE price END AS price FROM e WHERE o_orderkey % 10 <> 2 UNION ALL SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderkey % 10 = 1"),
+    "W11_merge": (_merge_in_place, f"WITH e AS ({_EVEN}) SELECT o_orderkey, o_orderstatus, CASE WHEN o_orderkey % 10 = 0 THEN 1.0 ELSE price END AS price FROM e WHERE o_orderkey % 10 <> 2 UNION ALL SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderkey % 10 = 1"),
     "W11_merge_clauses": (
         _merge_clauses,
         f"WITH e AS ({_EVEN}) SELECT o_orderkey, o_orderstatus, CASE WHEN o_orderkey % 3 = 0 AND price > 1000 THEN price + 1 ELSE price END AS price FROM e WHERE NOT (o_orderkey % 3 = 0 AND o_orderstatus = 'F') UNION ALL SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderkey % 2 = 1 AND o_orderkey % 3 = 0 AND o_totalprice > 50000",
     ),
     "W12_W13_optimize_vacuum": (
-        lambda t: [x := _changed(t), x.optimize(["o_orderkey"]), x.vacuum(0)][0].read().select("o_orderkey"),
+        _compacted,
         f"SELECT o_orderkey FROM ({_EVEN}) WHERE o_orderkey % 10 <> 2 UNION ALL SELECT o_orderkey FROM orders WHERE o_orderkey % 10 = 1",
     ),
     "W12_clustered_files": (_clustered, "SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem"),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
 from silverbrook.catalog.tables import Entry, Tables
@@ -28,6 +28,15 @@ _PADDED = "(SELECT c_custkey, '  ' || c_name || ' ' AS c_name, nullif(c_nationke
 _NATION = StructType([StructField("n_name", StringType()), StructField("n_nationkey", LongType()), StructField("population", DoubleType())])
 
 
+def _answer() -> Column:
+    """Words for yes and no in the forms in which they come, by customer."""
+    return F.element_at(F.array(F.lit(" Oui"), F.lit("TRUE"), F.lit("n "), F.lit("maybe")), (F.col("c_custkey") % 4 + 1).cast("int"))
+
+
+def _sex() -> Column:
+    return F.when(F.col("c_mktsegment").isNotNull(), F.element_at(F.array(F.lit("Homme"), F.lit(" f"), F.lit("x")), (F.col("c_nationkey") % 3 + 1).cast("int")))
+
+
 def _bands(t: Tables) -> DataFrame:
     return t.spark.createDataFrame([("low", 0.0, 50_000.0), ("mid", 50_000.0, 150_000.0), ("high", 150_000.0, 600_000.0)], "band string, low double, high double")
 
@@ -278,7 +287,8 @@ ENTRIES: dict[str, Entry] = {
     "F17_expr": (lambda t: t.lineitem.select("l_orderkey", F.expr("l_quantity * 2 + l_linenumber").alias("v")), "SELECT l_orderkey, l_quantity * 2 + l_linenumber AS v FROM lineitem"),
     "F18_input_file": (lambda t: t.region.select("r_regionkey", F.input_file_name().endswith("region.parquet").alias("v")), "SELECT r_regionkey, true AS v FROM region"),
     "F19_F20_normalise": (
-        lambda t: t.spark.createDataFrame([(1, " Oui", "Homme"), (2, "0", "f"), (3, "maybe", "x"), (4, None, None)], "id long, b string, g string").select("id", parse_boolean("b").alias("b"), parse_gender("g").alias("g")),
-        "SELECT * FROM (VALUES (1::BIGINT, true, 'M'), (2, false, 'F'), (3, NULL, 'U'), (4, NULL, 'U')) AS v(id, b, g)",
+        lambda t: t.customer.select("c_custkey", _answer().alias("b"), _sex().alias("g")).select("c_custkey", parse_boolean("b").alias("b"), parse_gender("g").alias("g")),
+        """SELECT c_custkey, CASE WHEN c_custkey % 4 IN (0, 1) THEN true WHEN c_custkey % 4 = 2 THEN false END AS b,
+        CASE WHEN c_mktsegment IS NULL THEN 'U' ELSE CASE c_nationkey % 3 WHEN 0 THEN 'M' WHEN 1 THEN 'F' ELSE 'U' END END AS g FROM customer""",
     ),
 }

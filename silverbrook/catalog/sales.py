@@ -13,7 +13,6 @@ from silverbrook.quality import report
 from silverbrook.sales.jobs import clean_customers, gold_job, ingest_orders, quality_job, transform_orders
 from silverbrook.sources.jdbc import Jdbc
 from silverbrook.sources.scratch import scratch
-from silverbrook.sources.snapshots import SnapshotTable
 
 RATES = {"FRANCE": "0.20", "UNITED STATES": "0.10", "GERMANY": "0.19"}
 TIES = ["order_id", "line", "product_id", "supplier_id", "subtotal", "delivery_date", "quantity", "discount_percent"]
@@ -74,9 +73,9 @@ def _customers(t: Tables) -> DataFrame:
 def _through_job(t: Tables, table: str) -> DataFrame:
     """A gold table written by its job and read back."""
     folder = scratch(t.spark, "gold")
-    SnapshotTable(t.spark, f"{folder}/silver").write(enriched(t))
+    enriched(t).write.parquet(f"{folder}/silver")
     gold_job(f"{folder}/silver", folder, [table]).run(t.spark)
-    return SnapshotTable(t.spark, f"{folder}/{table}").read()
+    return t.spark.read.parquet(f"{folder}/{table}")
 
 
 def _ingested(t: Tables) -> DataFrame:
@@ -86,7 +85,7 @@ def _ingested(t: Tables) -> DataFrame:
     bronze = f"{scratch(t.spark, 'bronze')}/orders"
     for _ in range(2):
         ingest_orders(db, "orders", bronze).run(t.spark)
-    df = SnapshotTable(t.spark, bronze).read()
+    df = t.spark.read.parquet(bronze)
     df = df.toDF(*[c.lower() for c in df.columns])
     return df.select("order_id", "status", "_source", "_job_name")
 

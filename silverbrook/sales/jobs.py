@@ -15,7 +15,7 @@ from silverbrook.quality import report
 from silverbrook.quality.checks import CRITICAL, WARNING, Checks, Result
 from silverbrook.sales import gold, silver
 from silverbrook.sources.jdbc import Jdbc
-from silverbrook.sources.snapshots import SnapshotTable
+from silverbrook.sources.tables import merge_into
 
 # The formats in which dates come.
 DATES = ("yyyy-MM-dd", "dd/MM/yyyy", "MM/dd/yyyy", "yyyy/MM/dd")
@@ -23,12 +23,12 @@ TIMES = ("yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd")
 
 
 def ingest_orders(database: Jdbc, table: str, target: str) -> Job:
-    """A database table to a bronze snapshot table, stamped."""
+    """A database table to a bronze folder, stamped and appended."""
     return Job(
         "ingest_orders",
         lambda spark: {"orders": database.read(spark, table)},
         lambda f: {"orders": f["orders"].transform(clean.stamp_ingestion("jdbc", "ingest_orders"))},
-        lambda _, df: SnapshotTable(df.sparkSession, target).write(df, "append") and None,
+        lambda _, df: df.write.mode("append").parquet(target),
         {"orders": Checks().row_count(1).not_null("order_id", severity=CRITICAL)},
     )
 
@@ -89,11 +89,11 @@ def transform_orders(mode: str = "percent") -> Operator:
 def enrich_orders(bronze: str, customers: str, products: str, target: str, rates: Mapping[str, Any], threshold: float = 500) -> Job:
     """Silver orders with customers, products and all silver measures, merged by order_id."""
     steps = Pipeline([("discount", silver.add_discount()), ("tax", silver.add_tax(rates)), ("margin", silver.margin_percent()), ("value", silver.high_value_orders(threshold)), ("repeat", silver.repeat_orders(ties=["order_id"])), ("delivery", silver.delivery_time()), ("payment", silver.payment_status()), ("fulfilment", silver.fulfilment_status())])
-    read = lambda spark: {n: SnapshotTable(spark, p).read() for n, p in (("orders", bronze), ("customers", customers), ("products", products))}
+    read = lambda spark: {n: spark.read.parquet(p) for n, p in (("orders", bronze), ("customers", customers), ("products", products))}
     transform = lambda f: {"orders": f["orders"].transform(silver.enrich_orders(f["customers"], f["products"])).transform(steps)}
 
     def load(_: str, df: DataFrame) -> None:
-        SnapshotTable(df.sparkSession, target).merge(df, ["order_id"])
+        merge_into(target, df, ["order_id"])
 
     return Job("enrich_orders", read, transform, load, {"orders": Checks().not_null("order_id", "customer_id", severity=CRITICAL).unique("order_id").in_range("total_amount", 0).in_set("payment_status", ["cancelled", "pending", "completed", "unknown"])})
 
@@ -117,9 +117,9 @@ def gold_job(silver_path: str, target: str, tables: Sequence[str] = tuple(GOLD))
     """Gold tables from silver orders, each at its own path."""
 
     def load(name: str, df: DataFrame) -> None:
-        SnapshotTable(df.sparkSession, f"{target}/{name}").write(df, "overwrite")
+        df.write.mode("overwrite").parquet(f"{target}/{name}")
 
-    return Job("gold", lambda spark: {"orders": SnapshotTable(spark, silver_path).read()}, lambda f: {n: f["orders"].transform(GOLD[n]()) for n in tables}, load, {n: Checks().row_count(1, severity=WARNING) for n in tables})
+    return Job("gold", lambda spark: {"orders": spark.read.parquet(silver_path)}, lambda f: {n: f["orders"].transform(GOLD[n]()) for n in tables}, load, {n: Checks().row_count(1, severity=WARNING) for n in tables})
 
 
 def quality_job(spark: SparkSession, tables: Mapping[str, DataFrame], measures: Mapping[str, Sequence[report.Measure]], path: str | None = None, least: float | None = None) -> dict[str, list[Result]]:

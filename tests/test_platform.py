@@ -15,9 +15,8 @@ from silverbrook.quality.checks import WARNING, Checks, summary
 from silverbrook.quality.expectations import SuiteFolder, run_expectations
 from silverbrook.quality.schema_diff import require_schema, schema_diff
 from silverbrook.sales.jobs import GOLD, gold_job, ingest_customers, ingest_orders, quality_job
-from silverbrook.sources import files as S
+from silverbrook.sources import files as S, tables as T
 from silverbrook.sources.jdbc import Jdbc, upsert_sql
-from silverbrook.sources.snapshots import SnapshotTable, When
 from silverbrook.streaming.kafka import Kafka, decode, shape, start
 
 
@@ -52,79 +51,41 @@ def test_sinks(spark, tmp_path):
     assert S.CsvSink(str(tmp_path / "c"), single_file=True).write(df) and len(list((tmp_path / "c").glob("*.csv"))) == 1
 
 
-def test_snapshot_table(spark, tmp_path):
-    table = SnapshotTable(spark, str(tmp_path / "t"))
-    with pytest.raises(SourceError):
-        table.read()
-    assert not table.exists() and table.optimize() is None
-    people = spark.createDataFrame([("c1", "Ann", 80), ("c2", "Bob", 70), ("c3", "Cid", 60)], "customer_id string, name string, score int")
-    table.write(people)
-    table.merge(spark.createDataFrame([("c2", "Rob", 75), ("c4", "Dee", 90)], "customer_id string, name string, score int"), ["customer_id"])
-    assert rows(table.read()) == [("c1", "Ann", 80), ("c2", "Rob", 75), ("c3", "Cid", 60), ("c4", "Dee", 90)]
-    changed = {(r.customer_id, r._change_type) for r in table.changes(1, keys=["customer_id"]).collect()}
-    assert changed == {("c2", "update_preimage"), ("c2", "update_postimage"), ("c4", "insert")}
-    assert table.read(version=0).count() == 3
-    assert table.read(timestamp=table._log()[0]["timestamp"]).count() == 3
-    # insert only, conditional delete, duplicates in the source
-    table.merge(spark.createDataFrame([("c1", "No", 0), ("c5", "Eve", 1)], people.schema), ["customer_id"], [When("insert")])
-    assert ("c1", "Ann", 80) in rows(table.read()) and table.read().count() == 5
-    table.merge(spark.createDataFrame([("c5", "x", 0)], people.schema), ["customer_id"], [When("delete", "t.score < 10")])
-    assert table.read().count() == 4
-    with pytest.raises(SinkError):
-        table.merge(people.unionByName(people), ["customer_id"])
-    table.update({"score": "score + 1"}, "name = 'Ann'")
-    table.delete("score > 85")
-    assert rows(table.read().select("customer_id", "score")) == [("c1", 81), ("c2", 75), ("c3", 60)]
-    # schemas unite; history and vacuum
-    table.write(spark.createDataFrame([("c9", True)], "customer_id string, vip boolean"))
-    assert table.read().where("customer_id = 'c9'").first().vip is True
-    assert table.history(1).first().operation == "WRITE"
-    assert len(table.vacuum(0)) == table.version() and table.read().count() == 4
-    with pytest.raises(SourceError):
-        table.read(version=0)
-
-
-def test_snapshot_writers_that_race(spark, tmp_path, monkeypatch):
-    """The later of two writers of one version fails, and the version stays as the first made it."""
-    table, late = (SnapshotTable(spark, str(tmp_path / "t")) for _ in range(2))
-    table.write(spark.range(3))
-    stale = table._log()
-    table.write(spark.range(3, 8))
-    for write in (lambda: late.write(spark.range(100, 101)), lambda: late.write(spark.range(1), "overwrite"), lambda: late.delete("id > 1"), lambda: late.merge(spark.range(2), ["id"]), lambda: late.optimize()):
-        with monkeypatch.context() as m:
-            m.setattr(late, "_log", lambda: stale)
-            with pytest.raises(SinkError):
-                write()
-        assert rows(table.read()) == [(i,) for i in range(8)] and table.version() == 1
-    first = SnapshotTable(spark, str(tmp_path / "new"))
-    with monkeypatch.context() as m:
-        m.setattr(first, "_log", lambda: [])
-        SnapshotTable(spark, first.path).write(spark.range(2))
+def test_merges_and_changes(spark, tmp_path):
+    path, kind = str(tmp_path / "people"), "customer_id string, name string, score int"
+    people = spark.createDataFrame([("c1", "Ann", 80), ("c2", "Bob", 70), ("c3", "Cid", 60)], kind)
+    T.merge_into(path, people, ["customer_id"])
+    T.merge_into(path, spark.createDataFrame([("c2", "Rob", 75), ("c4", "Dee", 90)], kind), ["customer_id"])
+    now = spark.read.parquet(path)
+    assert rows(now) == [("c1", "Ann", 80), ("c2", "Rob", 75), ("c3", "Cid", 60), ("c4", "Dee", 90)]
+    assert {(r.customer_id, r._change_type) for r in T.changes(people, now, ["customer_id"]).collect()} == {("c2", "update_preimage"), ("c2", "update_postimage"), ("c4", "insert")}
+    assert sorted(r._change_type for r in T.changes(people.unionByName(people), people).collect()) == ["delete"] * 3
+    # insert only, conditional delete, null keys and unknown conditions, new columns, duplicates in the source
+    more = T.merged(now, spark.createDataFrame([("c1", "No", 0), ("c5", "Eve", 1), (None, "Nil", 2)], kind), ["customer_id"], [T.When("insert")])
+    assert ("c1", "Ann", 80) in [tuple(r) for r in more.collect()] and more.count() == 6
+    less = T.merged(more, spark.createDataFrame([("c5", "x", 0), ("c1", "x", None)], kind), ["customer_id"], [T.When("delete", "t.score < 10"), T.When("update", "s.score > 0")])
+    assert {r.customer_id: r.score for r in less.collect()} == {"c1": 80, "c2": 75, "c3": 60, "c4": 90, None: 2}
+    wide = T.merged(now, spark.createDataFrame([("c1", True)], "customer_id string, vip boolean"), ["customer_id"], [T.When("update")])
+    assert {(r.customer_id, r.name, r.vip) for r in wide.collect()} == {("c1", "Ann", True), ("c2", "Rob", None), ("c3", "Cid", None), ("c4", "Dee", None)}
+    by = T.merged(now, people.where("score = 80"), condition="t.score > s.score", clauses=[T.When("update", set={"name": "s.name"})])
+    assert {r.name for r in by.collect()} == {"Ann", "Rob", "Cid"} and by.count() == 4
+    for bad in (lambda: T.merged(now, people.unionByName(people), ["customer_id"]), lambda: T.merged(now, people, condition="t.score > s.score"), lambda: T.merged(now, people)):
         with pytest.raises(SinkError):
-            first.write(spark.range(5), "overwrite")
-    assert first.read().count() == 2
-    assert len(list((tmp_path / "t" / "data").iterdir())) == 2
-
-
-def test_snapshot_append_writes_its_rows_alone(spark, tmp_path):
-    table = SnapshotTable(spark, str(tmp_path / "t"))
-    table.write(spark.createDataFrame([(1, "a"), (2, "b")], "id int, k string"), partition_by=["k"])
-    before = {f: f.stat().st_mtime_ns for f in tmp_path.rglob("*.parquet")}
-    table.write(spark.createDataFrame([("a", 3, True)], "k string, id long, vip boolean"))
-    table.write(spark.createDataFrame([], "k string, id int"))
-    assert all(f.stat().st_mtime_ns == t for f, t in before.items()) and len(list(tmp_path.rglob("*.parquet"))) == len(before) + 1
-    assert rows(table.read().select("id", "k", "vip"), "id") == [(1, "a", None), (2, "b", None), (3, "a", True)]
-    assert dict(table.read().dtypes)["id"] == "int"
-    changed = table.changes(1, keys=["id"])
-    assert [(r.id, r._change_type, r._commit_version) for r in changed.collect()] == [(3, "insert", 1)]
-    times = [e["timestamp"] for e in table._log()]
-    assert table.changes(since=times[1], until=times[1]).count() == 1 and table.changes(until=times[0]).count() == 2
-    with pytest.raises(SourceError):
-        table.changes(since=times[-1] + 10)
-    with pytest.raises(SinkError):
-        table.write(spark.range(1), partition_by=["id"])
-    table.optimize(["id"])
-    assert table.vacuum(0) == [0, 1, 2] and table.read().count() == 3 and len(list((tmp_path / "t" / "data").iterdir())) == 1
+            bad()
+    T.replace(T.deleted(T.updated(spark.read.parquet(path), {"score": "score + 1"}, "name = 'Ann'"), "score > 85"), path)
+    assert rows(spark.read.parquet(path).select("customer_id", "score")) == [("c1", 81), ("c2", 75), ("c3", 60)]
+
+
+def test_replacing_partitions_and_compacting(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.createDataFrame([(1, "a"), (2, "b")], "id int, k string").write.partitionBy("k").parquet(path)
+    before = {f: f.stat().st_mtime_ns for f in tmp_path.rglob("k=b/*.parquet")}
+    T.replace(spark.read.parquet(path).where("k = 'a'").selectExpr("id + 10 as id", "k"), path, ["k"])
+    assert before == {f: f.stat().st_mtime_ns for f in tmp_path.rglob("k=b/*.parquet")}
+    assert rows(spark.read.parquet(path), "id") == [(2, "b"), (11, "a")]
+    spark.range(5000).repartition(9).write.parquet(str(tmp_path / "many"))
+    assert T.compact(spark, str(tmp_path / "many"), str(tmp_path / "few"), ["id"], 20_000) == len(list((tmp_path / "few").glob("*.parquet"))) < 9
+    assert spark.read.parquet(str(tmp_path / "few")).count() == 5000
 
 
 def test_jdbc(spark):
@@ -276,7 +237,7 @@ def test_sales_jobs(spark, tmp_path, data):
     assert ingest_orders(db, "orders", str(tmp_path / "bronze")).run(spark, Metrics()).rows == {"orders": 2}
     (tmp_path / "c.csv").write_text("customer_id,email,first_name,last_name,registration_date,is_active,gender,country\n1,a@b.co,A,B,2020-01-01,yes,F,fr\n")
     assert ingest_customers(S.Csv(str(tmp_path / "c.csv"), infer_schema=False), S.ParquetSink(str(tmp_path / "cust"))).run(spark, Metrics()).rows == {"customers": 1}
-    SnapshotTable(spark, str(tmp_path / "silver")).write(enriched(Tables(spark, data)))
+    enriched(Tables(spark, data)).write.parquet(str(tmp_path / "silver"))
     run = gold_job(str(tmp_path / "silver"), str(tmp_path / "gold")).run(spark, Metrics())
     assert set(run.rows) == set(GOLD) and run.rows["best_products"] == 100
 
