@@ -1,8 +1,9 @@
 """Operator 1, document fingerprints by winnowing, with built-in functions only.
 
-A text's units are its words.  Each unit is hashed once, and every run of ``K`` units gets the Karp-Rabin polynomial of
-its hashes; of each window of ``w`` consecutive hashes the least is chosen, the rightmost among equal ones, and the chosen
-hashes keep their positions.  Hash and position are packed in one number whose order is (hash, later position first), so the
+A text's units are its words.  Each unit is hashed once, and every run of ``K`` units gets the cyclic polynomial of its hashes
+(each rotated by a bit for every unit after it, all combined by exclusive or), a rolling hash of 64 bits; of each window of ``w``
+consecutive hashes the least is chosen, by its first 31 bits, the rightmost among equal ones, and the chosen hashes keep their
+positions and all their bits.  The 31 bits and the position are packed in one number whose order is (bits, later position first), so the
 choice is a plain minimum, and the minimum of a window of 1, 2, 4, 8, 16 hashes is made by doubling.  ``w`` is 16 for texts
 of 128 hashes or more and smaller for shorter ones, so that these have some fingerprints too.
 
@@ -17,6 +18,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from silverbrook.llm.storage import partitions
+
 K, LEVELS, SHORT, SHORT_K = 3, 4, 320, 5
 SPACE = r"[\x20\x09-\x0D]+"
 #: Rows of a bucket of neighbours, and bucket heads that may be broadcast (their ids take some 3 MB).
@@ -25,34 +28,34 @@ BUCKET, HEADS = 256, 100_000
 STRETCHES, ACCURACY = 256, 25_600
 
 _LOW = (1 << 32) - 1
-#: Base and modulus of the polynomial hash.
-_BASE, _PRIME = 1_103_515_245, (1 << 31) - 1
-
-
-def _hashed(units: Column) -> Column:
-    return F.transform(units, lambda x: F.pmod(F.xxhash64(x), F.lit(_PRIME)))
 
 
-def _packed(hashes: Column, k: int) -> Column:
-    """(hash of the k-gram, descending position) as one long, for each unit; the last k - 1 grams are shorter."""
+def _grams(hashes: Column, k: int) -> Column:
+    """The hash of the k-gram from each unit on; the last k - 1 are of shorter grams."""
 
     def gram(first: Column, i: Column) -> Column:
         value = first
         for j in range(1, k):
-            value = (value * _BASE + F.coalesce(F.get(hashes, i + j), F.lit(0).cast("long"))) % _PRIME
-        return F.shiftleft(value, 32) + (F.lit(_LOW) - i)
+            turned = F.shiftleft(value, 1).bitwiseOR(F.shiftrightunsigned(value, 63))
+            value = turned.bitwiseXOR(F.coalesce(F.get(hashes, i + j), F.lit(0).cast("long")))
+        return value
 
     return F.transform(hashes, gram)
 
 
+def _packed(grams: Column) -> Column:
+    """(the first 31 bits of a hash, descending position) as one long."""
+    return F.transform(grams, lambda v, i: F.shiftleft(F.shiftrightunsigned(v, 33), 32) + (F.lit(_LOW) - i))
+
+
 def _chosen(df: DataFrame, units: str, k: int, out: str) -> DataFrame:
-    """Add the chosen (hash, position) numbers of an array of units; each step is a column of its own, so that none is
-    evaluated more than once."""
+    """Add the chosen hashes with their positions; each step is a column of its own, so that none is evaluated more than once."""
     n = F.size(units)
-    grams = f"{out}_0"
-    df = df.withColumn(f"{out}_hash", _hashed(F.col(units)))
-    df = df.withColumn(f"{out}_all", _packed(F.col(f"{out}_hash"), k))
-    df = df.withColumn(grams, F.when(n >= k, F.slice(f"{out}_all", F.lit(1), n - (k - 1))).otherwise(F.slice(f"{out}_all", 1, 1)))
+    grams, full = f"{out}_0", f"{out}_all"
+    df = df.withColumn(f"{out}_hash", F.transform(units, lambda x: F.xxhash64(x)))
+    df = df.withColumn(full, _grams(F.col(f"{out}_hash"), k))
+    df = df.withColumn(full, F.when(n >= k, F.slice(full, F.lit(1), n - (k - 1))).otherwise(F.slice(full, 1, 1)))
+    df = df.withColumn(grams, _packed(F.col(full)))
     now = grams
     for level in range(1, LEVELS + 1):
         half, name = 1 << (level - 1), f"{out}_{level}"
@@ -60,11 +63,13 @@ def _chosen(df: DataFrame, units: str, k: int, out: str) -> DataFrame:
         both = F.zip_with(F.slice(now, F.lit(1), rest), F.slice(now, F.lit(half + 1), rest), lambda x, y: F.least(x, y))
         df = df.withColumn(name, F.when(F.size(grams) >= 8 << level, both).otherwise(F.col(now)))
         now = name
-    return df.withColumn(out, F.array_distinct(now)).drop(f"{out}_hash", f"{out}_all", *[f"{out}_{i}" for i in range(LEVELS + 1)])
+    place = lambda x: F.lit(_LOW) - x.bitwiseAND(F.lit(_LOW))
+    taken = F.transform(F.array_distinct(now), lambda x: F.struct(F.get(F.col(full), place(x).cast("int")).alias("hash"), place(x).alias("at")))
+    return df.withColumn(out, taken).drop(f"{out}_hash", full, *[f"{out}_{i}" for i in range(LEVELS + 1)])
 
 
 def with_fingerprint(df: DataFrame, text: str = "text", prefix: str = "") -> DataFrame:
-    """Add ``{prefix}words`` and ``{prefix}chars``: arrays of packed (hash, position) numbers.
+    """Add ``{prefix}words`` and ``{prefix}chars``: arrays of (hash, at), the hashes that are chosen and their positions.
 
     A null text counts as empty.  A text without words has two empty arrays; ``{prefix}chars`` is null for texts longer
     than ``SHORT``.  A text of fewer than ``K`` words has one gram.  Columns of these names are overwritten.
@@ -79,7 +84,7 @@ def with_fingerprint(df: DataFrame, text: str = "text", prefix: str = "") -> Dat
 
 
 def _hashes(column: str) -> Column:
-    return F.array_distinct(F.transform(column, lambda x: F.shiftright(x, 32)))
+    return F.array_distinct(F.col(f"{column}.hash"))
 
 
 def likeness(df: DataFrame, a: str, b: str, out: str) -> DataFrame:
@@ -96,7 +101,7 @@ def likeness(df: DataFrame, a: str, b: str, out: str) -> DataFrame:
 
 def shown(prefix: str = "") -> Column:
     """A fingerprint as text: hash:position of what was chosen, of the words and then, after a bar, the characters."""
-    one = lambda x: F.concat(F.hex(F.shiftright(x, 32)), F.lit(":"), (F.lit(_LOW) - x.bitwiseAND(F.lit(_LOW))).cast("string"))
+    one = lambda x: F.concat(F.hex(x["hash"]), F.lit(":"), x["at"].cast("string"))
     return F.concat_ws("|", *[F.concat_ws(" ", F.transform(f"{prefix}{part}", one)) for part in ("words", "chars")])
 
 
@@ -126,23 +131,25 @@ def _bucketed(rows: DataFrame) -> tuple[DataFrame, int]:
     null_bucket = hash_part(F.lit(nulls).cast("long"))
     if not stretches:
         return rows.withColumn("bucket", null_bucket), n
-    column = lambda k, kind: F.array(*[F.lit(s[k]).cast(kind) for s in stretches])
+    # written as text, an array is one constant of the plan
+    listed = lambda values: F.split(F.lit(",".join(str(int(v)) for v in values)), ",").cast("array<long>")
+    column = lambda k: listed([s[k] for s in stretches])
     before, base = [], nulls
     for s in stretches:
         before.append(base)
         base += s[2]
-    rows = rows.withColumn("_s", F.greatest(F.lit(1), F.size(F.filter(column(0, "long"), lambda x: x <= F.col("doc_id")))))
+    rows = rows.withColumn("_s", F.greatest(F.lit(1), F.size(F.filter(column(0), lambda x: x <= F.col("doc_id")))))
     pick = lambda values: F.element_at(values, F.col("_s"))
-    low, high, parts = (pick(column(k, "decimal(38,0)")) for k in (0, 1, 2))
+    low, high, parts = (pick(column(k)).cast("decimal(38,0)") for k in (0, 1, 2))
     even = F.floor((F.col("doc_id").cast("decimal(38,0)") - low) * parts / (high - low + 1)).cast("long")
     even = F.least(F.greatest(even, F.lit(0).cast("long")), parts.cast("long") - 1)
-    inside = F.when(pick(column(3, "boolean")), hash_part(parts.cast("long"))).otherwise(even)
-    bucket = pick(F.array(*[F.lit(b).cast("long") for b in before])) + inside
+    inside = F.when(pick(column(3)) == 1, hash_part(parts.cast("long"))).otherwise(even)
+    bucket = pick(listed(before)) + inside
     return rows.withColumn("bucket", F.when(F.col("doc_id").isNull(), null_bucket).otherwise(bucket)).drop("_s"), n
 
 
 def beside_next(docs: DataFrame) -> DataFrame:
-    """Fingerprint each text and put the next document's text and fingerprint beside it.
+    """Fingerprint each text and put the next document's text and fingerprint beside it.  Runs one job for the quantiles of doc_id.
 
     Next is the document with the next smaller doc_id, after the last the first; rows with one doc_id follow each other
     by a hash of their text, then by text, and null doc_ids come last.  Documents are dealt to buckets (:func:`_bucketed`);
@@ -164,7 +171,8 @@ def beside_next(docs: DataFrame) -> DataFrame:
     # rows of one place are one text
     guests = rows.join(guests, ["place", "bucket"]).dropDuplicates(["place", "bucket"]).select("doc_id", "text", "place", F.col("host").alias("bucket"), F.lit(1).alias("guest"))
     every = rows.select("doc_id", "text", "place", "bucket", F.lit(0).alias("guest")).unionByName(guests)
-    every = with_fingerprint(every)
+    # texts are shuffled without their fingerprints, and these are made in as many tasks as there are shuffle partitions
+    every = with_fingerprint(every.repartition(partitions(docs.sparkSession), "bucket"))
     after = Window.partitionBy("bucket").orderBy("guest", F.col("place").desc(), "text")
     for name in ("text", "words", "chars"):
         every = every.withColumn(f"next_{name}", F.lead(name).over(after))

@@ -75,14 +75,23 @@ def test_fingerprints_of_far_and_repeated_ids(spark):
     assert all(nexts[row] == order[(k + 1) % len(order)][1] for k, row in enumerate(order))
 
 
+def _cyclic(hashes, k):
+    """The cyclic polynomial of each k hashes."""
+    out, mask = [], (1 << 64) - 1
+    for i in range(len(hashes) - k + 1):
+        value = 0
+        for h in hashes[i : i + k]:
+            value = ((value << 1 | value >> 63) & mask) ^ (h & mask)
+        out.append(value)
+    return out
+
+
 def test_winnowing_chooses_rightmost_minimum(spark, rows):
     """Positions and hashes are those of the definition."""
     texts = [x for _, x in rows if len(x) > 400][:20] + ["a b c d " * 40]
     df = spark.createDataFrame([(i, x) for i, x in enumerate(texts)], "id long, text string")
     grams = df.withColumn("u", F.filter(F.split("text", fingerprints.SPACE), lambda x: x != "")).withColumn("g", F.transform("u", lambda x: F.xxhash64(x)))
-    base, prime = 1_103_515_245, (1 << 31) - 1
-    known = {r.id: [(a * base**2 + b * base + c) % prime for a, b, c in zip(r.g, r.g[1:], r.g[2:])] for r in grams.collect()}
-    low = (1 << 32) - 1
+    known = {r.id: _cyclic(r.g, 3) for r in grams.collect()}
     for r in fingerprints.with_fingerprint(df).collect():
         g = known[r.id]
         w = 1
@@ -90,10 +99,45 @@ def test_winnowing_chooses_rightmost_minimum(spark, rows):
             w *= 2
         expected = []
         for i in range(len(g) - w + 1):
-            best = min(range(i, i + w), key=lambda j: (g[j], -j))
+            best = min(range(i, i + w), key=lambda j: (g[j] >> 33, -j))
             if (g[best], best) not in expected:
                 expected.append((g[best], best))
-        assert [(x >> 32, low - (x & low)) for x in r.words] == expected
+        assert [(x.hash & (1 << 64) - 1, x.at) for x in r.words] == expected
+
+
+def test_likeness_of_fingerprints(spark, docs, rows):
+    """Both likenesses and both fingerprints, by value, from hashes of units alone; equal texts have equal fingerprints."""
+    by_id = dict(rows)
+    some = [(i, by_id[i]) for i in sorted(by_id)[:60] + [i for i, _ in ODD]] + [(8000, by_id[3]), (8001, "b a " * 30), (8002, "b a " * 30)]
+    df = spark.createDataFrame(some, "doc_id long, text string")
+    found = {r.doc_id: r for r in fingerprints.compare_edited(df).collect()}
+    order = sorted(dict(some).items(), reverse=True)
+    pairs = {i: (x, order[(k + 1) % len(order)][1]) for k, (i, x) in enumerate(order)}
+    edited = {i: x[: len(x) - len(x) // 3] + y[: len(x) // 3] for i, (x, y) in pairs.items()}
+    units = {u for x in [*edited.values(), *dict(some).values()] for u in [*WORD.findall(x), *(x if len(x) <= fingerprints.SHORT else "")]}
+    hashes = {r.u: r.h for r in spark.createDataFrame([(u,) for u in units], "u string").select("u", F.xxhash64("u").alias("h")).collect()}
+
+    def chosen(parts, k):
+        g = _cyclic([hashes[u] for u in parts] + [0] * max(0, k - len(parts)), k) if parts else []
+        w = 1
+        while w < 16 and len(g) >= 16 * w:
+            w *= 2
+        return [(g[j], j) for j in dict.fromkeys(min(range(i, i + w), key=lambda j: (g[j] >> 33, -j)) for i in range(len(g) - w + 1))]
+
+    def made(x):
+        return chosen(WORD.findall(x), fingerprints.K), chosen(list(x), fingerprints.SHORT_K) if len(x) <= fingerprints.SHORT else None
+
+    def alike(a, b):
+        part = 1 if a[1] is not None and b[1] is not None else 0
+        a, b = ({h for h, _ in y[part]} for y in (a, b))
+        return len(a & b) / len(a | b) if a | b else 1.0
+
+    text = lambda f: "|".join(" ".join(f"{h:X}:{j}" for h, j in part or ()) for part in f)
+    for i, (x, y) in pairs.items():
+        own, new, r = made(x), made(edited[i]), found[i]
+        assert (r.fingerprint, r.edited_fingerprint) == (text(own), text(new))
+        assert r.near_edited == pytest.approx(alike(own, new)) and r.near_next == pytest.approx(alike(own, made(y)))
+    assert found[8001].fingerprint == found[8002].fingerprint and found[8000].fingerprint == found[3].fingerprint
 
 
 # 2
