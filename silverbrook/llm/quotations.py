@@ -5,8 +5,8 @@ passage.  Units that can be quoted are the lines, the sentences of passages and
 lie elsewhere in a quotation than in its origin.  Every unit is normalised (markers, case, white space at word bounds and
 punctuation go) and hashed.  Units that some message says itself are reduced to one origin a hash and conversation and
 one a hash, so a line that everyone says costs one row; quoted units join those, and the rows of a line that everyone
-quotes are dealt to parts where those aren't few enough to be broadcast.  Short lines link within their own
-conversation only, and only if one earlier message there says them.
+quotes are dealt to parts where those aren't few enough to be broadcast.  Short lines link only where there is no doubt: if one
+earlier message of their own conversation says them, or else one message in all.
 A message replies to the message that holds most of its shallowest linked quotations; links lead backwards only.
 Conversations that quote each other form one thread.
 """
@@ -23,10 +23,13 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from silverbrook.llm import wordarrays as wa
 from silverbrook.llm.components import components
-from silverbrook.llm.storage import attach, cut, delete, written
+from silverbrook.llm.storage import attach, cut, delete, partitions, written
+from silverbrook.operators.running import running
 
-#: Letters and digits that a unit must have to be an origin or a quotation of one in any conversation.
+#: Letters and digits that a unit must have to be linked where several messages say it; sentences and passages have them at least.
 LEAST = 12
+# How a line that announces a quotation ends, in some languages of mail.
+ATTRIBUTION = r"(?i)(?:^|[\s,>)])(?:wrote|writes|said|says|schrieb|schreibt|sagte|a écrit|écrit|a dit|escribió|ha scritto|schreef)(?:\s[^:]{0,80})?:[\x20\x09]*$"
 _SENTENCE = re.compile(r".+?(?:[.!?…]+(?=\s)|[。！？]+|\Z)", re.S)
 _OTHER = re.compile(r"[\W_]+")
 _LINE = re.compile(r"\r\n|\r|\n")
@@ -97,16 +100,22 @@ def split_units(messages: DataFrame, quoted: bool) -> DataFrame:
 
 
 def unquoted(text: Column) -> Column:
-    """A message without its quoted lines and without blank lines at its ends."""
+    """A message without its quoted lines, the lines that announce them ("Ann wrote:", right before a quotation or with a blank line
+    between) and blank lines at its ends."""
     lines = F.split(F.coalesce(text.cast("string"), F.lit("")), r"\r\n|\r|\n")
-    return F.regexp_replace(F.array_join(F.filter(lines, lambda x: ~x.rlike(_MARKS)), "\n"), r"^\s+|\s+$", "")
+    quoted = lambda i: F.coalesce(F.get(lines, i).rlike(_MARKS), F.lit(False))
+    blank = lambda i: F.coalesce(F.get(lines, i).rlike(r"^\s*$"), F.lit(False))
+    announced = lambda x, i: x.rlike(ATTRIBUTION) & (quoted(i + 1) | blank(i + 1) & quoted(i + 2))
+    own = F.array_join(F.filter(lines, lambda x, i: ~x.rlike(_MARKS) & ~announced(x, i)), "\n")
+    plain = F.when(F.contains(text.cast("string"), F.lit(">")), own).otherwise(F.coalesce(text.cast("string"), F.lit("")))
+    return F.regexp_replace(F.regexp_replace(plain, r"\r\n|\r", "\n"), r"^\s+|\s+$", "")
 
 
 def link_quotations(messages: DataFrame) -> DataFrame:
-    """``conv_id, turn, line_no, level, hash, to_conv, to_turn``: a row per quoted line that is long enough or
-    linked, with the message that says it, or else its passage, or else a sentence that it is part of: the latest earlier
-    one of the same conversation, else the first in the order of (conv_id, turn) if it comes before; null where no message
-    does.  ``hash`` is null for short lines."""
+    """``conv_id, turn, line_no, level, hash, to_conv, to_turn``: a row per quoted line with a letter or digit, with the message that says it,
+    or else its passage, or else a sentence that it is part of: the latest earlier one of the same conversation, else the first in
+    the order of (conv_id, turn) if it comes before; null where no message does.  A line of fewer than ``LEAST`` letters and digits needs an
+    only earlier one in its conversation, or an only one in all."""
     known = messages.where("conv_id is not null and turn is not null")
     quoted = cut(split_units(known, True).distinct(), "quoted")
     sought = quoted.select("hash").distinct().withColumn("sought", F.lit(True))
@@ -120,15 +129,16 @@ def link_quotations(messages: DataFrame) -> DataFrame:
     before = Window.partitionBy("conv_id", "hash").orderBy("turn", F.desc("asks")).rowsBetween(Window.unboundedPreceding, -1)
     earlier = F.when(F.col("asks") == 0, F.col("turn"))
     near = events.withColumn("near_turn", F.max(earlier).over(before)).withColumn("first_turn", F.min(earlier).over(before)).where("asks = 1").drop("asks")
-    far = said.where("not short").groupBy("hash").agg(F.min(F.struct("conv_id", "turn")).alias("first"))
+    place = F.struct("conv_id", "turn")
+    far = said.groupBy("hash").agg(F.min(place).alias("first"), F.max(place).alias("last"), F.max("short").alias("brief")).where("not brief or first = last").select("hash", "first")
     found = attach(quoted.join(near, ["conv_id", "turn", "hash"], "left"), far, "hash", bytes_, tie)
     usable = (F.col("first.conv_id") < F.col("conv_id")) | ((F.col("first.conv_id") == F.col("conv_id")) & (F.col("first.turn") < F.col("turn")))
     own = F.col("near_turn").isNotNull() & (~F.col("short") | (F.col("near_turn") == F.col("first_turn")))
-    to_conv = F.when(own, F.col("conv_id")).when(~F.col("short") & usable, F.col("first.conv_id"))
-    to_turn = F.when(own, F.col("near_turn")).when(~F.col("short") & usable, F.col("first.turn"))
+    to_conv = F.when(own, F.col("conv_id")).when(usable, F.col("first.conv_id"))
+    to_turn = F.when(own, F.col("near_turn")).when(usable, F.col("first.turn"))
     units = found.withColumn("to", F.when(to_conv.isNotNull(), F.struct("kind", F.col("line_no").alias("from"), to_conv.alias("conv"), to_turn.alias("turn"))))
     # each line of a unit, with its own link before that of its passage, and that before a sentence's
-    lines = units.select("conv_id", "turn", "tag", "level", F.when((F.col("kind") == 0) & ~F.col("short"), F.col("hash")).alias("hash"), "to", F.explode(F.sequence("line_no", "last_line")).alias("line_no"))
+    lines = units.select("conv_id", "turn", "tag", "level", F.when(F.col("kind") == 0, F.col("hash")).alias("hash"), "to", F.explode(F.sequence("line_no", "last_line")).alias("line_no"))
     lines = lines.groupBy("conv_id", "turn", "tag", "line_no").agg(F.max("level").alias("level"), F.max("hash").alias("hash"), F.min("to").alias("to"))
     return lines.where("hash is not null or to is not null").select("conv_id", "turn", "line_no", "level", "hash", F.col("to.conv").alias("to_conv"), F.col("to.turn").alias("to_turn"))
 
@@ -153,8 +163,8 @@ def reply_conversations(messages: DataFrame) -> DataFrame:
     """The messages (conv_id, turn, role, text; other columns are ignored) as threads without quotations.
 
     One row per message: ``conv_id, turn, role, body, n_quoted, n_linked, parent_conv, parent_turn, depth, thread_id``.
-    ``n_quoted`` counts quoted lines of ``LEAST`` letters and digits or more, and shorter ones that are linked.  A thread in
-    reply order is its rows sorted by (thread_id, conv_id, turn): a message follows what it replies to.  Of messages with
+    ``n_quoted`` counts quoted lines with a letter or digit, linked or not.  A thread in reply order is its rows sorted by (thread_id,
+    conv_id, turn): a message follows what it replies to.  :func:`write_conversations` writes them so.  Of messages with
     equal votes the last in the order of (conv_id, turn) is the parent.  ``conv_id`` and ``turn`` are of any types that have
     an order.  A null text is empty.  Messages with a null conv_id or turn keep their row but link to nothing; a repeated
     (conv_id, turn) is one message whose rows all get its links.  An empty table gives no rows.  A task needs memory for
@@ -183,3 +193,13 @@ def reply_conversations(messages: DataFrame) -> DataFrame:
         F.coalesce("depth", zero).alias("depth"),
         F.coalesce("joined", "conv_id").alias("thread_id"),
     )
+
+
+def write_conversations(messages: DataFrame, path: str, files: int | None = None) -> None:
+    """Write the threads of ``messages`` as Parquet in reply order: each thread stands in one piece, with ``position`` from 1 in
+    it, a message after those it may reply to.  Files are ranges of (thread, conversation, turn), so a thread of any length is
+    neither gathered nor sorted in one task; it only may begin in one file and end in a later one."""
+    rows = reply_conversations(messages)
+    placed = rows.transform(running(["thread_id"], ["conv_id", "turn", "role", "body"], number="position"))
+    order = ["thread_id", "conv_id", "turn", "position"]
+    placed.repartitionByRange(files or partitions(messages.sparkSession), *order).sortWithinPartitions(*order).write.parquet(path)

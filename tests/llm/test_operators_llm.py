@@ -330,7 +330,7 @@ def test_quotations(spark):
     assert (out[1, 1].parent_conv, out[1, 1].parent_turn, out[1, 1].depth, out[1, 1].body) == (1, 0, 1, "Use an external sort.")
     assert (out[1, 2].parent_turn, out[1, 2].depth, out[1, 2].n_quoted, out[1, 2].n_linked) == (1, 2, 2, 2)
     assert (out[2, 0].parent_conv, out[2, 0].parent_turn, out[2, 0].thread_id) == (1, 0, 1)
-    assert out[2, 1].body == "" and out[3, 0].n_linked == 0 and out[3, 0].n_quoted == 1 and out[3, 0].thread_id == 3
+    assert out[2, 1].body == "" and out[3, 0].n_linked == 0 and out[3, 0].n_quoted == 2 and out[3, 0].thread_id == 3
     assert out[None, 0].parent_conv is None
     assert quotations.reply_conversations(df.limit(0)).count() == 0
 
@@ -362,6 +362,40 @@ def test_wrapped_and_short_quotations(spark):
     assert out[3, 1] == (3, 0, 1) and out[5, 0] == (4, 0, 1) and out[6, 2] == (None, None, 0)
 
 
+def test_short_quotations_link_where_one_message_says_them(spark):
+    messages = [(1, 0, "short one\nsaid once"), (1, 1, "both say"), (2, 0, "both say"), (3, 0, "> short one\n> both say\n> ---\n> unheard\nmine")]
+    df = spark.createDataFrame([(c, t, "user", x) for c, t, x in messages], "conv_id long, turn long, role string, text string")
+    out = {(r.conv_id, r.turn): r for r in quotations.reply_conversations(df).collect()}
+    assert (out[3, 0].parent_conv, out[3, 0].parent_turn, out[3, 0].n_quoted, out[3, 0].n_linked, out[3, 0].thread_id) == (1, 0, 3, 1, 1)
+
+
+def test_lines_that_announce_quotations_go(spark):
+    texts = {
+        "On Monday Ann wrote:\n> hello there\nHi Ann": "Hi Ann",
+        "Hi\n\nAm 3. Mai schrieb Bob <b@x.de>:\n\n> hallo": "Hi",
+        "Bob said:\nnothing of note\n> other": "Bob said:\nnothing of note",
+        "They wrote:\nno quotation here": "They wrote:\nno quotation here",
+        "Le 3 mai, Zoé a écrit :\r\n> oui\r\nnon\rpeut-être": "non\npeut-être",
+        "a > b\nwrites:": "a > b\nwrites:",
+    }
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(texts)], "i long, text string")
+    assert [r.b for r in df.select("i", quotations.unquoted(F.col("text")).alias("b")).orderBy("i").collect()] == list(texts.values())
+
+
+def test_conversations_are_written_in_reply_order(spark, tmp_path):
+    rows = [(c, t, "user", f"say {c} {t} in so many words" if not t else f"> say {c % 3} 0 in so many words\nanswer {t}") for c in range(9) for t in range(1 + c % 4)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(3)
+    quotations.write_conversations(df, str(tmp_path / "threads"), 3)
+    found = spark.read.parquet(str(tmp_path / "threads"))
+    threads = defaultdict(list)
+    for path in sorted((tmp_path / "threads").glob("*.parquet")):
+        for r in spark.read.parquet(str(path)).collect():
+            threads[r.thread_id].append((r.position, r.conv_id, r.turn))
+    assert found.count() == len(rows) and set(threads) == {0, 1, 2, 4, 8}
+    for seen in threads.values():
+        assert [p for p, *_ in seen] == list(range(1, len(seen) + 1)) and [x[1:] for x in seen] == sorted(x[1:] for x in seen)
+
+
 def _brute_threads(messages):
     """What reply_conversations says of each (conv, turn), with plain loops."""
     said, quoted = set(), set()
@@ -372,16 +406,16 @@ def _brute_threads(messages):
     lines = defaultdict(lambda: [0, None, None])
     for c, t, x, first, last, level, kind, key, short in quoted:
         earlier = sorted(u for d, u, k, _ in said if d == c and k == key and u < t)
-        anywhere = sorted((d, u) for d, u, k, s in said if k == key and not s)
+        anywhere = sorted((d, u) for d, u, k, _ in said if k == key)
         to = None
         if earlier and (not short or len(set(earlier)) == 1):
             to = (c, earlier[-1])
-        elif not short and anywhere and anywhere[0] < (c, t):
+        elif anywhere and anywhere[0] < (c, t) and (not short or len(anywhere) == 1):
             to = anywhere[0]
         for n in range(first, last + 1):
             row = lines[c, t, x, n]
             row[0] = max(row[0], level)
-            row[1] = max(row[1] or "", key) if kind == 0 and not short else row[1]
+            row[1] = max(row[1] or "", key) if kind == 0 else row[1]
             if to:
                 row[2] = min(row[2] or (9,), (kind, first, to))
     shown = defaultdict(lambda: (set(), set(), Counter()))
