@@ -8,7 +8,9 @@ A text's set holds the hashes of its distinct word n-grams.  The steps:
    keys that a pair exactly at the threshold shares none with a probability under 1e-10; this is the only step that
    isn't exact.
 3. A family is cut into size bands, whose sizes differ by the threshold at most, and bands into tiles of bounded bytes.
-   Only tiles of the same or of neighbouring bands can hold links; each such pair of tiles is one group.
+   Only tiles of the same or of neighbouring bands can hold links; each such pair of tiles is one group.  A text would be copied
+   to every tile near it; where that is more than it has keys, as in a family of texts that are only alike in a chain, the lists of
+   texts that share a key are the tiles instead, if that makes fewer copies.
 4. In a group, every text has a parity bitmap of its hashed n-grams.  The bits in which two bitmaps differ bound the
    symmetric difference from below and so the overlap from above; pairs that may still link are compared exactly as
    sorted arrays.  Pairs already linked through others are skipped, which loses no component.
@@ -162,6 +164,59 @@ def _verify(percent: int):
     return run
 
 
+def _name(*parts):
+    return F.concat_ws("/", *[p.cast("string") for p in parts])
+
+
+def _spread(tiles, name):
+    """A name for each of so many tiles."""
+    return F.when(tiles > 0, F.transform(F.sequence(F.lit(0).cast("long"), tiles - 1), name)).otherwise(F.array().cast("array<string>"))
+
+
+def _tiles_for(texts, grams):
+    """How many tiles hold so many texts and n-grams."""
+    return F.greatest(F.ceil(texts / F.lit(TILE_TEXTS)), F.ceil(grams / F.lit(TILE_GRAMS)))
+
+
+def placed_tiles(nodes: DataFrame, family: DataFrame, count: int, percent: int) -> DataFrame:
+    """``doc_id, tiles``: the tiles to which each text goes, for ``nodes`` (rep, n, keys) with their ``family``."""
+    step = math.log(100 / percent) if percent < 100 else 1e-9
+    live = cut(
+        nodes.select("rep", "n").join(family, "rep").withColumn("band", F.floor(F.log(F.col("n").cast("double")) / F.lit(step) + F.lit(1e-9)).cast("long")),
+        "families",
+    )
+    whole = live.groupBy("family").agg(F.count(F.lit(1)).alias("all_n"), F.sum("n").alias("all_grams"))
+    per_band = live.groupBy("family", "band").agg(F.count(F.lit(1)).alias("here_n"), _tiles_for(F.count(F.lit(1)), F.sum("n")).alias("tiles_here"))
+    neighbours = (
+        per_band.join(per_band.select("family", (F.col("band") - 1).alias("band"), F.col("tiles_here").alias("tiles_up")), ["family", "band"], "left")
+        .join(per_band.select("family", (F.col("band") + 1).alias("band"), F.col("tiles_here").alias("tiles_down")), ["family", "band"], "left")
+        .na.fill(0, ["tiles_up", "tiles_down"])
+        .join(whole, "family")
+    )
+    small = (F.col("all_n") <= TILE_TEXTS) & (F.col("all_grams") <= TILE_GRAMS)
+    here = F.col("family"), F.col("band")
+    tiles = F.when(small, F.array(_name(F.col("family")))).otherwise(
+        F.concat(
+            _spread(F.col("tiles_here"), lambda t: _name(*here, F.col("band"), F.least(t, F.col("salt")), F.greatest(t, F.col("salt")))),
+            _spread(F.col("tiles_up"), lambda t: _name(*here, F.col("band") + 1, F.col("salt"), t)),
+            _spread(F.col("tiles_down"), lambda t: _name(F.col("family"), F.col("band") - 1, F.col("band"), t, F.col("salt"))),
+        )
+    )
+    placed = live.join(neighbours, ["family", "band"]).withColumn("salt", F.pmod(F.xxhash64("rep"), F.col("tiles_here")))
+    copies = F.sum(F.col("here_n") * (F.col("tiles_here") + F.col("tiles_up") + F.col("tiles_down")))
+    wide = cut(neighbours.where(~small).groupBy("family").agg(copies.alias("copies"), F.first("all_n").alias("all_n")).where(F.col("copies") > F.lit(count) * F.col("all_n")), "wide")
+    if wide.isEmpty():
+        return placed.select(F.col("rep").alias("doc_id"), tiles.alias("tiles"))
+    posts = nodes.select("rep", "n", "keys").join(live.select("rep", "family"), "rep").join(wide.select("family"), "family").select("family", "rep", "n", F.explode("keys").alias("key"))
+    lists = posts.groupBy("family", "key").agg(F.count(F.lit(1)).alias("list_n"), _tiles_for(F.count(F.lit(1)), F.sum("n")).alias("parts")).where("list_n > 1")
+    cheap = lists.groupBy("family").agg(F.sum(F.col("list_n") * F.col("parts")).alias("key_copies")).join(wide, "family").where("key_copies < copies").select("family")
+    chosen = posts.join(cheap, "family", "left_semi").join(lists, ["family", "key"]).withColumn("salt", F.pmod(F.xxhash64("rep"), F.col("parts")))
+    names = _spread(F.col("parts"), lambda t: _name(F.lit("key"), F.col("family"), F.col("key"), F.least(t, F.col("salt")), F.greatest(t, F.col("salt"))))
+    by_key = chosen.select("rep", names.alias("tiles")).groupBy("rep").agg(F.flatten(F.collect_list("tiles")).alias("tiles"))
+    by_band = placed.join(cheap, "family", "left_anti").select("rep", tiles.alias("tiles"))
+    return by_band.unionByName(by_key).withColumnRenamed("rep", "doc_id")
+
+
 def jaccard_links(docs: DataFrame, n: int = 4, percent: int = 85) -> tuple[DataFrame, DataFrame]:
     """``(links, members)`` of the Jaccard self-join.
 
@@ -171,7 +226,8 @@ def jaccard_links(docs: DataFrame, n: int = 4, percent: int = 85) -> tuple[DataF
     Null and empty texts and texts without words have an empty set and ``rep`` = their own doc_id.  A row with a null
     doc_id is a member whose ``rep`` is null, without links.  Rows repeated with one doc_id count as one document if their
     sets are equal.  An empty table gives empty results.  A task needs memory for a few copies of the largest single text.
-    For all links, or without the probability of a miss, see :mod:`silverbrook.llm.exact_join`.
+    For all links, or without the probability of a miss, see :mod:`silverbrook.llm.exact_join`.  Runs jobs while it is built: keys,
+    families and tiles are written as tables.
     """
     count = bands(percent / 100)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -182,33 +238,7 @@ def jaccard_links(docs: DataFrame, n: int = 4, percent: int = 85) -> tuple[DataF
     heads = posts.groupBy("key").agg(F.min("rep").alias("head"), F.max("rep").alias("tail")).where("head < tail").select("key", "head")
     family = components(posts.join(heads, "key").select("rep", "head"), "rep", "head").withColumnsRenamed({"id": "rep", "component": "family"})
 
-    step = math.log(100 / percent) if percent < 100 else 1e-9
-    live = cut(
-        nodes.select("rep", "n").join(family, "rep").withColumn("band", F.floor(F.log(F.col("n").cast("double")) / F.lit(step) + F.lit(1e-9)).cast("long")),
-        "families",
-    )
-    whole = live.groupBy("family").agg(F.count(F.lit(1)).alias("all_n"), F.sum("n").alias("all_grams"))
-    per_band = live.groupBy("family", "band").agg(
-        F.greatest(F.ceil(F.count(F.lit(1)) / F.lit(TILE_TEXTS)), F.ceil(F.sum("n") / F.lit(TILE_GRAMS))).alias("tiles_here")
-    )
-    neighbours = (
-        per_band.join(per_band.select("family", (F.col("band") - 1).alias("band"), F.col("tiles_here").alias("tiles_up")), ["family", "band"], "left")
-        .join(per_band.select("family", (F.col("band") + 1).alias("band"), F.col("tiles_here").alias("tiles_down")), ["family", "band"], "left")
-        .na.fill(0, ["tiles_up", "tiles_down"])
-        .join(whole, "family")
-    )
-    small = (F.col("all_n") <= TILE_TEXTS) & (F.col("all_grams") <= TILE_GRAMS)
-    salt = F.pmod(F.xxhash64("rep"), F.col("tiles_here"))
-    spread = lambda tiles, key: F.when(F.col(tiles) > 0, F.transform(F.sequence(F.lit(0).cast("long"), F.col(tiles) - 1), key)).otherwise(F.array().cast("array<string>"))
-    name = lambda *parts: F.concat_ws("/", *[p.cast("string") for p in parts])
-    tiles = F.when(small, F.array(name(F.col("family")))).otherwise(
-        F.concat(
-            spread("tiles_here", lambda t: name(F.col("family"), F.col("band"), F.col("band"), F.least(t, F.col("salt")), F.greatest(t, F.col("salt")))),
-            spread("tiles_up", lambda t: name(F.col("family"), F.col("band"), F.col("band") + 1, F.col("salt"), t)),
-            spread("tiles_down", lambda t: name(F.col("family"), F.col("band") - 1, F.col("band"), t, F.col("salt"))),
-        )
-    )
-    placed = live.join(neighbours, ["family", "band"]).withColumn("salt", salt).select(F.col("rep").alias("doc_id"), tiles.alias("tiles"))
+    placed = placed_tiles(nodes, family, count, percent)
     texts = rows.where("doc_id is not null").join(placed.hint("shuffle_hash"), "doc_id").select("doc_id", "text", "tiles")
     sets = texts.mapInArrow(_arrays(n), "doc_id long, tiles array<string>, grams binary").select("doc_id", "grams", F.explode("tiles").alias("tile"))
     links = sets.groupBy("tile").applyInPandas(_verify(percent), "a long, b long").where("a <> b")

@@ -508,6 +508,23 @@ def _classes(rows, n, percent):
     return {i: (len(sets[i]), find(i)) for i in sets}
 
 
+def test_a_chained_family_is_copied_by_its_keys(spark, monkeypatch):
+    """Texts that are alike in a chain: the tiles of a text are no more than its keys, however long the chain is."""
+    monkeypatch.setattr(jaccard_join, "TILE_TEXTS", 4)
+    rng = random.Random(7)
+    words = ["".join(rng.choice("abcdeghilmnoprst") for _ in range(6)) for _ in range(900)]
+    rows = [(i, " ".join(words[i * 3 : i * 3 + 60])) for i in range(280)] + [(1000 + i, " ".join(words[i : i + 3])) for i in range(5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    seen = []
+    whole = jaccard_join.placed_tiles
+    monkeypatch.setattr(jaccard_join, "placed_tiles", lambda *a: seen.append(whole(*a)) or seen[-1])
+    found = {r.doc_id: r.component_id for r in jaccard_join.jaccard_classes(docs, 4, 85).collect()}
+    assert found == {i: c for i, (_, c) in _classes(rows, 4, 85).items()} and found[279] == 0
+    sizes = [r.n for r in seen[0].select(F.size("tiles").alias("n")).collect()]
+    assert len(sizes) == 280 and max(sizes) <= 2 * jaccard_join.bands(0.85) < 280 / 4
+    assert "key/" in seen[0].first().tiles[0]
+
+
 @pytest.mark.parametrize(("n", "percent"), [(4, 85), (5, 80), (2, 60)])
 def test_jaccard_classes(docs, rows, n, percent, monkeypatch):
     expected = _classes(rows, n, percent)
