@@ -150,7 +150,7 @@ ENTRIES: dict[str, Entry] = {
     "J8_left_using": (lambda t: J.left_join(t.orders, _moved(t).withColumnRenamed("c_custkey", "o_custkey"), ["o_custkey"]).select("o_orderkey", "c_acctbal"), f"SELECT o_orderkey, c_acctbal FROM orders LEFT JOIN {_MOVED} ON o_custkey = c_custkey"),
     "J9_lookup_same_key": (lambda t: t.orders.withColumnRenamed("o_custkey", "c_custkey").transform(J.lookup(t.customer, "c_custkey", columns=["c_name"])).select("o_orderkey", "c_name"), "SELECT o_orderkey, c_name FROM orders LEFT JOIN customer ON o_custkey = c_custkey"),
     "J10_anti": (lambda t: J.anti_join(t.customer, t.orders.select(F.col("o_custkey").alias("c_custkey")), "c_custkey"), "SELECT * FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)"),
-    "J11_semi": (lambda t: J.semi_join(t.customer, t.orders.where("o_totalprice > 200000").select(F.col("o_custkey").alias("c_custkey")), "c_custkey"), "SELECT * FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders WHERE o_totalprice > 200000)"),
+    "J11_semi": (lambda t: J.semi_join(_moved(t), t.orders.select(F.col("o_custkey").alias("c_custkey")), "c_custkey"), f"SELECT c_custkey, c_acctbal FROM {_MOVED} WHERE c_custkey IN (SELECT o_custkey FROM orders)"),
     # aggregation
     "A1_sum": (_agg("sum"), _agg_sql("sum(l_quantity)")),
     "A1_count": (_agg("count"), _agg_sql("count(l_quantity)")),
