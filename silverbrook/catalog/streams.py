@@ -149,6 +149,28 @@ a AS (SELECT *, least(3, quarter + CASE WHEN event_id % 20 = 7 THEN 1 WHEN event
 marks AS (SELECT arrival, (SELECT max(date_trunc('millisecond', ts)) FROM a WHERE a.arrival < b.arrival) - INTERVAL 3 DAY AS mark FROM (SELECT DISTINCT arrival FROM a) b)
 """
 
+#: Events of each user in turn; a row holds the attempt that is open after one, and those that it has ended.
+_FUNNEL_SQL = """
+WITH RECURSIVE e AS (SELECT CAST(user_id AS VARCHAR) AS key, epoch_us(ts) // 1000 AS ms, event_type AS step, row_number() OVER (PARTITION BY user_id ORDER BY epoch_us(ts) // 1000, event_type) AS k FROM events WHERE user_id IS NOT NULL),
+f AS (
+  SELECT DISTINCT key, CAST(0 AS BIGINT) AS k, CAST(NULL AS BIGINT) AS began, 0 AS reached, CAST(NULL AS BIGINT) AS ended,
+    CAST(NULL AS BIGINT) AS late_began, 0 AS late_reached, CAST(NULL AS BIGINT) AS late_ended, CAST(NULL AS BIGINT) AS whole_began, CAST(NULL AS BIGINT) AS whole_ended FROM e
+  UNION ALL
+  SELECT key, k, CASE WHEN now = 3 THEN NULL ELSE b END, CASE WHEN now = 3 THEN 0 ELSE now END, latest, late_began, late_reached, late_ended, CASE WHEN now = 3 THEN b END, CASE WHEN now = 3 THEN latest END
+  FROM (
+    SELECT *, CASE WHEN hit THEN coalesce(b0, ms) ELSE b0 END AS b, r0 + CAST(hit AS INTEGER) AS now, CASE WHEN hit THEN ms ELSE ended END AS latest
+    FROM (
+      SELECT *, step = ['view', 'click', 'purchase'][r0 + 1] AS hit
+      FROM (
+        SELECT e.key, e.k, e.ms, e.step, f.ended, CASE WHEN past THEN NULL ELSE f.began END AS b0, CASE WHEN past THEN 0 ELSE f.reached END AS r0,
+          CASE WHEN past THEN f.began END AS late_began, CASE WHEN past THEN f.reached ELSE 0 END AS late_reached, CASE WHEN past THEN f.ended END AS late_ended
+        FROM (SELECT f.*, e.ms > f.began + 86400000 AS past FROM f JOIN e ON e.key = f.key AND e.k = f.k + 1) f JOIN e ON e.key = f.key AND e.k = f.k + 1)))),
+last AS (SELECT * FROM f QUALIFY row_number() OVER (PARTITION BY key ORDER BY k DESC) = 1)
+SELECT key, late_began AS began, late_reached AS reached, late_ended AS ended FROM f WHERE late_began IS NOT NULL
+UNION ALL SELECT key, whole_began, 3, whole_ended FROM f WHERE whole_began IS NOT NULL
+UNION ALL SELECT key, began, reached, ended FROM last WHERE began IS NOT NULL
+"""
+
 ENTRIES: dict[str, Entry] = {
     "stream_windows": (
         _windows(None, "1 day"),
@@ -182,5 +204,5 @@ ENTRIES: dict[str, Entry] = {
     "stream_upsert": (_upsert, _SQL + "SELECT user_id, event_id, event_type, cents FROM e QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1"),
     "stream_daily_sales": (_daily, SALES["G1_daily_sales"][1]),
     "stream_metrics": (_metrics, _SQL + "SELECT CAST(arrival AS INTEGER) AS arrival, count(*) AS rows_in, coalesce(epoch_ms(any_value(mark)), 0) AS watermark_ms FROM a JOIN marks USING (arrival) GROUP BY arrival"),
-    "stream_funnel": (_funnel, None),
+    "stream_funnel": (_funnel, _FUNNEL_SQL),
 }
