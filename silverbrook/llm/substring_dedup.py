@@ -32,6 +32,8 @@ GRAM = 3
 BUCKET_BYTES, SLICE = 3 << 20, 4 << 20
 #: Bytes of common strings and of their occurrences that a task holds back before it sends them.
 HELD_BYTES = 8 << 20
+#: Bytes that are compared at once, each of which takes some 50 bytes of memory meanwhile.
+COMPARED = 1 << 19
 _LOWEST = -(1 << 63)
 
 
@@ -66,15 +68,23 @@ def _flat(start: np.ndarray, size: np.ndarray) -> np.ndarray:
 
 
 def _equal_ranges(data: np.ndarray, a: np.ndarray, b: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """Whether the ranges from a and from b hold the same bytes."""
-    ok = np.ones(len(a), bool)
-    for i in range(0, len(a), 20_000):
-        n = size[i : i + 20_000]
-        same = data[_flat(a[i : i + 20_000], n)] == data[_flat(b[i : i + 20_000], n)]
-        ok[i : i + 20_000] = np.logical_and.reduceat(same, np.cumsum(n) - n) if len(same) else True
+    """Whether the ranges from a and from b hold the same bytes; so many at once as hold ``COMPARED`` bytes, or one."""
+    ok, ends, i = np.ones(len(a), bool), np.cumsum(size), 0
+    while i < len(a):
+        j = max(i + 1, int(np.searchsorted(ends, (ends[i - 1] if i else 0) + COMPARED, "right")))
+        n = size[i:j]
+        same = data[_flat(a[i:j], n)] == data[_flat(b[i:j], n)]
+        ok[i:j] = np.logical_and.reduceat(same, np.cumsum(n) - n) if len(same) else True
+        i = j
     return ok
 
 
+def _gathered(data: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The bytes of the ranges end to end."""
+    whole = memoryview(np.ascontiguousarray(data))
+    return np.frombuffer(b"".join([whole[i : i + n] for i, n in zip(start.tolist(), size.tolist(), strict=True)]), np.uint8)
+
+
 _ZSTD = pa.Codec("zstd", compression_level=5)
 
 
@@ -232,7 +242,7 @@ def repeated_spans(blobs: list[bytes], window: int) -> tuple[np.ndarray, np.ndar
     first = first_of[np.lexsort((start[first_of], tag[first_of], doc[first_of]))]
     string = owner[first]
     n = size[string]
-    data = data[_flat(at[string], n)]
+    data = _gathered(data, at[string], n)
     offsets = np.concatenate([[0], np.cumsum(n)])
     column = pa.Array.from_buffers(pa.large_string(), len(string), [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(data)])
     words = wa.Words(column)

@@ -157,8 +157,9 @@ class Words:
         """(bytes, start, end): the words with one space after each."""
         begins = np.zeros(len(self.data), bool)
         begins[self.start] = True
-        place = np.cumsum(begins, dtype=np.int64)[self.word]  # the words up to each byte of a word
-        place += np.arange(-1, len(place) - 1)
+        kind = np.int32 if len(self.data) + len(self.start) < 1 << 31 else np.int64
+        place = np.cumsum(begins, dtype=kind)[self.word]  # the words up to each byte of a word
+        place += np.arange(-1, len(place) - 1, dtype=kind)
         out = np.full(len(place) + len(self.start), 0x20, np.uint8)
         out[place] = self.data[self.word]
         end = np.cumsum(self.end - self.start + 1) - 1
