@@ -60,7 +60,7 @@ def _database(t: Tables) -> Jdbc:
 
 
 def _jdbc(t: Tables) -> DataFrame:
-    # this database lives in the driver's memory, so the query is for a local master
+    # this database lives in the driver's memory: on a cluster its rows go through the driver
     db = _database(t)
     db.write(t.nation, "nation", "overwrite")
     split = Jdbc(db.url, db.driver, partition_column="N_NATIONKEY", lower_bound=0, upper_bound=25, num_partitions=3)

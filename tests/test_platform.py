@@ -102,6 +102,52 @@ def test_jdbc(spark):
         upsert_sql("t", "s", ["a"], [])
 
 
+def test_database_in_the_driver_of_a_cluster(spark, monkeypatch):
+    """Executors have other processes: no task may touch the database."""
+    import datetime as dt
+    from decimal import Decimal
+
+    monkeypatch.setattr(Jdbc, "_through_driver", lambda self, spark: True)
+    db = Jdbc("jdbc:derby:memory:apart;create=true", "org.apache.derby.iapi.jdbc.AutoloadedDriver", batch_size=2, fetch_size=3)
+    kinds = "id int, Name string, price decimal(9,2), at timestamp, day date, ok boolean, x double"
+    given = [(i, None if i == 3 else f"n'{i}", Decimal("1.25") * i, dt.datetime(2024, 1, i, 3, 4, 5, 678000), dt.date(2024, 2, i), i % 2 == 0, i / 3) for i in range(1, 8)]
+    df = spark.createDataFrame(given, kinds)
+    db.write(df, "things", "overwrite")
+    db.write(df.limit(0), "things")
+    assert rows(db.read(spark, "things"), "id") == given
+    assert rows(db.query(spark, 'SELECT max("price") AS m FROM things')) == [(Decimal("8.75"),)]
+    assert db.query(spark, 'SELECT "id" FROM things WHERE "id" > 90').collect() == []
+    db.write(df, "things", "ignore")
+    assert db.read(spark, "things").count() == 7
+    db.write(df.where("id < 3"), "things", "overwrite", truncate=True)
+    assert db.read(spark, "things").count() == 2
+
+
+def test_jdbc_on_a_cluster(tmp_path, data):
+    """The four queries with executors in processes of their own."""
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    root = Path(__file__).resolve().parents[1]
+    code = f"""
+import sys
+sys.path.insert(0, {str(root)!r})
+from silverbrook import catalog
+from silverbrook.catalog.compare import connect, differences
+from silverbrook.catalog.tables import Tables
+from silverbrook.session import session
+spark = session("cluster", "local-cluster[1,2,1024]", {{"spark.executor.memory": "1g", "spark.ui.enabled": "false", "spark.checkpoint.dir": {str(tmp_path / "shared")!r}}})
+data = {data!r}
+for name in ("K2_ingest_orders", "S11_W14_jdbc", "S12_jdbc_query", "W15_jdbc_upsert"):
+    query, sql = catalog.ENTRIES[name]
+    assert differences(query(Tables(spark, data)), connect(data), sql) == [], name
+spark.stop()
+"""
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, timeout=240)
+    assert done.returncode == 0, done.stderr[-2000:]
+
+
 def test_kafka_records(spark, tmp_path):
     df = spark.createDataFrame([(1, "a"), (2, None)], "id int, s string")
     records = df.transform(shape("id"))
