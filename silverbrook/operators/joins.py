@@ -70,6 +70,10 @@ def join(
 
     A key named in ``on`` comes once; in right and full joins it has the value of whichever side has the row.  Other
     columns of the right side that clash get ``suffix``.
+
+    A full join is a left join and the right side's rows without a match: Spark's own full join holds all the pairs of a key
+    at once before it gives them on, the left one the pairs of a row, and it may be dealt to more tasks.  Both sides are read twice,
+    so they must not change in between.
     """
     kind = join_type(how)
     if kind != "cross" and not on and not conditions:
@@ -78,14 +82,28 @@ def join(
     def run(left: DataFrame) -> DataFrame:
         a, b = left.alias(LEFT), _hinted(right, broadcast).alias(RIGHT)
         tests = [On(c, c).column() for c in on] + [c.column() for c in conditions]
+        if kind == "full_outer":
+            return full(left, b, reduce(and_, tests))
         joined = a.crossJoin(b) if kind == "cross" and not tests else a.join(b, reduce(and_, tests), "inner" if kind == "cross" else kind)
         if kind in ("left_semi", "left_anti"):
             return joined
-        both = kind in ("right_outer", "full_outer")
-        one = lambda side, c: F.col(f"{side}.`{c}`")
+        return joined.select(*columns(left, kind == "right_outer"))
+
+    one = lambda side, c: F.col(f"{side}.`{c}`")
+
+    def columns(left: DataFrame, both: bool) -> list[Column]:
         out = [(F.coalesce(one(LEFT, c), one(RIGHT, c)) if both and c in on else one(LEFT, c)).alias(c) for c in left.columns]
-        out += [one(RIGHT, c).alias(c + suffix if c in left.columns else c) for c in right.columns if c not in on]
-        return joined.select(*out)
+        return out + [one(RIGHT, c).alias(c + suffix if c in left.columns else c) for c in right.columns if c not in on]
+
+    def full(left: DataFrame, b: DataFrame, test: Column) -> DataFrame:
+        # the pairs may be far more than the rows, so these are dealt evenly, however few files they come from
+        dealt = left.repartition(int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))).alias(LEFT)
+        matched = dealt.join(b, test, "left_outer").select(*columns(left, True))
+        compared = left.select(*dict.fromkeys([*on, *[c.left for c in conditions]])).distinct()
+        alone = right.alias(RIGHT).join(compared.alias(LEFT), test, "left_anti")
+        nulls = [(one(RIGHT, c) if c in on else F.lit(None)).alias(c) for c in left.columns]
+        rest = [one(RIGHT, c).alias(c + suffix if c in left.columns else c) for c in right.columns if c not in on]
+        return matched.unionByName(alone.select(*nulls, *rest))
 
     return run
 

@@ -146,6 +146,22 @@ def test_orders_and_customers_jobs(spark):
     assert len(out) == 1 and out[0].email == "b@x.com" and out[0].full_name == "Ann Lee" and out[0].is_active is False and out[0].gender == "M" and out[0].country == "FR"
 
 
+def test_full_join_gives_pairs_on_as_they_come(spark):
+    """Not by Spark's full join, which holds the pairs of a key."""
+    left = spark.createDataFrame([(1, "a", 1), (1, "b", 2), (2, "c", 3), (None, "d", 4)], "k int, v string, w int")
+    right = spark.createDataFrame([(1, "x", 1), (1, "y", 9), (1 << 40, "z", 3), (None, "n", 4)], "k long, v string, u int")
+    for how in ({"on": ["k"]}, {"conditions": [J.On("k", "k")]}, {"on": ["k"], "conditions": [J.On("w", "u", ">=")]}):
+        out = left.transform(J.join(right, "full", **how))
+        a, b = left.alias("a"), right.alias("b")
+        test = (F.col("a.k") == F.col("b.k")) & ((F.col("a.w") >= F.col("b.u")) if len(how) == 2 else F.lit(True))
+        key = F.coalesce("a.k", "b.k") if "on" in how else F.col("a.k")
+        more = [] if "on" in how else [F.col("b.k").alias("k_right")]
+        spark_own = a.join(b, test, "full").select(key.alias("k"), "a.v", "a.w", *more, F.col("b.v").alias("v_right"), "b.u")
+        assert out.columns == spark_own.columns and out.dtypes == spark_own.dtypes
+        assert sorted(map(repr, out.collect())) == sorted(map(repr, spark_own.collect()))
+        assert "FullOuter" not in out._jdf.queryExecution().toString()
+
+
 def test_percentile_at_the_edge_of_a_value(spark):
     """Two rows in 400,000 decide between 45 and 46; a sketch can't tell."""
     n = 400_000
