@@ -175,3 +175,11 @@ def test_percentile_at_the_edge_of_a_value(spark):
     assert sorted(map(tuple, df.transform(A.aggregate(["k"], wanted)).collect()), key=key) == sorted(map(tuple, exact.collect()), key=key)
     big = spark.createDataFrame([((1 << 60) + 1,)] * 3, "v long").transform(A.aggregate([], [A.Agg("v", "median", "m")]))
     assert big.collect()[0].m == (1 << 60) + 1
+
+
+@pytest.mark.parametrize("operator", [gold.product_sales(), gold.top_products(), gold.daily_product_sales()])
+def test_product_days_fill_no_hash_table(operator, spark):
+    """There are nearly as many days of products as lines."""
+    lines = spark.createDataFrame([], "order_date timestamp, order_id long, customer_id long, product_id long, product_name string, product_category string, quantity int, total_amount decimal(12,2), margin_percent decimal(9,2), unit_price decimal(12,2), discount_amount decimal(12,2)")
+    plan = lines.transform(operator)._jdf.queryExecution().sparkPlan().toString()
+    assert "SortAggregate" in plan and "HashAggregate" not in plan
