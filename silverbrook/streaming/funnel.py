@@ -12,53 +12,64 @@ from pyspark.sql.types import StructType
 from silverbrook.plans.pipeline import Operator
 from silverbrook.streaming.events import timed
 
+NOTHING = (None, 0, None)
 _OUT = "key string, began long, reached int, ended long"
 
 
 class _Funnel(StatefulProcessor):
     """An attempt begins with the first step and is over with the last one or ``limit`` milliseconds after its beginning;
-    steps out of turn change nothing.  State is one row a key, and the times of the attempt's steps."""
+    steps out of turn change nothing.  State is one row a key: when the open attempt began, its steps and the latest of their times."""
 
     def __init__(self, steps: Sequence[str], limit: int):
         self.steps, self.limit = list(steps), limit
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.attempt = handle.getValueState("attempt", "began long, reached int")
-        self.times = handle.getListState("times", "at long")
-
-    def _over(self, key: tuple, began: int, reached: int) -> tuple:
-        ended = max(at for (at,) in self.times.get())
-        for timer in list(self.handle.listTimers()):
-            self.handle.deleteTimer(timer)
-        self.attempt.clear()
-        self.times.clear()
-        return (key[0], began, reached, ended)
+        self.attempt = handle.getValueState("attempt", "began long, reached int, last long")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        events = pd.concat(list(rows)).sort_values(["at", "step"])
+        # each use of state or timers asks the JVM, so a key's are read once a batch and written once where they have changed
+        before = self.attempt.get()
+        before = None if before is None else tuple(before)
+        began, reached, last = before or NOTHING
+        events = [e for df in rows for e in zip(df["at"].tolist(), df["step"].tolist(), strict=True)]
         out = []
-        for at, step in zip(events["at"].tolist(), events["step"].tolist(), strict=True):
-            began, reached = self.attempt.get() if self.attempt.exists() else (None, 0)
+        for at, step in sorted(events, key=lambda e: (e[0], e[1] or "")):
             if began is not None and at > began + self.limit:
-                out.append(self._over(key, began, reached))
-                began, reached = None, 0
+                out.append((key[0], began, reached, last))
+                began, reached, last = NOTHING
             if step != self.steps[reached]:
                 continue
-            began, reached = at if began is None else began, reached + 1
-            self.times.appendValue((at,))
-            self.attempt.update((began, reached))
-            if reached == 1:
-                self.handle.registerTimer(began + self.limit + 1)
+            began, reached, last = at if began is None else began, reached + 1, at if last is None else max(last, at)
             if reached == len(self.steps):
-                out.append(self._over(key, began, reached))
-        yield pd.DataFrame(out, columns=["key", "began", "reached", "ended"]).astype({"began": "int64", "reached": "int32", "ended": "int64"})
+                out.append((key[0], began, reached, last))
+                began, reached, last = NOTHING
+        self._keep(before, None if began is None else (began, reached, last))
+        if out:
+            yield self._frame(out)
+
+    def _keep(self, before: tuple | None, after: tuple | None) -> None:
+        if after == before:
+            return
+        old, new = (None if a is None else a[0] + self.limit + 1 for a in (before, after))
+        if old != new:
+            if old is not None:
+                self.handle.deleteTimer(old)
+            if new is not None:
+                self.handle.registerTimer(new)
+        if after is None:
+            self.attempt.clear()
+        else:
+            self.attempt.update(after)
+
+    def _frame(self, out: list[tuple]) -> pd.DataFrame:
+        return pd.DataFrame(out, columns=["key", "began", "reached", "ended"]).astype({"began": "int64", "reached": "int32", "ended": "int64"})
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        if self.attempt.exists():
-            began, reached = self.attempt.get()
-            if expiredTimerInfo.getExpiryTimeInMs() > began + self.limit:
-                yield pd.DataFrame([self._over(key, began, reached)], columns=["key", "began", "reached", "ended"]).astype({"reached": "int32"})
+        found = self.attempt.get()
+        if found is not None and expiredTimerInfo.getExpiryTimeInMs() > found[0] + self.limit:
+            self.attempt.clear()
+            yield self._frame([(key[0], *found)])
 
     def close(self) -> None:
         pass

@@ -139,3 +139,36 @@ def test_metrics_of_a_failed_stream(spark, tmp_path):
     assert metrics.totals() == {("good", "success"): 1, ("bad", "failed"): 1}
     assert metrics.runs[0].rows == {"input": 5} and "broken" in metrics.runs[1].error and not metrics.active
     assert [(b.stream, b.rows) for b in seen.batches] == [("good", 5)]
+
+
+def test_funnel_asks_for_state_once_a_batch():
+    import pandas as pd
+
+    from silverbrook.streaming.funnel import _Funnel
+
+    class State:
+        held, calls = None, 0
+
+        def get(self):
+            self.calls += 1
+            return self.held
+
+        def update(self, value):
+            self.calls, self.held = self.calls + 1, value
+
+    class Handle:
+        def __init__(self):
+            self.state, self.timers = State(), []
+
+        def getValueState(self, name, schema):
+            return self.state
+
+        def registerTimer(self, at):
+            self.timers.append(at)
+
+    handle, steps = Handle(), _Funnel(["a", "b"], 10)
+    steps.init(handle)
+    events = pd.DataFrame({"at": list(range(1000)), "step": ["a", "b"] * 499 + ["x", "a"]})
+    out = pd.concat(list(steps.handleInputRows(("k",), iter([events[500:], events[:500]]), None)))
+    assert len(out) == 499 and out.iloc[0].tolist() == ["k", 0, 2, 1]
+    assert handle.state.held == (999, 1, 999) and handle.timers == [1010] and handle.state.calls == 2
