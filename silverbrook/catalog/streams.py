@@ -18,7 +18,7 @@ from silverbrook.streaming import events as E
 from silverbrook.streaming.funnel import funnel
 from silverbrook.streaming.kafka import start
 from silverbrook.streaming.metrics import StreamMetrics
-from silverbrook.streaming.sinks import UpsertFolder, play
+from silverbrook.streaming.sinks import UpsertFolder, bounded_state, play
 
 QUARTERS = 4
 FUNNEL = ("view", "click", "purchase")
@@ -49,7 +49,8 @@ def _run(t: Tables, arrivals: list[DataFrame], operator, mode: str = "append") -
     def stream(df: DataFrame):
         out = df.transform(operator)
         kept["schema"] = out.schema
-        return start(out.writeStream.format("parquet").option("path", f"{folder}/out"), f"{folder}/state", mode)
+        with bounded_state(t.spark):
+            return start(out.writeStream.format("parquet").option("path", f"{folder}/out"), f"{folder}/state", mode)
 
     play(t.spark, arrivals, f"{folder}/in", stream)
     return t.spark.read.schema(kept["schema"]).parquet(f"{folder}/out")
@@ -117,7 +118,8 @@ def _metrics(t: Tables) -> DataFrame:
 
     def stream(df: DataFrame):
         counts = df.transform(E.windowed("ts", "3 days", "1 day", {"n": F.count(F.lit(1))}))
-        last.append(start(counts.writeStream.queryName(name).format("noop"), f"{folder}/state"))
+        with bounded_state(t.spark):
+            last.append(start(counts.writeStream.queryName(name).format("noop"), f"{folder}/state"))
         return last[-1]
 
     t.spark.streams.addListener(seen)

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
@@ -43,6 +44,20 @@ class UpsertFolder:
         return start(df.writeStream.foreachBatch(self.write), checkpoint, mode, every)
 
 
+@contextmanager
+def bounded_state(spark: SparkSession, a_core: int = 2) -> Iterator[None]:
+    """Streams that are started inside for the first time deal their state over ``a_core`` partitions a core, or over the session's
+    shuffle partitions where those are fewer; a checkpoint keeps its number.  Each batch loads and commits every partition's state in files
+    of its own, whether it has rows or not, so partitions that grow in number with the input cost more than the rows do."""
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(min(int(before), a_core * spark.sparkContext.defaultParallelism)))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def play(spark: SparkSession, arrivals: Sequence[DataFrame], folder: str, stream: Callable[[DataFrame], StreamingQuery]) -> None:
     """Let rows arrive in turn: each of ``arrivals`` is written to a folder and then read by the stream, which is started
     again for it, goes on from its checkpoint and stops when it has read all that is there."""

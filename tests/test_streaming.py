@@ -172,3 +172,18 @@ def test_funnel_asks_for_state_once_a_batch():
     out = pd.concat(list(steps.handleInputRows(("k",), iter([events[500:], events[:500]]), None)))
     assert len(out) == 499 and out.iloc[0].tolist() == ["k", 0, 2, 1]
     assert handle.state.held == (999, 1, 999) and handle.timers == [1010] and handle.state.calls == 2
+
+
+def test_state_partitions_follow_cores(spark, data, tmp_path, monkeypatch):
+    from silverbrook.catalog import streams
+
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    monkeypatch.setattr(streams, "scratch", lambda spark, name: str(tmp_path / name))
+    spark.conf.set(name, "40")
+    try:
+        assert streams.ENTRIES["stream_outer_join"][0](streams.Tables(spark, data)).count() > 0
+        assert spark.conf.get(name) == "40"
+    finally:
+        spark.conf.set(name, before)
+    assert len([p for p in (tmp_path / "stream" / "state" / "state" / "0").iterdir() if p.name.isdigit()]) == 2 * spark.sparkContext.defaultParallelism
