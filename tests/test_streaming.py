@@ -187,3 +187,27 @@ def test_state_partitions_follow_cores(spark, data, tmp_path, monkeypatch):
     finally:
         spark.conf.set(name, before)
     assert len([p for p in (tmp_path / "stream" / "state" / "state" / "0").iterdir() if p.name.isdigit()]) == 2 * spark.sparkContext.defaultParallelism
+
+
+def test_daily_sales_keep_no_state(spark, tmp_path):
+    """Sums of batches add up, a batch that is played again counts once, and nothing but lines is kept; with ``late`` closed days stay as they are."""
+    from datetime import date
+    from decimal import Decimal
+
+    line = lambda i, day, customer: (i, date(2024, 1, day) if day else None, customer, Decimal(10), Decimal(1), Decimal(2), 1, "N", "pending", None, "N")
+    frames = [_lines(spark, x) for x in ([line(1, 1, 7), line(2, None, 7)], [line(3, 1, 7), line(4, 1, None), line(5, 20, 8), line(6, None, 9)], [line(7, 1, 8), line(8, 20, 8)])]
+
+    def found(late):
+        at = tmp_path / str(late)
+        days = DailySalesStream(str(at / "days"), late)
+        play(spark, frames, str(at / "in"), lambda df: days.start(df, str(at / "state")))
+        if not late:
+            days._add(frames[1], 1)
+        return at, {(r.report_date, r.total_orders, r.total_revenue, r.unique_customers) for r in days.read(spark).collect()}
+
+    at, rows = found(None)
+    assert rows == {(date(2024, 1, 1), 4, 40, 2), (date(2024, 1, 20), 2, 20, 1), (None, 2, 20, 2)}
+    assert not (at / "state" / "state").exists()
+    at, rows = found("2 days")
+    assert {r for r in rows if r[0]} == {(date(2024, 1, 1), 3, 30, 1), (date(2024, 1, 20), 2, 20, 1)}
+    assert (at / "state" / "state").exists()
