@@ -9,6 +9,7 @@ from operator import and_, eq, ge, gt, le, lt, ne
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import AtomicType, VariantType
 
 from silverbrook.plans.pipeline import Operator
 
@@ -29,6 +30,9 @@ JOIN_TYPES = {
 }
 _COMPARE = {"=": eq, "==": eq, "!=": ne, "<>": ne, "<": lt, ">": gt, "<=": le, ">=": ge}
 LEFT, RIGHT = "_l", "_r"
+ROW, ROWS = "_l_row", "_l_rows"
+#: Rows of a piece, as a power of two.
+PIECE = 8
 
 
 def join_type(name: str) -> str:
@@ -58,6 +62,19 @@ def _hinted(df: DataFrame, broadcast: bool) -> DataFrame:
     return F.broadcast(df) if broadcast else df
 
 
+def _pieces(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``keys`` and arrays of up to 2**PIECE rows that agree in them.  Rows are dealt by ranges of a hash of the keys that ends in bits
+    of a hash of the row, so that a task has few keys and a hot key goes to several tasks, but equal rows to one."""
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    named, low = [F.col(f"`{c}`") for c in keys], (1 << (2 * tasks).bit_length()) - 1
+    hashed = [F.col(f"`{f.name}`") for f in df.schema if isinstance(f.dataType, AtomicType) and not isinstance(f.dataType, VariantType)]
+    at = F.xxhash64(*named).bitwiseAND(F.lit(~low)).bitwiseOR(F.xxhash64(F.lit(0), *hashed).bitwiseAND(F.lit(low)))
+    rows = df.select(*named, F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias(ROW), at.alias("_l_at"))
+    dealt = rows.repartitionByRange(tasks, "_l_at").sortWithinPartitions("_l_at")
+    pieces = dealt.withColumn("_l_piece", F.shiftright(F.monotonically_increasing_id(), PIECE))
+    return pieces.groupBy(*named, "_l_at", "_l_piece").agg(F.collect_list(ROW).alias(ROWS)).drop("_l_at", "_l_piece")
+
+
 def join(
     right: DataFrame,
     how: str = "inner",
@@ -72,8 +89,9 @@ def join(
     columns of the right side that clash get ``suffix``.
 
     A full join is a left join and the right side's rows without a match: Spark's own full join holds all the pairs of a key
-    at once before it gives them on, the left one the pairs of a row, and it may be dealt to more tasks.  Both sides are read twice,
-    so they must not change in between.
+    at once before it gives them on, the left one the pairs of a row, and it may be dealt to more tasks.  Both sides are read more than
+    once, so they must not change in between.  Left rows that agree in what is compared go in pieces: a right row's pairs with
+    a piece stand together, and the next right row's repeat the same left rows, which columnar files hold in a fraction of a byte a pair.
     """
     kind = join_type(how)
     if kind != "cross" and not on and not conditions:
@@ -91,16 +109,15 @@ def join(
 
     one = lambda side, c: F.col(f"{side}.`{c}`")
 
-    def columns(left: DataFrame, both: bool) -> list[Column]:
-        out = [(F.coalesce(one(LEFT, c), one(RIGHT, c)) if both and c in on else one(LEFT, c)).alias(c) for c in left.columns]
+    def columns(left: DataFrame, both: bool, side: str = LEFT) -> list[Column]:
+        out = [(F.coalesce(one(side, c), one(RIGHT, c)) if both and c in on else one(side, c)).alias(c) for c in left.columns]
         return out + [one(RIGHT, c).alias(c + suffix if c in left.columns else c) for c in right.columns if c not in on]
 
     def full(left: DataFrame, b: DataFrame, test: Column) -> DataFrame:
-        # the pairs may be far more than the rows, so these are dealt evenly, however few files they come from
-        dealt = left.repartition(int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))).alias(LEFT)
-        matched = dealt.join(b, test, "left_outer").select(*columns(left, True))
-        compared = left.select(*dict.fromkeys([*on, *[c.left for c in conditions]])).distinct()
-        alone = right.alias(RIGHT).join(compared.alias(LEFT), test, "left_anti")
+        compared = list(dict.fromkeys([*on, *[c.left for c in conditions]]))
+        pairs = _pieces(left, compared).alias(LEFT).join(b, test, "left_outer").select("*", F.explode(one(LEFT, ROWS)).alias(ROW))
+        matched = pairs.select(*columns(left, True, ROW))
+        alone = right.alias(RIGHT).join(left.select(*[F.col(f"`{c}`") for c in compared]).distinct().alias(LEFT), test, "left_anti")
         nulls = [(one(RIGHT, c) if c in on else F.lit(None)).alias(c) for c in left.columns]
         rest = [one(RIGHT, c).alias(c + suffix if c in left.columns else c) for c in right.columns if c not in on]
         return matched.unionByName(alone.select(*nulls, *rest))

@@ -162,6 +162,33 @@ def test_full_join_gives_pairs_on_as_they_come(spark):
         assert "FullOuter" not in out._jdf.queryExecution().toString()
 
 
+def test_full_join_is_written_small(spark, tmp_path):
+    """Rows that cycle over a key's long list fill 3 bytes a pair; all pairs are there, and a key's go to several tasks."""
+    left, right = spark.range(600).select((F.col("id") % 6).alias("k"), "id"), spark.range(20_000).select((F.col("id") % 5 + 1).alias("k"), F.col("id").alias("other"))
+    left.transform(J.join(right, "full", on=["k"])).write.parquet(out := str(tmp_path / "pairs"))
+    found = spark.read.parquet(out)
+    assert sum(p.stat().st_size for p in (tmp_path / "pairs").glob("*.parquet")) < found.count()
+    assert found.count() == found.distinct().count() == 100 + 5 * 100 * 4000
+    assert found.where("other is null").count() == 100 and found.where("k <> id % 6 or k <> other % 5 + 1").count() == 0
+    one = spark.range(2000).select(F.lit(1).alias("k"), "id").transform(J.join(right, "full", on=["k"]))
+    assert one.where("id is not null").select(F.spark_partition_id()).distinct().count() > 2
+
+
+def test_full_join_of_odd_rows(spark):
+    """Signs of zero, maps, structs, repeated rows and rows of nothing but the key come out as they went in."""
+    for left, right in (
+        ("values (0.0d, 1), (-0.0d, 2), (double('NaN'), 3), (null, 4) t(k, v)", "values (-0.0d, 1), (double('NaN'), 2), (2.5d, 3) t(k, w)"),
+        ("values (1, map('a', 1)), (1, null), (null, map('b', 2)) t(k, `v.w`)", "values (1, 'x'), (3, 'y') t(k, w)"),
+        ("(select struct(v, 'a') as k from values (1), (1), (null) t(v))", "(select struct(v, 'a') as k, v as w from values (1), (3), (null) t(v))"),
+        ("values (1) t(k) where k > 1", "values (1, 'x') t(k, w)"),
+        ("values (1) t(k)", "values (1, 'x') t(k, w) where k > 1"),
+        ("(select id % 3 as k, 1 as v from range(900))", "(select id % 4 as k, id as w from range(12))"),
+    ):
+        a, b = spark.sql(f"select * from {left}"), spark.sql(f"select * from {right}")
+        rows = lambda df: sorted(map(repr, df.collect()))
+        assert rows(a.transform(J.join(b, "full", on=["k"]))) == rows(a.join(b, "k", "full"))
+
+
 def test_percentile_at_the_edge_of_a_value(spark):
     """Two rows in 400,000 decide between 45 and 46; a sketch can't tell."""
     n = 400_000
