@@ -115,7 +115,9 @@ def join(
 
     def full(left: DataFrame, b: DataFrame, test: Column) -> DataFrame:
         compared = list(dict.fromkeys([*on, *[c.left for c in conditions]]))
-        pairs = _pieces(left, compared).alias(LEFT).join(b, test, "left_outer").select("*", F.explode(one(LEFT, ROWS)).alias(ROW))
+        # every piece has rows; a condition with a lambda keeps the join out of generated code, which would hold all pairs of a piece
+        lazy = F.exists(one(LEFT, ROWS), lambda row: row.isNotNull())
+        pairs = _pieces(left, compared).alias(LEFT).join(b, test & lazy, "left_outer").select("*", F.explode(one(LEFT, ROWS)).alias(ROW))
         matched = pairs.select(*columns(left, True, ROW))
         alone = right.alias(RIGHT).join(left.select(*[F.col(f"`{c}`") for c in compared]).distinct().alias(LEFT), test, "left_anti")
         nulls = [(one(RIGHT, c) if c in on else F.lit(None)).alias(c) for c in left.columns]

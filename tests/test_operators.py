@@ -174,6 +174,23 @@ def test_full_join_is_written_small(spark, tmp_path):
     assert one.where("id is not null").select(F.spark_partition_id()).distinct().count() > 2
 
 
+@pytest.mark.parametrize("most", [-1, 10 << 20])
+def test_full_join_holds_no_piece(spark, most):
+    """The join isn't in generated code, which would hold a piece's pairs with all rows of the right side."""
+    settings = {"spark.sql.autoBroadcastJoinThreshold": str(most), "spark.sql.adaptive.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        joined = spark.range(600).select((F.col("id") % 6).alias("k"), "id").transform(J.join(spark.range(50).select(F.col("id").alias("k")), "full", on=["k"]))
+        plan = joined._jdf.queryExecution().executedPlan().toString().splitlines()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert [x for x in plan if "Generate" in x and "*(" in x]
+    assert [x for x in plan if "LeftOuter" in x] and not [x for x in plan if "LeftOuter" in x and "*(" in x]
+
+
 def test_full_join_of_odd_rows(spark):
     """Signs of zero, maps, structs, repeated rows and rows of nothing but the key come out as they went in."""
     for left, right in (
